@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import minhash
+from ledgerspark.llm import licenses, minhash, mixing, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
+    "op2_two_pass_shuffle": sharding.op2_two_pass_shuffle,
+    "op6_golden_mix": mixing.op6_golden_mix,
+    "op10_diagonal_licenses": licenses.op10_diagonal_licenses,
 }
 
 ORACLES: dict[str, str] = {
