@@ -24,7 +24,7 @@ BLOCKS, BLOCK_WORDS = 65_536, 1024
 CHUNK = 20_000
 #: The driver holds one row a source; more sources than this are refused.
 MOST_SOURCES = 1_000_000
-GOLDEN = 11400714819323198485  # 2^64 over the golden ratio
+PERIOD, GOLDEN = 1 << 31, 1327217885  # the odd number nearest to PERIOD over the golden ratio
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> dict[str | None, float]:
@@ -88,7 +88,7 @@ def mix(
 
     # The schedule, and how often it takes each block.
     slots = spark.range(ceil(total / block) if total else 0).withColumnRenamed("id", "n")
-    point = F.pmod(F.col("n").cast("decimal(20,0)") * F.lit(GOLDEN).cast("decimal(20,0)"), F.lit(1 << 64).cast("decimal(20,0)")).cast("double") / 2.0**64
+    point = F.pmod(F.pmod("n", F.lit(PERIOD)) * GOLDEN, F.lit(PERIOD)) / PERIOD
     bounds = F.array(*[F.lit(e[7]) for e in edges]) if edges else F.array(F.lit(1.0))
     last = max((e[0] for e in edges if e[3] > 0), default=0)
     source = F.least(F.size(F.filter(bounds, lambda b: b <= F.col("u"))), F.lit(last))
