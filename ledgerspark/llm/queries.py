@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import licenses, minhash, mixing, sharding
+from ledgerspark.llm import licenses, minhash, mixing, privacy, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_two_pass_shuffle": sharding.op2_two_pass_shuffle,
+    "op4_pmi_sanitise": privacy.op4_pmi_sanitise,
     "op6_golden_mix": mixing.op6_golden_mix,
+    "op8_sharded_warc": warc.op8_sharded_warc,
     "op10_diagonal_licenses": licenses.op10_diagonal_licenses,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": minhash.ORACLE,
+    "op8_sharded_warc": warc.ORACLE,
 }
