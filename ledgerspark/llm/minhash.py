@@ -11,7 +11,9 @@
 4. Survivors are verified on the full shingle sets; the verified links give first components.
 5. Buckets that still hold several components are compared in full, but only between different components,
    with the same pruning and verification. So no link between classes that share a bucket is lost, and a
-   large group of near copies, already one component, costs no further pairs.
+   large group of near copies, already one component, costs no further pairs. Shingles that no other component
+   holds bound the similarity a class can have with any; classes and pairs below the threshold by that bound
+   are left out.
 """
 
 from __future__ import annotations
@@ -209,13 +211,22 @@ def near_duplicates(
     counted = named.groupBy("band", "label").agg(F.count("*").alias("c"))
     mixed = counted.groupBy("band").agg(F.max(F.struct("c", "label")).alias("most"), F.count("*").alias("k")).where("k > 1")
     mixed = work.save(named.join(mixed.select("band", F.col("most.label").alias("main")).hint("merge"), "band"), "mixed")
-    rest = mixed.where("label != main").select("band", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    # Of a class, only shingles that another component holds can be shared with one: a bound on any overlap.
+    inside = mixed.select("cls", "label").distinct()
+    rolled = work.save(inside.join(sets.hint("merge"), "cls").select("cls", "label", F.explode("members").alias("s")), "rolled")
+    foreign = rolled.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("s")
+    bound = rolled.join(foreign.hint("merge"), "s").groupBy("cls").agg(F.count("*").alias("most"))
+    mixed = mixed.join(work.save(bound, "bound").hint("merge"), "cls").where(f"100 * most >= {percent} * n")
+    mixed = work.save(mixed.select("band", "cls", "n", "label", "main", "most"), "open")
+    rest = mixed.where("label != main").select("band", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"))
+    reach = f"least(ma, most) * {100 + percent} >= {percent} * (na + n)"
     pairs = (
         rest.join(mixed.hint("merge"), "band")
-        .where(f"la != label and {fits('na', 'n')} and (label = main or a > cls)")
+        .where(f"la != label and {fits('na', 'n')} and {reach} and (label = main or a > cls)")
         .select(F.greatest("a", "cls").alias("a"), F.least("a", "cls").alias("b"))
         .distinct()
     )
+    pairs = work.save(pairs, "pairs")
     more = work.save(verified(pruned(pairs).select("a", "b")), "more")
     everything = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)
     labels = work.save(connected_components(everything, work, "all"), "all-labels")
