@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import licenses, minhash, mixing, privacy, sharding, warc
+from ledgerspark.llm import decontaminate, language, licenses, minhash, mixing, neighbours, privacy, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_two_pass_shuffle": sharding.op2_two_pass_shuffle,
+    "op3_pigeonhole_decontaminate": decontaminate.op3_pigeonhole_decontaminate,
     "op4_pmi_sanitise": privacy.op4_pmi_sanitise,
+    "op5_ppm_language": language.op5_ppm_language,
     "op6_golden_mix": mixing.op6_golden_mix,
+    "op7_cnn_toxicity": toxicity.op7_cnn_toxicity,
     "op8_sharded_warc": warc.op8_sharded_warc,
+    "op9_posting_lists": neighbours.op9_posting_lists,
     "op10_diagonal_licenses": licenses.op10_diagonal_licenses,
 }
 
