@@ -9,11 +9,12 @@
    prior, so a Beta distribution) decides: a pair whose probability of reaching the threshold is below
    ``miss`` is dropped.
 4. Survivors are verified on the full shingle sets; the verified links give first components.
-5. Buckets that still hold several components are compared in full, but only between different components,
-   with the same pruning and verification. So no link between classes that share a bucket is lost, and a
-   large group of near copies, already one component, costs no further pairs. Shingles that no other component
-   holds bound the similarity a class can have with any; classes and pairs below the threshold by that bound
-   are left out.
+5. In buckets that still hold several components, the classes outside the bucket's main component are compared
+   with all classes of such buckets, in blocks of bounded bytes: again signature batches first, then the full
+   sets of the survivors, and only between different components. So no link between classes that share a
+   bucket is lost, no pairs are written out, and a large group of near copies, already one component, costs
+   nothing more. Shingles that no other component holds bound the similarity a class can have with any;
+   classes and pairs below the threshold by that bound are left out.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BANDS, ROWS, BATCH = 32, 4, 32
 MISS = 1e-5
 #: Stars per class that are verified before the exhaustive step.
 STARS = 2
+#: Bytes of signatures and sets on either side of a block of the exhaustive step.
+BLOCK_BYTES = 16 << 20
 _MASK = (1 << 64) - 1
 
 
@@ -72,6 +75,10 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _signatures(rows: pa.Table, hashes: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint32).reshape(-1, hashes)
+
+
 def fewest_matches(n: int, threshold: float, miss: float) -> int:
     """Smallest m for which P(similarity >= threshold | m of n hashes agree) reaches ``miss`` (uniform prior)."""
     p = 0.0
@@ -217,17 +224,53 @@ def near_duplicates(
     foreign = rolled.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("s")
     bound = rolled.join(foreign.hint("merge"), "s").groupBy("cls").agg(F.count("*").alias("most"))
     mixed = mixed.join(work.save(bound, "bound").hint("merge"), "cls").where(f"100 * most >= {percent} * n")
-    mixed = work.save(mixed.select("band", "cls", "n", "label", "main", "most"), "open")
-    rest = mixed.where("label != main").select("band", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("most").alias("ma"))
-    reach = f"least(ma, most) * {100 + percent} >= {percent} * (na + n)"
-    pairs = (
-        rest.join(mixed.hint("merge"), "band")
-        .where(f"la != label and {fits('na', 'n')} and {reach} and (label = main or a > cls)")
-        .select(F.greatest("a", "cls").alias("a"), F.least("a", "cls").alias("b"))
-        .distinct()
-    )
-    pairs = work.save(pairs, "pairs")
-    more = work.save(verified(pruned(pairs).select("a", "b")), "more")
+    # Everything that shares a bucket with a component, in blocks of bounded bytes: outsiders against members.
+    units = mixed.select(F.col("main").alias("g"), "cls", "n", "label", "most").distinct()
+    units = units.join(sets.hint("merge"), "cls").join(groups.select("cls", "sig").hint("merge"), "cls")
+    units = work.save(units.withColumn("bytes", F.lit(4 * hashes + 100) + 8 * F.col("n")), "units")
+    outside = F.col("label") != F.col("g")
+    pieces = lambda b: F.ceil(F.sum(b) / BLOCK_BYTES).cast("int")
+    deal = units.groupBy("g").agg(pieces(F.when(outside, F.col("bytes"))).alias("asks"), pieces(F.col("bytes")).alias("holds"))
+    deal = work.save(deal.where("asks > 0"), "deal")
+    dealt = units.drop("bytes").join(deal.hint("merge"), "g")
+    own = lambda parts: F.pmod(F.xxhash64("cls"), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    asking = dealt.where(outside).withColumn("ask", own("asks")).withColumn("hold", every("holds")).drop("asks", "holds")
+    holding = dealt.withColumn("hold", own("holds")).withColumn("ask", every("asks")).drop("asks", "holds")
+    holding = holding.select([F.col(c).alias(c) for c in holding.columns])
+
+    def link(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: list[tuple[bytes, bytes]] = []
+        if left.num_rows and right.num_rows:
+            cls, label, sig = right.column("cls").to_pylist(), right.column("label").to_pylist(), _signatures(right, hashes)
+            n, most = right.column("n").to_numpy(), right.column("most").to_numpy()
+            lists = right.column("members").combine_chunks()
+            values, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(cls)), lists.value_lengths().to_numpy())
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            code = {x: i for i, x in enumerate(dict.fromkeys(label))}
+            codes = np.array([code[x] for x in label])
+            asked = [left.column(c).to_pylist() for c in ("cls", "label", "n", "most")]
+            for (c, component, size, reach), x, members in zip(zip(*asked, strict=True), _signatures(left, hashes), left.column("members"), strict=True):
+                fit = (codes != code.get(component, -1)) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+                fit &= np.minimum(most, reach) * (100 + percent) >= percent * (n + size)
+                alive, found, seen = np.flatnonzero(fit), np.zeros(len(n), np.int64), 0
+                for upto, least in steps:
+                    found[alive] += (sig[alive, seen:upto] == x[seen:upto]).sum(axis=1)
+                    alive, seen = alive[found[alive] >= least], upto
+                if not len(alive):
+                    continue
+                s = members.values.to_numpy()
+                lo, hi = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+                common = np.bincount(np.concatenate([owner[i:j] for i, j in zip(lo, hi, strict=True)]), minlength=len(n))
+                linked = alive[100 * common[alive] >= percent * (n[alive] + size - common[alive])]
+                _, first = np.unique(codes[linked], return_index=True)  # one link to a component is enough
+                out += [(c, cls[i]) for i in linked[first]]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
+
+    block = ["g", "ask", "hold"]
+    more = asking.groupBy(*block).cogroup(holding.groupBy(*block)).applyInArrow(link, "a binary, b binary")
+    more = work.save(more.distinct(), "more")
     everything = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)
     labels = work.save(connected_components(everything, work, "all"), "all-labels")
 
