@@ -131,27 +131,37 @@ def write_warc(
     # The response of each payload; payloads that occur once are left out of the join.
     copies = keys.where(F.col("size") >= shared).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1")
     copies = work.save(copies.select("digest", "first"), "copies")
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            every = zip(*(c.to_pylist() for c in part.columns), strict=True)
+            members = [encode(i, u, b, d, n, None, "response") for i, u, b, d, n in every]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "url", "digest", "size")), pa.array(members, pa.binary())], ["id", "url", "digest", "size", "member"])
+
+    # Records are pressed first, so that only compressed bytes are shuffled.
+    id_kind = keys.schema["id"].dataType.simpleString()
+    rows = rows.select("id", "url", "body", "digest", "size").mapInArrow(press, f"id {id_kind}, url string, digest string, size long, member binary")
     rows = rows.join(copies, "digest", "left")
     rows = rows.withColumn("shard", F.coalesce(F.size(F.filter(F.lit(edges), lambda e: e <= F.col("id"))), F.lit(0)) if edges else F.lit(0))
-    rows = rows.withColumn("body", F.when(F.col("first").isNull() | F.col("id").eqNullSafe(F.col("first")), F.col("body")).otherwise(F.lit(b"")))
+    rows = rows.withColumn("member", F.when(F.col("first").isNull() | F.col("id").eqNullSafe(F.col("first")), F.col("member")))
     rows = rows.repartition(max(1, len(edges) + 1), "shard").sortWithinPartitions("shard", "id", "digest", "url")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, last, done = None, None, []
         kind = pa.schema([("file", pa.string()), ("shard", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
         for part in batches:
-            for shard, page, url, body, digest, size, first in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for shard, page, url, member, digest, size, first in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 if roller is None or roller.shard != shard:
                     done.append(roller and roller.close())
                     roller = _Roller(path, shard, roll_bytes)
                 shares = first is not None and (page != first or last == (page, digest))
-                done.append(roller.add(encode(page, url, body, digest, size, first, "revisit" if shares else "response")))
+                done.append(roller.add(encode(page, url, b"", digest, size, first, "revisit") if shares else member))
                 last = (page, digest)
         done.append(roller and roller.close())
         yield pa.RecordBatch.from_pylist([x for x in done if x], kind)
 
     _mkdirs(spark, path)
-    columns = ["shard", "id", "url", "body", "digest", "size", "first"]
+    columns = ["shard", "id", "url", "member", "digest", "size", "first"]
     manifest = rows.select(*columns).mapInArrow(walk, "file string, shard int, records long, bytes long, sha256 string")
     manifest.write.mode("overwrite").parquet(f"{path}/_manifest")
     return spark.read.schema(manifest.schema).parquet(f"{path}/_manifest")
