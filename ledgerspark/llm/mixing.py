@@ -21,7 +21,7 @@ SEED = 97
 #: Words of a block: this part of all words, within the bounds.
 BLOCKS, BLOCK_WORDS = 65_536, 1024
 #: Rows that one running sum handles.
-CHUNK = 20_000
+CHUNK = 2_000
 #: The driver holds one row a source; more sources than this are refused.
 MOST_SOURCES = 1_000_000
 PERIOD, GOLDEN = 1 << 31, 1327217885  # the odd number nearest to PERIOD over the golden ratio
