@@ -11,7 +11,7 @@ from ledgerspark.llm.common import Scratch
 def connected_components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``edges(a, b)``, undirected, any orderable type -> ``(node, label)``, label the smallest node reachable.
 
-    Only nodes with an edge to another node are returned. Every round is two aggregations with map-side
+    Every node with an edge to another is returned, but for the smallest of each component. Every round is two aggregations with map-side
     combine and two joins on edge rows; a hot node is met by the aggregation and by AQE's skew join. Each
     round's edges are written to the scratch folder; rounds end when the edges no longer change.
     """

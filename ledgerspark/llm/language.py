@@ -176,11 +176,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for part in batches:
             names, scores = [], []
             letter = pc.fill_null(pc.match_substring_regex(part.column(1), r"\p{L}"), False).to_pylist()
-            best, share = m.predict(utf8(part.column(1).to_pylist()))
-            for ok, b, p in zip(letter, best.tolist(), share.tolist(), strict=True) if m.languages else ():
-                names.append(m.languages[b] if ok else "und")
-                scores.append(min(1.0, p) if ok else 0.0)
-            if not m.languages:
+            if m.languages:
+                best, share = m.predict(utf8(part.column(1).to_pylist()))
+                for ok, b, p in zip(letter, best.tolist(), share.tolist(), strict=True):
+                    names.append(m.languages[b] if ok else "und")
+                    scores.append(min(1.0, p) if ok else 0.0)
+            else:
                 names, scores = ["und"] * part.num_rows, [0.0] * part.num_rows
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"])
 
