@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,5 +59,12 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in short pieces, so that what Python makes of a piece stays small."""
+    for part in batches:
+        for at in range(0, part.num_rows, rows):
+            yield part.slice(at, rows)
+
+
 def utf8(values: Iterable[str | None]) -> list[bytes]:
     return [b"" if x is None else x.encode("utf-8", "surrogatepass") for x in values]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import table
+from ledgerspark.llm.common import slices, table
 
 #: Edits a character of an item; items with fewer characters are too short to be evidence and are left out.
 RATE, LEAST = 0.08, 32
@@ -154,7 +154,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(sent.value, rate, least)
-            for part in batches:
+            for part in slices(batches):
                 rows = [(i, *hit) for i, t in zip(part.column(0), part.column(1).to_pylist(), strict=True) for hit in matcher.find(normal(t))]
                 cols = list(zip(*rows, strict=True)) or [[], [], [], [], []]
                 ids = pa.array([x.as_py() for x in cols[0]], part.schema.types[0])
@@ -174,7 +174,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(sent.value, rate, least)
-            for part in batches:
+            for part in slices(batches):
                 yield part.filter(pa.array([not matcher.find(normal(t), first=True) for t in part.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)

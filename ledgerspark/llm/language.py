@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import fold, table, utf8
+from ledgerspark.llm.common import fold, slices, table, utf8
 
 #: Longest context in bytes, and the least count of such a context in any language (longer ones escape at once).
 ORDER, LEAST = 3, 4
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for part in batches:
+        for part in slices(batches):
             names, scores = [], []
             letter = pc.fill_null(pc.match_substring_regex(part.column(1), r"\p{L}"), False).to_pylist()
             if m.languages:
@@ -196,7 +196,7 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for part in batches:
+        for part in slices(batches):
             part = part.filter(pc.fill_null(pc.match_substring_regex(part.column(at), r"\p{L}"), False))
             if m.languages:
                 _, share = m.predict(utf8(part.column(at).to_pylist()))

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table, utf8
+from ledgerspark.llm.common import Scratch, slices, table, utf8
 from ledgerspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -37,7 +37,7 @@ MISS = 1e-5
 #: Stars per class that are verified before the exhaustive step.
 STARS = 2
 #: Bytes of signatures and sets on either side of a block of the exhaustive step.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _MASK = (1 << 64) - 1
 
 
@@ -117,7 +117,7 @@ def near_duplicates(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _coefficients(hashes)
-        for part in batches:
+        for part in slices(batches):
             sets = [shingle_set(x, shingle) for x in utf8(part.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -188,7 +188,7 @@ def near_duplicates(
     ids = work.save(shared.select("cls").distinct().join(groups.select("cls", "id").hint("merge"), "cls").select("id").distinct(), "ids")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in slices(batches):
             sets = [s for x in utf8(part.column(0).to_pylist()) if len(s := shingle_set(x, shingle))]
             yield pa.RecordBatch.from_arrays(
                 [

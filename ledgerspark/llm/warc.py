@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table
+from ledgerspark.llm.common import Scratch, slices, table
 
 #: Payload bytes of a shard, compressed bytes after which a file is closed, least bytes of a shared payload.
 SHARD_BYTES, ROLL_BYTES, SHARED = 32 << 20, 8 << 20, 100
@@ -133,7 +133,7 @@ def write_warc(
     copies = work.save(copies.select("digest", "first"), "copies")
 
     def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
+        for part in slices(batches):
             every = zip(*(c.to_pylist() for c in part.columns), strict=True)
             members = [encode(i, u, b, d, n, None, "response") for i, u, b, d, n in every]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "url", "digest", "size")), pa.array(members, pa.binary())], ["id", "url", "digest", "size", "member"])
