@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from ledgerspark.functions.exprs import number
 
 
+def _candidates(response: Column) -> tuple[Column, Column]:
+    """The response without fences, and its part from the first to the last brace."""
+    return F.trim(F.regexp_replace(response, r"(?s)^\s*```(?:json)?|```\s*$", "")), F.regexp_extract(response, r"(?s)\{.*\}", 0)
+
+
 def json_text(response: Column) -> Column:
     """The JSON of a response: fences stripped, else from the first ``{`` to the last ``}``; null if neither parses."""
-    bare = F.trim(F.regexp_replace(response, r"(?s)^\s*```(?:json)?|```\s*$", ""))
-    inner = F.regexp_extract(response, r"(?s)\{.*\}", 0)
+    bare, inner = _candidates(response)
     return F.when(F.try_parse_json(bare).isNotNull(), bare).when(F.try_parse_json(inner).isNotNull(), inner)
 
 
@@ -27,18 +31,19 @@ def json_leaves(df: DataFrame, response: str = "response", depth: int = 5) -> Da
 
     Paths are ``a.b[0]``; null leaves are left out. ``depth`` bounds the plan, so deeper values are not met.
     """
-    level = df.select("doc_id", "page_num", F.try_parse_json(json_text(F.col(response))).alias("v"), F.lit("").alias("path"), F.lit("").alias("key")).where("v is not null")
-    out = None
-    for _ in range(depth):
-        kind = F.schema_of_variant("v")
-        nested = level.where(kind.startswith("OBJECT") | kind.startswith("ARRAY"))
-        nested.createOrReplaceTempView("json_level")
-        level = df.sparkSession.sql("select doc_id, page_num, path as p, e.pos, e.key as k, e.value as v from json_level, lateral variant_explode_outer(v) as e")
-        path = F.when(F.col("k").isNull(), F.concat("p", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("p") == "", F.col("k")).otherwise(F.concat_ws(".", "p", "k"))
-        level = level.where("v is not null").select("doc_id", "page_num", "v", path.alias("path"), F.coalesce("k", F.regexp_extract("p", r"(\w+)[^\w]*$", 1)).alias("key"))
-        kind = F.schema_of_variant("v")
-        flat = level.where(~(kind.startswith("OBJECT") | kind.startswith("ARRAY") | (kind == "VOID"))).select("doc_id", "page_num", "path", "key", F.col("v").cast("string").alias("value"))
-        out = flat if out is None else out.unionByName(flat)
+    parsed = F.coalesce(*[F.try_parse_json(c) for c in _candidates(F.col(response))])
+    level = df.select("doc_id", "page_num", parsed.alias("v"), F.lit("").alias("path"), F.lit("").alias("key")).where("v is not null")
+    nested = lambda v: F.schema_of_variant(v).startswith("OBJECT") | F.schema_of_variant(v).startswith("ARRAY")
+    for _ in range(depth):  # one pass: what is nested is opened, what is not stays as it is
+        level.withColumn("inner_v", F.when(nested("v"), F.col("v"))).createOrReplaceTempView("json_level")
+        opened = df.sparkSession.sql("select json_level.doc_id, json_level.page_num, json_level.path as p, json_level.key as own, json_level.v as whole, e.pos, e.key as k, e.value as part from json_level, lateral variant_explode_outer(json_level.inner_v) as e")
+        below = F.when(F.col("k").isNull(), F.concat("p", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("p") == "", F.col("k")).otherwise(F.concat_ws(".", "p", "k"))
+        stays = F.col("pos").isNull()
+        level = opened.select(
+            "doc_id", "page_num", F.when(stays, F.col("whole")).otherwise(F.col("part")).alias("v"), F.when(stays, F.col("p")).otherwise(below).alias("path"),
+            F.when(stays, F.col("own")).otherwise(F.coalesce("k", F.regexp_extract("p", r"(\w+)[^\w]*$", 1))).alias("key"),
+        )
+    out = level.where(~nested("v") & (F.schema_of_variant("v") != "VOID")).select("doc_id", "page_num", "path", "key", F.col("v").cast("string").alias("value"))
     return out.where(~F.col("key").isin("page_number", "units", "timeperiod")).withColumn("type", value_type(F.col("path")))
 
 

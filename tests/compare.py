@@ -19,7 +19,7 @@ def oracle(sf_dir: str, sql: str) -> pd.DataFrame:
 
 
 def _cell(x: object) -> object:
-    if x is None or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NA or x is pd.NaT or (isinstance(x, float) and math.isnan(x)):
         return None
     if isinstance(x, bool):
         return x
