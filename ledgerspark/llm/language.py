@@ -189,9 +189,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(apply, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, for which ``predict`` names a language. Where nothing
-    could be learnt every text with a letter is kept."""
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a letter and a language with at least
+    ``least`` of the posterior. Where nothing could be learnt every text with a letter is kept."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +200,7 @@ def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             part = part.filter(pc.fill_null(pc.match_substring_regex(part.column(at), r"\p{L}"), False))
             if m.languages:
                 _, share = m.predict(utf8(part.column(at).to_pylist()))
-                part = part.filter(pa.array(share >= 1 / (len(m.languages) + 1)))
+                part = part.filter(pa.array(share >= least))
             yield part
 
     return docs.mapInArrow(apply, docs.schema)

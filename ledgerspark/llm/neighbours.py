@@ -186,7 +186,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
             order = np.argsort(ids, kind="stable")
             ids, m = ids[order], m[order]
             for at in range(0, len(q), 256):
-                s = q[at : at + 256] @ m.T
+                s = np.einsum("ij,kj->ik", q[at : at + 256], m)  # equal vectors get equal scores, so ties go by id
                 s[qs[at : at + 256, None] == ids[None]] = -np.inf
                 top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 4 * k else _top(s, k)
                 row = np.repeat(np.arange(len(top)), top.shape[1])
