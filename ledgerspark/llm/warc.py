@@ -177,7 +177,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     payload_digest, refers_to (text) and html (null for revisits). Payload digests are checked."""
     manifest = spark.read.parquet(f"{path}/_manifest").select("file", "sha256")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(path)
-    files = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).select("file", "content").join(manifest.hint("merge"), "file")
+    files = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).select("file", "content").join(manifest, "file")  # a written table: broadcast only if its files are small
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "html"]
