@@ -4,7 +4,8 @@ Base spans (e-mail, IP, card and phone numbers) are the protected entities. Corp
 strongly a term of an entity's context reveals it: the pointwise mutual information of term and entity over
 documents, as a share of the entity's information content. That disclosure is 1 for a term that occurs with
 the entity only. Terms at or above ``generalise`` are generalised to their kind where the entity occurs, terms
-at or above ``remove`` are removed. A term counts only with ``support`` different texts that hold both.
+at or above ``remove`` are removed. All entities count, also those of one text. Of an entity of many texts a term
+must stand in ``support`` different ones, of an entity of fewer texts in all of them.
 """
 
 from __future__ import annotations
@@ -116,10 +117,11 @@ def sanitise(
     # Document counts of entities, of terms near them, and of those terms in the whole corpus.
     n = F.lit(docs.select(F.count("*")).first()[0])
     held = found.where(F.size("base") > 0).select("id", "h", F.explode("near").alias("x")).select("id", "h", "x.e", "x.near")
-    df_e = held.select("id", "h", "e").distinct().groupBy("e").agg(F.count("*").alias("df_e"), F.countDistinct("h").alias("texts")).where(F.col("texts") >= support)
+    df_e = held.select("id", "h", "e").distinct().groupBy("e").agg(F.count("*").alias("df_e"), F.countDistinct("h").alias("of"))
     near = held.select("id", "h", "e", F.explode("near").alias("t")).distinct()
-    df_et = near.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts")).where(F.col("texts") >= support).drop("texts")
-    joint = work.save(df_et.join(df_e.drop("texts").hint("merge"), "e"), "joint")
+    df_et = near.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts"))
+    joint = df_et.join(df_e.hint("merge"), "e").where(F.col("texts") >= F.least(F.lit(support), "of"))
+    joint = work.save(joint.drop("texts", "of"), "joint")
     df_t = docs.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count("*").alias("df_t"))
     both = df_t.join(joint.hint("merge"), "t")
     pmi = F.log2(n * F.col("df_et") / (F.col("df_t") * F.col("df_e")))
@@ -145,6 +147,9 @@ def sanitise(
 
     none = F.array().cast("array<struct<start:int,end:int,kind:string,leak:double,tag:string>>")
     out = found.alias("f").join(added.alias("a").hint("merge"), key("f", "a"), "left").select("f.id", "f.h", "f.base", F.coalesce("a.added", none).alias("added"))
+    # A base span is replaced whole, so terms inside it are not.
+    apart = lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
+    out = out.withColumn("added", F.filter("added", apart))
     return out.select(F.col("id").alias(id_col), F.col("h").alias("text_hash"), "base", "added")
 
 

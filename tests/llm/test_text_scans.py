@@ -49,6 +49,15 @@ def test_telling_terms_are_generalised_and_clean_documents_left_alone(spark):
     assert clean[10] == texts[10] and len(clean) == 64
 
 
+def test_terms_of_an_entity_of_one_text_are_found(spark):
+    texts = ["the plan of agent zarquon with mail zarquon@corp.example.com is one", "the plan of quibble and +1 (555) 123-4567 is one", "the plan of quibble and +1 (555) 123-4567 is one note"]
+    texts += [f"the plan of the {i} day is one with mail and note agent" for i in range(61)]
+    rows = {r.doc_id: r for r in privacy.sanitise(documents(spark, texts)).collect()}
+    assert [[(texts[i][s["start"] : s["end"]], s["tag"]) for s in rows[i].added] for i in range(3)] == [[("zarquon", "")], [("quibble", "")], [("quibble", "")]]
+    clean = {r.doc_id: r.clean_text for r in privacy.clean_texts(documents(spark, texts)).collect()}
+    assert clean[0] == "the plan of agent  with mail [EMAIL] is one" and clean[10] == texts[10]
+
+
 def test_privacy_edge_cases(spark, edge, empty):
     assert privacy.sanitise(edge).where("size(base) + size(added) > 0").count() == 0 and privacy.sanitise(edge).count() == edge.count()
     assert privacy.sanitise(empty).count() == 0
