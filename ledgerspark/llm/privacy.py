@@ -1,11 +1,13 @@
 """Information-theoretic sanitisation of personal data, in DataFrame functions only.
 
 Base spans (e-mail, IP, card and phone numbers) are the protected entities. Corpus co-occurrence tells how
-strongly a term of an entity's context reveals it: the pointwise mutual information of term and entity over
+strongly a term reveals an entity: the pointwise mutual information of term and entity over
 documents, as a share of the entity's information content. That disclosure is 1 for a term that occurs with
 the entity only. Terms at or above ``generalise`` are generalised to their kind where the entity occurs, terms
 at or above ``remove`` are removed. All entities count, also those of one text. Of an entity of many texts a term
 must stand in ``support`` different ones, of an entity of fewer texts in all of them.
+All counts are of whole documents, so it does not matter how far from the entity a term stands; terms inside base
+spans are no terms of their document. Entities of the same documents have the same counts and are scored once.
 """
 
 from __future__ import annotations
@@ -24,8 +26,6 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"[\p{L}\p{N}]+"
 
-#: Characters of context on either side of an entity.
-CONTEXT = 80
 SUPPORT, GENERALISE, REMOVE = 3, 0.6, 0.85
 SPAN = "struct<kind:string,start:int,end:int,hit:string>"
 
@@ -72,14 +72,6 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def _context(text: Column, s: Column, width: int) -> Column:
-    """Whole terms within ``width`` characters of a span; a term cut by the window's edge is left out."""
-    before = F.substring(text, F.greatest(s["start"] - width, F.lit(0)) + 1, F.least(s["start"], F.lit(width)))
-    before = F.when(s["start"] > width, F.regexp_replace(before, r"^[\p{L}\p{N}]+", "")).otherwise(before)
-    after = F.regexp_replace(F.substring(text, s["end"] + 1, F.lit(width)), r"[\p{L}\p{N}]+$", "")
-    return F.array_distinct(F.concat(terms(before), terms(after)))
-
-
 def sanitised(text: Column, spans: Column) -> Column:
     """``text`` with every span replaced by its tag; of overlapping spans the first by place counts."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], s["end"], s["tag"])))
@@ -97,7 +89,6 @@ def sanitise(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    context: int = CONTEXT,
     support: int = SUPPORT,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
@@ -111,15 +102,26 @@ def sanitise(
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     found = docs.withColumn("base", base_spans(F.col("text")))
-    near = F.transform("base", lambda s: F.struct(F.concat_ws(":", s["kind"], F.lower(s["hit"])).alias("e"), _context(F.col("text"), s, context).alias("near")))
-    found = work.save(found.select("id", "h", "base", near.alias("near")), "found")
+    bare = sanitised(F.col("text"), F.transform("base", lambda s: F.struct(s["start"], s["end"], F.lit(" ").alias("tag"))))
+    ents = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["hit"]))))
+    found = found.withColumn("ents", ents).withColumn("terms", F.when(F.size("base") > 0, F.array_distinct(terms(bare))))
+    found = work.save(found.select("id", "h", "base", "ents", "terms"), "found")
 
-    # Document counts of entities, of terms near them, and of those terms in the whole corpus.
+    # Document counts of entities, of terms with them, and of terms in the whole corpus; equal rows count apart.
     n = F.lit(docs.select(F.count("*")).first()[0])
-    held = found.where(F.size("base") > 0).select("id", "h", F.explode("near").alias("x")).select("id", "h", "x.e", "x.near")
-    df_e = held.select("id", "h", "e").distinct().groupBy("e").agg(F.count("*").alias("df_e"), F.countDistinct("h").alias("of"))
-    near = held.select("id", "h", "e", F.explode("near").alias("t")).distinct()
-    df_et = near.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts"))
+    held = found.where(F.size("base") > 0)
+    place = F.struct("id", "h")
+    df_e = held.select("id", "h", F.explode("ents").alias("e")).groupBy("e").agg(
+        F.count("*").alias("df_e"), F.countDistinct("h").alias("of"), F.bit_xor(F.xxhash64(F.lit(1), place)).alias("x"), F.bit_xor(F.xxhash64(F.lit(2), place)).alias("y"), F.sum(F.pmod(F.xxhash64(F.lit(3), place), F.lit(1 << 31))).alias("z")
+    )
+    # One entity of those that stand in the same rows.
+    df_e = work.save(df_e.groupBy("df_e", "of", "x", "y", "z").agg(F.min("e").alias("e")).select("e", "df_e", "of"), "entities")
+    key = lambda x, y: F.col(f"{x}.id").eqNullSafe(F.col(f"{y}.id")) & (F.col(f"{x}.h") == F.col(f"{y}.h"))
+    few = held.select("id", "h", F.explode("ents").alias("e")).join(df_e.select("e").hint("merge"), "e", "left_semi")
+    few = work.save(few.groupBy("id", "h").agg(F.collect_set("e").alias("ents")), "few")
+    pairs = held.alias("f").join(few.alias("g").hint("merge"), key("f", "g")).select("f.id", "f.h", "f.terms", F.explode("g.ents").alias("e"))
+    pairs = pairs.select("id", "h", "e", F.explode("terms").alias("t"))
+    df_et = pairs.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts"))
     joint = df_et.join(df_e.hint("merge"), "e").where(F.col("texts") >= F.least(F.lit(support), "of"))
     joint = work.save(joint.drop("texts", "of"), "joint")
     df_t = docs.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count("*").alias("df_t"))
@@ -130,10 +132,9 @@ def sanitise(
     telling = work.save(both.select("e", "t", leak.alias("leak")).where(F.col("leak") >= generalise), "telling")
 
     # Where the telling terms stand, in the documents that hold the entity.
-    named = held.select("id", "h", "e").distinct().join(telling.hint("merge"), "e").groupBy("id", "h", "t").agg(F.max("leak").alias("leak"))
+    named = pairs.join(telling.hint("merge"), ["e", "t"]).groupBy("id", "h", "t").agg(F.max("leak").alias("leak"))
     named = work.save(named, "named")
     homes = work.save(named.select("id", "h").distinct(), "homes")
-    key = lambda x, y: F.col(f"{x}.id").eqNullSafe(F.col(f"{y}.id")) & (F.col(f"{x}.h") == F.col(f"{y}.h"))
     inside = docs.alias("d").join(homes.alias("m"), key("d", "m"), "left_semi").dropDuplicates(["id", "h"])
     cut = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("word"))
     at = inside.select("id", "h", F.posexplode(cut).alias("pos", "x")).select("id", "h", "pos", F.col("x.gap").alias("gap"), F.col("x.word").alias("word"))

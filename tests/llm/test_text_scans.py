@@ -58,6 +58,13 @@ def test_terms_of_an_entity_of_one_text_are_found(spark):
     assert clean[0] == "the plan of agent  with mail [EMAIL] is one" and clean[10] == texts[10]
 
 
+def test_telling_terms_far_from_the_entity_are_found(spark):
+    far = " the plan of the day is one with note" * 20
+    texts = [f"zarquon{far} mail boss@corp.example.com {far} is quibble" for _ in range(3)] + [f"plan {i} of the day is one with mail and note" for i in range(60)]
+    rows = privacy.sanitise(documents(spark, texts)).collect()
+    assert all([texts[r.doc_id][s["start"] : s["end"]] for s in r.added] == (["zarquon", "quibble"] if r.doc_id < 3 else []) for r in rows)
+
+
 def test_privacy_edge_cases(spark, edge, empty):
     assert privacy.sanitise(edge).where("size(base) + size(added) > 0").count() == 0 and privacy.sanitise(edge).count() == edge.count()
     assert privacy.sanitise(empty).count() == 0
