@@ -5,7 +5,9 @@ the norm of the longest (queries get 0). Centroids come from a balanced hierarch
 sample: the largest list is split until lists are short or ``CENTROIDS`` is reached. A vector near the border
 of its list is also put into the other lists whose centroid is about as near (closure within a distance
 ratio, at most ``COPIES``). A query searches the centroid graph and takes the nearest lists, pruned by the
-ratio of their distance to the nearest one's. Lists longer than a chunk are dealt over several tasks.
+ratio of their distance to the nearest one's. How many lists, and whether they are pruned, is calibrated on
+the sample: queries taken from it are compared with brute force, and as many lists are taken as hold ``RECALL``
+of their neighbours. Lists longer than a chunk are dealt over several tasks.
 Candidates are scored on the original vectors in double precision.
 """
 
@@ -26,8 +28,10 @@ from ledgerspark.llm.common import Scratch, table
 SAMPLE, CENTROIDS, LIST, CHUNK = 50_000, 4096, 64, 4096
 #: Copies of a border vector, and how much farther than the nearest a centroid may be (squared distances).
 COPIES, CLOSURE = 4, 1.15
-#: Lists a query takes at most, and how much farther than the nearest a list may be (squared distances).
+#: Lists a query takes at least, and how much farther than the nearest a list may be (squared distances).
 PROBES, RATIO = 96, 2.2
+#: Share of the sample's neighbours that the lists of a query must hold, and queries that measure it.
+RECALL, TRIALS = 0.95, 200
 #: Neighbours of a centroid in the graph, and the width of the search.
 DEGREE, SEED = 24, 17
 
@@ -79,6 +83,10 @@ class Graph:
         """For a block of queries the ``k`` nearest centroids found, (ids, squared distances), nearest first."""
         n, width = len(self.points), min(len(self.points), max(width, k))
         square, own = (self.points**2).sum(1), (q**2).sum(1)
+        if 8 * width >= n:  # so many that all distances cost less than the walk
+            dist = np.maximum(own[:, None] + square[None] - 2 * q @ self.points.T, 0)
+            best = np.argsort(dist, axis=1, kind="stable")[:, :k]
+            return best, np.take_along_axis(dist, best, 1)
 
         def distances(ids: np.ndarray) -> np.ndarray:
             return np.maximum(own[:, None] + square[ids] - 2 * np.einsum("ijk,ik->ij", self.points[ids], q), 0)
@@ -112,6 +120,37 @@ class Graph:
         return np.take_along_axis(ids, best, 1), np.take_along_axis(dist, best, 1)
 
 
+def calibrated(graph: Graph, lifted: np.ndarray, k: int, trials: int = TRIALS, seed: int = SEED) -> tuple[int, float]:
+    """(lists a query takes, ratio) with which queries from the sample find ``RECALL`` of their ``k`` nearest
+    rows of it; the sample is sparser than the table, so its neighbours are spread over no fewer lists."""
+    n, rows = len(graph.points), lifted.astype(np.float32)
+    if n <= PROBES and len(rows) <= k:
+        return PROBES, RATIO
+    homes = np.full((len(rows), COPIES), -1)
+    for at in range(0, len(rows), 256):
+        ids, dist = graph.search(rows[at : at + 256], COPIES, 4 * COPIES)
+        homes[at : at + 256, : ids.shape[1]] = np.where(dist <= dist[:, :1] * CLOSURE + 1e-12, ids, -1)
+    ranks, ratios = [], []
+    for i in np.random.default_rng(seed).choice(len(rows), min(trials, len(rows)), replace=False):
+        q = np.append(rows[i, :-1], np.float32(0))
+        s = lifted[:, :-1] @ lifted[i, :-1]
+        s[i] = -np.inf
+        best = np.argsort(-s, kind="stable")[: min(k, len(rows) - 1)]
+        dist = ((graph.points - q) ** 2).sum(1)
+        rank = np.empty(n + 1, np.int64)
+        rank[np.argsort(dist, kind="stable")], rank[n] = np.arange(n), n
+        own = rank[homes[best]].min(axis=1)
+        ranks.append(own)
+        ratios.append(np.sort(dist)[own] / max(float(dist.min()), 1e-12))
+    if not ranks or not len(ranks[0]):
+        return PROBES, RATIO
+    rank, ratio = np.concatenate(ranks), np.concatenate(ratios)
+    pruned = np.where(ratio <= RATIO, rank, n)
+    keep = (pruned < n).mean() >= RECALL
+    need = int(np.quantile(pruned if keep else rank, RECALL, method="higher")) + 1
+    return min(n, max(PROBES, need)), RATIO if keep else float("inf")
+
+
 def usable(column: str) -> F.Column:
     v = F.col(column)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -122,13 +161,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE, probes: int | None = None) -> DataFrame:
     """The ``k`` largest inner products of every query (rows whose id is divisible by ``every``) among all
     other rows: query_id, ``rank`` from 1, id, ``score``; ties to the smaller id.
 
     Vectors that are null, empty or zero, that hold a null or non-finite component, that have no id, or whose
     length is not the most frequent one take no part. Rows equal in id and score count once, and no row is a
-    candidate of a query with its id. An empty table gives no rows.
+    candidate of a query with its id. An empty table gives no rows. ``probes`` lists are taken for a query, or as
+    many as the calibration asks for.
     """
     spark, work = vectors.sparkSession, Scratch(vectors.sparkSession, "neighbours")
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable("v"))
@@ -152,6 +192,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
     x = lifted(x[np.lexsort(x.T[::-1])])
     most = max(1, min(CENTROIDS, ceil(total / LIST)))
     graph = Graph.build(balanced_centroids(x, most, max(1, len(x) // most)).astype(np.float32))
+    probes, ratio = calibrated(graph, x, k) if probes is None else (probes, RATIO)
     shared = spark.sparkContext.broadcast(graph)  # at most CENTROIDS points
 
     def lists(query: bool) -> object:
@@ -163,7 +204,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
                     v = _matrix(p.column(1))
                     v = np.concatenate((v, np.zeros((len(v), 1))), 1) if query else lifted(v)
                     ids, dist = g.search(v.astype(np.float32), probes if query else COPIES, probes if query else 4 * COPIES)
-                    take = dist <= dist[:, :1] * (RATIO if query else CLOSURE) + 1e-12
+                    take = dist <= dist[:, :1] * (ratio if query else CLOSURE) + 1e-12
                     row, _ = np.nonzero(take)
                     row_ = pa.array(row)
                     yield pa.RecordBatch.from_arrays([pa.array(ids[take], pa.int32()), p.column(0).take(row_), p.column(1).take(row_)], ["list", "id", "v"])

@@ -81,6 +81,16 @@ def test_recall_against_brute_force(spark):
     assert all(abs(s - float(x[q] @ x[v])) < 1e-9 for q, g in got.items() for v, s in g.values())
 
 
+def test_recall_with_many_lists(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "LIST", 8)  # 750 lists
+    x = np.random.default_rng(6).standard_normal((6000, 32))
+    rows = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    s = x[::20] @ x.T
+    s[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    want = {(20 * q, int(v)) for q, best in enumerate(np.argsort(-s, axis=1)[:, :20]) for v in best}
+    assert len({(r.query_id, r.vec_id) for r in rows} & want) / len(want) >= 0.9
+
+
 def test_vectors_that_take_no_part(spark):
     bad = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (1, [float("nan"), 1.0]), (2, [float("inf"), 1.0]), (3, [None, 1.0]), (4, [1.0]), (5, [0.5, 0.5]), (6, [1.0, 0.0]), (None, [1.0, 1.0])]
     rows = neighbours.nearest(spark.createDataFrame(bad, "vec_id long, embedding array<float>")).collect()
