@@ -3,16 +3,19 @@
 Inner product is searched as Euclidean distance: every vector gets one more component that gives all of them
 the norm of the longest (queries get 0). Centroids come from a balanced hierarchical 2-means on a bounded
 sample: the largest list is split until lists are short or ``CENTROIDS`` is reached. A vector near the border
-of its list is also put into the other lists whose centroid is about as near (closure within a distance
-ratio, at most ``COPIES``). A query searches the centroid graph and takes the nearest lists, pruned by the
-ratio of their distance to the nearest one's. How many lists, and whether they are pruned, is calibrated on
-the sample: queries taken from it are compared with brute force, and as many lists are taken as hold ``RECALL``
-of their neighbours. Lists longer than a chunk are dealt over several tasks.
+of its list is also put into the other lists whose centroid is about as near (within the ``CLOSURE`` ratio, at most
+``COPIES``). A query searches the centroid graph and takes the nearest lists, as far as the ratio of their distance to the nearest one's allows.
+Ratio and number of lists are calibrated on the sample: queries taken from it are compared with brute force, and of
+the pairs that reach ``RECALL`` the one that opens the fewest lists is taken.
+
+Neighbouring lists share a *shelf* of bounded rows; a longer list is dealt over shelves of its own, and many
+questions of a shelf over several tasks. A task scores the questions of one shelf against the lists they ask for.
 Candidates are scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
@@ -22,29 +25,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, table
+from ledgerspark.llm.common import Scratch, slices, table
 
-#: Bounds of the index: vectors in the sample, centroids; vectors of a list aimed at, rows of a list in one task.
-SAMPLE, CENTROIDS, LIST, CHUNK = 50_000, 4096, 64, 4096
+#: Bounds of the index: vectors in the sample, centroids; vectors of a list aimed at.
+SAMPLE, CENTROIDS, LIST = 65_536, 8192, 64
+#: Rows of a shelf and questions of a shelf that one task holds.
+SHELF, ASKED = 8192, 4096
+#: Least share of a list that either part of it has, and rounds of k-means after the splits.
+UNEVEN, ROUNDS = 0.25, 5
 #: Copies of a border vector, and how much farther than the nearest a centroid may be (squared distances).
 COPIES, CLOSURE = 4, 1.15
-#: Lists a query takes at least, and how much farther than the nearest a list may be (squared distances).
-PROBES, RATIO = 96, 2.2
-#: Share of the sample's neighbours that the lists of a query must hold, and queries that measure it.
-RECALL, TRIALS = 0.95, 200
-#: Neighbours of a centroid in the graph, and the width of the search.
-DEGREE, SEED = 24, 17
+#: Share of the sample's neighbours that the lists of a query must hold, queries that measure it, least lists taken.
+RECALL, TRIALS, PROBES = 0.94, 300, 4
+#: Neighbours of a centroid in the graph, centroids from which it is walked, and the seed.
+DEGREE, WALK, SEED = 24, 1024, 17
+
+
+def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` smallest of each row, smallest first, ties by column."""
+    k = min(k, dist.shape[1])
+    if 4 * k >= dist.shape[1]:
+        return np.argsort(dist, axis=1, kind="stable")[:, :k]
+    some = np.sort(np.argpartition(dist, k - 1, axis=1)[:, :k], axis=1)
+    order = np.argsort(np.take_along_axis(dist, some, 1), axis=1, kind="stable")
+    return np.take_along_axis(some, order, 1)
 
 
 def balanced_centroids(x: np.ndarray, most: int, size: int, seed: int = SEED) -> np.ndarray:
-    """Split the largest list in two near-equal halves (2-means direction, cut at the median) until done."""
+    """Split the largest list in two by 2-means, neither part under ``UNEVEN`` of it, until done; then ``ROUNDS``
+    of k-means, in which a centroid is the farther the longer its list. Parts of a list stay side by side in the
+    result."""
     rng = np.random.default_rng(seed)
-    lists = [np.arange(len(x))]
-    while len(lists) < most:
-        at = max(range(len(lists)), key=lambda i: len(lists[i]))
-        own = lists[at]
-        if len(own) <= size:
-            break
+    lists = [(-len(x), "", np.arange(len(x)))]  # a list's path of halves tells its place
+    while len(lists) < most and -lists[0][0] > size:
+        _, path, own = heapq.heappop(lists)
         part = x[own]
         a, b = part[rng.choice(len(own), 2, replace=False)]
         for _ in range(6):
@@ -53,10 +67,21 @@ def balanced_centroids(x: np.ndarray, most: int, size: int, seed: int = SEED) ->
                 break
             a, b = part[side].mean(0), part[~side].mean(0)
         order = np.argsort(part @ (b - a), kind="stable")
-        half = len(own) // 2
-        lists[at] = own[order[:half]]
-        lists.append(own[order[half:]])
-    return np.stack([x[own].mean(0) for own in lists])
+        near_a = int((((part - a) ** 2).sum(1) <= ((part - b) ** 2).sum(1)).sum())
+        half = min(max(near_a, ceil(UNEVEN * len(own)), 1), len(own) - max(1, ceil(UNEVEN * len(own))))
+        heapq.heappush(lists, (-half, f"{path}0", own[order[:half]]))
+        heapq.heappush(lists, (half - len(own), f"{path}1", own[order[half:]]))
+    parts = [own for _, _, own in sorted(lists, key=lambda e: e[1])]
+    points, held = np.stack([x[own].mean(0) for own in parts]), np.array([len(own) for own in parts])
+    for _ in range(ROUNDS if len(points) > 1 else 0):
+        spread, home = x.var(axis=0).sum() / len(points) / max(1.0, held.mean()), np.empty(len(x), np.int64)
+        for at in range(0, len(x), 1024):
+            home[at : at + 1024] = ((points**2).sum(1)[None] - 2 * x[at : at + 1024] @ points.T + spread * held[None]).argmin(axis=1)
+        held = np.bincount(home, minlength=len(points))
+        sums = np.zeros_like(points)
+        np.add.at(sums, home, x)
+        points = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], points)
+    return points
 
 
 @dataclass
@@ -73,8 +98,7 @@ class Graph:
         near = np.empty((n, min(degree + 4, n)), np.int32)
         for at in range(0, n, 512):
             d = ((points[at : at + 512] ** 2).sum(1)[:, None] + (points**2).sum(1)[None] - 2 * points[at : at + 512] @ points.T)
-            close = np.argsort(d, axis=1, kind="stable")[:, : near.shape[1]]
-            near[at : at + 512] = close
+            near[at : at + 512] = _nearest(d, near.shape[1])
         if near.shape[1] > degree:  # a few long links keep the graph connected
             near[:, degree:] = rng.integers(0, n, (n, near.shape[1] - degree))
         return cls(points, near, rng.choice(n, min(n, 32), replace=False))
@@ -83,9 +107,9 @@ class Graph:
         """For a block of queries the ``k`` nearest centroids found, (ids, squared distances), nearest first."""
         n, width = len(self.points), min(len(self.points), max(width, k))
         square, own = (self.points**2).sum(1), (q**2).sum(1)
-        if 8 * width >= n:  # so many that all distances cost less than the walk
+        if max(8 * width, WALK) >= n:  # so few centroids, or so many wanted, that all distances cost less than the walk
             dist = np.maximum(own[:, None] + square[None] - 2 * q @ self.points.T, 0)
-            best = np.argsort(dist, axis=1, kind="stable")[:, :k]
+            best = _nearest(dist, k)
             return best, np.take_along_axis(dist, best, 1)
 
         def distances(ids: np.ndarray) -> np.ndarray:
@@ -120,35 +144,76 @@ class Graph:
         return np.take_along_axis(ids, best, 1), np.take_along_axis(dist, best, 1)
 
 
-def calibrated(graph: Graph, lifted: np.ndarray, k: int, trials: int = TRIALS, seed: int = SEED) -> tuple[int, float]:
-    """(lists a query takes, ratio) with which queries from the sample find ``RECALL`` of their ``k`` nearest
-    rows of it; the sample is sparser than the table, so its neighbours are spread over no fewer lists."""
-    n, rows = len(graph.points), lifted.astype(np.float32)
-    if n <= PROBES and len(rows) <= k:
-        return PROBES, RATIO
-    homes = np.full((len(rows), COPIES), -1)
-    for at in range(0, len(rows), 256):
-        ids, dist = graph.search(rows[at : at + 256], COPIES, 4 * COPIES)
-        homes[at : at + 256, : ids.shape[1]] = np.where(dist <= dist[:, :1] * CLOSURE + 1e-12, ids, -1)
-    ranks, ratios = [], []
-    for i in np.random.default_rng(seed).choice(len(rows), min(trials, len(rows)), replace=False):
-        q = np.append(rows[i, :-1], np.float32(0))
-        s = lifted[:, :-1] @ lifted[i, :-1]
-        s[i] = -np.inf
-        best = np.argsort(-s, kind="stable")[: min(k, len(rows) - 1)]
-        dist = ((graph.points - q) ** 2).sum(1)
-        rank = np.empty(n + 1, np.int64)
-        rank[np.argsort(dist, kind="stable")], rank[n] = np.arange(n), n
-        own = rank[homes[best]].min(axis=1)
-        ranks.append(own)
-        ratios.append(np.sort(dist)[own] / max(float(dist.min()), 1e-12))
-    if not ranks or not len(ranks[0]):
-        return PROBES, RATIO
-    rank, ratio = np.concatenate(ranks), np.concatenate(ratios)
-    pruned = np.where(ratio <= RATIO, rank, n)
-    keep = (pruned < n).mean() >= RECALL
-    need = int(np.quantile(pruned if keep else rank, RECALL, method="higher")) + 1
-    return min(n, max(PROBES, need)), RATIO if keep else float("inf")
+@dataclass
+class Index:
+    """Centroids in their graph, and how many lists a query takes; bounded by ``CENTROIDS``."""
+
+    graph: Graph
+    longest: float
+    probes: int
+    ratio: float
+
+    def lifted(self, v: np.ndarray) -> np.ndarray:
+        return np.concatenate((v, np.sqrt(np.maximum(self.longest - (v**2).sum(1, keepdims=True), 0))), axis=1)
+
+    def homes(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lists, taken or not) of vectors: the nearest, and for border vectors others about as near."""
+        ids, dist = self.graph.search(self.lifted(v).astype(np.float32), COPIES, 4 * COPIES)
+        return ids, dist <= dist[:, :1] * CLOSURE + 1e-12
+
+    def asked(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(lists, taken or not) that queries open."""
+        q = np.concatenate((v, np.zeros((len(v), 1))), 1).astype(np.float32)
+        ids, dist = self.graph.search(q, self.probes, self.probes)
+        return ids, dist <= dist[:, :1] * self.ratio + 1e-12
+
+    @classmethod
+    def fit(cls, x: np.ndarray, total: int, longest: float, k: int, probes: int | None = None) -> Index:
+        """From a sample of the ``total`` vectors."""
+        out = cls(None, longest, 0, float("inf"))
+        x = x[np.lexsort(x.T[::-1])]  # the order the rows came in does not matter
+        lifted = out.lifted(x)
+        most = max(1, min(CENTROIDS, ceil(total / LIST)))
+        out.graph = Graph.build(balanced_centroids(lifted, most, max(1, len(x) // most)).astype(np.float32))
+        out.probes, out.ratio = (probes, float("inf")) if probes else out.calibrated(x, k)
+        return out
+
+    def calibrated(self, x: np.ndarray, k: int, trials: int = TRIALS, seed: int = SEED) -> tuple[int, float]:
+        """(lists, ratio) with which queries from the sample find ``RECALL`` of their ``k`` nearest rows of it;
+        the sample is sparser than the table, so its neighbours are spread over no fewer lists."""
+        n = len(self.graph.points)
+        if len(x) < 2 or n < 2:
+            return n, float("inf")
+        picked = np.random.default_rng(seed).choice(len(x), min(trials, len(x)), replace=False)
+        best = np.empty((len(picked), min(k, len(x) - 1)), np.int64)
+        for j, i in enumerate(picked):
+            s = -(x @ x[i])
+            s[i] = np.inf
+            best[j] = _nearest(s[None], best.shape[1])[0]
+        met, at = np.unique(best, return_inverse=True)
+        homes = np.full((len(met), COPIES), n)
+        for lo in range(0, len(met), 256):
+            ids, take = self.homes(x[met[lo : lo + 256]])
+            homes[lo : lo + 256, : ids.shape[1]] = np.where(take, ids, n)
+        ranks, ratios, opened = [], [], []
+        for i, own in zip(picked, homes[at.reshape(best.shape)], strict=True):
+            dist = ((self.graph.points - np.append(x[i], 0.0).astype(np.float32)) ** 2).sum(1)
+            order = np.argsort(dist, kind="stable")
+            rank = np.empty(n + 1, np.int64)
+            rank[order], rank[n] = np.arange(n), n
+            near = dist[order] / max(float(dist.min()), 1e-12)
+            ranks.append(rank[own].min(axis=1))
+            ratios.append(near[ranks[-1]])
+            opened.append(near)
+        rank, ratio, opened = np.concatenate(ranks), np.concatenate(ratios), np.stack(opened)
+        plans = []
+        for share in np.linspace(RECALL, 1.0, 7):
+            far = float(np.quantile(ratio, share, method="higher"))
+            within = np.sort(np.where(ratio <= far, rank, n))
+            probes = int(within[min(len(within) - 1, ceil(RECALL * len(within)) - 1)]) + 1
+            lists = np.minimum((opened <= far).sum(1), probes).mean()
+            plans.append((lists, min(n, max(PROBES, probes)), far))
+        return min(plans)[1:]
 
 
 def usable(column: str) -> F.Column:
@@ -161,91 +226,140 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def sample_of(rows: DataFrame, total: int, sample: int) -> np.ndarray:
+    """At most ``sample`` vectors: those with the lowest seeded hashes."""
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "id", "v"), 1)
+    share = min(1.0, 1.2 * sample / total)
+    low = rows.withColumn("h", h).where(F.col("h") <= min((1 << 63) - 1, int(share * (1 << 63))))
+    x = low.orderBy("h", "id").limit(sample).select("v").toArrow()
+    x = x if x.num_rows else rows.withColumn("h", h).orderBy("h", "id").limit(sample).select("v").toArrow()
+    return _matrix(x.column("v").combine_chunks())
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", sample: int = SAMPLE, probes: int | None = None) -> DataFrame:
     """The ``k`` largest inner products of every query (rows whose id is divisible by ``every``) among all
     other rows: query_id, ``rank`` from 1, id, ``score``; ties to the smaller id.
 
     Vectors that are null, empty or zero, that hold a null or non-finite component, that have no id, or whose
     length is not the most frequent one take no part. Rows equal in id and score count once, and no row is a
-    candidate of a query with its id. An empty table gives no rows. ``probes`` lists are taken for a query, or as
-    many as the calibration asks for.
+    candidate of a query with its id. Other columns are ignored, whatever their names. An empty table gives no
+    rows. ``probes`` lists are taken for a query, or as many as the calibration asks for.
     """
     spark, work = vectors.sparkSession, Scratch(vectors.sparkSession, "neighbours")
+    id_kind = vectors.schema[id_col].dataType.simpleString()
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(F.col("id").isNotNull() & usable("v"))
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).orderBy(F.desc("c"), "d").first()
-    schema = f"query_id {vectors.schema[id_col].dataType.simpleString()}, rank int, {id_col} {vectors.schema[id_col].dataType.simpleString()}, score double"
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c"), F.max(square).alias("m")).orderBy(F.desc("c"), "d").first()
     if lengths is None:
-        return spark.createDataFrame([], schema)
-    dim, longest, total = lengths["d"], lengths["m"], lengths["c"]
-    rows = rows.where(F.size("v") == dim)
-
-    # The index, from a sample of bounded size: the rows with the lowest seeded hashes.
-    share = min(1.0, 1.2 * sample / total)
-    picked = rows.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("v").limit(sample)
-    x = _matrix(picked.toArrow().column("v").combine_chunks()) if share < 1 else _matrix(rows.select("v").limit(sample).toArrow().column("v").combine_chunks())
-    if not len(x):
-        x = _matrix(rows.select("v").limit(1).toArrow().column("v").combine_chunks())
-
-    def lifted(v: np.ndarray) -> np.ndarray:
-        return np.concatenate((v, np.sqrt(np.maximum(longest - (v**2).sum(1, keepdims=True), 0))), axis=1)
-
-    x = lifted(x[np.lexsort(x.T[::-1])])
-    most = max(1, min(CENTROIDS, ceil(total / LIST)))
-    graph = Graph.build(balanced_centroids(x, most, max(1, len(x) // most)).astype(np.float32))
-    probes, ratio = calibrated(graph, x, k) if probes is None else (probes, RATIO)
-    shared = spark.sparkContext.broadcast(graph)  # at most CENTROIDS points
-
-    def lists(query: bool) -> object:
-        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            g = shared.value
-            for part in batches:
-                for at in range(0, part.num_rows, 256):
-                    p = part.slice(at, 256)
-                    v = _matrix(p.column(1))
-                    v = np.concatenate((v, np.zeros((len(v), 1))), 1) if query else lifted(v)
-                    ids, dist = g.search(v.astype(np.float32), probes if query else COPIES, probes if query else 4 * COPIES)
-                    take = dist <= dist[:, :1] * (ratio if query else CLOSURE) + 1e-12
-                    row, _ = np.nonzero(take)
-                    row_ = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[take], pa.int32()), p.column(0).take(row_), p.column(1).take(row_)], ["list", "id", "v"])
-
-        return deal
-
-    kind = f"list int, id {vectors.schema[id_col].dataType.simpleString()}, v array<double>"
-    postings = work.save(rows.mapInArrow(lists(False), kind), "postings")
-    asked = work.save(rows.where(F.col("id") % every == 0).mapInArrow(lists(True), kind), "asked")
-    parts = postings.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
-    parts = F.broadcast(parts)  # at most CENTROIDS rows
-    postings = postings.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    asked = asked.join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return spark.createDataFrame([], f"query_id {id_kind}, rank int, {id_col} {id_kind}, score double")
+    rows = rows.where(F.size("v") == lengths["d"])
+    index = Index.fit(sample_of(rows, lengths["c"], sample), lengths["c"], lengths["m"], k, probes)
+    shared = spark.sparkContext.broadcast(index)  # at most CENTROIDS points
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in slices(batches):
+            ids, take = shared.value.homes(_matrix(p.column(1)))
+            row = pa.array(np.nonzero(take)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[take], pa.int32()), p.column(0).take(row), p.column(1).take(row)], ["list", "id", "v"])
+
+    postings = work.save(rows.mapInArrow(post, f"list int, id {id_kind}, v array<double>"), "postings")
+    shelves = shelved({r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}, len(index.graph.points))  # a row a centroid
+    first, parts = shelves
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in slices(batches):
+            ids, take = shared.value.asked(_matrix(p.column(1)))
+            row, lists = np.nonzero(take)[0], ids[take]
+            row, lists, of = np.repeat(row, parts[lists]), np.repeat(lists, parts[lists]), parts[lists]
+            shelf = first[lists] + (np.arange(len(lists)) - np.repeat(np.cumsum(of) - of, of))
+            order = np.lexsort((shelf, row))
+            row, shelf, lists = row[order], shelf[order], lists[order]
+            new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (shelf[1:] != shelf[:-1]))) if len(row) else np.empty(0, np.int64)
+            at, which = pa.array(row[new]), pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(lists, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(shelf[new], pa.int32()), p.column(0).take(at), p.column(1).take(at), which], ["shelf", "id", "v", "lists"])
+
+    asked = rows.where(F.col("id") % every == 0).mapInArrow(ask, f"shelf int, id {id_kind}, v array<double>, lists array<int>")
+    asked = work.save(asked, "asked")
+    places = spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(len(first))], "list int, first int, parts int")
+    placed = postings.join(F.broadcast(places), "list")  # a row a centroid
+    placed = placed.withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # The questions of a shelf in pieces of bounded length; its rows go to each of them.
+    pieces = asked.groupBy("shelf").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("asks"))
+    pieces = work.save(pieces, "pieces")
+    asking = asked.join(pieces.hint("merge"), "shelf").withColumn("ask", F.pmod(F.xxhash64("id", "v"), F.col("asks")).cast("int"))
+    holding = placed.join(pieces.hint("merge"), "shelf").withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
 
     def score(questions: pa.Table, members: pa.Table) -> pa.Table:
-        out = []
-        if questions.num_rows and members.num_rows:
-            ids, qs = members.column("id").to_numpy(), questions.column("id").to_numpy()
-            m, q = _matrix(members.column("v").combine_chunks()), _matrix(questions.column("v").combine_chunks())
-            order = np.argsort(ids, kind="stable")
-            ids, m = ids[order], m[order]
-            for at in range(0, len(q), 256):
-                s = np.einsum("ij,kj->ik", q[at : at + 256], m)  # equal vectors get equal scores, so ties go by id
-                s[qs[at : at + 256, None] == ids[None]] = -np.inf
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 4 * k else _top(s, k)
-                row = np.repeat(np.arange(len(top)), top.shape[1])
-                best = np.take_along_axis(s, top, 1).ravel()
-                ok = np.isfinite(best)
-                out.append((qs[at : at + 256][row][ok], ids[top.ravel()][ok], [q[at : at + 256][row][ok], m[top.ravel()][ok]]))
-        if not out:
-            return pa.Table.from_arrays([pa.array([], questions.schema.field("id").type)] * 2 + [pa.array([], pa.float64())], ["query_id", "id", "score"])
-        # One plain sum a pair, so that a pair has the same score whatever block it was met in.
-        scores = np.concatenate([(a * b).sum(axis=1) for _, _, (a, b) in out])
-        kind_ = questions.schema.field("id").type
-        return pa.Table.from_arrays([pa.array(np.concatenate([o[0] for o in out]), kind_), pa.array(np.concatenate([o[1] for o in out]), kind_), pa.array(scores)], ["query_id", "id", "score"])
+        return _score(questions, members, k)
 
-    id_kind = vectors.schema[id_col].dataType.simpleString()
-    met = asked.select("list", "part", "id", "v").groupBy("list", "part").cogroup(postings.select("list", "part", "id", "v").groupBy("list", "part"))
-    met = met.applyInArrow(score, f"query_id {id_kind}, id {id_kind}, score double").distinct()
+    block = ["shelf", "ask"]
+    met = asking.select(*block, "id", "v", "lists").groupBy(*block).cogroup(holding.select(*block, "id", "v", "list").groupBy(*block))
+    met = met.applyInArrow(score, f"query_id {id_kind}, id {id_kind}, score double")
+    # A pair met on several shelves counts once.
     turn = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return met.withColumn("rank", F.row_number().over(turn)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
+    fresh = F.lag("id").over(turn).eqNullSafe(F.col("id")) & F.lag("score").over(turn).eqNullSafe(F.col("score"))
+    met = met.withColumn("fresh", F.when(fresh, 0).otherwise(1)).withColumn("rank", F.sum("fresh").over(turn).cast("int"))
+    return met.where((F.col("fresh") == 1) & (F.col("rank") <= k)).select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def shelved(counts: dict[int, int], lists: int, rows: int = SHELF) -> tuple[np.ndarray, np.ndarray]:
+    """(first shelf, number of shelves) of every list: neighbouring lists share a shelf of at most ``rows`` rows,
+    a longer list has as many of its own as it needs."""
+    first, parts, shelf, held = np.zeros(lists, np.int64), np.ones(lists, np.int64), 0, 0
+    for i in range(lists):
+        c = counts.get(i, 0)
+        if held and held + c > rows:
+            shelf, held = shelf + 1, 0
+        first[i], parts[i] = shelf, max(1, ceil(c / rows))
+        held += c
+        if parts[i] > 1:
+            shelf, held = shelf + int(parts[i]), 0
+    return first, parts
+
+
+def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
+    """The ``k`` best members of the lists that each question asks for, in this block."""
+    kind = questions.schema.field("id").type
+    names, none = ["query_id", "id", "score"], pa.array([], pa.float64())
+    if not questions.num_rows or not members.num_rows:
+        return pa.Table.from_arrays([pa.array([], kind), pa.array([], kind), none], names)
+    qs, q = questions.column("id").to_numpy(), _matrix(questions.column("v").combine_chunks())
+    ids, m, own = members.column("id").to_numpy(), _matrix(members.column("v").combine_chunks()), members.column("list").to_numpy()
+    order = np.lexsort((np.argsort(np.argsort(ids, kind="stable"), kind="stable"), own))  # by list, then id
+    ids, m, own = ids[order], m[order], own[order]
+    which = questions.column("lists").combine_chunks()
+    asker, wanted = np.repeat(np.arange(len(q)), which.value_lengths().to_numpy()), which.flatten().to_numpy()
+    turn = np.argsort(wanted, kind="stable")
+    asker, wanted = asker[turn], wanted[turn]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for one in np.unique(wanted):
+        lo, hi = np.searchsorted(own, one), np.searchsorted(own, one, "right")
+        if lo == hi:
+            continue
+        who = asker[np.searchsorted(wanted, one) : np.searchsorted(wanted, one, "right")]
+        for at in range(0, len(who), 256):
+            a = who[at : at + 256]
+            s = np.einsum("ij,kj->ik", q[a], m[lo:hi])  # equal vectors get equal scores, so ties go by id
+            s[qs[a][:, None] == ids[lo:hi][None]] = -np.inf
+            top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 4 * k else _top(s, k)
+            best, row = np.take_along_axis(s, top, 1), np.repeat(a, top.shape[1]).reshape(top.shape)
+            ok = np.isfinite(best)
+            found.append((row[ok], lo + top[ok], best[ok]))
+    if not found:
+        return pa.Table.from_arrays([pa.array([], kind), pa.array([], kind), none], names)
+    row, at, near = (np.concatenate(x) for x in zip(*found, strict=True))
+    # The block's k best of each question; copies of a vector in several of its lists go.
+    keys = np.argsort(np.argsort(ids, kind="stable"), kind="stable")[at]
+    order = np.lexsort((keys, -near, row))
+    row, at, near = row[order], at[order], near[order]
+    new = np.append(True, (row[1:] != row[:-1]) | (near[1:] != near[:-1]) | (ids[at][1:] != ids[at][:-1]))
+    row, at = row[new], at[new]
+    start = np.searchsorted(row, row)
+    keep = np.arange(len(row)) - start < k
+    row, at = row[keep], at[keep]
+    # One plain sum a pair, so that a pair has the same score whatever block it was met in.
+    scores = (q[row] * m[at]).sum(axis=1)
+    return pa.Table.from_arrays([pa.array(qs[row], kind), pa.array(ids[at], kind), pa.array(scores)], names)
 
 
 def _top(s: np.ndarray, k: int) -> np.ndarray:
@@ -257,4 +371,5 @@ def _top(s: np.ndarray, k: int) -> np.ndarray:
 
 
 def op9_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector of ``embeddings`` by inner product; edge cases as in ``nearest``."""
     return nearest(table(spark, sf_dir, "embeddings"))

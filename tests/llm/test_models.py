@@ -81,14 +81,69 @@ def test_recall_against_brute_force(spark):
     assert all(abs(s - float(x[q] @ x[v])) < 1e-9 for q, g in got.items() for v, s in g.values())
 
 
+def exact(x):
+    s = x[::20] @ x.T
+    s[np.arange(len(s)), np.arange(0, len(x), 20)] = -np.inf
+    return {(20 * q, int(v)) for q, best in enumerate(np.argsort(-s, axis=1)[:, :20]) for v in best}
+
+
+def frame(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
 def test_recall_with_many_lists(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "LIST", 8)  # 750 lists
+    monkeypatch.setattr(neighbours, "SHELF", 500)
+    monkeypatch.setattr(neighbours, "ASKED", 40)
     x = np.random.default_rng(6).standard_normal((6000, 32))
-    rows = neighbours.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
-    s = x[::20] @ x.T
-    s[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
-    want = {(20 * q, int(v)) for q, best in enumerate(np.argsort(-s, axis=1)[:, :20]) for v in best}
-    assert len({(r.query_id, r.vec_id) for r in rows} & want) / len(want) >= 0.9
+    rows = neighbours.nearest(frame(spark, x)).collect()
+    assert len({(r.query_id, r.vec_id) for r in rows} & (want := exact(x))) / len(want) >= 0.9
+
+
+def test_pruned_search_of_clustered_vectors(spark):
+    # 24,000 vectors of 400 clusters in 64 dimensions: few lists are opened, border vectors alone are copied.
+    rng = np.random.default_rng(8)
+    c, pick = rng.standard_normal((400, 64)), lambda n: rng.integers(0, 400, n)
+    x = np.concatenate((c[pick(20_000)], (c[pick(4_000)] + c[pick(4_000)]) / 2)) + 0.6 * rng.standard_normal((24_000, 64))
+    x = x[rng.permutation(24_000)]
+    index = neighbours.Index.fit(x[::2], len(x), float((x**2).sum(axis=1).max()), 20)
+    homes, take = index.homes(x)
+    size = np.bincount(homes[take], minlength=len(index.graph.points))
+    lists, open_ = index.asked(x[::20])
+    scanned = (size[lists] * open_).sum(axis=1) / len(x)
+    assert len(size) >= 370 and 1.02 * len(x) < take.sum() < 1.5 * len(x) and scanned.mean() < 0.15 and open_.sum(axis=1).mean() < 0.1 * len(size)
+    rows = neighbours.nearest(frame(spark, x)).collect()
+    got = {(r.query_id, r.vec_id) for r in rows}
+    assert len(rows) == 20 * 1200 and len(got & (want := exact(x))) / len(want) >= 0.9
+
+
+def test_graph_search_finds_the_nearest_centroids():
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((3000, 24)).astype(np.float32)
+    graph, q = neighbours.Graph.build(points), rng.standard_normal((100, 24)).astype(np.float32)
+    found, dist = graph.search(q, 10, 40)
+    want = np.argsort(((q[:, None] - points[None]) ** 2).sum(axis=2), axis=1)[:, :10]
+    assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found, want, strict=True)]) > 0.85 and (np.diff(dist, axis=1) >= 0).all()
+
+
+def test_shelves_hold_bounded_rows():
+    first, parts = neighbours.shelved({0: 3, 1: 4, 2: 25, 3: 2, 5: 9}, 6, rows=10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 5] and parts.tolist() == [1, 1, 3, 1, 1, 1]
+
+
+def test_common_vectors_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHELF", 50)
+    monkeypatch.setattr(neighbours, "ASKED", 7)
+    x = np.random.default_rng(9).standard_normal((900, 6))
+    x[300:600] = x[300]
+    rows = [(i, v.tolist(), 1, 2, 3, "l") for i, v in enumerate(x)] + [(20, x[20].tolist(), 1, 2, 3, "l")]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, id int, v int, list int, shelf string"), probes=10_000).collect()
+    assert len(got) == 45 * 20
+    want = {i: sorted(((-float(x[i] @ w), j) for j, w in enumerate(x) if j != i)) for i in range(0, 900, 20)}
+    for i, best in want.items():
+        mine = [r.vec_id for r in sorted((r for r in got if r.query_id == i), key=lambda r: r.rank)]
+        near = [-s for s, _ in best[:20]]
+        assert np.allclose([float(x[i] @ x[j]) for j in mine], near) and (near[0] - near[-1] > 1e-9 or mine == sorted(mine))
 
 
 def test_vectors_that_take_no_part(spark):
