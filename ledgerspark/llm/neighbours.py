@@ -10,7 +10,8 @@ the pairs that reach ``RECALL`` the one that opens the fewest lists is taken.
 
 Neighbouring lists share a *shelf* of bounded rows; a longer list is dealt over shelves of its own, and many
 questions of a shelf over several tasks. A task scores the questions of one shelf against the lists they ask for.
-Candidates are scored on the original vectors in double precision.
+The shelf of a query's nearest list comes first; the k-th best score found there is a bound that candidates of the
+other shelves must reach, so these give few rows. Candidates are scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -263,43 +264,61 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
             yield pa.RecordBatch.from_arrays([pa.array(ids[take], pa.int32()), p.column(0).take(row), p.column(1).take(row)], ["list", "id", "v"])
 
     postings = work.save(rows.mapInArrow(post, f"list int, id {id_kind}, v array<double>"), "postings")
-    shelves = shelved({r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}, len(index.graph.points))  # a row a centroid
-    first, parts = shelves
+    first, parts = shelved({r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}, len(index.graph.points))  # a row a centroid
+
+    def ask(home: bool) -> object:
+        """The shelf of the nearest list of each query, or its other shelves, with the lists asked for there."""
+
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for p in slices(batches):
+                ids, take = shared.value.asked(_matrix(p.column(1)))
+                row, lists = np.nonzero(take)[0], ids[take]
+                row, lists, of = np.repeat(row, parts[lists]), np.repeat(lists, parts[lists]), parts[lists]
+                shelf = first[lists] + (np.arange(len(lists)) - np.repeat(np.cumsum(of) - of, of))
+                mine = (shelf == first[ids[:, 0]][row]) == home
+                row, shelf, lists = row[mine], shelf[mine], lists[mine]
+                order = np.lexsort((shelf, row))
+                row, shelf, lists = row[order], shelf[order], lists[order]
+                new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (shelf[1:] != shelf[:-1]))) if len(row) else np.empty(0, np.int64)
+                at, which = pa.array(row[new]), pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(lists, pa.int32()))
+                yield pa.RecordBatch.from_arrays([pa.array(shelf[new], pa.int32()), p.column(0).take(at), p.column(1).take(at), p.column(2).take(at), which], ["shelf", "id", "v", "least", "lists"])
+
+        return of
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for p in slices(batches):
-            ids, take = shared.value.asked(_matrix(p.column(1)))
-            row, lists = np.nonzero(take)[0], ids[take]
-            row, lists, of = np.repeat(row, parts[lists]), np.repeat(lists, parts[lists]), parts[lists]
-            shelf = first[lists] + (np.arange(len(lists)) - np.repeat(np.cumsum(of) - of, of))
-            order = np.lexsort((shelf, row))
-            row, shelf, lists = row[order], shelf[order], lists[order]
-            new = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (shelf[1:] != shelf[:-1]))) if len(row) else np.empty(0, np.int64)
-            at, which = pa.array(row[new]), pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(lists, pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(shelf[new], pa.int32()), p.column(0).take(at), p.column(1).take(at), which], ["shelf", "id", "v", "lists"])
-
-    asked = rows.where(F.col("id") % every == 0).mapInArrow(ask, f"shelf int, id {id_kind}, v array<double>, lists array<int>")
-    asked = work.save(asked, "asked")
     places = spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(len(first))], "list int, first int, parts int")
     placed = postings.join(F.broadcast(places), "list")  # a row a centroid
     placed = placed.withColumn("shelf", F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    # The questions of a shelf in pieces of bounded length; its rows go to each of them.
-    pieces = asked.groupBy("shelf").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("asks"))
-    pieces = work.save(pieces, "pieces")
-    asking = asked.join(pieces.hint("merge"), "shelf").withColumn("ask", F.pmod(F.xxhash64("id", "v"), F.col("asks")).cast("int"))
-    holding = placed.join(pieces.hint("merge"), "shelf").withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
 
     def score(questions: pa.Table, members: pa.Table) -> pa.Table:
         return _score(questions, members, k)
 
-    block = ["shelf", "ask"]
-    met = asking.select(*block, "id", "v", "lists").groupBy(*block).cogroup(holding.select(*block, "id", "v", "list").groupBy(*block))
-    met = met.applyInArrow(score, f"query_id {id_kind}, id {id_kind}, score double")
-    # A pair met on several shelves counts once.
+    def met(questions: DataFrame, home: bool) -> DataFrame:
+        asked = questions.mapInArrow(ask(home), f"shelf int, id {id_kind}, v array<double>, least double, lists array<int>")
+        asked = work.save(asked, f"asked-{home}")
+        # The questions of a shelf in pieces of bounded length; its rows go to each of them.
+        pieces = asked.groupBy("shelf").agg(F.ceil(F.count("*") / ASKED).cast("int").alias("asks"))
+        pieces = work.save(pieces, f"pieces-{home}")
+        asking = asked.join(pieces.hint("merge"), "shelf").withColumn("ask", F.pmod(F.xxhash64("id", "v"), F.col("asks")).cast("int"))
+        holding = placed.join(pieces.hint("merge"), "shelf").withColumn("ask", F.explode(F.sequence(F.lit(0), F.col("asks") - 1)))
+        block = ["shelf", "ask"]
+        left = asking.select(*block, "id", "v", "least", "lists").groupBy(*block)
+        both = left.cogroup(holding.select(*block, "id", "v", "list").groupBy(*block)).applyInArrow(score, f"query_id {id_kind}, id {id_kind}, score double")
+        return work.save(both, f"met-{home}")
+
+    queries = rows.where(F.col("id") % every == 0)
+    near = met(queries.withColumn("least", F.lit(float("-inf"))), True)
+    bounds = work.save(_ranked(near, k).where(F.col("rank") == k).select("query_id", "score"), "bounds")
+    bounded = queries.join(bounds.hint("merge"), F.col("id") == F.col("query_id"), "left").select("id", "v", F.coalesce("score", F.lit(float("-inf"))).alias("least"))
+    best = _ranked(near.unionByName(met(bounded, False)), k)
+    return best.select("query_id", "rank", F.col("id").alias(id_col), "score")
+
+
+def _ranked(met: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of every query with their ``rank``; a pair met on several shelves counts once."""
     turn = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     fresh = F.lag("id").over(turn).eqNullSafe(F.col("id")) & F.lag("score").over(turn).eqNullSafe(F.col("score"))
     met = met.withColumn("fresh", F.when(fresh, 0).otherwise(1)).withColumn("rank", F.sum("fresh").over(turn).cast("int"))
-    return met.where((F.col("fresh") == 1) & (F.col("rank") <= k)).select("query_id", "rank", F.col("id").alias(id_col), "score")
+    return met.where((F.col("fresh") == 1) & (F.col("rank") <= k))
 
 
 def shelved(counts: dict[int, int], lists: int, rows: int = SHELF) -> tuple[np.ndarray, np.ndarray]:
@@ -318,7 +337,7 @@ def shelved(counts: dict[int, int], lists: int, rows: int = SHELF) -> tuple[np.n
 
 
 def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
-    """The ``k`` best members of the lists that each question asks for, in this block."""
+    """The ``k`` best members of the lists that each question asks for, in this block, that reach its bound."""
     kind = questions.schema.field("id").type
     names, none = ["query_id", "id", "score"], pa.array([], pa.float64())
     if not questions.num_rows or not members.num_rows:
@@ -327,7 +346,8 @@ def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
     ids, m, own = members.column("id").to_numpy(), _matrix(members.column("v").combine_chunks()), members.column("list").to_numpy()
     order = np.lexsort((np.argsort(np.argsort(ids, kind="stable"), kind="stable"), own))  # by list, then id
     ids, m, own = ids[order], m[order], own[order]
-    which = questions.column("lists").combine_chunks()
+    least, which = questions.column("least").to_numpy(), questions.column("lists").combine_chunks()
+    least = least - 1e-9 * np.abs(np.where(np.isfinite(least), least, 0.0))  # sums in another order may differ so much
     asker, wanted = np.repeat(np.arange(len(q)), which.value_lengths().to_numpy()), which.flatten().to_numpy()
     turn = np.argsort(wanted, kind="stable")
     asker, wanted = asker[turn], wanted[turn]
@@ -343,7 +363,7 @@ def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
             s[qs[a][:, None] == ids[lo:hi][None]] = -np.inf
             top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 4 * k else _top(s, k)
             best, row = np.take_along_axis(s, top, 1), np.repeat(a, top.shape[1]).reshape(top.shape)
-            ok = np.isfinite(best)
+            ok = np.isfinite(best) & (best >= least[a][:, None])
             found.append((row[ok], lo + top[ok], best[ok]))
     if not found:
         return pa.Table.from_arrays([pa.array([], kind), pa.array([], kind), none], names)
