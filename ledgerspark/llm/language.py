@@ -3,9 +3,10 @@
 For every language a variable-order tree of byte contexts (up to ``ORDER`` bytes) holds the counts of the byte
 that follows. A byte never seen in a context escapes to the next shorter one: with n different bytes seen t
 times in all, the escape has probability n / (t + n), and the shorter context's distribution is restricted to
-the bytes not yet excluded. The statistics are frozen after training, so the code length of every byte hangs
-on the ``ORDER`` bytes before it only; all those code lengths are worked out once and a text's exact code
-length under each language is a sum of table look-ups.
+the bytes not yet excluded; below the empty context all 256 bytes are alike. A context never seen escapes at no
+cost. The statistics are frozen after training, so what a byte costs hangs on the ``ORDER`` bytes before it only:
+the costs of all byte runs seen in training, and of the escapes, are worked out once, and a text's exact code length
+under each language is a sum of look-ups in the trees.
 """
 
 from __future__ import annotations
@@ -19,45 +20,147 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import fold, slices, table, utf8
+from ledgerspark.llm.common import Scratch, fold, slices, table, utf8
 
-#: Longest context in bytes, and the least count of such a context in any language (longer ones escape at once).
-ORDER, LEAST = 3, 4
-#: Bounds of the training sample: documents a language, bytes of all their texts, languages, byte values kept.
-SAMPLE, SAMPLE_BYTES, LANGUAGES, ALPHABET = 400, 8 << 20, 256, 96
+#: Longest context in bytes.
+ORDER = 3
+#: Bounds of the training sample: documents a language, bytes of all their texts. Languages in one set of trees.
+SAMPLE, SAMPLE_BYTES, TOGETHER = 400, 8 << 20, 16
+#: A text is of no known language if it costs more than this times the dearest quarter of its language's training
+#: texts a byte, and ``SLACK`` bits for its beginning.
+DEAR, SLACK = 4.0, 96
 SEED = 5
+#: The start of a text in the runs of symbols, and their base.
+START, BASE = 256, 257
+
+
+def grams(data: bytes) -> np.ndarray:
+    """The runs of ORDER + 1 symbols that end at each byte, as numbers to base ``BASE``."""
+    s = np.concatenate((np.full(ORDER, START, np.int64), np.frombuffer(data, np.uint8).astype(np.int64)))
+    out = s[: len(data)]
+    for j in range(1, ORDER + 1):
+        out = out * BASE + s[j : j + len(data)]
+    return out
 
 
 @dataclass
-class Model:
-    """``to``: byte -> symbol. ``deep``: number of a 3-symbol context or -1. ``bits``: code lengths, a row for
-    each (3 symbols) and then for each (deep context, symbol), a column for each language."""
+class Step:
+    """From a run of symbols (by number) and one more symbol to the number of the longer run: a bit a symbol, and
+    the number of the first run of each 64."""
 
-    languages: list[str]
-    to: np.ndarray
-    size: int
-    deep: np.ndarray
     bits: np.ndarray
+    start: np.ndarray
+
+    @classmethod
+    def build(cls, before: np.ndarray, symbols: np.ndarray, runs: int, size: int) -> Step:
+        """Of runs in order: the number of each one's prefix, and its last symbol."""
+        words = (size + 63) // 64
+        bits = np.zeros((runs, words), np.uint64)
+        np.bitwise_or.at(bits, (before, symbols >> 6), np.uint64(1) << (symbols & 63).astype(np.uint64))
+        count = np.bitwise_count(bits).astype(np.int64).ravel()
+        return cls(bits.ravel(), (np.cumsum(count) - count).astype(np.int32))
+
+    def next(self, runs: np.ndarray, word: np.ndarray, bit: np.ndarray, words: int) -> np.ndarray:
+        """Numbers of the longer runs, -1 where either is unknown."""
+        at = np.maximum(runs, 0)
+        at = at * words + word if words > 1 else at
+        mask = self.bits[at]
+        out = self.start[at] + np.bitwise_count(mask & (bit - np.uint64(1)))
+        out[(runs < 0) | ((mask & bit) == 0)] = -1
+        return out
 
-    def rows(self, data: bytes) -> np.ndarray:
-        a = self.size
-        s = self.to[np.frombuffer(data, np.uint8)].astype(np.int32)
-        s = np.concatenate((np.zeros(ORDER, np.int32), s))
-        low = s[1:-2] * (a * a) + s[2:-1] * a
-        flat = low + s[3:]
-        context = self.deep[s[:-3] * (a * a) + s[1:-2] * a + s[2:-1]]
-        return np.where(context >= 0, a**3 + context * a + s[3:], flat)
 
-    def lengths(self, texts: list[bytes], chunk: int = 1 << 18) -> np.ndarray:
+@dataclass
+class Trees:
+    """The context trees of some languages. ``to``: byte -> symbol, 0 for bytes never seen. ``cost[k]``: what the
+    last symbol of each run of k + 1 symbols costs; ``escape[k]``: what leaving each run of k + 1 symbols as a
+    context costs; a column a language, in bits."""
+
+    to: np.ndarray
+    steps: list[Step]
+    cost: list[np.ndarray]
+    escape: list[np.ndarray]
+
+    @classmethod
+    def build(cls, runs: np.ndarray, language: np.ndarray, counts: np.ndarray, n: int) -> Trees:
+        """From the (ORDER + 1)-runs seen, each with the number of its language and its count there."""
+        parts = [runs // BASE ** (ORDER - j) % BASE for j in range(ORDER + 1)]
+        seen = np.unique(np.concatenate(parts)) if len(runs) else np.empty(0, np.int64)
+        seen = seen[seen != START]
+        to = np.zeros(BASE, np.int64)
+        to[seen], to[START] = np.arange(1, len(seen) + 1), len(seen) + 1
+        a = len(seen) + 2
+        full = to[parts[0]] if len(runs) else np.empty(0, np.int64)
+        for part in parts[1:]:
+            full = full * a + to[part]
+        levels = [np.unique(full)]  # runs of ORDER + 1 symbols, then shorter ones: beginnings and ends of the longer
+        for k in range(ORDER - 1, 0, -1):
+            levels.insert(0, np.unique(np.concatenate((levels[0] // a, levels[0] % a ** (k + 1)))))
+        levels.insert(0, np.arange(a, dtype=np.int64))
+
+        own = np.zeros((a, n))
+        np.add.at(own, (full % a, language), counts)
+        t, d = own.sum(axis=0), (own > 0).sum(axis=0)
+        rest = np.where(d < 256, d / np.maximum(t + d, 1) / np.maximum(256 - d, 1), 0)
+        p = np.where(own > 0, own / np.maximum(t + np.where(d < 256, d, 0), 1), np.where(t > 0, np.maximum(rest, 2.0**-60), 1 / 256))
+        cost, escape, steps = [-np.log2(p)], [], []
+        for k in range(1, ORDER + 1):
+            longer, shorter = levels[k], levels[k - 1]
+            before, symbol, tail = np.searchsorted(shorter, longer // a), longer % a, np.searchsorted(shorter, longer % a**k)
+            own = np.zeros((len(longer), n))
+            np.add.at(own, (np.searchsorted(longer, full % a ** (k + 1)), language), counts)
+            t, d, used = (np.zeros((len(shorter), n)) for _ in range(3))
+            np.add.at(t, before, own)
+            np.add.at(d, before, own > 0)
+            np.add.at(used, before, np.where(own > 0, 2.0 ** -cost[-1][tail], 0.0))
+            left = 1 - used
+            whole = left < 1e-9  # no other byte can follow, so nothing is put aside for it
+            leave = np.where(t > 0, np.where(whole, 2.0**-60, d / np.maximum(t + d, 1) / np.where(whole, 1, left)), 1.0)
+            escape.append(-np.log2(leave))
+            p = own / np.maximum(t + np.where(whole, 0, d), 1)[before]
+            cost.append(np.where(own > 0, -np.log2(np.where(own > 0, p, 1)), escape[-1][before] + cost[-1][tail]))
+            steps.append(Step.build(before, symbol, len(shorter), a))
+        return cls(to.astype(np.int32), steps, [c.astype(np.float32) for c in cost], [e.astype(np.float32) for e in escape])
+
+    def bits(self, data: bytes, first: int) -> np.ndarray:
+        """Cost of ``data[first:]`` under each language, with what stands before it as context; where nothing
+        stands before it, the text begins there."""
+        s = self.to[np.frombuffer(data, np.uint8)]
+        if first == 0:
+            s, first = np.concatenate((np.full(ORDER, self.to[START], np.int32), s)), ORDER
+        words = (int(self.to[START]) + 64) // 64
+        word, bit = s >> 6, np.uint64(1) << (s & 63).astype(np.uint64)
+        runs, out, live = [s], np.zeros(self.cost[0].shape[1]), np.arange(first, len(s))
+        for step in self.steps:  # runs[k][i]: the run of k + 1 symbols that ends at i
+            longer = np.empty(len(s), np.int32)
+            longer[0], longer[1:] = -1, step.next(runs[-1][:-1], word[1:], bit[1:], words)
+            runs.append(longer)
+        for k in range(ORDER, 0, -1):
+            here = runs[k][live]
+            met = here >= 0
+            out += self.cost[k].take(here[met], axis=0).sum(axis=0, dtype=np.float64)
+            live = live[~met]
+            context = runs[k - 1][live - 1]
+            out += self.escape[k - 1][context[context >= 0]].sum(axis=0, dtype=np.float64)
+        return out + self.cost[0][s[live]].sum(axis=0, dtype=np.float64)
+
+
+@dataclass
+class Model:
+    """Languages in order, the trees of each ``TOGETHER`` of them, and the bits a byte above which a text is of no
+    known language."""
+
+    languages: list[str]
+    trees: list[Trees]
+    limits: np.ndarray
+
+    def lengths(self, texts: list[bytes], chunk: int = 1 << 15) -> np.ndarray:
         """Code lengths in bits, a row for each text and a column for each language."""
         out = np.zeros((len(texts), len(self.languages)))
-        if not self.languages:
-            return out
         for i, t in enumerate(texts):
             for at in range(0, len(t), chunk):
-                part = t[max(0, at - ORDER) : at + chunk]
-                rows = self.rows(part)[at - max(0, at - ORDER) :]
-                out[i] += self.bits[rows].sum(axis=0, dtype=np.float64)
+                lo = max(0, at - ORDER)
+                out[i] += np.concatenate([g.bits(t[lo : at + chunk], at - lo) for g in self.trees])
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,109 +170,78 @@ class Model:
         share = np.exp2(np.clip(bits.min(axis=1, keepdims=True) - bits, -1000, 0))
         return best, 1 / share.sum(axis=1)
 
+    def known(self, texts: list[bytes]) -> np.ndarray:
+        """Whether the language of least code length is one in which a text of this length may cost so much."""
+        bits, size = self.lengths(texts), np.array([len(t) for t in texts])
+        best = bits.argmin(axis=1)
+        return bits.min(axis=1) <= self.limits[best] * size + SLACK
+
 
-def _grams(data: bytes, to: np.ndarray, a: int) -> np.ndarray:
-    s = np.concatenate((np.zeros(ORDER, np.int64), to[np.frombuffer(data, np.uint8)]))
-    return ((s[:-3] * a + s[1:-2]) * a + s[2:-1]) * a + s[3:]
-
-
-def build(languages: list[str], counts: list[dict[int, int]], to: np.ndarray, size: int) -> Model:
-    """The model from counts of (ORDER + 1)-grams of symbols by language. Shorter contexts are their sums."""
-    a, n = size, len(languages)
-    tall = []
-    for c in counts:
-        keys, values = np.fromiter(c.keys(), np.int64, len(c)), np.fromiter(c.values(), np.float64, len(c))
-        tall.append((keys, values))
-    kept: set[int] = set()
-    for keys, values in tall:
-        contexts, at = np.unique(keys // a, return_inverse=True)
-        kept.update(contexts[np.bincount(at, values, len(contexts)) >= LEAST].tolist())
-    deep_of = np.array(sorted(kept), np.int64)
-    deep = np.full(a**3, -1, np.int32)
-    deep[deep_of] = np.arange(len(deep_of), dtype=np.int32)
-    bits = np.zeros((a**3 + len(deep_of) * a, n), np.float32)
-
-    def finer(count: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """Distributions of contexts (rows) from their counts and the distributions one byte shorter."""
-        seen = count > 0
-        t, d = count.sum(axis=1, keepdims=True), seen.sum(axis=1, keepdims=True)
-        rest = np.where(seen, 0.0, shorter)
-        left = rest.sum(axis=1, keepdims=True)
-        whole = (left <= 0) | (t == 0)
-        p = np.where(seen, count / np.maximum(t + np.where(whole, 0, d), 1), 0.0)
-        p = p + np.where(whole, 0.0, d / np.maximum(t + d, 1)) * rest / np.where(left > 0, left, 1)
-        return np.where(t == 0, shorter, p)
-
-    for k, (keys, values) in enumerate(tall):
-        c3 = np.bincount(keys % a**3, values, a**3).reshape(a * a, a)
-        c2 = c3.reshape(a, a, a).sum(axis=0)
-        c1 = c2.sum(axis=0, keepdims=True)
-        p0 = finer(c1, np.full((1, a), 1 / a))
-        p1 = finer(c2, np.broadcast_to(p0, (a, a)))
-        p2 = finer(c3, np.tile(p1, (a, 1)))
-        bits[: a**3, k] = -np.log2(p2.ravel())
-        for at in range(0, len(deep_of), 2048):
-            own = deep_of[at : at + 2048]
-            c = np.zeros((len(own), a))
-            row = np.searchsorted(own, keys // a)
-            hit = (row < len(own)) & (own[np.minimum(row, len(own) - 1)] == keys // a)
-            np.add.at(c, (row[hit], keys[hit] % a), values[hit])
-            bits[a**3 + at * a : a**3 + (at + len(own)) * a, k] = -np.log2(finer(c, p2[own % (a * a)])).ravel()
-    return Model(languages, to, a, deep, bits)
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
+def build(languages: list[str], names: np.ndarray, runs: np.ndarray, counts: np.ndarray) -> Model:
+    """The model from (language, run of ORDER + 1 symbols, count) rows."""
+    number = np.searchsorted(np.array(languages, object), names) if len(names) else np.empty(0, np.int64)
+    trees = []
+    for lo in range(0, len(languages), TOGETHER):
+        n = min(TOGETHER, len(languages) - lo)
+        own = (number >= lo) & (number < lo + n)
+        trees.append(Trees.build(runs[own], number[own] - lo, counts[own].astype(np.float64), n))
+    return Model(languages, trees, np.full(len(languages), np.inf))
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Learn from at most ``sample`` documents of each language (the lowest seeded hashes), whole texts.
 
     ``docs`` holds only rows that may be learnt from. Rows without language, text or letters are left out.
-    At most LANGUAGES languages, the most frequent, are learnt; the sample stops growing at SAMPLE_BYTES.
+    Every language is learnt, with an equal share of ``sample_bytes``: documents are taken until it is spent, the last
+    of them whole, however long. Repeated rows count once. Other columns are ignored, whatever their names.
+    The driver holds one row a language and the runs of the sample.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    light = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.lit(SEED), id_col, text_col).alias("h"), F.octet_length(text_col).cast("long").alias("n"))
-    names = sorted(r["lang"] for r in light.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
-    first = light.where(F.col("lang").isin(names)).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("k") <= sample)
-    spent = Window.partitionBy("lang").orderBy("k")
-    first = first.withColumn("spent", F.sum("n").over(spent) - F.col("n")).where(F.col("spent") < SAMPLE_BYTES // max(1, len(names)))
-    chosen = [r["h"] for r in first.select("h").collect()]  # at most sample * LANGUAGES
-    spark = docs.sparkSession
-    picked = spark.createDataFrame([(h,) for h in chosen], "h long")
-    texts = rows.withColumn("h", F.xxhash64(F.lit(SEED), id_col, text_col)).join(F.broadcast(picked), "h", "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    texts = texts.where(F.col("lang").isin(names)).persist()
-
-    def bytes_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = np.zeros(256, np.int64)
-        for part in batches:
-            for t in utf8(part.column(1).to_pylist()):
-                c += np.bincount(np.frombuffer(t, np.uint8), minlength=256)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(c)], ["b", "c"])
-
-    seen = texts.mapInArrow(bytes_seen, "b long, c long").groupBy("b").agg(F.sum("c").alias("c")).where("c > 0").collect()
-    seen = sorted(seen, key=lambda r: (-r["c"], r["b"]))[: ALPHABET - 1]
-    to = np.zeros(256, np.int64)  # 0: any other byte, and the start of a text
-    for i, r in enumerate(sorted(seen, key=lambda r: r["b"])):
-        to[r["b"]] = i + 1
-    a = len(seen) + 1
+    spark, work = docs.sparkSession, Scratch(docs.sparkSession, "language")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("h", F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "id", "text"), 1))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    names = sorted(counts)
+    if not names:
+        return Model([], [], np.empty(0))
+    # About as many as wanted pass the bound on the hash, so the sort that cuts them off is a small one.
+    low = [(n, min((1 << 63) - 1, int(1.5 * sample / c * (1 << 63)) + (1 << 56))) for n, c in counts.items()]
+    low = F.broadcast(spark.createDataFrame(low, "lang string, most long"))  # a row a language
+    light = rows.select("lang", "h", F.octet_length("text").cast("long").alias("n")).join(low, "lang").where("h <= most")
+    turn = Window.partitionBy("lang").orderBy("h")
+    first = light.groupBy("lang", "h").agg(F.max("n").alias("n")).withColumns({"k": F.row_number().over(turn), "spent": F.sum("n").over(turn) - F.col("n")})
+    first = work.save(first.where((F.col("k") <= sample) & (F.col("spent") < max(1, sample_bytes // len(names)))).select("lang", "h"), "picked")
+    texts = rows.join(F.broadcast(first), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")  # at most ``sample`` a language
+    texts = work.save(texts, "texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[np.ndarray]] = {}
-        for part in batches:
+        for part in slices(batches, 64):
             for lang, t in zip(part.column(0).to_pylist(), utf8(part.column(1).to_pylist()), strict=True):
-                found.setdefault(lang, []).append(_grams(t, to, a))
-        for lang, g in found.items():
-            keys, c = np.unique(np.concatenate(g), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(c)], ["lang", "g", "c"])
+                for at in range(0, len(t), 1 << 20):
+                    lo = max(0, at - ORDER)
+                    keys, c = np.unique(grams(t[lo : at + (1 << 20)])[at - lo :], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys), pa.array(c)], ["lang", "g", "c"])
+
+    met = texts.mapInArrow(count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")).toArrow()
+    model = build(names, met.column("lang").to_numpy(), met.column("g").to_numpy(), met.column("c").to_numpy())
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
-    counts: dict[str, dict[int, int]] = {n: {} for n in names}
-    for r in texts.mapInArrow(count, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c")).toLocalIterator():
-        counts[r["lang"]][r["g"]] = r["c"]
-    texts.unpersist()
-    return build(names, [counts[n] for n in names], to, a)
+    def costs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 64):
+            data = utf8(part.column(1).to_pylist())
+            own = [shared.value.languages.index(x) for x in part.column(0).to_pylist()]
+            bits = shared.value.lengths(data)[np.arange(len(data)), own] / [max(1, len(t)) for t in data]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits, pa.float64())], ["lang", "bits"])
+
+    dear = texts.mapInArrow(costs, "lang string, bits double").groupBy("lang").agg(F.percentile("bits", F.lit(0.75)).alias("q")).collect()
+    limits = {r["lang"]: r["q"] * DEAR for r in dear}
+    model.limits = np.array([limits[n] for n in names])
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` -> (id, ``lang_pred``, ``score``); ``und`` with score 0 for null texts, texts without a letter,
     and where nothing was learnt. Other texts get the language of least code length over the whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by ALPHABET, SAMPLE_BYTES and LANGUAGES
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -189,24 +261,26 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(apply, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text has a letter and a language with at least
-    ``least`` of the posterior. Where nothing could be learnt every text with a letter is kept."""
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is in one of the languages learnt: it has a letter
+    and costs no more bits a byte than texts of its language do (``DEAR``). Where nothing could be learnt every text
+    with a letter is kept. Null and empty texts go; rows that repeat stay or go together."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for part in slices(batches):
             part = part.filter(pc.fill_null(pc.match_substring_regex(part.column(at), r"\p{L}"), False))
-            if m.languages:
-                _, share = m.predict(utf8(part.column(at).to_pylist()))
-                part = part.filter(pa.array(share >= least))
+            if m.languages and part.num_rows:
+                part = part.filter(pa.array(m.known(utf8(part.column(at).to_pylist()))))
             yield part
 
     return docs.mapInArrow(apply, docs.schema)
 
 
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all ``documents``, learnt from three quarters of them; edge cases as in ``fit`` and
+    ``predict``."""
     docs = table(spark, sf_dir, "documents")
     held = fold(F.col("doc_id"), 4) == 2
     model = fit(docs.where(~held))

@@ -11,18 +11,55 @@ from tests.llm.conftest import documents
 SF = "/root/testdata/sf0.01"
 
 
-def test_code_lengths_are_those_of_a_distribution():
-    to = np.zeros(256, np.int64)
-    for i, b in enumerate(b"abc"):
-        to[b] = i + 1
-    counts: dict[int, int] = {}
-    for g in language._grams(b"abcabcaabbcc" * 9, to, 4):
-        counts[int(g)] = counts.get(int(g), 0) + 1
-    m = language.build(["x"], [counts], to, 4)
-    sums = (2.0 ** -m.bits[:, 0].astype(float)).reshape(-1, 4).sum(axis=1)
-    assert np.allclose(sums, 1, atol=1e-4)
-    long_, parts = b"abcab" * 100, m.lengths([b"abcab" * 100], chunk=7)
-    assert np.allclose(m.lengths([long_]), parts)
+def plain_bits(training, text, order=language.ORDER):
+    """Code length by the definition: blended distributions over all 256 bytes, context by context."""
+    seen: dict[tuple, dict[int, int]] = {}
+    for t in training:
+        s = [256] * order + list(t)
+        for i in range(order, len(s)):
+            for k in range(order + 1):
+                c = seen.setdefault(tuple(s[i - k : i]), {})
+                c[s[i]] = c.get(s[i], 0) + 1
+
+    def distribution(context):
+        shorter = distribution(context[1:]) if context else [1 / 256] * 256
+        c = seen.get(context)
+        if not c:
+            return shorter
+        t, d, left = sum(c.values()), len(c), sum(p for b, p in enumerate(shorter) if b not in c)
+        return [c[b] / (t + d) if b in c else d / (t + d) * shorter[b] / left for b in range(256)]
+
+    s, bits = [256] * order + list(text), 0.0
+    for i in range(order, len(s)):
+        bits -= np.log2(distribution(tuple(s[i - order : i]))[s[i]])
+    return bits
+
+
+def learn(texts):
+    names = sorted(texts)
+    found = [(n, *np.unique(np.concatenate([language.grams(t) for t in texts[n]]), return_counts=True)) for n in names]
+    return language.build(names, np.array([n for n, k, _ in found for _ in k], object), np.concatenate([k for _, k, _ in found]), np.concatenate([c for _, _, c in found]))
+
+
+def test_code_lengths_equal_the_definition(monkeypatch):
+    monkeypatch.setattr(language, "TOGETHER", 2)  # three languages in two sets of trees
+    texts = {"x": ["the cat sat on the mat, the end".encode(), b"that"], "y": ["der hund und die öl".encode(), "日本".encode()], "z": [b"aaaa", b"ab"]}
+    m = learn(texts)
+    for t in ("the hat", "über öl", "日本語 a", "", "aaab\x00", "z" * 40):
+        data = t.encode()
+        want = [plain_bits(texts[n], data) for n in m.languages]
+        assert np.allclose(m.lengths([data])[0], want, rtol=1e-5, atol=1e-3) and np.allclose(m.lengths([data], chunk=3)[0], want, rtol=1e-5, atol=1e-3)
+
+
+def test_texts_of_unknown_languages_are_rejected(spark):
+    known = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    other = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.", "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом",
+        "qzxj wvkq zzkx jqvw xkcd qqzj vvxk wzqj kxvq zjwx qkvz xjqw vzkx", "0xZ9qLmX7vB2kQ4wJ8nR5tY1uH3gF6dS" * 4,
+    ]
+    more = documents(spark, other + ["", None, "12 34", "The and to of in"]).withColumn("doc_id", -F.col("doc_id") - 1)
+    kept = {r.doc_id for r in language.keep_known(known.unionByName(more), language.fit(known)).collect()}
+    assert {r.doc_id for r in known.collect()} <= kept and {i for i in kept if i < 0} == {-8}
 
 
 def test_language_held_out_accuracy(spark):
@@ -60,6 +97,26 @@ def test_toxicity_without_labels(spark, edge, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_of_held_out_rows(spark):
+    rows = toxicity.op7_cnn_toxicity(spark, SF.replace("0.01", "0.1")).where("held_out").join(spark.read.parquet(f"{SF.replace('0.01', '0.1')}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("toxic is not null").collect()
+    y, p = np.array([r.toxic for r in rows]), np.array([r.predicted for r in rows])
+    order = np.argsort(np.argsort([r.score for r in rows]))
+    auc = (order[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
+    assert len(rows) > 700 and auc > 0.95 and p[y == 1].mean() > 0.85 and p[y == 0].mean() < 0.03
+
+
+def test_toxicity_edge_cases(spark, edge, empty, monkeypatch):
+    # Columns of clashing names, repeated rows and nulls; a text beyond the sample's words ends nothing.
+    labels = spark.createDataFrame([(i, i % 2, 5) for i in range(1, 12)] + [(9, 1, 5), (None, 1, 5), (3, None, 5)], "doc_id long, toxic int, k int")
+    clash = edge.withColumns({"k": F.lit(1), "y": F.lit(2), "i": F.lit(3), "h": F.lit(4)})
+    model = toxicity.fit(clash, labels, language.fit(edge), sample_words=200)
+    got = toxicity.score(clash, model).collect()
+    assert model.net is not None and len(got) == edge.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    same = {r.doc_id: r.score for r in got}
+    assert same[4] == same[5] == same[6] and same[9] == same[10]
+    assert toxicity.score(empty, model).count() == 0
+
+
 def brute(ids, vectors, k=20):
     out = {}
     for i, v in zip(ids, vectors, strict=True):
