@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -18,12 +17,16 @@ class Scratch:
     """A new folder below ``spark.checkpoint.dir`` for the tables of one run.
 
     Tables written here cut the lineage and survive the loss of an executor, since all executors and the
-    driver share that folder. Where the setting is absent (unit tests) a local temporary folder is used.
+    driver share that folder. The setting is required on a cluster; in local mode the warehouse serves without it.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            root = spark.conf.get("spark.sql.warehouse.dir")
         self.root = f"{root.rstrip('/')}/ledgerspark-{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
@@ -68,3 +71,9 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 def utf8(values: Iterable[str | None]) -> list[bytes]:
     return [b"" if x is None else x.encode("utf-8", "surrogatepass") for x in values]
+
+
+def row_key(docs: DataFrame, id_col: str = "doc_id") -> Column:
+    """(id is null, id, hash of the whole row): orders rows by id, nulls last, and tells all but equal rows apart."""
+    hashable = [F.col(f"`{f.name}`") for f in docs.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(*hashable).alias("row"))

@@ -57,11 +57,40 @@ def test_pipeline_keeps_columns_and_drops_what_it_should(spark):
     assert docs.groupBy("shard", "slot").count().where("count > 1").count() == 0
 
 
-def test_pipeline_stages_on_edge_cases(spark, edge, empty):
-    for docs in (edge, empty):
-        for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, docs, SF)
-            assert out.count() >= 0, name
+def whole(df):
+    return sorted(map(str, (tuple(r) for r in df.collect())))
+
+
+def test_stages_on_repeated_null_and_clashing_rows(spark, edge, empty):
+    copy = "one two three four five six seven eight nine ten eleven twelve"
+    kinds = "doc_id long, text string, lang string, source string, copy int, key string, times int, rows int, shard int"
+    rows = [
+        (1, copy, "en", "a", 7, "k", 1, 1, 1), (2, copy + " thirteen", "en", "a", 7, "k", 1, 1, 1), (3, "another text of quite other words and length here", "en", "a", 7, "k", 1, 1, 1),
+        (2, "the very own text of a second row with id two", "en", "b", 7, "k", 1, 1, 1), (None, copy, "en", "b", 7, "k", 1, 1, 1), (None, "a lonely text that has no id at all", "en", "b", 7, "k", 1, 1, 1),
+        (4, "rows that are equal in all columns are one", "en", "b", 7, "k", 1, 1, 1), (4, "rows that are equal in all columns are one", "en", "b", 7, "k", 1, 1, 1), (5, "", None, None, 7, "k", 1, 1, 1), (5, "", None, None, 7, "k", 1, 1, 1),
+    ]
+    docs = spark.createDataFrame(rows, kinds)
+    want = [rows[i] for i in (0, 2, 3, 5, 6, 8, 9)]  # copies, copies without id and repeated rows are gone
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns and whole(got) == sorted(map(str, want))
+    assert whole(corpus_pipeline.decontamination(spark, docs, SF)) == whole(docs)
+    mixed = corpus_pipeline.mixture(spark, docs, SF)
+    often = {r: 0 for r in rows}
+    for r in mixed.collect():
+        often[tuple(r)] += 1
+    assert mixed.columns == docs.columns and sum(often.values()) > 4 and not often[rows[8]] and all(n <= 3 * rows.count(r) for r, n in often.items())
+    shards = corpus_pipeline.shards(spark, docs, SF)
+    assert whole(shards.select("doc_id", "text", "lang", "source", "copy", "key", "times", "rows", "shard_in")) == whole(docs)
+    named = corpus_pipeline.language_id(spark, docs, SF)
+    assert named.columns == docs.columns and whole(named) == sorted(map(str, rows[:8]))
+
+
+def test_stages_on_edge_cases(spark, edge, empty):
+    left = {"language ID": 10, "MinHash near-dedup": 8, "benchmark decontamination": 13, "sharding": 13}
+    for name, stage in corpus_pipeline.STAGES:
+        n = stage(spark, edge, SF).count()
+        assert n == left.get(name, n), name
+        assert stage(spark, empty, SF).count() == 0, name
 
 
 def test_every_operator_is_registered():
