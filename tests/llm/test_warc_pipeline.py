@@ -40,6 +40,23 @@ def test_empty_table_and_null_ids(spark):
     assert sorted((r.page_id or "", r.record_type) for r in warc.read_warc(spark, path).collect()) == [("", "revisit"), ("1", "response"), ("1", "revisit")]
 
 
+def test_ids_of_any_text_and_records_of_repeated_rows(spark):
+    body, ids = "q" * 300, ["é", "a\r\nX-Page-ID: b", " %41 ", "", "z"]
+    rows = [(i, "u", body + i[:1], i) for i in ids] + [("z", "u", body + "z", "z")] * 2 + [(None, "u", body, "k")]
+    path = Scratch(spark, "t").path("w")
+    d = spark.createDataFrame(rows, "page_id string, url string, html string, digest string")
+    assert sum(r.records for r in warc.write_warc(d, path, shard_bytes=400).collect()) == len(rows)
+    got = warc.read_warc(spark, path).collect()
+    assert sorted((r.page_id is not None, r.page_id or "") for r in got) == sorted((r[0] is not None, r[0] or "") for r in rows)
+    assert sorted(r.record_type for r in got if r.page_id == "z") == ["response", "revisit", "revisit"] and {r.refers_to for r in got if r.record_type == "revisit"} == {"z", ""}
+    shorts = spark.createDataFrame([("s", "u", "tiny")] * 3, "page_id string, url string, html string")
+    path = Scratch(spark, "t").path("w")
+    warc.write_warc(shorts, path)
+    data = b"".join(open(f"{path}/{f}", "rb").read() for f in os.listdir(path) if f.endswith(".gz"))
+    heads = [h for h, _ in warc.decode(data)]
+    assert len({h["WARC-Record-ID"] for h in heads}) == 3 and {h["WARC-Type"] for h in heads} == {"response"}
+
+
 def test_query_matches_sql(spark):
     assert differences(warc.op8_sharded_warc(spark, SF).toPandas(), oracle(SF, warc.ORACLE)) == ""
 
