@@ -23,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": minhash.ORACLE,
+    "op6_golden_mix": mixing.ORACLE,
     "op8_sharded_warc": warc.ORACLE,
 }

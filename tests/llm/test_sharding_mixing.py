@@ -3,8 +3,11 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from ledgerspark.llm import mixing, sharding
 from ledgerspark.llm.common import Scratch
+from tests.compare import differences, oracle
 from tests.llm.conftest import documents
 
 
@@ -66,3 +69,21 @@ def test_mix_edge_cases(spark, edge, empty):
     assert len(rows) == edge.count()
     assert {r.doc_id: r.size for r in rows}[4] == 0 and all(r.taken <= 3 * r.size for r in rows)
     assert mixing.mix(empty).count() == 0
+
+
+def test_mix_matches_sql(spark, tmp_path):
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        assert differences(mixing.op6_golden_mix(spark, sf).toPandas(), oracle(sf, mixing.ORACLE)) == ""
+
+
+def test_mix_of_many_sources_meets_targets_and_limits(spark):
+    # 400 sources of very unequal sizes, so that many targets stop at three times their source.
+    d = documents(spark, ["w " * (1 + i % 7) for i in range(3000)], source={i: f"s{min(i, 3000 - i) % 400:03d}" if i < 700 else "big" for i in range(3000)})
+    rows = mixing.mix(d.withColumns({"size": F.lit("x"), "k": F.lit(0), "at": F.lit(1)})).collect()
+    taken, target, source = defaultdict(int), {}, {}
+    for r in rows:
+        taken[r.source] += r.taken
+        target[r.source], source[r.source] = r.target, r.source_size
+        assert 0 <= r.taken <= 3 * r.size
+    assert len(rows) == 3000 and abs(sum(target.values()) - sum(source.values())) < 1e-6 and any(target[s] == 3 * source[s] for s in source)
+    assert all(abs(taken[s] - target[s]) <= 3 for s in target)
