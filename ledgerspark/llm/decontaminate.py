@@ -5,12 +5,16 @@ passage within the budget holds at least one piece unchanged. One Aho-Corasick p
 piece hits. The pieces are also taken in groups: a passage within the budget has a group of s pieces with at
 most s - 1 edits, so a hit is first verified on its group, then on the whole item, both with Myers'
 bit-parallel distance around the place the hit implies. No passage within the budget is missed.
+
+Items shorter than ``LEAST`` characters get no error budget: they are found where they stand unchanged between word
+borders, by the same pass. A benchmark of more than ``BLOCK_CHARS`` characters is dealt into blocks, and the documents
+are read once: every piece of documents meets all blocks, each of which is built into a matcher in turn and kept while
+the memory for matchers allows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
 
 import ahocorasick
 import pyarrow as pa
@@ -19,10 +23,10 @@ from pyspark.sql import functions as F
 
 from ledgerspark.llm.common import slices, table
 
-#: Edits a character of an item; items with fewer characters are too short to be evidence and are left out.
+#: Edits a character of an item; items with fewer characters than the second have no budget.
 RATE, LEAST = 0.08, 32
-#: Characters of benchmark text that one pass over the documents holds in every task.
-BLOCK_CHARS = 4 << 20
+#: Characters of benchmark text in one matcher; bytes of text that a task holds while it goes through several.
+BLOCK_CHARS, HELD = 4 << 20, 32 << 20
 GROUPS = 4
 
 
@@ -70,9 +74,9 @@ class Matcher:
         self.items, pieces = [], {}
         for item, raw in items:
             text = normal(raw)
-            if len(text) < least:
+            if not text:
                 continue
-            n, k = len(text), int(rate * len(text))
+            n, k = len(text), int(rate * len(text)) if len(text) >= least else 0
             cut = [n * j // (k + 1) for j in range(k + 2)]
             groups = min(GROUPS, k + 1)
             edge = [(k + 1) * g // groups for g in range(groups + 1)]
@@ -80,7 +84,7 @@ class Matcher:
             for g, (a, b) in enumerate(zip(edge, edge[1:], strict=False)):
                 for j in range(a, b):
                     pieces.setdefault(text[cut[j] : cut[j + 1]], []).append((len(self.items), g, cut[j]))
-            self.items.append((item, k, n, Pattern(text), Pattern(text[::-1]), spans))
+            self.items.append((item, k, n, Pattern(text), Pattern(text[::-1]), spans, len(text) < least))
         self.automaton = ahocorasick.Automaton()
         for piece, where in pieces.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -100,13 +104,17 @@ class Matcher:
         lines: dict[int, list[int]] = {}
         for (i, g), diagonals in wanted.items():
             a, b, budget, pattern = self.items[i][5][g]
+            if self.items[i][6]:  # a short item: the hit is the whole of it
+                lines[i] = [(d, d) for d in sorted(diagonals) if _alone(text, d, d + self.items[i][2])]
+                continue
             for lo, hi in _runs(sorted(diagonals), budget):
                 if pattern.best(text[max(0, lo + a - budget) : hi + b + budget])[0] <= budget:
                     lines.setdefault(i, []).append((lo - budget, hi + budget))
         out = []
         for i, places in lines.items():
-            item, k, n, forward, backward, _ = self.items[i]
-            near = None
+            item, k, n, forward, backward, _, short = self.items[i]
+            near = (item, 0, places[0][0], places[0][0] + n) if short and places else None
+            places = [] if short else places
             for lo, hi in places:
                 begin = max(0, lo - k)
                 part = text[begin : hi + n + k]
@@ -121,6 +129,12 @@ class Matcher:
         return out
 
 
+def _alone(text: str, start: int, end: int) -> bool:
+    """Whether no letter or digit touches the ends of a place that begins or ends with one."""
+    before = start > 0 and text[start - 1].isalnum() and text[start].isalnum()
+    return not before and not (end < len(text) and text[end].isalnum() and text[end - 1].isalnum())
+
+
 def _runs(at: list[int], gap: int) -> Iterator[tuple[int, int]]:
     """Runs of sorted numbers whose neighbours are at most ``gap`` apart, as (first, last)."""
     lo = hi = at[0]
@@ -132,54 +146,92 @@ def _runs(at: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield lo, hi
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in blocks of about ``chars`` characters; each is small enough to send to every task."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int) -> list[list[tuple[int, str]]]:
+    """The benchmark in blocks of about ``chars`` characters, for every task; its size is that of the benchmark, which
+    the caller gives and which does not follow the documents."""
     rows = benchmark.where(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
-    total = rows.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    parts = max(1, ceil(total / chars))
-    for k in range(parts):
-        yield [(r["item"], r["text"]) for r in rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k).collect()]
+    out, held = [[]], 0
+    for r in rows.orderBy("item", "text").toLocalIterator():
+        if held and held + len(r["text"]) > chars:
+            out, held = [*out, []], 0
+        out[-1].append((r["item"], r["text"]))
+        held += len(r["text"])
+    return out
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The batches gathered into tables of about ``most`` bytes, so that a matcher serves many texts."""
+    held, n = [], 0
+    for part in slices(batches):
+        held, n = [*held, part], n + part.nbytes
+        if n >= most:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Matchers:
+    """The matchers of all blocks: one block's is built once and kept, those of several are built in turn."""
+
+    def __init__(self, items: list[list[tuple[int, str]]], rate: float, least: int) -> None:
+        self.items, self.rate, self.least, self.kept = items, rate, least, None
+
+    def each(self) -> Iterator[Matcher]:
+        if len(self.items) == 1:
+            self.kept = self.kept or Matcher(self.items[0], self.rate, self.least)
+            yield self.kept
+        else:
+            yield from (Matcher(x, self.rate, self.least) for x in self.items)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, least: int = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """A row for each document and benchmark item whose passage it holds: id, item, ``distance``,
     ``start_char`` and ``end_char`` (of the nearest such passage, in the text in lower case with single
     spaces). Null or empty texts and items have none; repeated rows are reported as often as they occur; a
-    passage in many documents, or many items in one, are all reported."""
-    spark, out = docs.sparkSession, None
+    passage in many documents, or many items in one, are all reported. Ids and items may be of any type; other
+    columns are ignored, whatever their names."""
+    spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
-    schema = f"id {kind}, item {item_kind}, distance int, start_char int, end_char int"
-    for items in blocks(benchmark, item_col, item_text, block_chars):
-        sent = spark.sparkContext.broadcast(items)
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, rate, least)
-            for part in slices(batches):
-                rows = [(i, *hit) for i, t in zip(part.column(0), part.column(1).to_pylist(), strict=True) for hit in matcher.find(normal(t))]
-                cols = list(zip(*rows, strict=True)) or [[], [], [], [], []]
-                ids = pa.array([x.as_py() for x in cols[0]], part.schema.types[0])
-                yield pa.RecordBatch.from_arrays([ids, pa.array(cols[1], kind_of), *[pa.array(c, pa.int32()) for c in cols[2:]]], ["id", "item", "distance", "start_char", "end_char"])
-
-        kind_of = pa.int64() if item_kind in ("bigint", "long") else pa.int32() if item_kind == "int" else pa.string()
-        found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, schema)
-        out = found if out is None else out.union(found)
+    items = blocks(benchmark, item_col, item_text, block_chars)
+    sent = spark.sparkContext.broadcast(items)
+    numbered = {item: k for k, item in enumerate(dict.fromkeys(i for block in items for i, _ in block))}
+    names = spark.createDataFrame([(k, item) for item, k in numbered.items()], f"k int, item {item_kind}")
+    numbers = spark.sparkContext.broadcast(numbered)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = Matchers([[(numbers.value[i], t) for i, t in block] for block in sent.value], rate, least)
+        for part in _pieces(batches, HELD if len(sent.value) > 1 else 1):
+            texts = [normal(t) for t in part.column(1).to_pylist()]
+            rows = [(row, *hit) for m in every.each() for row, t in enumerate(texts) for hit in m.find(t)]
+            cols = list(zip(*rows, strict=True)) or [[], [], [], [], []]
+            ids = part.column(0).combine_chunks().take(pa.array(cols[0], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, pa.int32()) for c in cols[1:]]], ["id", "k", "distance", "start_char", "end_char"])
+
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(scan, f"id {kind}, k int, distance int, start_char int, end_char int")
+    out = found.join(F.broadcast(names), "k")  # a row an item of the benchmark
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "distance", "start_char", "end_char")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, least: int = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no passage of any benchmark item."""
+    """The rows of ``docs``, with all their columns, that hold no passage of any benchmark item of ``least``
+    characters or more: a shorter item, though reported, is no ground to lose a document. Null and empty texts
+    stay."""
     at = docs.columns.index(text_col)
-    for items in blocks(benchmark, item_col, item_text, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+    sent = docs.sparkSession.sparkContext.broadcast(blocks(benchmark.where(F.length(F.trim(item_text)) >= least), item_col, item_text, block_chars))
 
-        def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value, rate, least)
-            for part in slices(batches):
-                yield part.filter(pa.array([not matcher.find(normal(t), first=True) for t in part.column(at).to_pylist()], pa.bool_()))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = Matchers([[(0, t) for _, t in block] for block in sent.value], rate, least)
+        for part in _pieces(batches, HELD if len(sent.value) > 1 else 1):
+            texts = [normal(t) for t in part.column(at).to_pylist()]
+            good = [True] * len(texts)
+            for m in every.each():
+                good = [g and not m.find(t, first=True) for g, t in zip(good, texts, strict=True)]
+            yield from part.filter(pa.array(good, pa.bool_())).to_batches()
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def op3_pigeonhole_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of ``benchmark`` in all ``documents``; edge cases as in ``contamination``."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

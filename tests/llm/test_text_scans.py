@@ -125,6 +125,27 @@ def test_contamination_edge_cases(spark, edge, empty):
     assert sorted(split) == sorted(rows)
 
 
+def test_short_items_are_found_between_word_borders(spark):
+    texts = ["Is the sky Blue?", "is the sky bluer? no", "what, IS  the sky blue? yes", "this the sky blue?", None, "a b 12.5% c", "a b 112.5% c"]
+    bench = spark.createDataFrame([("q1", "is the sky blue?"), ("q2", "12.5%"), ("q3", " ")], "item_id string, text string")
+    for chars in (10, 1000):
+        rows = decontaminate.contamination(documents(spark, texts), bench, block_chars=chars).collect()
+        assert sorted((r.doc_id, r.item_id, r.distance, r.start_char) for r in rows) == [(0, "q1", 0, 0), (2, "q1", 0, 6), (5, "q2", 0, 4)]
+    assert decontaminate.clean(documents(spark, texts), bench).count() == len(texts)
+
+
+def test_passages_of_all_documents_equal_brute_force(spark):
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").collect() for t in ("documents", "benchmark"))
+    rows = {(r.doc_id, r.item_id): r.distance for r in decontaminate.op3_pigeonhole_decontaminate(spark, "/root/testdata/sf0.001").collect()}
+    items = [(b.item_id, decontaminate.normal(b.text)) for b in bench]
+    some = [d for d in docs if d.doc_id in {i for i, _ in rows}][:12] + docs[:12]
+    for d in some:
+        text = decontaminate.normal(d.text)
+        for i, item in items:
+            near = decontaminate.Pattern(item).best(text)[0] if text else len(item)
+            assert rows.get((d.doc_id, i)) == (near if near <= int(decontaminate.RATE * len(item)) else None)
+
+
 @pytest.mark.parametrize("text,want", [("", []), ("x", [])])
 def test_matcher_on_short_texts(text, want):
     assert decontaminate.Matcher([(1, "a" * 40)]).find(text) == want
