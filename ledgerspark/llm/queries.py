@@ -25,4 +25,5 @@ ORACLES: dict[str, str] = {
     "op1_minhash_dedup": minhash.ORACLE,
     "op6_golden_mix": mixing.ORACLE,
     "op8_sharded_warc": warc.ORACLE,
+    "op10_diagonal_licenses": licenses.ORACLE,
 }

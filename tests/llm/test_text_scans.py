@@ -4,8 +4,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import decontaminate, licenses, privacy
+from tests.compare import differences, oracle
 from tests.llm.conftest import documents
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+){3}", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -149,3 +151,19 @@ def test_passages_of_all_documents_equal_brute_force(spark):
 @pytest.mark.parametrize("text,want", [("", []), ("x", [])])
 def test_matcher_on_short_texts(text, want):
     assert decontaminate.Matcher([(1, "a" * 40)]).find(text) == want
+
+
+def test_license_report_matches_sql(spark):
+    assert differences(licenses.op10_diagonal_licenses(spark, "/root/testdata/sf0.001").toPandas(), oracle("/root/testdata/sf0.001", licenses.ORACLE)) == ""
+
+
+def test_whole_license_texts_and_clashing_columns(spark):
+    body = licenses.TEMPLATES[-4][1]
+    words = body.split()
+    texts = ["Copyright 2024 A. Body\n\n" + body + "\nThe end", " ".join(words[:60] + ["quite", "another"] + words[60:]), " ".join(words[:40]), "x " * 50_000 + body]
+    d = documents(spark, texts).withColumns({"w": F.lit("a"), "id": F.lit(3), "hash": F.lit(1), "low": F.lit("b"), "any": F.lit(True)})
+    d = d.unionByName(d)  # repeated rows
+    got = licenses.license_report(d).collect()
+    assert len(got) == 8 and [sorted({r.labels for r in got if r.doc_id == i}) for i in range(4)] == [["mit"], ["mit"], ["mit"], ["mit"]]
+    spans = licenses.license_spans(d, templates=[("whole", body)]).collect()
+    assert {r.id: r.verified for r in spans if r.cover > 0.2} == {0: True, 1: True, 2: False, 3: True} and max(r.start_word for r in spans if r.cover > 0.9) == 50_000
