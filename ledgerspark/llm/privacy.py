@@ -93,7 +93,9 @@ def sanitise(
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
-    """One row per document: id, ``base`` and ``added`` spans (kind, start, end, ...) and ``clean_text``.
+    """One row per document: id, ``text_hash``, ``base`` and ``added`` spans (kind, start, end, ...) and ``clean_text``,
+    the text with base spans as ``[EMAIL]`` and the like and telling terms as ``[TERM]`` or ``[NUMBER]``, or removed; null
+    where nothing is replaced.
 
     Places are code points, ends exclusive. Null texts count as empty and give no spans; ids may be null or
     repeat; rows equal in id and text get equal spans. Documents without a base span are never changed.
@@ -105,7 +107,8 @@ def sanitise(
     bare = sanitised(F.col("text"), F.transform("base", lambda s: F.struct(s["start"], s["end"], F.lit(" ").alias("tag"))))
     ents = F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], F.lower(s["hit"]))))
     found = found.withColumn("ents", ents).withColumn("terms", F.when(F.size("base") > 0, F.array_distinct(terms(bare))))
-    found = work.save(found.select("id", "h", "base", "ents", "terms"), "found")
+    kept = F.when(F.size("base") > 0, F.col("text")).alias("text")  # texts without an entity are never changed
+    found = work.save(found.select("id", "h", "base", "ents", "terms", kept), "found")
 
     # Document counts of entities, of terms with them, and of terms in the whole corpus; equal rows count apart.
     n = F.lit(docs.select(F.count("*")).first()[0])
@@ -124,7 +127,8 @@ def sanitise(
     df_et = pairs.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts"))
     joint = df_et.join(df_e.hint("merge"), "e").where(F.col("texts") >= F.least(F.lit(support), "of"))
     joint = work.save(joint.drop("texts", "of"), "joint")
-    df_t = docs.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("t")).groupBy("t").agg(F.count("*").alias("df_t"))
+    # The outer form: before a plain explode Spark tests the array, and would make it anew for that.
+    df_t = docs.select(F.explode_outer(F.array_distinct(terms(F.col("text")))).alias("t")).where("t is not null").groupBy("t").agg(F.count("*").alias("df_t"))
     both = df_t.join(joint.hint("merge"), "t")
     pmi = F.log2(n * F.col("df_et") / (F.col("df_t") * F.col("df_e")))
     known = F.log2(n / F.col("df_e"))
@@ -135,9 +139,9 @@ def sanitise(
     named = pairs.join(telling.hint("merge"), ["e", "t"]).groupBy("id", "h", "t").agg(F.max("leak").alias("leak"))
     named = work.save(named, "named")
     homes = work.save(named.select("id", "h").distinct(), "homes")
-    inside = docs.alias("d").join(homes.alias("m"), key("d", "m"), "left_semi").dropDuplicates(["id", "h"])
+    inside = held.alias("d").join(homes.alias("m").hint("merge"), key("d", "m"), "left_semi").dropDuplicates(["id", "h"])
     cut = F.arrays_zip(F.split("text", TERM, -1).alias("gap"), F.regexp_extract_all("text", F.lit(TERM), F.lit(0)).alias("word"))
-    at = inside.select("id", "h", F.posexplode(cut).alias("pos", "x")).select("id", "h", "pos", F.col("x.gap").alias("gap"), F.col("x.word").alias("word"))
+    at = inside.select("id", "h", F.posexplode_outer(cut).alias("pos", "x")).select("id", "h", "pos", F.col("x.gap").alias("gap"), F.col("x.word").alias("word"))
     run = Window.partitionBy("id", "h").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     at = at.withColumn("end", F.sum(F.length("gap") + F.coalesce(F.length("word"), F.lit(0))).over(run).cast("int")).where("word is not null")
     at = at.select("id", "h", F.lower("word").alias("t"), (F.col("end") - F.length("word")).alias("start"), "end")
@@ -147,29 +151,34 @@ def sanitise(
     added = work.save(added, "added")
 
     none = F.array().cast("array<struct<start:int,end:int,kind:string,leak:double,tag:string>>")
-    out = found.alias("f").join(added.alias("a").hint("merge"), key("f", "a"), "left").select("f.id", "f.h", "f.base", F.coalesce("a.added", none).alias("added"))
+    out = found.alias("f").join(added.alias("a").hint("merge"), key("f", "a"), "left").select("f.id", "f.h", "f.base", F.coalesce("a.added", none).alias("added"), "f.text")
     # A base span is replaced whole, so terms inside it are not.
     apart = lambda s: ~F.exists("base", lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"]))
     out = out.withColumn("added", F.filter("added", apart))
-    return out.select(F.col("id").alias(id_col), F.col("h").alias("text_hash"), "base", "added")
+    tags = F.concat(
+        F.transform("base", lambda s: F.struct(s["start"], s["end"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("tag"))),
+        F.transform("added", lambda s: F.struct(s["start"], s["end"], s["tag"])),
+    )
+    clean = F.when(F.size("base") > 0, sanitised(F.col("text"), tags))
+    return out.select(F.col("id").alias(id_col), F.col("h").alias("text_hash"), "base", "added", clean.alias("clean_text"))
 
 
 def clean_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """(id, ``clean_text``) of all documents: base spans become ``[EMAIL]`` and the like, telling terms
     ``[TERM]`` or ``[NUMBER]``, or nothing. Null texts become empty."""
-    spans = sanitise(docs, id_col, text_col, **how).where("size(base) + size(added) > 0").dropDuplicates([id_col, "text_hash"])
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = F.transform("s.base", lambda s: F.struct(s["start"], s["end"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("tag")))
-    more = F.transform("s.added", lambda s: F.struct(s["start"], s["end"], s["tag"]))
-    d = docs.select(F.col(id_col).alias("id"), text.alias("text")).alias("d")
-    met = d.join(spans.alias("s").hint("merge"), F.col("d.id").eqNullSafe(F.col(f"s.{id_col}")) & (F.xxhash64("d.text") == F.col("s.text_hash")), "left")
-    return met.select(F.col("d.id").alias(id_col), F.when(F.col("s.base").isNull(), F.col("d.text")).otherwise(sanitised(F.col("d.text"), F.concat(base, more))).alias("clean_text"))
+    changed = sanitise(docs, id_col, text_col, **how).where("clean_text is not null").dropDuplicates([id_col, "text_hash"])
+    d = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).alias("d")
+    met = d.join(changed.alias("s").hint("merge"), F.col("d.id").eqNullSafe(F.col(f"s.{id_col}")) & (F.xxhash64("d.text") == F.col("s.text_hash")), "left")
+    return met.select(F.col("d.id").alias(id_col), F.coalesce("s.clean_text", "d.text").alias("clean_text"))
 
 
 def op4_pmi_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and telling spans of all ``documents``, and the digest of the text once they are replaced (null where
+    nothing is); edge cases as in ``sanitise``."""
     r = sanitise(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     every = F.filter(F.array(written(F.col("base")), written(F.col("added"))), lambda x: x != "")
     return r.select(
-        "doc_id", *[count(k) for k in KINDS], F.sha2(written(F.col("base")), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"), F.size("added").cast("long").alias("n_term")
+        "doc_id", *[count(k) for k in KINDS], F.size("base").cast("long").alias("n_base"), F.sha2(written(F.col("base")), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"), F.size("added").cast("long").alias("n_term"),
+        F.sha2("clean_text", 256).alias("clean_sha256"),
     )
