@@ -44,13 +44,13 @@ def is_number(text: Column) -> Column:
 
 def row_value(row: Column) -> Column:
     """Rightmost numeric cell that is no percentage; the first column is a name and is left out."""
-    cells = F.reverse(F.slice(row, 2, 100))
+    cells = F.reverse(F.slice(row, F.lit(2), F.greatest(F.size(row) - 1, F.lit(0))))
     return number(F.try_element_at(F.filter(cells, lambda c: is_number(c) & ~F.contains(c, F.lit("%"))), F.lit(1)))
 
 
 def row_percent(row: Column) -> Column:
     """Rightmost percentage of a row."""
-    cells = F.reverse(F.slice(row, 2, 100))
+    cells = F.reverse(F.slice(row, F.lit(2), F.greatest(F.size(row) - 1, F.lit(0))))
     return F.regexp_replace(F.try_element_at(F.filter(cells, lambda c: F.contains(c, F.lit("%"))), F.lit(1)), r"[%\s]", "").cast("double")
 
 
@@ -89,3 +89,30 @@ def html_text(html: Column) -> Column:
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(entity), F.lit(char))
     return F.trim(F.regexp_replace(t, r"[ \t\r\n\f]+", " "))
+
+
+def title(name: Column) -> Column:
+    """``north_america`` as ``North America``."""
+    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+
+
+def request_key(path: Column, page: Column, prompt: Column) -> Column:
+    """The key under which a response is kept."""
+    return F.md5(F.concat_ws(":", path, page, prompt))
+
+
+def operational_class(context: Column, hit: Column) -> Column:
+    """Class of an operational figure by the words around it; null if none fits."""
+    c = F.lower(context)
+    vehicle = F.when(F.contains(c, F.lit("deliver")), "vehicle_deliveries").when(F.contains(c, F.lit("produc")), "vehicle_production").otherwise("vehicle_metrics")
+    out = F.when(c.rlike("vehicle|car|auto|deliver"), vehicle).when(c.rlike("subscriber|user|member|account"), "user_metrics").when(c.rlike("store|location|sold|transaction"), "sales_metrics")
+    return out.when(F.contains(F.lower(hit), F.lit("unit")), "unit_metrics")
+
+
+def financial_class(context: Column) -> Column:
+    """Class of a financial figure by the words around it; null if none fits."""
+    c = F.lower(context)
+    has = lambda words: c.rlike(words)
+    revenue = F.when(has("total"), "total_revenue").when(has("segment|product|service"), "segment_revenue").otherwise("revenue")
+    income = F.when(has("gross"), "gross_profit").when(has("operating"), "operating_income").when(has("net"), "net_income").otherwise("income")
+    return F.when(has("revenue"), revenue).when(has("income|profit|earning"), income).when(has("margin"), "margin").when(has("cost|expense"), "costs")

@@ -12,6 +12,7 @@ FILING_INDEX = "cik string, accession string, directory struct<item:array<struct
 
 #: Concept names read by the views.
 REVENUE, NET_INCOME, ASSETS, EQUITY, OPERATING_INCOME = "Revenues", "NetIncomeLoss", "Assets", "StockholdersEquity", "OperatingIncomeLoss"
+EPS = "EarningsPerShareBasic"
 
 #: Concept categories.
 CATEGORIES = {

@@ -12,10 +12,10 @@ from ledgerspark.functions.exprs import metric_name, normal_name, number, row_pe
 
 #: Section headings and table words, by kind.
 SECTIONS = {
-    "financial": r"f\s?i\s?n\s?a\s?n\s?c\s?i\s?a\s?l|income statement|balance sheet",
-    "operational": r"operational|production|deliver",
-    "segment": r"segment|business unit|geographic",
-    "guidance": r"outlook|guidance",
+    "financial": [r"financial\s+(results?|statements?|highlights?)", r"consolidated\s+statements?", r"income\s+statements?", r"balance\s+sheets?", r"cash\s+flows?"],
+    "operational": [r"operational\s+(metrics?|highlights?|data)", r"key\s+(metrics?|performance|indicators)", r"business\s+(metrics?|highlights?)", r"quarterly\s+(metrics?|highlights?)"],
+    "segment": [r"segment\s+(information|data|results?)", r"revenue\s+by\s+(segment|product|geography|region)", r"business\s+segments?", r"geographic\s+(segments?|breakdown|revenue)"],
+    "guidance": [r"(outlook|guidance|forecast)", r"forward[- ]looking", r"expectations?"],
 }
 MONEY = r"(?i)\$\s?([0-9][0-9,]*(?:\.[0-9]+)?)\s*(million|billion)"
 QUANTITY = r"(?i)([0-9][0-9,]*(?:\.[0-9]+)?)\s*(vehicles|units|GWh|MW|users|subscribers)"
@@ -69,12 +69,15 @@ def quantities(pages: DataFrame) -> DataFrame:
     return first_by_name(m.select("doc_id", "page_num", "offset", F.lower(F.regexp_extract("hit", QUANTITY, 2)).alias("name"), F.replace(F.regexp_extract("hit", QUANTITY, 1), F.lit(",")).cast("double").alias("value")))
 
 
+def section_hits(pages: DataFrame) -> DataFrame:
+    """(doc_id, page_num, data_type, pattern): a row for every pattern that fits a page."""
+    rules = F.broadcast(pages.sparkSession.createDataFrame([(k, p) for k, ps in SECTIONS.items() for p in ps], "data_type string, pattern string"))  # 16 rows
+    return pages.select("doc_id", "page_num", F.lower("text").alias("low")).join(rules, F.rlike("low", "pattern")).select("doc_id", "page_num", "data_type", "pattern")
+
+
 def sections(pages: DataFrame) -> DataFrame:
     """(doc_id, data_type, pages): sorted pages on which a section shows."""
-    low = F.lower("text")
-    kinds = F.explode(F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(k)) for k, p in SECTIONS.items()])))
-    rows = pages.select("doc_id", "page_num", kinds.alias("data_type"))
-    out = rows.groupBy("doc_id", "data_type").agg(F.sort_array(F.collect_set("page_num")).alias("pages"))
+    out = section_hits(pages).groupBy("doc_id", "data_type").agg(F.sort_array(F.collect_set("page_num")).alias("pages"))
     return out.withColumn("priority", F.when(F.col("data_type").isin("financial", "operational"), "high").otherwise("medium"))
 
 
@@ -104,7 +107,7 @@ def table_metrics(pages: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame
     rows = table_rows(pages).where("row_num > 0")
     first = F.lower(F.get("row", F.lit(0)))
     names = F.explode(F.array_compact(F.array(*[F.when(first.rlike(p), F.lit(n)) for n, p in lexicon])))
-    rows = rows.select("doc_id", "page_num", (F.col("table_num") * 1000 + F.col("row_num")).alias("offset"), names.alias("name"), row_value(F.col("row")).alias("value"), row_percent(F.col("row")).alias("percent"))
+    rows = rows.select("doc_id", "page_num", F.struct("table_num", "row_num").alias("offset"), names.alias("name"), row_value(F.col("row")).alias("value"), row_percent(F.col("row")).alias("percent"))
     return last_by_name(rows.where("value is not null or percent is not null"))
 
 

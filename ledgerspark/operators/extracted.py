@@ -44,12 +44,18 @@ def json_leaves(df: DataFrame, response: str = "response", depth: int = 5) -> Da
             F.when(stays, F.col("own")).otherwise(F.coalesce("k", F.regexp_extract("p", r"(\w+)[^\w]*$", 1))).alias("key"),
         )
     out = level.where(~nested("v") & (F.schema_of_variant("v") != "VOID")).select("doc_id", "page_num", "path", "key", F.col("v").cast("string").alias("value"))
-    return out.where(~F.col("key").isin("page_number", "units", "timeperiod")).withColumn("type", value_type(F.col("path")))
+    return out.where(~F.col("key").isin("page_number", "units", "timeperiod")).withColumn("type", value_type(F.col("path"), F.col("value")))
 
 
-def value_type(path: Column) -> Column:
+def value_type(path: Column, value: Column | None = None) -> Column:
+    """Kind of a value by the words of its path, else by a percent sign."""
     low = F.lower(path)
-    return F.when(low.rlike("revenue|income|margin|profit"), "financial").when(low.rlike("deliver|production|units"), "operational").when(low.rlike("segment|region"), "segment").otherwise("other")
+    #: Kinds and the words that tell them, in the order of the tests.
+    rules = [("revenue", "revenue|sales"), ("margin", "margin|gross|operating"), ("operational", "production|delivery|units|volume"), ("income", "income|profit|earnings")]
+    out = F.when(F.lit(False), "")
+    for kind, words in rules:
+        out = out.when(low.rlike(words), kind)
+    return (out if value is None else out.when(F.contains(value, F.lit("%")), "percentage")).otherwise("other")
 
 
 def type_histogram(leaves: DataFrame) -> DataFrame:

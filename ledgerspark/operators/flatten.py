@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -125,7 +126,7 @@ def flatten_instances(files: DataFrame) -> DataFrame:
                         best = [n for n in names if "instance" in n or "_htm" in n] or [n for n in names if not n.endswith(("_cal.xml", "_def.xml", "_lab.xml", "_pre.xml"))]
                         data = z.read(best[0]) if best else b""
                     rows += _parse(path, data)
-                except ET.ParseError:
+                except (ET.ParseError, zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError):
                     continue
             yield pd.DataFrame(rows, columns=columns)
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.exprs import dbl
 
 #: Concepts and axes whose presence is checked.
-CRITICAL = ("Revenues", "NetIncomeLoss", "Assets", "Liabilities", "StockholdersEquity", "OperatingIncomeLoss", "CashAndCashEquivalentsAtCarryingValue", "EarningsPerShareBasic", "EarningsPerShareDiluted", "CostOfRevenue")
-EXPECTED_AXES = ("ProductOrServiceAxis", "StatementGeographicalAxis", "StatementBusinessSegmentsAxis", "StatementEquityComponentsAxis")
+CRITICAL = ("Revenues", "Assets", "Liabilities", "CashAndCashEquivalents", "NetIncomeLoss", "OperatingIncomeLoss", "GrossProfit", "StockholdersEquity", "OperatingExpenses", "CostOfRevenue")
+EXPECTED_AXES = ("StatementBusinessSegmentsAxis", "ProductOrServiceAxis", "StatementGeographicalAxis", "ConsolidatedEntitiesAxis")
 
 
 def _present(c: str, names: tuple[str, ...]) -> Column:
@@ -17,18 +19,24 @@ def _present(c: str, names: tuple[str, ...]) -> Column:
 
 
 def completeness_score(facts: DataFrame, segments: DataFrame, concepts: int = 100, rows: int = 500, axes: int = 10) -> DataFrame:
-    """0.3 basic thresholds + 0.4 critical concepts + 0.2 expected axes + 0.1 consistency; complete from 0.8."""
+    """0.3 basic thresholds (concepts, facts, any segment) + 0.4 critical concepts + 0.2 expected axes + 0.1 share of
+    the five consistency flags; complete from 0.8. ``enough_axes`` (``axes`` or more) is reported, not scored."""
+    every = lambda c: F.when(F.bool_and(F.col(c).isNotNull()), 1).otherwise(0)
     f = facts.groupBy("cik").agg(
         F.countDistinct("concept").alias("concepts"), F.count("*").alias("facts"), _present("concept", CRITICAL).alias("critical"),
-        F.bool_and(F.col("period_end").isNotNull() & F.col("value").isNotNull()).alias("consistent"),
+        # Rows of a table are never empty lists and are structured; the others hang on the columns.
+        (F.lit(2) + F.when(F.max("entity_name").isNotNull(), 1).otherwise(0) + every("period_end") + every("value")).alias("flags"),
     )
     s = segments.groupBy("cik").agg(F.countDistinct("dimension_axis").alias("axes"), _present("dimension_axis", EXPECTED_AXES).alias("expected"))
     both = f.join(s, "cik", "left").fillna({"axes": 0, "expected": 0})
     ok = lambda c: F.when(c, 1.0).otherwise(0.0)
-    basic = (ok(F.col("concepts") >= concepts) + ok(F.col("facts") >= rows) + ok(F.col("axes") > 0) + ok(F.col("axes") >= axes)) / 4
+    basic = (ok(F.col("concepts") >= concepts) + ok(F.col("facts") >= rows) + ok(F.col("axes") > 0)) / 3
     critical, expected = F.col("critical") / len(CRITICAL), F.col("expected") / len(EXPECTED_AXES)
-    score = basic * 0.3 + critical * 0.4 + expected * 0.2 + ok(F.col("consistent")) * 0.1
-    return both.select("cik", "concepts", "facts", "axes", (critical * 100).alias("critical_pct"), (expected * 100).alias("axes_pct"), score.alias("score"), (score >= 0.8).alias("is_complete"))
+    score = basic * 0.3 + critical * 0.4 + expected * 0.2 + F.col("flags") / 5 * 0.1
+    return both.select(
+        "cik", "concepts", "facts", "axes", (F.col("axes") >= axes).alias("enough_axes"), (F.col("axes") - F.col("expected")).alias("additional_axes"),
+        (critical * 100).alias("critical_pct"), (expected * 100).alias("axes_pct"), score.alias("score"), (score >= 0.8).alias("is_complete"),
+    )
 
 
 def missing_critical(facts: DataFrame) -> DataFrame:
@@ -65,10 +73,13 @@ def quality_issues(metrics: DataFrame) -> DataFrame:
     return a.unionByName(b).unionByName(c)
 
 
-def margin_check(model: DataFrame, tolerance: float = 1.0) -> DataFrame:
-    """Operating margin recomputed from its parts against the reported one, within ``tolerance`` points."""
-    again = F.try_divide("operating_income", F.nullif("revenue", F.lit(0.0))) * 100
-    return model.where("operating_margin_pct is not null").select("cik", "period_end", again.alias("recomputed"), (F.abs(again - F.col("operating_margin_pct")) < tolerance).alias("is_valid"))
+def margin_check(metrics: DataFrame, tolerance: float = 1.0) -> DataFrame:
+    """Margin recomputed from a document's ``total_revenue`` and ``cost_of_revenue`` against the ``gross_margin`` it
+    reports, within ``tolerance`` points; documents that lack one of the three are not checked."""
+    names = ["total_revenue", "cost_of_revenue", "gross_margin"]
+    wide = metrics.groupBy("doc_id").pivot("name", names).agg(F.max("value")).dropna(subset=names)
+    again = F.try_divide(F.col("total_revenue") - F.col("cost_of_revenue"), F.nullif("total_revenue", F.lit(0.0))) * 100
+    return wide.select("doc_id", "gross_margin", again.alias("recomputed"), (F.abs(again - F.col("gross_margin")) < tolerance).alias("is_valid"))
 
 
 def overall_score(parts: DataFrame, columns: list[str], issues: str) -> DataFrame:
@@ -88,11 +99,15 @@ def extraction_rate(expected: DataFrame, found: DataFrame, keys: list[str], by:
     return both.select(*by, "expected", "extracted", rate.alias("rate"), (rate >= 0.7).alias("is_complete"))
 
 
-def gate_checks(facts: DataFrame, segments: DataFrame) -> DataFrame:
-    """Named checks over the whole load, one row each."""
-    a = facts.agg(F.count("*").alias("f"), F.countDistinct("concept").alias("c"), F.countDistinct("cik").alias("n"))
+def gate_checks(facts: DataFrame, segments: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Named checks over the whole load, one row each, and ``overall``; texts are checked where ``pages`` are given."""
+    a = facts.agg(F.count("*").alias("f"), F.countDistinct("concept").alias("c"))
     b = segments.agg(F.count("*").alias("s"), F.countDistinct("dimension_axis").alias("x"))
-    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("check"), v.cast("long").alias("actual"), (v > limit).alias("passed")) for n, v, limit in (
-        ("facts over 500", F.col("f"), 500), ("concepts over 5", F.col("c"), 5), ("companies over 0", F.col("n"), 0), ("segment facts over 400", F.col("s"), 400), ("axes over 2", F.col("x"), 2),
-    )]))
-    return a.crossJoin(b).select(rows.alias("r")).select("r.check", "r.actual", "r.passed")  # two single rows
+    both = a.crossJoin(b)  # two single rows
+    checks = [("concepts over 500", "c", 500), ("axes over 15", "x", 15), ("segment facts over 400", "s", 400), ("facts over 500", "f", 500)]
+    if pages is not None:
+        both = both.crossJoin(pages.agg(F.sum(F.length("text").cast("long")).alias("t")))
+        checks += [("text over 100000", "t", 100_000)]
+    rows = [F.struct(F.lit(n).alias("check"), F.col(c).cast("long").alias("actual"), (F.col(c) > most).alias("passed")) for n, c, most in checks]
+    passed = F.struct(F.lit("overall").alias("check"), F.lit(None).cast("long").alias("actual"), reduce(lambda x, y: x & y, [F.col(c) > most for _, c, most in checks]).alias("passed"))
+    return both.select(F.explode(F.array(*rows, passed)).alias("r")).select("r.check", "r.actual", "r.passed")

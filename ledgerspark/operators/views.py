@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.exprs import dbl, format_amount, growth, pct
-from ledgerspark.model import ASSETS, EQUITY, NET_INCOME, OPERATING_INCOME, REVENUE
+from ledgerspark.model import ASSETS, EPS, EQUITY, NET_INCOME, OPERATING_INCOME, REVENUE
 
 
 def _between(as_of: str, first: int, last: int) -> Column:
@@ -67,12 +67,17 @@ def segment_performance(segments: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def peer_comparison(facts: DataFrame, as_of: str) -> DataFrame:
-    """Ranks of companies by revenue, income and assets in the last year; ranking is at company grain only."""
-    one = facts.where(_between(as_of, 12, 0)).groupBy("cik", "entity_name").agg(_largest(REVENUE).cast("double").alias("revenue"), _largest(NET_INCOME).cast("double").alias("net_income"), _largest(ASSETS).cast("double").alias("assets"))
+    """Ranks of companies by revenue, income and assets in the last quarter; ranking is at company grain only, so its one
+    task holds a row a company."""
+    day = F.lit(as_of).cast("date")
+    one = facts.where(F.col("period_end") >= F.add_months(day, -3)).groupBy("cik", "entity_name").agg(
+        _largest(REVENUE).cast("double").alias("revenue"), _largest(NET_INCOME).cast("double").alias("net_income"), _largest(ASSETS).cast("double").alias("total_assets"), F.max("period_end").alias("latest_period")
+    )
     rank = lambda c: F.rank().over(Window.orderBy(F.desc_nulls_last(c)))
-    one = one.withColumns({"revenue_rank": rank("revenue"), "profit_rank": rank("net_income"), "size_rank": rank("assets")})
-    tier = F.when(F.col("revenue_rank") <= 3, "Leader").when(F.col("revenue_rank") <= 10, "Challenger").otherwise("Follower")
-    return one.withColumns({"net_margin_pct": pct(F.col("net_income"), F.col("revenue")), "asset_turnover": F.try_divide("revenue", F.nullif("assets", F.lit(0.0))), "tier": tier})
+    one = one.withColumns({"revenue_rank": rank("revenue"), "profitability_rank": rank("net_income"), "size_rank": rank("total_assets")})
+    #: The names of the tiers.
+    tier = F.when(F.col("revenue_rank") <= 3, "Top 3").when(F.col("revenue_rank") <= 10, "Top 10").otherwise("Other")
+    return one.withColumns({"net_margin_pct": pct(F.col("net_income"), F.col("revenue")), "asset_turnover": F.try_divide("revenue", F.nullif("total_assets", F.lit(0.0))), "revenue_tier": tier})
 
 
 def time_series(facts: DataFrame, as_of: str, years: int = 5) -> DataFrame:
@@ -84,10 +89,10 @@ def time_series(facts: DataFrame, as_of: str, years: int = 5) -> DataFrame:
 
 def financial_model(facts: DataFrame) -> DataFrame:
     """One row per company and period: revenue, operating income, net income, margin, growth on the period before."""
-    wide = facts.groupBy("cik", "entity_name", "period_end").agg(*[_largest(c).cast("double").alias(n) for n, c in (("revenue", REVENUE), ("operating_income", OPERATING_INCOME), ("net_income", NET_INCOME))])
+    wide = facts.groupBy("cik", "entity_name", "period_end").agg(*[_largest(c).cast("double").alias(n) for n, c in (("revenue", REVENUE), ("operating_income", OPERATING_INCOME), ("net_income", NET_INCOME), ("eps", EPS))])
     before = F.lag("revenue").over(Window.partitionBy("cik").orderBy("period_end"))
     margin = F.when(F.col("revenue") > 0, F.col("operating_income") / F.col("revenue") * 100)
-    return wide.withColumn("previous", before).select("cik", "entity_name", "period_end", "revenue", "operating_income", "net_income", margin.alias("operating_margin_pct"), growth(F.col("revenue"), F.col("previous")).alias("revenue_growth_pct"))
+    return wide.withColumn("previous", before).select("cik", "entity_name", "period_end", "revenue", "operating_income", "net_income", "eps", margin.alias("operating_margin_pct"), growth(F.col("revenue"), F.col("previous")).alias("revenue_growth_pct"))
 
 
 def segment_pivot(segments: DataFrame, years: list[int]) -> DataFrame:
@@ -163,7 +168,7 @@ def entity_digest(facts: DataFrame) -> DataFrame:
     newest = Window.partitionBy("cik").orderBy(F.desc("period_end"))
     one = model.withColumn("rn", F.row_number().over(newest)).where("rn = 1")
     shown = lambda c: F.format_string("%.1f%%", c)
-    text = F.concat_ws("; ", F.concat(F.lit("revenue "), format_amount(F.col("revenue"))), F.concat(F.lit("margin "), shown(F.col("operating_margin_pct"))), F.concat(F.lit("growth "), shown(F.col("revenue_growth_pct"))))
+    text = F.concat_ws("; ", F.concat(F.lit("revenue "), format_amount(F.col("revenue"))), F.concat(F.lit("margin "), shown(F.col("operating_margin_pct"))), F.concat(F.lit("EPS "), F.format_string("%.2f", F.col("eps"))), F.concat(F.lit("growth "), shown(F.col("revenue_growth_pct"))))
     return one.select("cik", "entity_name", "period_end", text.alias("digest"))
 
 

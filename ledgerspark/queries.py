@@ -54,13 +54,13 @@ _add("segment_performance", _segs(views.segment_performance), f"""SELECT *, (val
 SELECT cik, dimension_axis, dimension_member, concept, period_end, {V}, cast(lag(value) OVER ({SEG}) AS double) AS previous_value, cast(lead(value) OVER ({SEG}) AS double) AS next_value,
 CASE WHEN lead(period_end) OVER ({SEG}) IS NULL THEN 'Latest' ELSE 'Historical' END AS period_status FROM segments)""", t.SEGMENTS)
 _add("peer_comparison", _facts(lambda f: views.peer_comparison(f, AS_OF)), f"""
-, o AS (SELECT cik, entity_name, {TOP('Revenues', 'revenue')}, {TOP('NetIncomeLoss', 'net_income')}, {TOP('Assets', 'assets')} FROM facts WHERE {NOW} GROUP BY 1, 2),
-k AS (SELECT *, rank() OVER (ORDER BY revenue DESC NULLS LAST) AS revenue_rank, rank() OVER (ORDER BY net_income DESC NULLS LAST) AS profit_rank, rank() OVER (ORDER BY assets DESC NULLS LAST) AS size_rank FROM o)
-SELECT *, net_income / nullif(revenue, 0) * 100 AS net_margin_pct, revenue / nullif(assets, 0) AS asset_turnover,
-CASE WHEN revenue_rank <= 3 THEN 'Leader' WHEN revenue_rank <= 10 THEN 'Challenger' ELSE 'Follower' END AS tier FROM k""".lstrip(), t.FACTS)
+, o AS (SELECT cik, entity_name, {TOP('Revenues', 'revenue')}, {TOP('NetIncomeLoss', 'net_income')}, {TOP('Assets', 'total_assets')}, max(period_end) AS latest_period FROM facts WHERE period_end >= cast(date '{AS_OF}' - INTERVAL 3 MONTH AS date) GROUP BY 1, 2),
+k AS (SELECT *, rank() OVER (ORDER BY revenue DESC NULLS LAST) AS revenue_rank, rank() OVER (ORDER BY net_income DESC NULLS LAST) AS profitability_rank, rank() OVER (ORDER BY total_assets DESC NULLS LAST) AS size_rank FROM o)
+SELECT *, net_income / nullif(revenue, 0) * 100 AS net_margin_pct, revenue / nullif(total_assets, 0) AS asset_turnover,
+CASE WHEN revenue_rank <= 3 THEN 'Top 3' WHEN revenue_rank <= 10 THEN 'Top 10' ELSE 'Other' END AS revenue_tier FROM k""".lstrip(), t.FACTS)
 _add("time_series", _facts(lambda f: views.time_series(f, AS_OF)), f"""SELECT cik, entity_name, concept, period_end, year(period_end) AS year, quarter(period_end) AS quarter, {V}, row_number() OVER (PARTITION BY cik, concept ORDER BY period_end) AS sequence
 FROM facts WHERE period_end > cast(date '{AS_OF}' - INTERVAL 60 MONTH AS date) AND period_end <= date '{AS_OF}'""", t.FACTS)
-MODEL = f"""m AS (SELECT cik, entity_name, period_end, {TOP('Revenues', 'revenue')}, {TOP('OperatingIncomeLoss', 'operating_income')}, {TOP('NetIncomeLoss', 'net_income')} FROM facts GROUP BY 1, 2, 3),
+MODEL = f"""m AS (SELECT cik, entity_name, period_end, {TOP('Revenues', 'revenue')}, {TOP('OperatingIncomeLoss', 'operating_income')}, {TOP('NetIncomeLoss', 'net_income')}, {TOP('EarningsPerShareBasic', 'eps')} FROM facts GROUP BY 1, 2, 3),
 model AS (SELECT *, CASE WHEN revenue > 0 THEN operating_income / revenue * 100 END AS operating_margin_pct,
 (revenue - lag(revenue) OVER w) / abs(nullif(lag(revenue) OVER w, 0)) * 100 AS revenue_growth_pct FROM m WINDOW w AS (PARTITION BY cik ORDER BY period_end))"""
 _add("financial_model", _facts(views.financial_model), "SELECT * FROM model", t.FACTS, MODEL)
@@ -106,11 +106,14 @@ _add("merged_sources", _facts(lambda f: segments.merge_sources(f.where("concept
 cast(CASE WHEN concept <> 'Assets' OR month(period_end) = 12 THEN value ELSE -value END AS double) AS value, CASE WHEN concept <> 'Assets' OR month(period_end) = 12 THEN 'primary' ELSE 'secondary' END AS source FROM facts""", t.FACTS)
 _add("replaced_members", _segs(lambda s: segments.overwrite_members(s.where("dimension_axis <> 'ProductOrServiceAxis'").withColumn("value", dbl("value")), s.where("dimension_member = 'ASIA'").withColumn("value", dbl("value") * 2), ["dimension_axis", "dimension_member"])), "SELECT cik, dimension_axis, dimension_member, concept, period_end, CASE WHEN dimension_member = 'ASIA' THEN cast(value AS double) * 2 ELSE cast(value AS double) END AS value FROM segments WHERE dimension_axis <> 'ProductOrServiceAxis'", t.SEGMENTS)
 CRIT = ", ".join(f"'{c}'" for c in quality.CRITICAL)
-SCORES = f"""scores AS (SELECT f.cik, concepts, facts, coalesce(axes, 0) AS axes, critical / 10 * 100 AS critical_pct, coalesce(expected, 0) / 4 * 100 AS axes_pct,
-((CASE WHEN concepts >= 100 THEN 1.0 ELSE 0.0 END + CASE WHEN facts >= 500 THEN 1.0 ELSE 0.0 END + CASE WHEN axes > 0 THEN 1.0 ELSE 0.0 END + CASE WHEN axes >= 10 THEN 1.0 ELSE 0.0 END)::double / 4) * 0.3::double
- + (critical / 10) * 0.4::double + (coalesce(expected, 0) / 4) * 0.2::double + consistent * 0.1::double AS score FROM (
-SELECT cik, count(DISTINCT concept) AS concepts, count(*) AS facts, count(DISTINCT CASE WHEN concept IN ({CRIT}) THEN concept END) AS critical, CASE WHEN bool_and(period_end IS NOT NULL AND value IS NOT NULL) THEN 1.0::double ELSE 0 END AS consistent FROM facts GROUP BY 1) f
-LEFT JOIN (SELECT cik, count(DISTINCT dimension_axis) AS axes, count(DISTINCT CASE WHEN dimension_axis IN ('ProductOrServiceAxis', 'StatementGeographicalAxis', 'StatementBusinessSegmentsAxis', 'StatementEquityComponentsAxis') THEN dimension_axis END) AS expected FROM segments GROUP BY 1) s ON f.cik = s.cik)"""
+AXES_SQL = ", ".join(f"'{c}'" for c in quality.EXPECTED_AXES)
+SCORES = f"""scores AS (SELECT f.cik, concepts, facts, coalesce(axes, 0) AS axes, coalesce(axes, 0) >= 10 AS enough_axes, coalesce(axes, 0) - coalesce(expected, 0) AS additional_axes,
+critical / 10 * 100 AS critical_pct, coalesce(expected, 0) / 4 * 100 AS axes_pct,
+((CASE WHEN concepts >= 100 THEN 1.0 ELSE 0.0 END + CASE WHEN facts >= 500 THEN 1.0 ELSE 0.0 END + CASE WHEN axes > 0 THEN 1.0 ELSE 0.0 END)::double / 3) * 0.3::double
+ + (critical / 10) * 0.4::double + (coalesce(expected, 0) / 4) * 0.2::double + flags / 5 * 0.1::double AS score FROM (
+SELECT cik, count(DISTINCT concept) AS concepts, count(*) AS facts, count(DISTINCT CASE WHEN concept IN ({CRIT}) THEN concept END) AS critical,
+2 + (count(entity_name) > 0)::int + bool_and(period_end IS NOT NULL)::int + bool_and(value IS NOT NULL)::int AS flags FROM facts GROUP BY 1) f
+LEFT JOIN (SELECT cik, count(DISTINCT dimension_axis) AS axes, count(DISTINCT CASE WHEN dimension_axis IN ({AXES_SQL}) THEN dimension_axis END) AS expected FROM segments GROUP BY 1) s ON f.cik = s.cik)"""
 _score = lambda s, d: quality.completeness_score(t.facts(s, d), t.segments(s, d))
 _add("completeness_score", _score, "SELECT *, score >= 0.8 AS is_complete FROM scores", t.FACTS, t.SEGMENTS, SCORES)
 MISSING = f"missing AS (SELECT c.cik, v.concept FROM (SELECT DISTINCT cik FROM facts) c CROSS JOIN (VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in quality.CRITICAL)}) v(concept) WHERE NOT EXISTS (SELECT 1 FROM facts f WHERE f.cik = c.cik AND f.concept = v.concept))"
@@ -122,9 +125,9 @@ _add("sum_to_parent", lambda s, d: quality.sum_to_parent(t.facts(s, d), t.segmen
 abs(cast(f.value AS double) - cast(p.parts AS double)) / abs(nullif(cast(f.value AS double), 0)) <= 0.01 AS is_valid FROM facts f JOIN (
 SELECT cik, concept, period_end, sum(value) AS parts, count(*) AS children FROM segments WHERE dimension_axis = 'ProductOrServiceAxis' GROUP BY 1, 2, 3) p ON f.cik = p.cik AND f.concept = p.concept AND f.period_end = p.period_end""", t.FACTS, t.SEGMENTS)
 _add("quality_issues", _facts(lambda f: quality.quality_issues(f.withColumn("value", F.when(F.col("concept") == "Revenues", -dbl("value")).otherwise(dbl("value"))))), "SELECT cik, concept, period_end, 'negative value' AS issue FROM facts WHERE (concept = 'Revenues' AND -value < 0) OR (concept IN ('Assets', 'CostOfRevenue') AND value < 0)", t.FACTS)
-_add("margin_check", _facts(lambda f: quality.margin_check(views.financial_model(f))), "SELECT cik, period_end, operating_income / nullif(revenue, 0) * 100 AS recomputed, abs(operating_income / nullif(revenue, 0) * 100 - operating_margin_pct) < 1 AS is_valid FROM model WHERE operating_margin_pct IS NOT NULL", t.FACTS, MODEL)
-_add("gate_checks", lambda s, d: quality.gate_checks(t.facts(s, d), t.segments(s, d)), """SELECT 'facts over 500' AS "check", count(*) AS actual, count(*) > 500 AS passed FROM facts UNION ALL SELECT 'concepts over 5', count(DISTINCT concept), count(DISTINCT concept) > 5 FROM facts
-UNION ALL SELECT 'companies over 0', count(DISTINCT cik), count(DISTINCT cik) > 0 FROM facts UNION ALL SELECT 'segment facts over 400', count(*), count(*) > 400 FROM segments UNION ALL SELECT 'axes over 2', count(DISTINCT dimension_axis), count(DISTINCT dimension_axis) > 2 FROM segments""", t.FACTS, t.SEGMENTS)
+_add("gate_checks", lambda s, d: quality.gate_checks(t.facts(s, d), t.segments(s, d), t.load(s, d, "documents")), """, g AS (SELECT * FROM (SELECT count(*) AS f, count(DISTINCT concept) AS c FROM facts), (SELECT count(*) AS s, count(DISTINCT dimension_axis) AS x FROM segments), (SELECT sum(length(text))::bigint AS t FROM documents))
+SELECT 'facts over 500' AS "check", f AS actual, f > 500 AS passed FROM g UNION ALL SELECT 'concepts over 500', c, c > 500 FROM g UNION ALL SELECT 'axes over 15', x, x > 15 FROM g UNION ALL SELECT 'segment facts over 400', s, s > 400 FROM g
+UNION ALL SELECT 'text over 100000', t, t > 100000 FROM g UNION ALL SELECT 'overall', NULL, f > 500 AND c > 500 AND x > 15 AND s > 400 AND t > 100000 FROM g""", t.FACTS, t.SEGMENTS)
 
 
 def company_facts_json(s: SparkSession, d: str) -> DataFrame:
@@ -204,10 +207,10 @@ def report_pages(s: SparkSession, d: str) -> DataFrame:
     m = views.financial_model(t.facts(s, d)).where("revenue is not null")
     money = lambda c: F.floor(F.col(c)).cast("long").cast("string")
     doc = F.concat_ws("/", "cik", F.col("period_end").cast("string"))
-    text = F.concat(F.lit("Financial Summary. Q1 2001 earnings. Total revenue was $"), money("revenue"), F.lit(" million. Operating income of $"), money("operating_income"), F.lit(" million."))
+    text = F.concat(F.lit("Financial results. Q1 2001 earnings. Total revenue was $"), money("revenue"), F.lit(" million. Operating income of $"), money("operating_income"), F.lit(" million."))
     rows = F.array(F.array(F.lit("Item"), F.lit("Q1 2001"), F.lit("YoY")), F.array(F.lit("Total revenue"), money("revenue"), F.lit("5%")), F.array(F.lit("Operating income"), money("operating_income"), F.lit("2%")))
     page = lambda n, x, tab: F.struct(F.lit(n).alias("page_num"), x.alias("text"), tab.alias("tables"))
-    both = F.explode(F.array(page(1, text, F.array(rows)), page(2, F.lit("Segment overview"), F.array().cast("array<array<array<string>>>"))))
+    both = F.explode(F.array(page(1, text, F.array(rows)), page(2, F.lit("Segment information"), F.array().cast("array<array<array<string>>>"))))
     return m.select(doc.alias("doc_id"), both.alias("p")).select("doc_id", "p.*", F.lit(0).alias("image_count"))
 
 
@@ -227,7 +230,7 @@ def responses(s: SparkSession, d: str) -> DataFrame:
     return e.select(F.col("event_id").alias("doc_id"), F.lit(1).alias("page_num"), text.alias("response"))
 
 
-_add("json_leaves", lambda s, d: extracted.json_leaves(responses(s, d)).select("doc_id", "path", "key", dbl("value").alias("value"), "type"), """SELECT event_id AS doc_id, 'revenue.total' AS path, 'total' AS key, cast(cast(value AS decimal(18,2)) AS double) AS value, 'financial' AS type FROM events
+_add("json_leaves", lambda s, d: extracted.json_leaves(responses(s, d)).select("doc_id", "path", "key", dbl("value").alias("value"), "type"), """SELECT event_id AS doc_id, 'revenue.total' AS path, 'total' AS key, cast(cast(value AS decimal(18,2)) AS double) AS value, 'revenue' AS type FROM events
 UNION ALL SELECT event_id, 'detail[0].k', 'k', cast(json_extract(props, '$.k') AS double), 'other' FROM events""")
-_add("leaf_types", lambda s, d: extracted.type_histogram(extracted.json_leaves(responses(s, d))), "SELECT 'financial' AS type, count(*) AS n, count(DISTINCT event_id) AS documents FROM events UNION ALL SELECT 'other', count(*), count(DISTINCT event_id) FROM events")
+_add("leaf_types", lambda s, d: extracted.type_histogram(extracted.json_leaves(responses(s, d))), "SELECT 'revenue' AS type, count(*) AS n, count(DISTINCT event_id) AS documents FROM events UNION ALL SELECT 'other', count(*), count(DISTINCT event_id) FROM events")
 _add("routed_values", lambda s, d: extracted.route_values(extracted.json_leaves(responses(s, d))).groupBy("target_path").agg(F.count("*").alias("n")), "SELECT 'revenue.total' AS target_path, count(*) AS n FROM events UNION ALL SELECT 'other', count(*) FROM events")

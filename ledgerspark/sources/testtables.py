@@ -32,6 +32,7 @@ def _measures() -> list[Column]:
         _money(e * d).alias("CostOfRevenue"),
         _money(e * (1 - d - t)).alias("OperatingIncomeLoss"),
         _money(F.when(F.col("l_returnflag") == "R", -net).otherwise(net)).alias("NetIncomeLoss"),
+        F.max(F.col("l_extendedprice").cast(MONEY)).cast("decimal(38,4)").alias("EarningsPerShareBasic"),
     ]
 
 
@@ -60,7 +61,7 @@ FACTS = """
 flows AS (SELECT s_nationkey AS nk, last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS period_end,
   sum(cast(l_extendedprice * (1 - l_discount) AS decimal(18,4))) AS a, sum(cast(l_extendedprice * l_discount AS decimal(18,4))) AS b,
   sum(cast(l_extendedprice * (1 - l_discount - l_tax) AS decimal(18,4))) AS c,
-  sum(cast(CASE WHEN l_returnflag = 'R' THEN -(l_extendedprice * (1 - l_discount)) ELSE l_extendedprice * (1 - l_discount) END AS decimal(18,4))) AS d
+  sum(cast(CASE WHEN l_returnflag = 'R' THEN -(l_extendedprice * (1 - l_discount)) ELSE l_extendedprice * (1 - l_discount) END AS decimal(18,4))) AS d, max(cast(l_extendedprice AS decimal(18,4))) AS e
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
 stocks AS (SELECT c_nationkey AS nk, last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS period_end,
   sum(cast(o_totalprice AS decimal(18,4))) AS a, sum(cast(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS decimal(18,4))) AS b
@@ -68,6 +69,7 @@ stocks AS (SELECT c_nationkey AS nk, last_day(date_trunc('quarter', o_orderdate)
 facts AS (SELECT lpad(cast(nk AS varchar), 10, '0') AS cik, n_name AS entity_name, period_end + 45 AS filing_date, period_end, concept, value, 'USD' AS unit, 'sec_api' AS source FROM (
   SELECT nk, period_end, 'Revenues' AS concept, a AS value FROM flows UNION ALL SELECT nk, period_end, 'CostOfRevenue', b FROM flows
   UNION ALL SELECT nk, period_end, 'OperatingIncomeLoss', c FROM flows UNION ALL SELECT nk, period_end, 'NetIncomeLoss', d FROM flows
+  UNION ALL SELECT nk, period_end, 'EarningsPerShareBasic', e FROM flows
   UNION ALL SELECT nk, period_end, 'Assets', a FROM stocks UNION ALL SELECT nk, period_end, 'StockholdersEquity', b FROM stocks) JOIN nation ON nk = n_nationkey)
 """
 
@@ -83,11 +85,14 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("period_end", quarter_end("l_shipdate"))
     )
+    axes = ["p_brand", "r_name", "c_mktsegment"]
+    lines = lines.groupBy("s_nationkey", "period_end", *axes).agg(_measures()[0], _measures()[3])  # before a line is laid out by axis
     pairs = F.explode(F.array(*[F.struct(F.lit(a).alias("dimension_axis"), F.col(c).alias("dimension_member")) for a, c in AXES.items()]))
-    wide = lines.select("s_nationkey", "period_end", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", pairs.alias("x"))
+    wide = lines.select("s_nationkey", "period_end", "Revenues", "NetIncomeLoss", pairs.alias("x"))
     keys = ["cik", "dimension_axis", "dimension_member", "period_end"]
     wide = wide.groupBy(F.lpad(F.col("s_nationkey").cast("string"), 10, "0").alias("cik"), F.col("x.dimension_axis"), F.col("x.dimension_member"), "period_end")
-    return _long(wide.agg(_measures()[0], _measures()[3]), keys).select("cik", "dimension_axis", "dimension_member", "concept", "period_end", "value")
+    total = lambda c: F.sum(c).cast("decimal(38,4)").alias(c)
+    return _long(wide.agg(total("Revenues"), total("NetIncomeLoss")), keys).select("cik", "dimension_axis", "dimension_member", "concept", "period_end", "value")
 
 
 SEGMENTS = """
