@@ -26,17 +26,28 @@ def fallback_values(df: DataFrame, response: str = "response") -> DataFrame:
     return rows.select("doc_id", "page_num", F.lower(F.regexp_extract("p", r"^(\w+)", 1)).alias("key"), F.regexp_extract("p", r"([0-9][0-9.,]*)$", 1).alias("value"))
 
 
-def json_leaves(df: DataFrame, response: str = "response", depth: int = 5) -> DataFrame:
-    """(doc_id, page_num, path, key, value, type) of all scalar leaves down to ``depth`` levels.
+def json_depth(response: Column) -> Column:
+    """Levels of objects and arrays in a text: how often the empty pairs of its braces can be taken out."""
+    braces = F.regexp_replace(F.regexp_replace(response, r'"(?:\\.|[^"\\])*"', ""), r"[^{}\[\]]", "")
 
-    Paths are ``a.b[0]``; null leaves are left out. ``depth`` bounds the plan, so deeper values are not met.
-    """
+    def step(acc: Column, _: Column) -> Column:
+        less = F.regexp_replace(acc["s"], r"\{\}|\[\]", "")
+        return F.when(less == acc["s"], acc).otherwise(F.struct(less.alias("s"), (acc["n"] + 1).alias("n")))
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(braces)), F.struct(braces.alias("s"), F.lit(0).alias("n")), step, lambda acc: acc["n"])
+
+
+def json_leaves(df: DataFrame, response: str = "response") -> DataFrame:
+    """(doc_id, page_num, path, key, value, type) of all scalar leaves, however deep; paths are ``a.b[0]``, null leaves
+    are left out. The depth of the deepest response is measured first and bounds the plan."""
+    spark = df.sparkSession
+    depth = df.agg(F.max(json_depth(F.col(response)))).first()[0] or 0
     parsed = F.coalesce(*[F.try_parse_json(c) for c in _candidates(F.col(response))])
     level = df.select("doc_id", "page_num", parsed.alias("v"), F.lit("").alias("path"), F.lit("").alias("key")).where("v is not null")
     nested = lambda v: F.schema_of_variant(v).startswith("OBJECT") | F.schema_of_variant(v).startswith("ARRAY")
-    for _ in range(depth):  # one pass: what is nested is opened, what is not stays as it is
-        level.withColumn("inner_v", F.when(nested("v"), F.col("v"))).createOrReplaceTempView("json_level")
-        opened = df.sparkSession.sql("select json_level.doc_id, json_level.page_num, json_level.path as p, json_level.key as own, json_level.v as whole, e.pos, e.key as k, e.value as part from json_level, lateral variant_explode_outer(json_level.inner_v) as e")
+    for _ in range(depth):  # what is nested is opened, what is not stays as it is
+        level = level.select("doc_id", "page_num", F.col("path").alias("p"), F.col("key").alias("own"), F.col("v").alias("whole"), F.when(nested("v"), F.col("v")).alias("inner_v"))
+        opened = level.lateralJoin(spark.tvf.variant_explode_outer(F.col("inner_v").outer())).withColumnsRenamed({"key": "k", "value": "part"})
         below = F.when(F.col("k").isNull(), F.concat("p", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("p") == "", F.col("k")).otherwise(F.concat_ws(".", "p", "k"))
         stays = F.col("pos").isNull()
         level = opened.select(

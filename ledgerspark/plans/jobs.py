@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import documents, extracted, flatten, quality, segments
+from ledgerspark.operators import documents, extracted, flatten, quality, reports, segments
 
 
 def filing_job(company_facts: DataFrame, as_of_year: int, years_back: int = 5) -> dict[str, DataFrame]:
     """Landed company facts to facts, segments, discovered concepts and scores."""
-    facts = flatten.flatten_facts(company_facts, as_of_year, years_back).withColumn("period_end", F.col("period"))
+    facts = flatten.flatten_facts(company_facts, as_of_year, years_back).withColumns({"period_end": F.col("period"), "entity_name": F.col("entity")})
     axes = flatten.flatten_segments(company_facts, as_of_year, years_back)
     return {"facts": facts, "segments": axes, "discovered": segments.discover(facts), "scores": quality.completeness_score(facts, axes)}
 
@@ -31,3 +31,17 @@ def extract_documents(pages: DataFrame, responses: DataFrame, lexicon: list[tupl
     leaves = extracted.route_values(extracted.json_leaves(responses))
     more = leaves.groupBy("doc_id", F.col("target_path").alias("name")).agg(F.max("value").alias("value"))
     return segments.merge_sources(base, more, ["doc_id", "name"])
+
+
+def document_envelopes(pages: DataFrame, responses: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
+    """One row per document: ``analysis`` (company, period, kind, model), ``data`` (name -> value) and ``validation``."""
+    leaves = extracted.json_leaves(responses)
+    rows = extract_documents(pages, responses, lexicon).withColumnsRenamed({"source": "origin"})
+    mined = reports.mined_metrics(pages).select("doc_id", "name", "value")
+    rows = rows.select("doc_id", "name", "value").unionByName(mined).groupBy("doc_id", "name").agg(F.max("value").alias("value"))
+    data = rows.groupBy("doc_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "value")))).alias("data"))
+    checks = reports.validation_report(leaves, rows)
+    a = analyze_documents(pages)
+    a = a.select("doc_id", F.struct(*[c for c in a.columns if c != "doc_id"]).alias("analysis"))
+    v = checks.select("doc_id", F.struct(*[c for c in checks.columns if c != "doc_id"]).alias("validation"))
+    return a.join(data, "doc_id", "left").join(v, "doc_id", "left")

@@ -61,6 +61,20 @@ def write_enrichments(rows: DataFrame, path: str) -> None:
     rows.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in rows.columns]).write.mode("append").parquet(path)
 
 
+def write_filings_meta(filings: DataFrame, path: str) -> DataFrame:
+    """Append filings as metadata rows by company; returns their first status events (``pending_processing``)."""
+    filings.write.partitionBy("cik").mode("append").parquet(path)
+    return filings.select("cik", F.col("accession").alias("accession_number"), F.lit("pending_processing").alias("fetch_status"), F.current_timestamp().alias("created_at"))
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """Merged JSON documents back as long facts (cik, entity_name, concept, value, unit, period)."""
+    kind = "metadata struct<cik:string,entityName:string>, structured struct<facts:map<string,array<struct<value:double,unit:string,period:string>>>>"
+    rows = spark.read.schema(kind).json(path, multiLine=True)
+    rows = rows.select(F.col("metadata.cik").alias("cik"), F.col("metadata.entityName").alias("entity_name"), F.explode("structured.facts").alias("concept", "values"))
+    return rows.select("cik", "entity_name", "concept", F.explode("values").alias("v")).select("cik", "entity_name", "concept", "v.value", "v.unit", "v.period")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerspark.operators import flatten
+from ledgerspark.operators.segments import categorize
+from ledgerspark.sources.readers import filing_text
 
 REQUEST = "companies array<struct<cik:string,name:string>>, filing_type string"
 #: The default request.
@@ -65,7 +67,40 @@ def stream_process_filings(spark: SparkSession, folder: str, out: str, checkpoin
     return files.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_latest_status(events: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
-    """Newest status of each company, kept up to date (``complete`` mode, one row a company)."""
-    latest = events.groupBy("cik").agg(F.max_by("fetch_status", F.struct("created_at", "accession_number")).alias("fetch_status"), F.count("*").alias("events"))
-    return latest.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def stream_latest_status(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Newest status of each company and its number of events, merged batch by batch into tables below ``out``: what a
+    batch changes is aggregated and joined with the table before it, and written as the table after it."""
+    spark = events.sparkSession
+
+    def step(batch: DataFrame, n: int) -> None:
+        newest = F.max_by("fetch_status", F.struct("created_at", "accession_number"))
+        now = batch.groupBy("cik").agg(newest.alias("fetch_status"), F.max(F.struct("created_at", "accession_number")).alias("at"), F.count("*").alias("events"))
+        before = read_batches(spark, out, now)
+        if before is not None:
+            last = before.where(F.col("batch") < n).agg(F.max("batch")).first()[0]
+            both = now.unionByName(before.where(F.col("batch") == last).drop("batch")) if last is not None else now
+            now = both.groupBy("cik").agg(F.max_by("fetch_status", "at").alias("fetch_status"), F.max("at").alias("at"), F.sum("events").alias("events"))
+        _keep(now, out, n)
+
+    return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_table(spark: SparkSession, out: str, like: str = "cik string, fetch_status string, at struct<created_at:timestamp,accession_number:bigint>, events bigint") -> DataFrame:
+    """The table after the last batch."""
+    rows = spark.read.schema(f"{like}, batch int").parquet(out)
+    return rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0]).drop("batch")
+
+
+def stream_enrichments(messages: DataFrame, texts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Filing-processed messages (cik, filing_date, sample_facts, axes) -> enrichment rows with the categories of the
+    sample's concepts and the filing's text; the model that would judge them is not called, so its columns stay null."""
+    spark = messages.sparkSession
+
+    def step(batch: DataFrame, n: int) -> None:
+        concepts = batch.select("cik", "filing_date", F.explode(F.transform(F.split("sample_facts", ";"), lambda x: F.split(x, "=")[0])).alias("concept"))
+        named = categorize(concepts).groupBy("cik", "filing_date").agg(F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"))
+        text = filing_text(texts, batch)
+        rows = batch.join(named, ["cik", "filing_date"], "left").join(text, ["cik", "filing_date"], "left")
+        _keep(rows.select("cik", "filing_date", "axes", "categories", F.length("text").alias("text_length"), F.lit(None).cast("string").alias("insights"), F.lit(None).cast("long").alias("health_score")), out, n)
+
+    return messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -178,7 +178,41 @@ def test_request_stream_sends_once(spark, tmp_path):
 
 
 def test_status_stream(spark, tmp_path):
-    e = spark.createDataFrame([("1", "failed", dt.datetime(2024, 1, 1), 1), ("1", "completed", dt.datetime(2024, 1, 2), 2)], "cik string, fetch_status string, created_at timestamp, accession_number long")
-    e.write.parquet(str(tmp_path / "ev"))
-    streams.stream_latest_status(spark.readStream.schema(e.schema).parquet(str(tmp_path / "ev")), "latest_status", str(tmp_path / "cp3")).awaitTermination()
-    assert [(r.fetch_status, r.events) for r in spark.sql("select * from latest_status").collect()] == [("completed", 2)]
+    kind = "cik string, fetch_status string, created_at timestamp, accession_number long"
+    e = spark.createDataFrame([("1", "failed", dt.datetime(2024, 1, 1), 1), ("1", "completed", dt.datetime(2024, 1, 2), 2)], kind)
+    more = spark.createDataFrame([("1", "processing", dt.datetime(2024, 1, 1), 3), ("2", "failed", dt.datetime(2024, 1, 3), 4)], kind)
+    for part in (e, more):
+        part.write.mode("append").parquet(str(tmp_path / "ev"))
+        streams.stream_latest_status(spark.readStream.schema(e.schema).parquet(str(tmp_path / "ev")), str(tmp_path / "st"), str(tmp_path / "cp3")).awaitTermination()
+    got = {(r.cik, r.fetch_status, r.events) for r in streams.latest_table(spark, str(tmp_path / "st")).collect()}
+    assert got == {("1", "completed", 3), ("2", "failed", 1)}
+
+
+def test_enrichment_stream(spark, tmp_path):
+    m = spark.createDataFrame([("1", "2024-01-01", "Revenues=2023-12-31;Assets=2023-12-31", "A")], "cik string, filing_date string, sample_facts string, axes string")
+    m.write.parquet(str(tmp_path / "m"))
+    x = spark.createDataFrame([("1", "2024-01-01", "whole text", "mda", None, 1)], "cik string, filing_date string, full_text string, management_discussion string, risk_factors string, created_at long")
+    streams.stream_enrichments(spark.readStream.schema(m.schema).parquet(str(tmp_path / "m")), x, str(tmp_path / "e"), str(tmp_path / "cp4")).awaitTermination()
+    r = spark.read.parquet(str(tmp_path / "e")).first()
+    assert (r.categories, r.text_length, r.health_score) == ("Assets,Revenue", 14, None)
+
+
+def test_deep_json_and_wide_rows(spark):
+    deep = '{"a":{"b":{"c":{"d":{"e":{"f":{"g":[[1]]}}}}}},"z":"}{[","y":"5%"}'
+    df = spark.createDataFrame([("d", 1, deep), ("d", 2, "no {json"), ("d", 3, None)], "doc_id string, page_num int, response string")
+    assert {(r.path, r.value, r.type) for r in extracted.json_leaves(df).collect()} == {("a.b.c.d.e.f.g[0][0]", "1", "other"), ("z", "}{[", "other"), ("y", "5%", "percentage")}
+    rows = [["name", "x"], ["Total revenue"] + [""] * 150 + ["77"]] + [["filler", "1"]] * 1500 + [["Total revenue", "88"]]
+    pages = spark.createDataFrame([("d", 1, "", [rows, [["h", "i"], ["Total revenue", "99"]]], 0)], "doc_id string, page_num int, text string, tables array<array<array<string>>>, image_count int")
+    assert [(r.name, r.value) for r in documents.table_metrics(pages, [("r", "total revenue")]).collect()] == [("r", 99.0)]
+
+
+def test_envelope_merged_and_metadata(spark, tmp_path):
+    tables = [[["Energy", "Q1"], ["Storage deployed (GWh)", "4.5"]]]
+    pages = spark.createDataFrame([("d", 1, "Acme Motors Inc. announces Q1 2025 earnings. Revenue of $12 million", tables, 0)], "doc_id string, page_num int, text string, tables array<array<array<string>>>, image_count int")
+    responses = spark.createDataFrame([("d", 1, '{"segments": {"x": 3}}')], "doc_id string, page_num int, response string")
+    r = jobs.document_envelopes(pages, responses, [("storage", "storage")]).first()
+    assert r.analysis.period == "Q1 2025" and r.data["storage_deployed_gwh"] == 4.5 and r.data["revenue"] == 12.0 and r.validation.structure == 1.0
+    (tmp_path / "m.json").write_text('{"metadata": {"cik": "7", "entityName": "N"}, "structured": {"facts": {"Assets": [{"value": 1.5, "unit": "USD", "period": "2024"}]}}}')
+    assert tuple(readers.read_merged(spark, str(tmp_path / "m.json")).first()) == ("7", "N", "Assets", 1.5, "USD", "2024")
+    f = spark.createDataFrame([("7", "a-1", "10-Q")], "cik string, accession string, form string")
+    assert readers.write_filings_meta(f, str(tmp_path / "meta")).first().fetch_status == "pending_processing" and spark.read.parquet(str(tmp_path / "meta")).count() == 1
