@@ -23,6 +23,8 @@ from ledgerspark.llm.common import Scratch, table
 
 SHARDS, SEED, BUCKET_BYTES = 24, 20240611, 16 << 20
 OWN = ("shard", "slot", "grown_shard")
+#: Names of the columns that only this module sees; a column of the input of such a name is kept apart.
+BUCKET, TIE = "bucket of the shuffle", "order in the bucket"
 
 
 def rendezvous(key: Column, shards: int, seed: int = SEED) -> Column:
@@ -46,27 +48,30 @@ def two_pass_shuffle(
     Every row is written once, with all its columns and ``shard``, ``slot`` (0, 1, ... without gaps in its
     shard) and ``grown_shard`` (its shard were there one more). Input columns of these names get the suffix
     ``_in``. A null id is one more key; a null text counts as no bytes. Rows equal in id and text share a
-    bucket; they are interchangeable, so reruns agree. An empty table gives no files and no rows.
+    bucket; they are interchangeable, so reruns agree. All rows of one id are in one shard, in as many buckets as
+    their bytes ask for. An empty table gives no files and no rows.
     """
     spark, work = docs.sparkSession, Scratch(docs.sparkSession, "scatter")
     docs = docs.select([F.col(f"`{c}`").alias(f"{c}_in" if c in OWN else c) for c in docs.columns])
     id_col, text_col = (f"{c}_in" if c in OWN else c for c in (id_col, text_col))
     size = F.coalesce(F.octet_length(text_col), F.lit(0)) + 8
-    total = docs.agg(F.sum(size.cast("long"))).first()[0] or 0
-    per = max(1, ceil(total / shards / bucket_bytes))
-
     shard = rendezvous(F.col(id_col), shards, seed)
     grown = rendezvous(F.col(id_col), shards + 1, seed)
     tie = F.xxhash64(F.lit(seed + 1), F.col(id_col), F.col(text_col))
-    dealt = docs.withColumns({"shard": shard, "grown_shard": grown, "__tie": tie})
-    dealt = dealt.withColumn("__bucket", F.col("shard").cast("long") * per + F.pmod("__tie", F.lit(per)))
-    ahead = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy("__bucket", "shard").agg(F.count("*").alias("c")).select("__bucket", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("start"))
+    # A shard has as many buckets as its own bytes ask for; they are numbered shard after shard.
+    sums = {r["s"]: r["b"] for r in docs.groupBy(shard.alias("s")).agg(F.sum(size.cast("long")).alias("b")).collect()}  # a row a shard
+    per = [max(1, ceil(sums.get(s, 0) / bucket_bytes)) for s in range(shards)]
+    first = [sum(per[:s]) for s in range(shards)]
+    dealt = docs.withColumns({"shard": shard, "grown_shard": grown, TIE: tie})
+    at = lambda values: F.get(F.array(*[F.lit(v).cast("long") for v in values]), F.col("shard"))
+    dealt = dealt.withColumn(BUCKET, at(first) + F.pmod(TIE, at(per)))
+    ahead = Window.partitionBy("shard").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(BUCKET, "shard").agg(F.count("*").alias("c")).select(BUCKET, F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("start"))
     starts = work.save(starts, "starts")  # one row a bucket
 
-    columns = [c for c in dealt.columns if c not in ("__tie", "__bucket")]
+    columns = [c for c in dealt.columns if c not in (TIE, BUCKET)]
     kinds = T.StructType([dealt.schema[c] for c in columns] + [T.StructField("slot", T.LongType())])
-    order = [(id_col, "ascending"), ("__tie", "ascending")]
+    order = [(id_col, "ascending"), (TIE, "ascending")]
 
     def shuffled(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
         rows = rows.sort_by(order)
@@ -75,7 +80,7 @@ def two_pass_shuffle(
         slots = pa.array(first + np.arange(rows.num_rows), pa.int64())
         return rows.select(columns).take(pa.array(turn)).append_column("slot", slots)
 
-    done = dealt.groupBy("__bucket").cogroup(starts.groupBy("__bucket")).applyInArrow(shuffled, kinds)
+    done = dealt.groupBy(BUCKET).cogroup(starts.groupBy(BUCKET)).applyInArrow(shuffled, kinds)
     done.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
     back = T.StructType([f for f in kinds if f.name != "shard"] + [T.StructField("shard", T.IntegerType())])
     work.drop("starts")
@@ -83,6 +88,7 @@ def two_pass_shuffle(
 
 
 def op2_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all ``documents``; edge cases as in ``two_pass_shuffle``."""
     out = two_pass_shuffle(table(spark, sf_dir, "documents"), Scratch(spark, "shards").path("documents"))
     text = F.coalesce("text", F.lit(""))
     return out.select(

@@ -87,3 +87,31 @@ def test_mix_of_many_sources_meets_targets_and_limits(spark):
         assert 0 <= r.taken <= 3 * r.size
     assert len(rows) == 3000 and abs(sum(target.values()) - sum(source.values())) < 1e-6 and any(target[s] == 3 * source[s] for s in source)
     assert all(abs(taken[s] - target[s]) <= 3 for s in target)
+
+
+def test_query_equals_the_law_written_out(spark):
+    # Sizes, sums, shards and growth of every row of sf0.01 from plain Python; slots without gaps.
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    ids = spark.createDataFrame([(i,) for i in texts], "doc_id long")
+    weights = ids.select("doc_id", *[F.xxhash64(F.lit(sharding.SEED), "doc_id", F.lit(s)).alias(f"w{s}") for s in range(25)]).collect()
+    best = {r.doc_id: (max(range(24), key=lambda s: r[f"w{s}"]), max(range(25), key=lambda s: r[f"w{s}"])) for r in weights}  # noqa: B023
+    rows, slots = sharding.op2_two_pass_shuffle(spark, sf).collect(), defaultdict(list)
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        data = texts[r.doc_id].encode()
+        assert (r.size, r.text_crc32, r.law) == (len(data) + 8, zlib.crc32(data), "key") and (r.shard, r.grown_shard) == best[r.doc_id] and r.grown_shard in (r.shard, 24)
+        slots[r.shard].append(r.slot)
+    assert len(slots) == 24 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_buckets_follow_the_size_of_their_shard(spark):
+    # One id holds half of all bytes: its shard gets more buckets, and all its rows are there.
+    d = documents(spark, [f"text {i} " * 200 for i in range(400)]).withColumn("doc_id", F.when(F.col("doc_id") < 200, 7).otherwise(F.col("doc_id")))
+    out = sharding.two_pass_shuffle(d.withColumns({"__bucket": F.lit(1), "__tie": F.lit(2)}), Scratch(spark, "t").path("b"), shards=4, bucket_bytes=20_000)
+    got = out.collect()
+    assert len(got) == 400 and len({r.shard for r in got if r.doc_id == 7}) == 1 and {r["__bucket"] for r in got} == {1}
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
