@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -167,3 +168,41 @@ def test_whole_license_texts_and_clashing_columns(spark):
     assert len(got) == 8 and [sorted({r.labels for r in got if r.doc_id == i}) for i in range(4)] == [["mit"], ["mit"], ["mit"], ["mit"]]
     spans = licenses.license_spans(d, templates=[("whole", body)]).collect()
     assert {r.id: r.verified for r in spans if r.cover > 0.2} == {0: True, 1: True, 2: False, 3: True} and max(r.start_word for r in spans if r.cover > 0.9) == 50_000
+
+
+def test_added_spans_equal_the_definition(spark):
+    # Disclosure of every term about every entity of sf0.001 from plain Python counts.
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    term = re.compile(r"[^\W_]+")
+    held, df_t, texts_of, docs_of = {}, {}, {}, {}
+    for i, t in docs:
+        base = spans(t)
+        for w in {w.lower() for w in term.findall(t)}:
+            df_t[w] = df_t.get(w, 0) + 1
+        if base:
+            bare = list(t)
+            for _, a, b in base:
+                bare[a:b] = " " * (b - a)
+            held[i] = (t, base, {w.lower() for w in term.findall("".join(bare))}, {f"{k}:{t[a:b].lower()}" for k, a, b in base})
+            for e in held[i][3]:
+                docs_of.setdefault(e, []).append(i)
+                texts_of.setdefault(e, set()).add(t)
+    n, want = len(docs), {}
+    for e, own in docs_of.items():
+        joint = {}
+        for i in own:
+            for w in held[i][2]:
+                joint.setdefault(w, []).append(i)
+        for w, at in joint.items():
+            enough = len({held[i][0] for i in at}) >= min(privacy.SUPPORT, len(texts_of[e]))
+            known = math.log2(n / len(own))
+            leak = math.log2(n * len(at) / (df_t[w] * len(own))) / known if known > 0 else 0.0
+            if enough and leak >= privacy.GENERALISE - 1e-12:
+                for i in at:
+                    want.setdefault(i, {})[w] = max(leak, want.get(i, {}).get(w, 0.0))
+    got = {r.doc_id: r.added for r in privacy.sanitise(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()}
+    for i, t in docs:
+        places = [(m.start(), m.end(), m[0].lower()) for m in term.finditer(t) if m[0].lower() in want.get(i, {})]
+        places = [(a, b) for a, b, w in places if not any(a < y and x < b for _, x, y in held[i][1])]
+        assert sorted((s["start"], s["end"]) for s in got[i]) == sorted(places), i
+    assert sum(map(len, got.values())) > 100
