@@ -35,11 +35,14 @@ def company_summary(facts: DataFrame, as_of: str, enrichments: DataFrame | None
     ``latest_revenue`` is the largest in the range, not the newest value. Companies without a year before, or
     without enrichment, keep nulls.
     """
-    now = facts.where(_between(as_of, 12, 0)).groupBy("cik", "entity_name").agg(
-        _largest(REVENUE).alias("revenue"), _largest(NET_INCOME).alias("income"), _largest(ASSETS).alias("assets"), _largest(EQUITY).alias("equity"), F.max("period_end").alias("latest_period")
-    )
-    before = facts.where(_between(as_of, 24, 12)).groupBy("cik").agg(_largest(REVENUE).alias("previous_revenue"))
-    out = now.join(before, "cik", "left")
+    now, before = _between(as_of, 12, 0), _between(as_of, 24, 12)
+    top = lambda concept, when: F.max(F.when(when & (F.col("concept") == concept), F.col("value")))
+    out = facts.where(now | before).groupBy("cik", "entity_name").agg(
+        top(REVENUE, now).alias("revenue"), top(NET_INCOME, now).alias("income"), top(ASSETS, now).alias("assets"), top(EQUITY, now).alias("equity"),
+        F.max(F.when(now, F.col("period_end"))).alias("latest_period"), top(REVENUE, before).alias("previous_revenue"),
+    )
+    # A company may have had another name in the year before.
+    out = out.withColumn("previous_revenue", F.max("previous_revenue").over(Window.partitionBy("cik"))).where("latest_period is not null")
     v = {c: dbl(c) for c in ("revenue", "income", "assets", "equity", "previous_revenue")}
     cols = [
         "cik", "entity_name", v["revenue"].alias("latest_revenue"), v["income"].alias("latest_net_income"), v["assets"].alias("total_assets"), "latest_period",
