@@ -233,6 +233,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits, pa.float64())], ["lang", "bits"])
 
     dear = texts.mapInArrow(costs, "lang string, bits double").groupBy("lang").agg(F.percentile("bits", F.lit(0.75)).alias("q")).collect()
+    work.drop("picked", "texts")
     limits = {r["lang"]: r["q"] * DEAR for r in dear}
     model.limits = np.array([limits[n] for n in names])
     return model

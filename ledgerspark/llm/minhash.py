@@ -105,7 +105,8 @@ def near_duplicates(
     Documents whose shingle sets have Jaccard similarity of at least ``percent``/100 are linked; components
     are those of the links. Null or empty texts and texts without words have no shingles and are linked with
     nothing. Repeated rows and exact copies share a class. A null id takes part in linking but is never the
-    component's id unless all ids of the component are null. Ids need not be unique. Other columns are ignored.
+    component's id unless all ids of the component are null. Ids need not be unique and may be of any type that
+    sorts. Texts of any length are read whole. Other columns are ignored, whatever their names.
 
     A pair at the threshold shares no band with probability (1 - s^rows)^bands (5e-6 at the defaults), and is
     dropped by the pruning with probability about ``miss`` per batch; every link reported is exact.
@@ -278,12 +279,14 @@ def near_duplicates(
     groups = groups.select("cls", "id").join(labels.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").select("cls", "id", F.coalesce("label", "cls").alias("label"))
     first = groups.groupBy("label").agg(F.min("id").alias("component_id"))
     classes = work.save(groups.join(first.hint("merge"), "label").select("cls", "component_id"), "component-of-class")
+    work.drop("classes", "buckets", "shared", "likely", "ids", "sets", "links", "labels", "mixed", "rolled", "bound", "units", "deal", "more", "all-labels")
     out = signed.select("id", "n", "cls").join(classes.hint("merge"), "cls", "left")
     found = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), found.alias("component_id"), F.col("id").eqNullSafe(found).alias("kept"))
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all ``documents``; edge cases as in ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 

@@ -113,6 +113,7 @@ def mix(
     overlap = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
     taken = spread.join(uses.hint("merge"), ["k", "block"]).groupBy("k", "at").agg(F.sum(overlap * F.col("uses")).alias("taken"))
     taken = work.save(taken, "taken")
+    work.drop("sized", "plan", "chunks", "slots", "slot-counts", "uses")
     out = placed.join(taken.hint("merge"), (placed["k"] == taken["k"]) & (placed["at"] == taken["at"]) & (placed["size"] > 0), "left")
     return out.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")

@@ -310,6 +310,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
     bounds = work.save(_ranked(near, k).where(F.col("rank") == k).select("query_id", "score"), "bounds")
     bounded = queries.join(bounds.hint("merge"), F.col("id") == F.col("query_id"), "left").select("id", "v", F.coalesce("score", F.lit(float("-inf"))).alias("least"))
     best = _ranked(near.unionByName(met(bounded, False)), k)
+    work.drop("postings", "bounds", *[f"{t}-{home}" for t in ("asked", "pieces") for home in (True, False)])
     return best.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 

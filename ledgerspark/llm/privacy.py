@@ -149,6 +149,7 @@ def sanitise(
     kind = F.when(F.col("leak") >= remove, "").when(F.col("a.t").rlike(r"^\p{N}+$"), "[NUMBER]").otherwise("[TERM]")
     added = met.groupBy("a.id", "a.h").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.lit("term").alias("kind"), "leak", kind.alias("tag")))).alias("added"))
     added = work.save(added, "added")
+    work.drop("entities", "few", "joint", "telling", "named", "homes")
 
     none = F.array().cast("array<struct<start:int,end:int,kind:string,leak:double,tag:string>>")
     out = found.alias("f").join(added.alias("a").hint("merge"), key("f", "a"), "left").select("f.id", "f.h", "f.base", F.coalesce("a.added", none).alias("added"), "f.text")
