@@ -199,7 +199,7 @@ def near_duplicates(
                 ["cls", "members"],
             )
 
-    texts = docs.alias("d").join(ids.alias("i"), F.col("d.id").eqNullSafe(F.col("i.id")), "left_semi").select("text")
+    texts = docs.alias("d").join(ids.alias("i").hint("merge"), F.col("d.id").eqNullSafe(F.col("i.id")), "left_semi").select("text")
     sets = work.save(texts.mapInArrow(full, "cls binary, members array<long>").dropDuplicates(["cls"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
