@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -17,16 +19,17 @@ class Scratch:
     """A new folder below ``spark.checkpoint.dir`` for the tables of one run.
 
     Tables written here cut the lineage and survive the loss of an executor, since all executors and the
-    driver share that folder. The setting is required on a cluster; in local mode the warehouse serves without it.
+    driver share that folder. The setting is required on a cluster; only in local mode, where one machine is all
+    there is (unit tests), a temporary folder serves without it.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
                 raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            root = spark.conf.get("spark.sql.warehouse.dir")
+            root = tempfile.mkdtemp(prefix="spark-")
         self.root = f"{root.rstrip('/')}/ledgerspark-{name}-{uuid.uuid4().hex}"
 
     def path(self, name: str) -> str:
