@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import decontaminate, language, licenses, minhash, mixing, neighbours, privacy, sharding, toxicity, warc
+from ledgerspark.llm import clusters, decontaminate, language, licenses, manifest, minhash, mixing, neighbours, privacy, ranking, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharded_warc": warc.op8_sharded_warc,
     "op9_posting_lists": neighbours.op9_posting_lists,
     "op10_diagonal_licenses": licenses.op10_diagonal_licenses,
+    "op11_pairwise_quality": ranking.op11_pairwise_quality,
+    "op12_merkle_manifest": manifest.op12_merkle_manifest,
+    "op13_vantage_clusters": clusters.op13_vantage_clusters,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,6 @@ ORACLES: dict[str, str] = {
     "op6_golden_mix": mixing.ORACLE,
     "op8_sharded_warc": warc.ORACLE,
     "op10_diagonal_licenses": licenses.ORACLE,
+    "op12_merkle_manifest": manifest.ORACLE,
+    "op13_vantage_clusters": clusters.ORACLE,
 }
