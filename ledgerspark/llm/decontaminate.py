@@ -15,19 +15,22 @@ the memory for matchers allows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import slices, table
+from ledgerspark.llm.common import Scratch, slices, table
 
 #: Edits a character of an item; items with fewer characters than the second have no budget.
 RATE, LEAST = 0.08, 32
 #: Characters of benchmark text in one matcher; bytes of text that a task holds while it goes through several.
 BLOCK_CHARS, HELD = 4 << 20, 32 << 20
 GROUPS = 4
+#: Characters of benchmark text that the driver and a task hold at once; a larger benchmark goes portion by portion.
+PORTION = 128 << 20
 
 
 def normal(text: str | None) -> str:
@@ -146,12 +149,22 @@ def _runs(at: list[int], gap: int) -> Iterator[tuple[int, int]]:
     yield lo, hi
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int) -> list[list[tuple[int, str]]]:
-    """The benchmark in blocks of about ``chars`` characters, for every task; its size is that of the benchmark, which
-    the caller gives and which does not follow the documents."""
+def portions(benchmark: DataFrame, item_col: str, text_col: str, most: int | None = None) -> list[DataFrame]:
+    """The benchmark in portions of about ``most`` characters, by a hash of items and texts: only one portion at a time goes to the
+    driver and the tasks, and the documents are read once for each."""
+    size = benchmark.agg(F.sum(F.length(text_col))).first()[0] or 0
+    n = -(-size // (most or PORTION)) or 1
+    return [benchmark.where(F.pmod(F.xxhash64(item_col, text_col), F.lit(n)) == k) for k in range(n)] if n > 1 else [benchmark]
+
+
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int, least: int = 0) -> list[list[tuple[int, str]]]:
+    """A portion of the benchmark in blocks of about ``chars`` characters, for every task; items of fewer than ``least`` characters,
+    as they are matched, are left out."""
     rows = benchmark.where(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
     out, held = [[]], 0
     for r in rows.orderBy("item", "text").toLocalIterator():
+        if len(normal(r["text"])) < least:
+            continue
         if held and held + len(r["text"]) > chars:
             out, held = [*out, []], 0
         out[-1].append((r["item"], r["text"]))
@@ -191,6 +204,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spaces). Null or empty texts and items have none; repeated rows are reported as often as they occur; a
     passage in many documents, or many items in one, are all reported. Ids and items may be of any type; other
     columns are ignored, whatever their names."""
+    parts = portions(benchmark, item_col, item_text)
+    if len(parts) > 1:
+        work = Scratch(docs.sparkSession, "contamination")
+        found = [work.save(_contamination(docs, p, id_col, text_col, item_col, item_text, rate, least, block_chars), str(k)) for k, p in enumerate(parts)]
+        return reduce(DataFrame.unionByName, found)
+    return _contamination(docs, benchmark, id_col, text_col, item_col, item_text, rate, least, block_chars)
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, rate: float, least: int, block_chars: int) -> DataFrame:
     spark = docs.sparkSession
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     items = blocks(benchmark, item_col, item_text, block_chars)
@@ -215,10 +237,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, least: int = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no passage of any benchmark item of ``least``
-    characters or more: a shorter item, though reported, is no ground to lose a document. Null and empty texts
+    characters or more, counted in lower case with single spaces: a shorter item, though reported, is no ground to lose a document. Null and empty texts
     stay."""
+    parts = portions(benchmark, item_col, item_text)
+    work = Scratch(docs.sparkSession, "clean")
+    for k, part in enumerate(parts[:-1]):
+        docs = work.save(_clean(docs, part, text_col, item_col, item_text, rate, least, block_chars), str(k))
+        work.drop(str(k - 1))
+    return _clean(docs, parts[-1], text_col, item_col, item_text, rate, least, block_chars)
+
+
+def _clean(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str, rate: float, least: int, block_chars: int) -> DataFrame:
     at = docs.columns.index(text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(blocks(benchmark.where(F.length(F.trim(item_text)) >= least), item_col, item_text, block_chars))
+    sent = docs.sparkSession.sparkContext.broadcast(blocks(benchmark, item_col, item_text, block_chars, least))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = Matchers([[(0, t) for _, t in block] for block in sent.value], rate, least)

@@ -55,6 +55,7 @@ def placed(nodes: DataFrame, order: list[str], work: Scratch, name: str) -> Data
     give the places. Rows equal in tree and order may stand in any order and share a partition.
     """
     cols = ["tree", *order]
+    nodes = work.save(nodes, f"{name}-nodes")  # the range sort reads its input twice
     ranged = nodes.repartitionByRange(*[F.col(c).asc_nulls_first() for c in cols]).sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in cols])
     at = F.monotonically_increasing_id()  # partition and place in it
     ranged = work.save(ranged.withColumn("at", at).withColumn("part", F.shiftright("at", 33)), f"{name}-ranged")

