@@ -31,18 +31,11 @@ def _keep(df: DataFrame, path: str, batch: int) -> None:
 
 
 def stream_new_filings(raw: DataFrame, filings: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """For each request the newest filing of each company that was not sent before."""
-    spark = raw.sparkSession
-
-    def step(batch: DataFrame, n: int) -> None:
-        wanted = requests(batch).distinct()
-        newest = flatten.newest_filing(filings).join(wanted.select("cik", "form"), ["cik", "form"], "left_semi")
-        sent = read_batches(spark, out, newest)
-        if sent is not None:
-            newest = newest.join(sent.where(F.col("batch") != n).select("accession").distinct(), "accession", "left_anti")
-        _keep(newest, out, n)
-
-    return raw.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    """For each request the newest filing of each company that was not sent before. What was sent is kept as state
+    (a row a filing), so a batch reads its requests and the filings, never the batches before it."""
+    newest = flatten.newest_filing(filings)
+    new = requests(raw).select("cik", "form").join(newest, ["cik", "form"]).dropDuplicates(["cik", "accession"]).select(*newest.columns)
+    return new.writeStream.foreachBatch(lambda batch, n: _keep(batch, out, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
@@ -67,6 +60,39 @@ def stream_process_filings(spark: SparkSession, folder: str, out: str, checkpoin
     return files.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_filing_arrivals(spark: SparkSession, folder: str, out: str, checkpoint: str, files: int = 1000, wait: str = "30 days") -> StreamingQuery:
+    """Metadata files (``*metadata.json``: cik, accession_number) that arrive below ``folder`` lead to the instance files of their own
+    folder -> facts, segments, statistics and, once these are written, a status event a filing.
+
+    Both kinds of files are streams of paths, joined on their folder: a metadata file without its instance waits in state, as does
+    an instance without metadata, for up to ``wait`` between the two. A batch reads the contents of its own filings,
+    at most ``files`` of either kind a trigger; a metadata file that names no company or filing is left out.
+    """
+    kind = "path string, modificationTime timestamp, length long, content binary"
+    parent = lambda c: F.regexp_replace(c, "/[^/]*$", "")
+    paths = lambda glob: spark.readStream.schema(kind).format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files).load(folder)
+    about = F.from_json(F.col("content").cast("string"), "cik string, accession_number string")
+    meta = paths("*metadata.json").withColumn("m", about).select(parent("path").alias("folder"), F.col("modificationTime").alias("came"), "m.*").where("cik is not null and accession_number is not null")
+    inst = paths("*.xml").select("path", parent("path").alias("at"), F.col("modificationTime").alias("laid"))
+    near = f"folder = at and laid between came - interval {wait} and came + interval {wait}"
+    both = meta.withWatermark("came", wait).join(inst.withWatermark("laid", wait), F.expr(near))
+
+    def step(batch: DataFrame, n: int) -> None:
+        batch = batch.persist()
+        wanted = [r.path for r in batch.select("path").distinct().limit(2 * files).collect()]  # bounded by the trigger
+        if wanted:
+            raw = flatten.flatten_instances(spark.read.format("binaryFile").load(wanted)).persist()
+            _keep(flatten.instance_facts(raw), f"{out}/facts", n)
+            _keep(flatten.instance_segments(raw), f"{out}/segments", n)
+            _keep(flatten.instance_stats(raw), f"{out}/stats", n)
+            raw.unpersist()
+        done = batch.groupBy(F.lpad("cik", 10, "0").alias("cik"), "accession_number").agg(F.count("*").alias("files"), F.max(F.greatest("came", "laid")).alias("created_at"))
+        _keep(done.withColumn("fetch_status", F.lit("completed")), f"{out}/status", n)
+        batch.unpersist()
+
+    return both.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def stream_latest_status(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Newest status of each company and its number of events, merged batch by batch into tables below ``out``: what a
     batch changes is aggregated and joined with the table before it, and written as the table after it."""
