@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.exprs import number
 
+FENCE = re.compile(r"^\s*```(?:json)?|```\s*$")
+
 
 def _candidates(response: Column) -> tuple[Column, Column]:
     """The response without fences, and its part from the first to the last brace."""
@@ -26,35 +33,48 @@ def fallback_values(df: DataFrame, response: str = "response") -> DataFrame:
     return rows.select("doc_id", "page_num", F.lower(F.regexp_extract("p", r"^(\w+)", 1)).alias("key"), F.regexp_extract("p", r"([0-9][0-9.,]*)$", 1).alias("value"))
 
 
-def json_depth(response: Column) -> Column:
-    """Levels of objects and arrays in a text: how often the empty pairs of its braces can be taken out."""
-    braces = F.regexp_replace(F.regexp_replace(response, r'"(?:\\.|[^"\\])*"', ""), r"[^{}\[\]]", "")
-
-    def step(acc: Column, _: Column) -> Column:
-        less = F.regexp_replace(acc["s"], r"\{\}|\[\]", "")
-        return F.when(less == acc["s"], acc).otherwise(F.struct(less.alias("s"), (acc["n"] + 1).alias("n")))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(braces)), F.struct(braces.alias("s"), F.lit(0).alias("n")), step, lambda acc: acc["n"])
+def _parsed(text: str | None) -> object:
+    """The first of a response's candidates that is JSON, numbers as they are written; None without one."""
+    bare = FENCE.sub("", text or "").strip()
+    lo, hi = bare.find("{"), bare.rfind("}")
+    for candidate in (bare, bare[lo : hi + 1] if 0 <= lo < hi else ""):
+        try:
+            return json.loads(candidate, parse_float=str, parse_int=str, parse_constant=str)
+        except (ValueError, RecursionError):  # no JSON, or nested beyond what the parser takes
+            continue
+    return None
+
+
+def _leaves(tree: object) -> Iterator[tuple[str, str, str]]:
+    """(path, key, value) of the scalars of a parsed text in their order, without recursion; nulls are left out. The key
+    of an array's item is that of the array."""
+    stack = [("", "", tree)]
+    while stack:
+        path, key, x = stack.pop()
+        if isinstance(x, dict):
+            stack += [(f"{path}.{k}" if path else k, k, v) for k, v in reversed(x.items())]
+        elif isinstance(x, list):
+            stack += [(f"{path}[{i}]", key, v) for i, v in reversed(list(enumerate(x)))]
+        elif x is not None and path:
+            yield path, key, str(x).lower() if isinstance(x, bool) else x
 
 
 def json_leaves(df: DataFrame, response: str = "response") -> DataFrame:
-    """(doc_id, page_num, path, key, value, type) of all scalar leaves, however deep; paths are ``a.b[0]``, null leaves
-    are left out. The depth of the deepest response is measured first and bounds the plan."""
-    spark = df.sparkSession
-    depth = df.agg(F.max(json_depth(F.col(response)))).first()[0] or 0
-    parsed = F.coalesce(*[F.try_parse_json(c) for c in _candidates(F.col(response))])
-    level = df.select("doc_id", "page_num", parsed.alias("v"), F.lit("").alias("path"), F.lit("").alias("key")).where("v is not null")
-    nested = lambda v: F.schema_of_variant(v).startswith("OBJECT") | F.schema_of_variant(v).startswith("ARRAY")
-    for _ in range(depth):  # what is nested is opened, what is not stays as it is
-        level = level.select("doc_id", "page_num", F.col("path").alias("p"), F.col("key").alias("own"), F.col("v").alias("whole"), F.when(nested("v"), F.col("v")).alias("inner_v"))
-        opened = level.lateralJoin(spark.tvf.variant_explode_outer(F.col("inner_v").outer())).withColumnsRenamed({"key": "k", "value": "part"})
-        below = F.when(F.col("k").isNull(), F.concat("p", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("p") == "", F.col("k")).otherwise(F.concat_ws(".", "p", "k"))
-        stays = F.col("pos").isNull()
-        level = opened.select(
-            "doc_id", "page_num", F.when(stays, F.col("whole")).otherwise(F.col("part")).alias("v"), F.when(stays, F.col("p")).otherwise(below).alias("path"),
-            F.when(stays, F.col("own")).otherwise(F.coalesce("k", F.regexp_extract("p", r"(\w+)[^\w]*$", 1))).alias("key"),
-        )
-    out = level.where(~nested("v") & (F.schema_of_variant("v") != "VOID")).select("doc_id", "page_num", "path", "key", F.col("v").cast("string").alias("value"))
+    """(doc_id, page_num, path, key, value, type) of all scalar leaves, however deep, in one walk of each response; paths
+    are ``a.b[0]``, null leaves are left out, of equal keys of an object the last counts. Responses without JSON give no
+    rows. The plan does not depend on the data."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                rows = [(i, *leaf) for i, text in enumerate(part.column(2).to_pylist()) for leaf in _leaves(_parsed(text))]
+                i, path, key, value = zip(*rows, strict=True) if rows else ((), (), (), ())
+                took = pa.array(i, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(took), part.column(1).take(took), *(pa.array(c, pa.string()) for c in (path, key, value))], ["doc_id", "page_num", "path", "key", "value"])
+
+    kinds = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in ("doc_id", "page_num"))
+    out = df.select("doc_id", "page_num", F.col(response).cast("string")).mapInArrow(walk, f"{kinds}, path string, key string, value string")
     return out.where(~F.col("key").isin("page_number", "units", "timeperiod")).withColumn("type", value_type(F.col("path"), F.col("value")))
 
 
@@ -94,9 +114,3 @@ def insights_view(enrichments: DataFrame, facts: DataFrame) -> DataFrame:
     names = facts.select("cik", "entity_name").distinct()
     trends = F.from_json(F.get_json_object("insights", "$.trends"), "array<string>")
     return enrichments.join(names, "cik").select("cik", "entity_name", scalar(F.col("insights"), "$.highlight").alias("highlight"), scalar(F.col("insights"), "$.outlook").alias("outlook"), F.get(trends, F.lit(0)).alias("first_trend"), "health_score")
-
-
-def value_counts(leaves: DataFrame) -> DataFrame:
-    """Data points and depth of each document."""
-    depth = F.size(F.split("path", r"\.|\["))
-    return leaves.groupBy("doc_id").agg(F.count("value").alias("points"), F.max(depth).alias("depth"))

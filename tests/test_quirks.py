@@ -216,3 +216,15 @@ def test_envelope_merged_and_metadata(spark, tmp_path):
     assert tuple(readers.read_merged(spark, str(tmp_path / "m.json")).first()) == ("7", "N", "Assets", 1.5, "USD", "2024")
     f = spark.createDataFrame([("7", "a-1", "10-Q")], "cik string, accession string, form string")
     assert readers.write_filings_meta(f, str(tmp_path / "meta")).first().fetch_status == "pending_processing" and spark.read.parquet(str(tmp_path / "meta")).count() == 1
+
+
+def test_json_of_great_depth_and_truncated_responses(spark):
+    import time
+
+    deep = '{"a":' * 500 + "[1.50, true, null]" + "}" * 500
+    huge = '{"x": "' + "y" * 1_000_000 + '", "z": ' + "{" * 20_000
+    rows = [("d", 1, deep), ("d", 2, huge), ("d", 3, "[" * 1_000_000), ("d", 4, "{" * 1_000_000), ("d", 5, 'said: {"k": {"n": 1e5, "n": 7}} ok'), ("d", 6, "```json\n[[{\"b\": \"v\"}]]\n```"), ("d", 7, "5"), ("d", 8, "")]
+    began = time.time()
+    got = {(r.page_num, r.path, r.key, r.value) for r in extracted.json_leaves(spark.createDataFrame(rows, "doc_id string, page_num int, response string")).collect()}
+    path = ".".join(["a"] * 500)
+    assert got == {(1, f"{path}[0]", "a", "1.50"), (1, f"{path}[1]", "a", "true"), (5, "k.n", "n", "7"), (6, "[0][0].b", "b", "v")} and time.time() - began < 10
