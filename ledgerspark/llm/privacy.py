@@ -4,9 +4,9 @@ Base spans (e-mail, IP, card and phone numbers) are the protected entities, each
 domain, the IP's or the number's beginning) and of its kind, so that what a single text cannot show is backed by all
 texts of the group or kind. Corpus co-occurrence tells how strongly a term reveals an entity, a group or a kind: the
 pointwise mutual information of both over documents, as a share of the entity's information content (1 for a term that
-occurs with the entity only), discounted by (t / (t + 1)) squared for t different texts that hold both: 0.25 for a pair
-seen in one text, so a word that is merely rare reveals nothing, 0.64 for four, 0.85 for twelve. The discount hangs
-on no size. Of a term's entities in a document the most revealing counts. From ``generalise`` on a term is generalised to its kind where the
+occurs with the entity only), discounted by t / (t + 1) for t different texts that hold both: 0.5 for a pair seen in
+one text, so that a word that is merely rare reveals nothing, 0.67 for two, 0.86 for six. The discount hangs on no
+size. Of a term's entities in a document the most revealing counts. From ``generalise`` on a term is generalised to its kind where the
 entity occurs, from ``remove`` on it is removed.
 All counts are of whole documents, so it does not matter how far from the entity a term stands; terms inside base
 spans are no terms of their document. Entities of the same documents have the same counts and are scored once.
@@ -133,7 +133,7 @@ def sanitise(
     pairs = held.alias("f").join(few.alias("g").hint("merge"), key("f", "g")).select("f.id", "f.h", "f.terms", F.explode("g.ents").alias("e"))
     pairs = pairs.select("id", "h", "e", F.explode("terms").alias("t"))
     df_et = pairs.groupBy("e", "t").agg(F.count("*").alias("df_et"), F.countDistinct("h").alias("texts"))
-    weight = F.pow(F.col("texts") / (F.col("texts") + 1), F.lit(2.0))
+    weight = F.col("texts") / (F.col("texts") + 1)
     joint = df_et.withColumn("weight", weight).where(F.col("weight") >= generalise)  # no share is above 1, so others reveal too little
     joint = work.save(joint.join(df_e.hint("merge"), "e").drop("texts"), "joint")
     # The outer form: before a plain explode Spark tests the array, and would make it anew for that.

@@ -58,7 +58,7 @@ def test_one_text_is_no_evidence_and_groups_are(spark):
     texts += [f"the plan of zarquon with mail p{i}@firm.example.org is one note" for i in range(13)]
     texts += [f"the plan of the {i} day is one with mail and note agent" for i in range(61)]
     rows = {r.doc_id: r for r in privacy.sanitise(documents(spark, texts)).collect()}
-    assert [[(texts[i][s["start"] : s["end"]], s["tag"]) for s in rows[i].added] for i in range(4)] == [[], [], [], [("zarquon", "")]]
+    assert [[(texts[i][s["start"] : s["end"]], s["tag"]) for s in rows[i].added] for i in range(4)] == [[], [("quibble", "[TERM]")], [("quibble", "[TERM]")], [("zarquon", "")]]
     clean = {r.doc_id: r.clean_text for r in privacy.clean_texts(documents(spark, texts)).collect()}
     assert clean[0] == "the plan of agent quixotic with mail [EMAIL] is one" and clean[3] == "the plan of  with mail [EMAIL] is one note" and clean[20] == texts[20]
     # Copies of a text are one text.
@@ -223,7 +223,7 @@ def test_added_spans_equal_the_definition(spark):
             met = len({held[i][0] for i in at})
             known = math.log2(n / len(own))
             leak = math.log2(n * len(at) / (df_t[w] * len(own))) / known if known > 0 else 0.0
-            leak *= (met / (met + 1)) ** 2
+            leak *= met / (met + 1)
             if leak >= privacy.GENERALISE - 1e-12:
                 for i in at:
                     want.setdefault(i, {})[w] = max(leak, want.get(i, {}).get(w, 0.0))
