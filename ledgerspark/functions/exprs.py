@@ -66,20 +66,29 @@ def format_amount(value: Column) -> Column:
     )
 
 
+#: Metric names and the words that tell them, in the order of the tests; ``None`` ends a family that names nothing else.
+METRIC_NAMES = [
+    ("revenue", [("total", "total_revenue"), ("service", "service_revenue"), ("product", "product_revenue"), ("", "revenue")]),
+    ("margin", [("gross", "gross_margin"), ("operating", "operating_margin"), ("net", "net_margin"), ("", "margin")]),
+    ("income|profit", [("net", "net_income"), ("operating", "operating_income"), ("gross", "gross_profit")]),
+    ("delivered|shipped|sold", [("", "units_delivered")]), ("produced|manufactured", [("", "units_produced")]), ("subscribers|users|customers", [("", "active_users")]),
+]
+
+
 def metric_name(context: Column) -> Column:
-    """Metric family of a context text: first rule that fits."""
+    """Name of a metric by the words around it: the first rule that fits; null if none does."""
     c = F.lower(context)
-    rules = [("revenue", "revenue|sales"), ("margin", "margin"), ("income", "income|profit|earnings"), ("units", "deliver|unit|shipment"), ("users", "user|subscriber")]
     out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for name, pattern in rules:
-        out = out.when(c.rlike(pattern), name)
+    for family, names in METRIC_NAMES:
+        for word, name in names:
+            out = out.when(c.rlike(family) & F.contains(c, F.lit(word)), name)
     return out
 
 
-def unit_of(cell: Column) -> Column:
-    """Unit by an anchored suffix or sign."""
-    c = F.trim(cell)
-    return F.when(F.contains(c, F.lit("%")), "percent").when(F.contains(c, F.lit("$")), "USD").when(c.rlike(r"(?i)\d\s*GWh$"), "GWh").when(c.rlike(r"(?i)\d\s*MW$"), "MW").otherwise("count")
+def category_token(answer: Column) -> Column:
+    """The first category that a model's answer names; null without one."""
+    #: The categories.
+    return F.nullif(F.regexp_extract(answer, "(Revenue|Costs|Assets|Liabilities|Equity|Cash Flow|Other)", 1), F.lit(""))
 
 
 def html_text(html: Column) -> Column:

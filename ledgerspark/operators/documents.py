@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.exprs import metric_name, normal_name, number, row_percent, row_value, unit_of
+from ledgerspark.functions.exprs import metric_name, normal_name, row_percent, row_value
 
 #: Section headings and table words, by kind.
 SECTIONS = {
@@ -87,19 +87,23 @@ def table_rows(pages: DataFrame) -> DataFrame:
     return t.select("doc_id", "page_num", "table_num", F.get("t", F.lit(0)).alias("header"), F.posexplode("t").alias("row_num", "row"))
 
 
+#: Words of financial and operational tables, and signs of a time series.
+FINANCIAL_WORDS = "revenue|income|profit|loss|margin|expense|cost"
+OPERATIONAL_WORDS = "units|delivered|produced|sold|volume|quantity|production|deliveries|delivery|operational summary"
+SERIES_SIGNS = r"q[1-4]|20\d{2}|quarter|year|ytd|fiscal"
+
+
 def classify_tables(pages: DataFrame) -> DataFrame:
-    """Kind and confidence of each table, by its words; kinds at 0.5 or less are left out."""
+    """Kind and confidence of each table of two rows or more, by all its words: operational ones win over financial ones, which are
+    ``segment_financial`` or ``margins`` where they say so; ``_time_series`` is added where quarters or years stand.
+    Tables of no kind are left out."""
     t = pages.select("doc_id", "page_num", F.posexplode("tables").alias("table_num", "t")).where(F.size("t") >= 2)
     words = F.lower(F.array_join(F.flatten("t"), " "))
-    kind = (
-        F.when(words.rlike("revenue|income|margin"), F.struct(F.lit("financial").alias("kind"), F.lit(0.9).alias("confidence")))
-        .when(words.rlike("production|deliver|units"), F.struct(F.lit("operational").alias("kind"), F.lit(0.8).alias("confidence")))
-        .when(words.rlike("segment|region"), F.struct(F.lit("segment").alias("kind"), F.lit(0.7).alias("confidence")))
-        .otherwise(F.struct(F.lit("other").alias("kind"), F.lit(0.3).alias("confidence")))
-    )
-    quarters = F.array_join(F.get("t", F.lit(0)), " ").rlike(r"Q[1-4]")
-    out = t.select("doc_id", "page_num", "table_num", kind.alias("k"), quarters.alias("series")).where("k.confidence > 0.5")
-    return out.select("doc_id", "page_num", "table_num", F.when(F.col("series"), F.concat("k.kind", F.lit("_time_series"))).otherwise(F.col("k.kind")).alias("kind"), "k.confidence")
+    money = F.when(words.rlike("segment|geographic"), "segment_financial").when(F.contains(words, F.lit("margin")) & F.contains(words, F.lit("%")), "margins").otherwise("financial")
+    kind = F.when(words.rlike(OPERATIONAL_WORDS), "operational_metrics").when(words.rlike(FINANCIAL_WORDS), money)
+    sure = F.when(words.rlike(OPERATIONAL_WORDS), 0.85).when(words.rlike(FINANCIAL_WORDS), 0.9).otherwise(0.7)
+    series = F.when(words.rlike(SERIES_SIGNS), F.when(kind.isNull(), "time_series").otherwise(F.concat(kind, F.lit("_time_series"))))
+    return t.select("doc_id", "page_num", "table_num", F.coalesce(series, kind).alias("kind"), sure.alias("confidence")).where("kind is not null")
 
 
 def table_metrics(pages: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
@@ -121,33 +125,23 @@ def segment_rows(pages: DataFrame) -> DataFrame:
     return out.where("value is not null and not segment rlike 'total|other'")
 
 
-def page_selection(pages: DataFrame, most: int = 15) -> DataFrame:
-    """The pages of highest priority of each document, ties by page number."""
+def page_selection(pages: DataFrame, most: int = 15, overrides: dict[int, float] | None = None) -> DataFrame:
+    """The pages of highest priority of each document, ties by page number; ``overrides`` gives pages a priority of their own."""
     p = F.col("page_num")
+    #: The priorities.
     priority = F.when(p.isin(4, 5), 1.0).when(p.isin(3, 6, 7), 0.9).when(p <= 10, 0.7).when(p <= 20, 0.5).otherwise(0.3)
     w = Window.partitionBy("doc_id").orderBy(F.desc("priority"), "page_num")
+    for page, own in (overrides or {}).items():
+        priority = F.when(p == page, F.lit(float(own))).otherwise(priority)
     return pages.select("doc_id", "page_num", priority.alias("priority")).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most)
 
 
-def similar_metrics(metrics: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Pairs of a document's metrics whose contexts share more than ``threshold`` of their words."""
-    words = F.array_distinct(F.split(F.lower("context"), r"\s+"))
-    a = metrics.select("doc_id", F.col("name").alias("a"), words.alias("x"))
-    b = metrics.select("doc_id", F.col("name").alias("b"), words.alias("y"))
-    share = F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y"))
-    return a.join(b, "doc_id").where("a < b").withColumn("similarity", share).where(F.col("similarity") > threshold).select("doc_id", "a", "b", "similarity")
-
-
 def company_info(pages: DataFrame) -> DataFrame:
-    """Company, period and kind of each document, by ordered rules over its pages."""
-    rules = [r"(?m)^\s*([A-Z][A-Za-z&., ]{3,60}?(?:Inc|Corp|Company|Ltd|LLC)\.?)", r"([A-Z][A-Za-z& ]{3,60}?) (?:announces|reports|announced|reported)"]
-    found = F.array(*[F.struct(F.lit(i).alias("rule"), F.trim(F.regexp_extract("text", r, 1)).alias("name")) for i, r in enumerate(rules)])
-    rows = pages.where("page_num <= 10").select("doc_id", "page_num", F.explode(found).alias("f")).where(F.length("f.name").between(4, 99))
-    names = rows.groupBy("doc_id").agg(F.min_by("f.name", F.struct("page_num", "f.rule")).alias("company"))
+    """Company (null where no rule names one), period and kind of each document, by ordered rules over its pages."""
+    from ledgerspark.operators import mining  # which builds on this module
+
+    names = mining.company_names(pages).where("rule is not null").select("doc_id", "company")
     period = F.coalesce(*[F.nullif(F.regexp_extract("text", p, 0), F.lit("")) for p in (r"Q[1-4] \d{4}", r"(?i)(?:first|second|third|fourth) quarter \d{4}", r"FY ?\d{4}")])
     periods = pages.withColumn("p", period).where("p is not null").groupBy("doc_id").agg(F.min_by("p", "page_num").alias("period"))
     kind = pages.groupBy("doc_id").agg(F.when(F.bool_or(F.lower("text").contains("earnings")), "earnings").when(F.bool_or(F.lower("text").contains("annual report")), "annual_report").otherwise("report").alias("doc_type"))
     return kind.join(names, "doc_id", "left").join(periods, "doc_id", "left")
-
-
-__all__ = ["classify_tables", "company_info", "mentions", "number", "page_selection", "quantities", "sections", "segment_rows", "similar_metrics", "table_metrics", "text_metrics", "unit_of"]

@@ -71,8 +71,8 @@ def index_items(index: DataFrame) -> DataFrame:
 
 
 def instance_documents(items: DataFrame) -> DataFrame:
-    """The instance document of each filing: the first name that ends in ``_htm.xml`` or holds ``instance``."""
-    rows = items.where(F.col("name").rlike(r"_htm\.xml$") | (F.contains("name", F.lit("instance")) & F.col("name").endswith(".xml")))
+    """The instance document of each filing: the first name that ends in ``_htm.xml`` and holds ``instance``, in any case."""
+    rows = items.where(F.col("name").endswith("_htm.xml") & F.contains(F.lower("name"), F.lit("instance")))
     w = Window.partitionBy("accession").orderBy("ordinal")
     return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("cik", "accession", "name")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import documents, extracted, flatten, quality, reports, segments
+from ledgerspark.sources import tables
 
 
 def filing_job(company_facts: DataFrame, as_of_year: int, years_back: int = 5) -> dict[str, DataFrame]:
@@ -15,6 +16,18 @@ def filing_job(company_facts: DataFrame, as_of_year: int, years_back: int = 5) -
     return {"facts": facts, "segments": axes, "discovered": segments.discover(facts), "scores": quality.completeness_score(facts, axes)}
 
 
+def load_filings(files: DataFrame, root: str, batch: int) -> None:
+    """Instance files (path, content) to facts, segments, statistics and a status each, committed as one batch below ``root``
+    (``tables.committed`` reads them). A file that is no XML gives no rows and the status ``failed``; a failure on the
+    way leaves nothing of the batch visible, and the batch may be loaded again."""
+    raw = flatten.flatten_instances(files).persist()
+    found = raw.select("filing").distinct().withColumn("got", F.lit(1))
+    status = files.select(F.col("path").alias("filing")).distinct().join(found.hint("merge"), "filing", "left")
+    status = status.select("filing", F.when(F.col("got").isNotNull(), "completed").otherwise("failed").alias("fetch_status"))
+    tables.commit({"facts": flatten.instance_facts(raw), "segments": flatten.instance_segments(raw), "stats": flatten.instance_stats(raw), "status": status}, root, batch)
+    raw.unpersist()
+
+
 def analyze_documents(pages: DataFrame) -> DataFrame:
     """One analysis row per document: company, period, kind, sections, business model."""
     plan = documents.sections(pages).groupBy("doc_id").agg(F.sort_array(F.collect_set("data_type")).alias("data_types"))

@@ -169,18 +169,18 @@ _add("new_filings", lambda s, d: flatten.new_filings(f := filings(s, d), f.where
 
 def index_items(s: SparkSession, d: str) -> DataFrame:
     """Filing index: an order's lines are the files of a filing, named by flag and line number."""
-    name = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("x"), F.col("l_linenumber"), F.lit("_htm.xml"))).when(F.col("l_returnflag") == "A", F.concat(F.lit("EX-"), F.col("l_linenumber"), F.lit(".pdf"))).otherwise(F.concat(F.lit("d"), F.col("l_linenumber"), F.lit(".xsd")))
+    name = F.when(F.col("l_returnflag") == "R", F.concat(F.when(F.col("l_linenumber") % 2 == 1, "Instance").otherwise("x"), F.col("l_linenumber"), F.lit("_htm.xml"))).when(F.col("l_returnflag") == "A", F.concat(F.lit("EX-"), F.col("l_linenumber"), F.lit(".pdf"))).otherwise(F.concat(F.lit("d"), F.col("l_linenumber"), F.lit(".xsd")))
     size = F.when(F.col("l_linenumber") == 7, "").otherwise(F.col("l_quantity").cast("long").cast("string"))
     items = t.load(s, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", name.alias("name"), size.alias("size")))).alias("x"))
     directory = F.struct(F.transform("x", lambda r: F.struct(r["name"].alias("name"), r["size"].alias("size"))).alias("item"))
     return flatten.index_items(items.select(F.lit("c").alias("cik"), F.col("l_orderkey").cast("string").alias("accession"), directory.alias("directory")))
 
 
-ITEMS = """items AS (SELECT cast(l_orderkey AS varchar) AS accession, l_linenumber AS n, CASE l_returnflag WHEN 'R' THEN 'x' || l_linenumber || '_htm.xml' WHEN 'A' THEN 'EX-' || l_linenumber || '.pdf' ELSE 'd' || l_linenumber || '.xsd' END AS name,
+ITEMS = """items AS (SELECT cast(l_orderkey AS varchar) AS accession, l_linenumber AS n, CASE l_returnflag WHEN 'R' THEN CASE WHEN l_linenumber % 2 = 1 THEN 'Instance' ELSE 'x' END || l_linenumber || '_htm.xml' WHEN 'A' THEN 'EX-' || l_linenumber || '.pdf' ELSE 'd' || l_linenumber || '.xsd' END AS name,
 CASE WHEN l_linenumber = 7 THEN NULL ELSE cast(trunc(l_quantity) AS bigint) END AS size FROM lineitem)"""
 _add("filing_completeness", lambda s, d: flatten.filing_completeness(index_items(s, d)).drop("cik"), """SELECT accession, count(CASE WHEN regexp_matches(name, '\\.(xml|xsd|json)$') THEN 1 END) AS structured_files, count(CASE WHEN name LIKE 'EX-%' THEN 1 END) AS exhibit_files,
 coalesce(sum(CASE WHEN regexp_matches(name, '\\.(xml|xsd|json)$') THEN size END), 0)::double / nullif(sum(size), 0)::double * 100 AS captured_pct FROM items GROUP BY 1""", ITEMS)
-_add("instance_documents", lambda s, d: flatten.instance_documents(index_items(s, d)).drop("cik"), "SELECT accession, name FROM items WHERE name LIKE '%\\_htm.xml' ESCAPE '\\' QUALIFY row_number() OVER (PARTITION BY accession ORDER BY n) = 1", ITEMS)
+_add("instance_documents", lambda s, d: flatten.instance_documents(index_items(s, d)).drop("cik"), "SELECT accession, name FROM items WHERE name LIKE '%\\_htm.xml' ESCAPE '\\' AND lower(name) LIKE '%instance%' QUALIFY row_number() OVER (PARTITION BY accession ORDER BY n) = 1", ITEMS)
 
 
 def instances(s: SparkSession, d: str) -> DataFrame:
@@ -215,10 +215,9 @@ def report_pages(s: SparkSession, d: str) -> DataFrame:
 
 
 DOCS = ", docs AS (SELECT cik || '/' || cast(period_end AS varchar) AS doc_id, floor(revenue) AS r, floor(operating_income) AS o FROM model WHERE revenue IS NOT NULL) "
-_add("text_metrics", lambda s, d: documents.text_metrics(report_pages(s, d)).select("doc_id", "name", "value_millions", "unit"), DOCS + "SELECT doc_id, 'revenue' AS name, r AS value_millions, 'million' AS unit FROM docs UNION ALL SELECT doc_id, 'income', o, 'million' FROM docs WHERE o >= 0", t.FACTS, MODEL)
+_add("text_metrics", lambda s, d: documents.text_metrics(report_pages(s, d)).select("doc_id", "name", "value_millions", "unit"), DOCS + "SELECT doc_id, 'total_revenue' AS name, r AS value_millions, 'million' AS unit FROM docs UNION ALL SELECT doc_id, 'operating_income', o, 'million' FROM docs WHERE o >= 0", t.FACTS, MODEL)
 _add("table_metrics", lambda s, d: documents.table_metrics(report_pages(s, d), LEXICON).select("doc_id", "name", "value", "percent"), DOCS + "SELECT doc_id, 'total_revenue' AS name, r AS value, 5.0::double AS percent FROM docs UNION ALL SELECT doc_id, 'operating_income', o, 2.0::double FROM docs", t.FACTS, MODEL)
 _add("report_sections", lambda s, d: documents.sections(report_pages(s, d)).select("doc_id", "data_type", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"), "priority"), DOCS + "SELECT doc_id, 'financial' AS data_type, '1' AS pages, 'high' AS priority FROM docs UNION ALL SELECT doc_id, 'segment', '2', 'medium' FROM docs", t.FACTS, MODEL)
-_add("table_kinds", lambda s, d: documents.classify_tables(report_pages(s, d)), DOCS + "SELECT doc_id, 1 AS page_num, 0 AS table_num, 'financial_time_series' AS kind, 0.9::double AS confidence FROM docs", t.FACTS, MODEL)
 
 
 def responses(s: SparkSession, d: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.model import COMPANY_FACTS, FILING_INDEX, SUBMISSIONS
+from ledgerspark.sources import tables
 
 
 def read_company_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -34,8 +35,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_facts(facts: DataFrame, path: str) -> None:
-    """Append fact or segment rows, partitioned by company."""
-    facts.write.partitionBy("cik").mode("append").parquet(path)
+    """Merge fact or segment rows, partitioned by company; a row replaces the stored one of its key (``tables.FACT_KEY``, as far as
+    it has these columns, else all but the value), so a replay adds nothing."""
+    keys = [c for c in tables.FACT_KEY if c in facts.columns]
+    keys = keys if len(keys) == len(tables.FACT_KEY) else [c for c in facts.columns if c != "value"]
+    tables.upsert(facts, path, keys)
 
 
 write_segments = write_facts
@@ -46,24 +50,26 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_texts(texts: DataFrame, path: str) -> None:
-    """Append text rows; the full text joins filing and report text."""
+    """Merge text rows by company, filing date and time; the full text joins filing and report text."""
     full = F.concat_ws("\n", "full_text", "pdf_text")
-    texts.withColumn("full_text", full).write.mode("append").parquet(path)
+    tables.upsert(texts.withColumn("full_text", full), path, [c for c in ("cik", "filing_date", "created_at") if c in texts.columns])
 
 
 def append_status(status: DataFrame, path: str) -> None:
-    status.write.mode("append").parquet(path)
+    """Merge status events: an event (company, filing, time, status) is stored once."""
+    tables.upsert(status, path, [c for c in ("cik", "accession_number", "created_at", "fetch_status") if c in status.columns])
 
 
 def write_enrichments(rows: DataFrame, path: str) -> None:
-    """Append enrichment rows; struct columns are stored as JSON text."""
+    """Merge enrichment rows by company and filing date; struct columns are stored as JSON text."""
     nested = [f.name for f in rows.schema if f.dataType.typeName() in ("struct", "array", "map")]
-    rows.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in rows.columns]).write.mode("append").parquet(path)
+    flat = rows.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in rows.columns])
+    tables.upsert(flat, path, ["cik", "filing_date"])
 
 
 def write_filings_meta(filings: DataFrame, path: str) -> DataFrame:
-    """Append filings as metadata rows by company; returns their first status events (``pending_processing``)."""
-    filings.write.partitionBy("cik").mode("append").parquet(path)
+    """Merge filings as metadata rows by company; returns their first status events (``pending_processing``)."""
+    tables.upsert(filings, path, ["cik", "accession"])
     return filings.select("cik", F.col("accession").alias("accession_number"), F.lit("pending_processing").alias("fetch_status"), F.current_timestamp().alias("created_at"))
 
 

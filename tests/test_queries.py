@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from ledgerspark.report_queries import ORACLES, QUERIES
+from ledgerspark.page_queries import ORACLES, QUERIES
 from tests.compare import differences, oracle
 
 SF = "/root/testdata/sf0.001"

@@ -60,11 +60,11 @@ def test_newest_filing_takes_the_first_of_equal_dates(spark):
 
 
 def test_index_sizes_and_instance_choice(spark):
-    items = [Row(name="EX-1.htm", size="100"), Row(name="x_htm.xml", size="50"), Row(name="a_instance.xml", size=""), Row(name="x_cal.xml", size="50")]
+    items = [Row(name="EX-1.htm", size="100"), Row(name="x_htm.xml", size="50"), Row(name="a_instance.xml", size=""), Row(name="x_Instance_htm.xml", size=""), Row(name="x_cal.xml", size="50")]
     i = flatten.index_items(spark.createDataFrame([("1", "acc", Row(item=items))], FILING_INDEX))
     r = flatten.filing_completeness(i).first()
-    assert (r.structured_files, r.exhibit_files, r.captured_pct) == (3, 1, 50.0)
-    assert [x.name for x in flatten.instance_documents(i).collect()] == ["x_htm.xml"]
+    assert (r.structured_files, r.exhibit_files, r.captured_pct) == (4, 1, 50.0)
+    assert [x.name for x in flatten.instance_documents(i).collect()] == ["x_Instance_htm.xml"]
 
 
 XML = b"""<x xmlns:u="u"><context id="a"><entity><segment><explicitMember dimension="u:Ax">u:M1</explicitMember><explicitMember dimension="u:Bx">u:M2</explicitMember></segment></entity>
@@ -106,13 +106,13 @@ PAGES = "doc_id string, page_num int, text string, tables array<array<array<stri
 def test_document_mining(spark):
     table = [["Segment", "Q1 2025", "YoY"], ["Automotive revenue", "13,967", "5%"], ["Energy", "(2,730)", ""], ["Total", "19,335", ""]]
     pages = spark.createDataFrame([("d", 1, "Acme Motors Inc. reports Q1 2025 earnings. Revenue of $19.3 billion and net income of $409 million. Delivered 336,681 vehicles, 4.0 GWh.", [table, [["one row"]]], 1), ("d", 2, "F I N A N C I A L summary", None, 0)], PAGES)
-    assert {(r.name, r.value_millions) for r in documents.text_metrics(pages).collect()} == {("revenue", 19300.0), ("income", 409.0)}
+    assert {(r.name, r.value_millions) for r in documents.text_metrics(pages).collect()} == {("revenue", 19300.0), ("net_income", 409.0)}
     assert {(r.segment, r.value) for r in documents.segment_rows(pages).collect()} == {("automotive_revenue", 13967.0), ("energy", -2730.0)}
     assert [(r.name, r.value, r.percent) for r in documents.table_metrics(pages, [("auto", "automotive")]).collect()] == [("auto", 13967.0, 5.0)]
     assert {(r.name, r.value) for r in documents.quantities(pages).collect()} == {("vehicles", 336681.0), ("gwh", 4.0)}
     r = jobs.analyze_documents(pages).first()
     assert r.company == "Acme Motors Inc." and r.period == "Q1 2025" and r.doc_type == "earnings" and r.visual_pages == 1
-    assert documents.classify_tables(pages).first().kind == "financial_time_series"
+    assert documents.classify_tables(pages).first().kind == "segment_financial_time_series"
 
 
 def test_responses(spark):
@@ -152,7 +152,7 @@ def test_round_trip_through_files(spark, tmp_path):
     f = spark.createDataFrame([("1", "c", 1.0)], "cik string, concept string, value double")
     readers.write_facts(f, str(tmp_path / "t"))
     readers.write_facts(f, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1  # a replay adds nothing
 
 
 def test_streams_agree_after_replay(spark, tmp_path):
