@@ -5,6 +5,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ SECTIONS = {
     "segment": [r"segment\s+(information|data|results?)", r"revenue\s+by\s+(segment|product|geography|region)", r"business\s+segments?", r"geographic\s+(segments?|breakdown|revenue)"],
     "guidance": [r"(outlook|guidance|forecast)", r"forward[- ]looking", r"expectations?"],
 }
+#: Phrases of summary headings, also with letters set apart.
+HEADINGS = {
+    "operational_metrics": ["operational summary"], "financial": ["financial summary"], "segment_metrics": ["energy & services", "energy generation and storage"],
+    "guidance": ["outlook"], "technology_metrics": ["core technology", "fsd", "artificial intelligence"],
+}
 MONEY = r"(?i)\$\s?([0-9][0-9,]*(?:\.[0-9]+)?)\s*(million|billion)"
 QUANTITY = r"(?i)([0-9][0-9,]*(?:\.[0-9]+)?)\s*(vehicles|units|GWh|MW|users|subscribers)"
 
@@ -75,6 +82,16 @@ def section_hits(pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", "page_num", F.lower("text").alias("low")).join(rules, F.rlike("low", "pattern")).select("doc_id", "page_num", "data_type", "pattern")
 
 
+def heading_tags(pages: DataFrame) -> DataFrame:
+    """(doc_id, data_type, pages): sorted pages that name a summary, an outlook or a technology; a heading may have its letters
+    set apart by one blank and its words by three."""
+    apart = lambda p: "   ".join(" ".join(w) for w in p.split())
+    low = F.lower(F.coalesce("text", F.lit("")))
+    flags = {k: reduce(Column.__or__, [F.contains(low, F.lit(x)) for p in ps for x in (p, apart(p))]) for k, ps in HEADINGS.items()}
+    found = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in flags.items()])))
+    return pages.select("doc_id", "page_num", found.alias("data_type")).groupBy("doc_id", "data_type").agg(F.sort_array(F.collect_set("page_num")).alias("pages"))
+
+
 def sections(pages: DataFrame) -> DataFrame:
     """(doc_id, data_type, pages): sorted pages on which a section shows."""
     out = section_hits(pages).groupBy("doc_id", "data_type").agg(F.sort_array(F.collect_set("page_num")).alias("pages"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.exprs import dbl, is_number, number, title
-from ledgerspark.operators import documents
+from ledgerspark.operators import documents, quality
 
 #: The metrics a complete report has, by category.
 REQUIRED = {
@@ -162,19 +162,28 @@ def rules(metrics: DataFrame, series: DataFrame | None = None) -> DataFrame:
     return out
 
 
-def run_rules(checks: DataFrame, metrics: DataFrame) -> DataFrame:
-    """(doc_id, errors, warnings, is_valid): failed rules that are required or not; a rule without a check passes."""
+def run_rules(checks: DataFrame, metrics: DataFrame, series: DataFrame | None = None, gap_days: int = 100) -> DataFrame:
+    """(doc_id, errors, warnings, is_valid): failed rules that are required or not. ``time_series_continuity`` fails where a name in
+    ``series`` (doc_id, name, period) skips more than ``gap_days`` from one period to the next, ``margin_calculation``
+    where the recomputed margin is off by more than the tolerance, taken as a share. A rule without its figures passes."""
     value = lambda n: F.max(F.when(F.col("name") == n, dbl("value")))
     parts = REQUIRED["financial_segments"][:3]
     facts = metrics.groupBy("doc_id").agg(
-        value("total_revenue").alias("total"), F.sum(F.when(F.col("name").isin(parts), dbl("value"))).alias("parts"),
+        value("total_revenue").alias("total"), F.sum(F.when(F.col("name").isin(parts), dbl("value"))).alias("parts"), *[value(n).alias(n) for n in quality.MARGIN_PARTS],
         F.bool_or(F.col("name").isin(REQUIRED["margins"]) & ~dbl("value").between(-100, 100)).alias("outside"),
         F.bool_or(F.col("name").isin(parts) & (F.coalesce(dbl("value"), F.lit(0.0)) == 0)).alias("hollow"),
     )
-    both = checks.join(facts, "doc_id", "left")
+    both = checks.join(facts.hint("merge"), "doc_id", "left").withColumn("broken", F.lit(False))
+    if series is not None:
+        turn = Window.partitionBy("doc_id", "name").orderBy("period")
+        gaps = series.select("doc_id", (F.datediff("period", F.lag("period").over(turn)) > gap_days).alias("gap"))
+        gaps = gaps.groupBy("doc_id").agg(F.coalesce(F.bool_or("gap"), F.lit(False)).alias("broken"))
+        both = both.drop("broken").join(gaps.hint("merge"), "doc_id", "left")
     failed = (
         F.when(F.col("rule") == "sum_to_parent", F.abs(F.col("total") - F.col("parts")) > F.col("tolerance") * F.abs("total"))
-        .when(F.col("rule") == "percentage_range", F.col("outside")).when(F.col("rule") == "segment_completeness", F.col("hollow")).otherwise(False)
+        .when(F.col("rule") == "percentage_range", F.col("outside")).when(F.col("rule") == "segment_completeness", F.col("hollow"))
+        .when(F.col("rule") == "margin_calculation", F.abs(quality.recomputed_margin() - F.col("gross_margin")) > F.col("tolerance") * 100)
+        .when(F.col("rule") == "time_series_continuity", F.col("broken")).otherwise(False)
     )
     both = both.withColumn("failed", F.coalesce(failed, F.lit(False)))
     names = lambda cond: F.array_join(F.sort_array(F.collect_list(F.when(F.col("failed") & cond, F.col("rule")))), ",")
@@ -212,9 +221,17 @@ def structure_score(leaves: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def mean_confidence(metrics: DataFrame) -> DataFrame:
+    """(doc_id, confidence): the mean of the confidences that are given; null without any."""
     return metrics.groupBy("doc_id").agg(F.avg("confidence").alias("confidence"))
 
 
+def value_counts(metrics: DataFrame, leaves: DataFrame, series: DataFrame) -> DataFrame:
+    """(doc_id, points): metrics with a value, leaves and points of time series of each document, in one aggregate."""
+    one = lambda df, cond: df.where(cond).select("doc_id")
+    every = one(metrics, "value is not null").unionByName(one(leaves, "value is not null")).unionByName(series.select("doc_id"))
+    return every.groupBy("doc_id").agg(F.count("*").alias("points"))
+
+
 def advice(reports: DataFrame) -> DataFrame:
     """What to do about a document, from its score, errors, issues, method and business model."""
     lines = F.array_compact(F.array(
@@ -235,9 +252,10 @@ def validation_report(leaves: DataFrame, metrics: DataFrame) -> DataFrame:
     return out.withColumns({"overall": mean, "is_complete": mean >= 0.7})
 
 
-def first_values(facts: DataFrame, concepts: list[str] | None = None, most: int = 100) -> DataFrame:
-    """The newest value of each concept of a company; of a company at most ``most`` concepts, by name."""
-    newest = Window.partitionBy("cik", "concept").orderBy(F.desc("period_end"))
+def first_values(facts: DataFrame, concepts: list[str] | None = None, most: int = 100, listed: str | None = None) -> DataFrame:
+    """The first listed value of each concept of a company, by the column ``listed`` (ties: the newest), or the newest where
+    no such column is named; of a company at most ``most`` concepts, by name."""
+    newest = Window.partitionBy("cik", "concept").orderBy(*([F.col(listed)] if listed else []), F.desc("period_end"))
     rows = (facts if concepts is None else facts.where(F.col("concept").isin(concepts))).withColumn("rn", F.row_number().over(newest)).where("rn = 1")
     rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("cik").orderBy("concept"))).where(F.col("k") <= most)
     return rows.select("cik", "entity_name", "concept", dbl("value").alias("value"), "unit", "period_end")

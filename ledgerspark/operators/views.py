@@ -116,8 +116,13 @@ def fact_counts(facts: DataFrame, segments: DataFrame) -> DataFrame:
     return f.join(s, "cik", "left").select("cik", "total_facts", "unique_concepts", F.coalesce("segmented_facts", F.lit(0)).alias("segmented_facts"), F.coalesce("segment_dimensions", F.lit(0)).alias("segment_dimensions"))
 
 
-def data_summary(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("cik").agg(F.countDistinct("concept").alias("concepts"), F.count("*").alias("facts"), F.countDistinct("period_end").alias("periods"))
+def data_summary(facts: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """Concepts, facts and periods of each company and, where ``segments`` are given, their axes and facts."""
+    out = facts.groupBy("cik").agg(F.countDistinct("concept").alias("concepts"), F.count("*").alias("facts"), F.countDistinct("period_end").alias("periods"))
+    if segments is None:
+        return out
+    s = segments.groupBy("cik").agg(F.countDistinct("dimension_axis").alias("axes"), F.count("*").alias("segment_facts"))
+    return out.join(s.hint("merge"), "cik", "left").fillna(0, ["axes", "segment_facts"])
 
 
 def period_coverage(facts: DataFrame) -> DataFrame:

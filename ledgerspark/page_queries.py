@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import exprs
-from ledgerspark.operators import documents, mining, reports
+from ledgerspark.operators import documents, mining, quality, reports, views
 from ledgerspark.report_queries import ORACLES, QUERIES, _add, _facts
 from ledgerspark.sources import orderpages as o
 from ledgerspark.sources import testtables as t
@@ -84,4 +84,44 @@ CASE concept WHEN 'Revenues' THEN 'Revenue' WHEN 'CostOfRevenue' THEN 'Revenue'
 _add("overridden_pages", lambda s, d: documents.page_selection(o.pages(s, d), 3, {2: 0.95, 4: 0.1}).select("doc_id", "page_num", "priority"), """SELECT doc_id, page_num, p AS priority FROM (SELECT doc_id, page_num, CASE WHEN page_num = 2 THEN 0.95 WHEN page_num = 4 THEN 0.1 WHEN page_num = 5 THEN 1.0 WHEN page_num IN (3, 6, 7) THEN 0.9
 WHEN page_num <= 10 THEN 0.7 WHEN page_num <= 20 THEN 0.5 ELSE 0.3 END::double AS p FROM opages) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, page_num) <= 3""", o.PAGES)
 
+_add("quantities", lambda s, d: documents.quantities(o.pages(s, d)).select("doc_id", "page_num", "name", "value"), """SELECT doc_id, page_num, name, q::double AS value FROM (SELECT *, CASE l_partkey % 8 WHEN 0 THEN 'units' WHEN 1 THEN 'units' WHEN 2 THEN 'gwh' WHEN 5 THEN 'vehicles' WHEN 7 THEN 'users' END AS name FROM olines)
+WHERE name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, name ORDER BY page_num, row_num) = 1""", o.PAGES)
+
+
+def headed_pages(s: SparkSession, d: str) -> DataFrame:
+    """A page for each order of a customer, some with headings whose letters are set apart."""
+    heads = ["O P E R A T I O N A L   S U M M A R Y", "Financial Summary", "E N E R G Y   &   S E R V I C E S", "the outlook", "C O R E   T E C H N O L O G Y", "O U T L O O K and FSD", "F I N A N C I A L", "nothing"]
+    turn = o.Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    return t.load(s, d, "orders").select(F.col("o_custkey").alias("doc_id"), F.row_number().over(turn).alias("page_num"), F.get(F.array(*[F.lit(h) for h in heads]), (F.col("o_orderkey") % 8).cast("int")).alias("text"))
+
+
+_add("heading_tags", lambda s, d: documents.heading_tags(headed_pages(s, d)).withColumn("pages", F.array_join(F.col("pages").cast("array<string>"), ",")), """SELECT doc_id, data_type, array_to_string(list_sort(list(page_num)), ',') AS pages FROM (
+SELECT o_custkey AS doc_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS page_num, unnest([['operational_metrics'], ['financial'], ['segment_metrics'], ['guidance'], ['technology_metrics'], ['guidance', 'technology_metrics'], [], []][o_orderkey % 8 + 1]) AS data_type FROM orders) GROUP BY 1, 2""")
+
+_add("extracted_share", lambda s, d: quality.extraction_rate(m := o.metrics(s, d).where("value > 0"), o.metrics(s, d).where(F.col("name").isin(o.NAMES[:12])), ["doc_id", "name"], ["doc_id"]), f"""SELECT doc_id, count(DISTINCT CASE WHEN value > 0 THEN name END) AS expected,
+count(DISTINCT CASE WHEN k THEN name END) AS extracted, CASE WHEN count(DISTINCT CASE WHEN value > 0 THEN name END) > 0 THEN count(DISTINCT CASE WHEN k AND g THEN name END) / count(DISTINCT CASE WHEN value > 0 THEN name END) WHEN count(DISTINCT CASE WHEN k THEN name END) > 0 THEN 1.0 ELSE 0.0 END AS rate,
+coalesce(rate >= 0.7, false) AS is_complete FROM (SELECT *, name IN {tuple(o.NAMES[:12])!r} AS k, bool_or(value > 0) OVER (PARTITION BY doc_id, name) AS g FROM om) GROUP BY 1 HAVING expected > 0 OR extracted > 0""", o.METRICS)
+_add("mean_confidence", lambda s, d: reports.mean_confidence(o.metrics(s, d).withColumn("confidence", F.when(F.col("value") > 0, F.length("name") / 64))), "SELECT doc_id, avg(CASE WHEN value > 0 THEN length(name) / 64 END) AS confidence FROM om GROUP BY 1", o.METRICS)
+_add("value_counts", lambda s, d: reports.value_counts(o.metrics(s, d), o.metrics(s, d).where("value > 0"), status_events(s, d).select(F.col("cik").cast("long").alias("doc_id"))), """SELECT doc_id, sum(n)::bigint AS points FROM (SELECT doc_id, count(*) + count(CASE WHEN value > 0 THEN 1 END) AS n FROM om GROUP BY 1
+UNION ALL SELECT user_id, count(*) FROM events GROUP BY 1) GROUP BY 1""", o.METRICS)
+_add("summary_with_axes", lambda s, d: views.data_summary(t.facts(s, d), t.segments(s, d)), """SELECT f.*, coalesce(axes, 0) AS axes, coalesce(segment_facts, 0) AS segment_facts FROM (SELECT cik, count(DISTINCT concept) AS concepts, count(*) AS facts, count(DISTINCT period_end) AS periods FROM facts GROUP BY 1) f
+LEFT JOIN (SELECT cik, count(DISTINCT dimension_axis) AS axes, count(*) AS segment_facts FROM segments GROUP BY 1) s USING (cik)""", t.FACTS, t.SEGMENTS)
+_add("listed_values", _facts(lambda f: reports.first_values(f.withColumn("ordinal", F.month("period_end") % 4 + F.length("concept") % 3), listed="ordinal")), """SELECT cik, entity_name, concept, cast(value AS double) AS value, unit, period_end FROM facts
+QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY month(period_end) % 4 + length(concept) % 3, period_end DESC) = 1""", t.FACTS)
+
+SERIES = f""", s AS (SELECT cik AS doc_id, concept AS name, period_end AS period FROM facts WHERE NOT (cast(cik AS integer) % 4 = 1 AND month(period_end) = 6) AND NOT (cast(cik AS integer) % 4 = 2 AND concept = 'Assets' AND year(period_end) = 1996)),
+gaps AS (SELECT doc_id, bool_or(gap) AS broken FROM (SELECT doc_id, period - lag(period) OVER (PARTITION BY doc_id, name ORDER BY period) > 100 AS gap FROM s) GROUP BY 1)
+SELECT doc_id, CASE WHEN broken THEN 'time_series_continuity' ELSE '' END AS errors, '' AS warnings, NOT coalesce(broken, false) AS is_valid FROM gaps"""
+
+
+def series(s: SparkSession, d: str) -> DataFrame:
+    """(doc_id, name, period): a company's facts as series, with a quarter missing in some and a year in others."""
+    nk = F.col("cik").cast("int") % 4
+    rows = t.facts(s, d).where(~((nk == 1) & (F.month("period_end") == 6)) & ~((nk == 2) & (F.col("concept") == "Assets") & (F.year("period_end") == 1996)))
+    return rows.select(F.col("cik").alias("doc_id"), F.col("concept").alias("name"), F.col("period_end").alias("period"), "value")
+
+
+_add("series_rules", lambda s, d: reports.run_rules(reports.rules(x := series(s, d), x).where("rule = 'time_series_continuity'"), x, x), SERIES, t.FACTS)
+_add("company_health", lambda s, d: views.company_summary(f := t.facts(s, d), "2001-12-31", enrichments=f.select("cik", (F.col("cik").cast("int") * F.month("period_end")).alias("health_score"))).select("cik", "health_score"), "SELECT cik, max(cast(cik AS integer) * month(period_end)) AS health_score FROM facts GROUP BY 1", t.FACTS)
+
 __all__ = ["ORACLES", "QUERIES"]  # those of the modules before and of this one

@@ -82,7 +82,9 @@ _add("series_trend", _facts(lambda f: views.series_op(f, "trend")), """SELECT ci
 SELECT cik, concept, cast(sum(CASE WHEN k <= floor(n / 2) THEN value END) AS double) / count(CASE WHEN k <= floor(n / 2) THEN 1 END) AS a,
 cast(sum(CASE WHEN k > floor(n / 2) THEN value END) AS double) / count(CASE WHEN k > floor(n / 2) THEN 1 END) AS b FROM (
 SELECT *, row_number() OVER (PARTITION BY cik, concept ORDER BY period_end) AS k, count(*) OVER (PARTITION BY cik, concept) AS n FROM facts) WHERE n >= 3 GROUP BY 1, 2)""", t.FACTS)
-_add("entity_digest", _facts(views.entity_digest))
+SHOWN = "CASE WHEN abs(revenue) >= 1e9 THEN printf('%.1fB', revenue / 1e9) WHEN abs(revenue) >= 1e6 THEN printf('%.1fM', revenue / 1e6) WHEN abs(revenue) >= 1e3 THEN printf('%.1fK', revenue / 1e3) ELSE printf('%.1f', revenue) END"
+_add("entity_digest", _facts(views.entity_digest), f"""SELECT cik, entity_name, period_end, concat_ws('; ', 'revenue ' || {SHOWN}, 'margin ' || printf('%.1f%%', operating_margin_pct), 'EPS ' || printf('%.2f', eps), 'growth ' || printf('%.1f%%', revenue_growth_pct)) AS digest
+FROM model WHERE revenue IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cik ORDER BY period_end DESC) = 1""", t.FACTS, MODEL)
 _add("recent_values", _facts(views.recent_values), f"SELECT * FROM (SELECT cik, concept, period_end, {V}, row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) AS age FROM facts) WHERE age <= 10", t.FACTS)
 _add("run_summary", lambda s, d: views.run_summary(t.filing_status(s, d)), """SELECT fetch_status, count(*) AS runs, count(DISTINCT cik) AS companies, cast(sum(cast(seconds AS decimal(18,4))) AS double) AS total_seconds,
 cast(sum(cast(seconds AS decimal(18,4))) AS double) / count(seconds) AS mean_seconds FROM status GROUP BY 1""", t.STATUS)

@@ -77,7 +77,7 @@ _add("segment_names", lambda s, d: reports.segment_names(pages(s, d)), VARIED +
 _add("hierarchies", lambda s, d: reports.hierarchies(metrics(s, d)), VARIED + "SELECT doc_id, 'total_revenue' AS parent, 'automotive_revenue,energy_revenue' AS children FROM docs UNION ALL SELECT doc_id, 'geographic', 'europe' FROM docs WHERE nk % 3 = 0", *SOURCES)
 _add("document_rules", lambda s, d: reports.rules(metrics(s, d)), VARIED + """SELECT doc_id, unnest(['sum_to_parent', 'percentage_range', 'segment_completeness']) AS rule, unnest([0.01, 100, NULL])::double AS tolerance, unnest([true, false, true]) AS required FROM docs
 UNION ALL SELECT doc_id, 'margin_calculation', 0.005, false FROM docs WHERE nk % 7 = 0""", *SOURCES)
-RULES = ", ran AS (SELECT doc_id, CASE WHEN nk % 5 <> 0 THEN '' WHEN ceil(r / 2) > 0.01 * r THEN 'segment_completeness,sum_to_parent' ELSE 'segment_completeness' END AS errors, CASE WHEN nk % 7 = 0 AND nk * mo > 100 THEN 'percentage_range' ELSE '' END AS warnings FROM docs) "
+RULES = ", ran AS (SELECT doc_id, CASE WHEN nk % 5 <> 0 THEN '' WHEN ceil(r / 2) > 0.01 * r THEN 'segment_completeness,sum_to_parent' ELSE 'segment_completeness' END AS errors, concat_ws(',', CASE WHEN nk % 7 = 0 AND nk % 2 = 1 THEN 'margin_calculation' END, CASE WHEN nk % 7 = 0 AND nk * mo > 100 THEN 'percentage_range' END) AS warnings FROM docs) "
 _add("rule_results", lambda s, d: reports.run_rules(reports.rules(m := metrics(s, d)), m), VARIED + RULES + "SELECT *, errors = '' AS is_valid FROM ran", *SOURCES)
 _add("margin_check", lambda s, d: quality.margin_check(metrics(s, d)), VARIED + "SELECT doc_id, (50 + nk % 2 * 3)::double AS gross_margin, (r - floor(r / 2)) / r * 100 AS recomputed, abs((r - floor(r / 2)) / r * 100 - (50 + nk % 2 * 3)) < 1 AS is_valid FROM docs", *SOURCES)
 _add("expected_fields", lambda s, d: reports.expected_fields(documents.sections(pages(s, d))).groupBy("doc_id", "unit").agg(F.count("*").alias("fields"), F.min("page_num").alias("first_page")), VARIED + """SELECT doc_id, 'millions' AS unit, CASE WHEN nk % 3 = 0 THEN 8 ELSE 4 END AS fields, CASE WHEN nk % 3 = 0 THEN 1 ELSE 3 END AS first_page FROM docs
@@ -110,7 +110,7 @@ _add("structure_score", lambda s, d: reports.structure_score(leaves(s, d), metri
 _add("validation_report", lambda s, d: reports.validation_report(leaves(s, d), metrics(s, d)), VARIED + METRICS + COVER + RULES + """SELECT doc_id, 1.0::double AS structure, found / 19 AS coverage, concat_ws(', ', CASE WHEN NOT d THEN 'Vehicle deliveries' END, CASE WHEN NOT g THEN 'Energy storage metrics' END) AS critical_missing,
 errors, warnings, errors = '' AS is_valid, (1 + found / 19 + (errors = '')::int) / 3 AS overall, (1 + found / 19 + (errors = '')::int) / 3 >= 0.7 AS is_complete FROM cover JOIN ran USING (doc_id)""", *SOURCES)
 _add("document_advice", lambda s, d: reports.advice(reports.validation_report(leaves(s, d), metrics(s, d)).select("doc_id", F.col("overall").alias("score"), "errors", F.size(F.filter(F.split("warnings", ","), lambda x: x != "")).alias("issues"), F.lit("traditional").alias("method"), F.lit("platform").alias("business_model"))), VARIED + METRICS + COVER + RULES + """SELECT doc_id,
-concat_ws('; ', CASE WHEN x < 0.7 THEN 'low completeness' END, CASE WHEN errors <> '' THEN 'hierarchy errors' END, CASE WHEN warnings <> '' THEN '1 quality issues' END, 'traditional extraction', CASE WHEN x < 0.8 THEN 'check metrics of platform' END) AS advice
+concat_ws('; ', CASE WHEN x < 0.7 THEN 'low completeness' END, CASE WHEN errors <> '' THEN 'hierarchy errors' END, CASE WHEN warnings <> '' THEN len(string_split(warnings, ',')) || ' quality issues' END, 'traditional extraction', CASE WHEN x < 0.8 THEN 'check metrics of platform' END) AS advice
 FROM (SELECT doc_id, errors, warnings, (1 + found / 19 + (errors = '')::int) / 3 AS x FROM cover JOIN ran USING (doc_id))""", *SOURCES)
 _add("typed_fields", lambda s, d: reports.typed_fields(leaves(s, d), reports.page_groups(documents.sections(pages(s, d)))).groupBy("doc_id", "data_type").agg(F.count("*").alias("fields")), VARIED + "SELECT doc_id, unnest(CASE WHEN nk % 3 = 0 THEN ['financial', 'guidance'] ELSE ['operational'] END) AS data_type, 4 + (nk % 2 = 0)::int AS fields FROM docs", *SOURCES)
 _add("extraction_summary", lambda s, d: reports.extraction_summary(reports.page_groups(documents.sections(pages(s, d))), pages(s, d).where("page_num < 3").select("doc_id", "page_num", F.when(F.col("page_num") == 1, "{}").otherwise(" ").alias("response"))), VARIED + "SELECT doc_id, 3 AS requested, 1 AS processed, 1 AS errors FROM docs", *SOURCES)
