@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.exprs import metric_name, number, row_value
+from ledgerspark.functions.exprs import financial_class, metric_name, number, operational_class, row_value
 from ledgerspark.operators.documents import SECTIONS
 from ledgerspark.operators.reports import CRITICAL, REQUIRED
 
@@ -21,24 +21,52 @@ from ledgerspark.operators.reports import CRITICAL, REQUIRED
 PHRASES = [("Vehicle Production", "vehicle production"), ("Vehicle Deliveries", "vehicle deliveries"), ("Energy Storage", "energy storage"), ("Energy Storage", "gwh")]
 
 
-def phrase_contexts(pages: DataFrame, phrases: list[tuple[str, str]] | None = None, before: int = 50, after: int = 200) -> DataFrame:
-    """(doc_id, page_num, metric, phrase, offset, context): every place of every phrase, in any case, overlapping ones
-    too, with ``before`` characters before its start and ``after`` from it on. Offsets are characters from 0; null texts
-    have none. A page is searched whole, phrase by phrase, in time linear in its length."""
-    wanted = [(m, p, re.compile(f"(?={re.escape(p)})", re.IGNORECASE)) for m, p in phrases or PHRASES]
+def _hits(pages: DataFrame, rules: list[tuple[str, str, re.Pattern]], before: int, after: int) -> DataFrame:
+    """(doc_id, page_num, kind, rule, nth, offset, hit, context): every hit of every rule (kind, rule, pattern) in the whole text, in one pass
+    over the pages; ``nth`` numbers the rules. The context reaches ``before`` characters before the hit and ``after``
+    past its end."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                hits = [(i, m, p, x.start(), t[max(0, x.start() - before) : x.start() + after]) for i, t in enumerate(part.column(2).to_pylist()) if t for m, p, r in wanted for x in r.finditer(t)]
-                i, metric, phrase, offset, context = zip(*hits, strict=True) if hits else ((),) * 5
+                hits = [
+                    (i, kind, rule, nth, x.start(), x.group(), t[max(0, x.start() - before) : x.end() + after])
+                    for i, t in enumerate(part.column(2).to_pylist()) if t for nth, (kind, rule, p) in enumerate(rules) for x in p.finditer(t)
+                ]
+                i, *cols = zip(*hits, strict=True) if hits else ((),) * 7
                 took = pa.array(i, pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(took), part.column(1).take(took), pa.array(metric, pa.string()), pa.array(phrase, pa.string()), pa.array(offset, pa.int32()), pa.array(context, pa.string())], names)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(took), part.column(1).take(took), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names)
+
+    names = ["doc_id", "page_num", "kind", "rule", "nth", "offset", "hit", "context"]
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+    ids = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in names[:2])
+    return pages.select("doc_id", "page_num", "text").mapInArrow(find, f"{ids}, kind string, rule string, nth int, offset int, hit string, context string")
+
+
+def phrase_contexts(pages: DataFrame, phrases: list[tuple[str, str]] | None = None, before: int = 50, after: int = 200) -> DataFrame:
+    """(doc_id, page_num, metric, phrase, offset, context): every place of every phrase, in any case, overlapping ones
+    too, with ``before`` characters before its start and ``after`` from it on. Offsets are characters from 0; null texts
+    have none. A page is searched whole, phrase by phrase, in time linear in its length."""
+    rules = [(m, p, re.compile(f"(?={re.escape(p)})", re.IGNORECASE)) for m, p in phrases or PHRASES]  # hits of no length, so they may overlap
+    return _hits(pages, rules, before, after).select("doc_id", "page_num", F.col("kind").alias("metric"), F.col("rule").alias("phrase"), "offset", "context")
+
+
+#: Patterns of operational and financial figures in text.
+FIGURES = {
+    "operational": [r"(\d+[\d,]*)\s*(units?|deliveries|sales|sold|shipped)", r"(volume|quantity|count)\s*:?\s*(\d+[\d,]*)", r"(\d+[\d,]*)\s*(subscribers?|users?|customers?|accounts?)"],
+    "financial": [r"\$?\s*(\d+[\d,]*\.?\d*)\s*(million|billion|mn|bn|[mb])", r"revenue\s*:?\s*\$?\s*(\d+[\d,]*\.?\d*)", r"(gross|operating|net)\s*(profit|margin|income)"],
+}
+
 
-    names = ["doc_id", "page_num", "metric", "phrase", "offset", "context"]
-    kinds = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in names[:2])
-    return pages.select("doc_id", "page_num", "text").mapInArrow(find, f"{kinds}, metric string, phrase string, offset int, context string")
+def discovered_metrics(pages: DataFrame, around: int = 50) -> DataFrame:
+    """(doc_id, kind, name, page_num, pattern, context): the operational and financial figures that a document's text mentions,
+    classed by the ``around`` characters on either side; of each name the first by page, pattern and place."""
+    rules = [(k, p, re.compile(p, re.IGNORECASE)) for k, ps in FIGURES.items() for p in ps]
+    hits = _hits(pages, rules, around, around)
+    name = F.when(F.col("kind") == "operational", operational_class(F.col("context"), F.col("hit"))).otherwise(financial_class(F.col("context")))
+    first = F.min_by(F.struct("page_num", F.col("hit").alias("pattern"), F.trim("context").alias("context")), F.struct("page_num", "nth", "offset"))
+    return hits.withColumn("name", name).where("name is not null").groupBy("doc_id", "kind", "name").agg(first.alias("x")).select("doc_id", "kind", "name", "x.*")
 
 
 #: Patterns of figures with their units, and what leads a segment table or a region.

@@ -24,8 +24,8 @@ def completeness_score(facts: DataFrame, segments: DataFrame, concepts: int = 10
     every = lambda c: F.when(F.bool_and(F.col(c).isNotNull()), 1).otherwise(0)
     f = facts.groupBy("cik").agg(
         F.countDistinct("concept").alias("concepts"), F.count("*").alias("facts"), _present("concept", CRITICAL).alias("critical"),
-        # Rows of a table are never empty lists and are structured; the others hang on the columns.
-        (F.lit(2) + F.when(F.max("entity_name").isNotNull(), 1).otherwise(0) + every("period_end") + every("value")).alias("flags"),
+        # No concept without a value, structured rows (a concept each), a name, periods, values.
+        (F.when(F.countDistinct("concept") == F.countDistinct(F.when(F.col("value").isNotNull(), F.col("concept"))), 1).otherwise(0) + every("concept") + F.when(F.max("entity_name").isNotNull(), 1).otherwise(0) + every("period_end") + every("value")).alias("flags"),
     )
     s = segments.groupBy("cik").agg(F.countDistinct("dimension_axis").alias("axes"), _present("dimension_axis", EXPECTED_AXES).alias("expected"))
     both = f.join(s, "cik", "left").fillna({"axes": 0, "expected": 0})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.exprs import dbl
+from ledgerspark.functions.exprs import category_token, dbl
 from ledgerspark.model import CATEGORIES, SEGMENT_PATTERNS
 
 
@@ -16,6 +16,28 @@ def categorize(facts: DataFrame, categories: dict[str, str] | None = None) -> Da
     return facts.join(F.broadcast(cat), "concept", "left").withColumn("category", F.coalesce("category", F.lit("Other")))
 
 
+#: Words that tell a concept's category, in the order of the tests.
+CATEGORY_WORDS = {
+    "Cash Flow": "cash", "Costs": "cost|expense", "Revenue": "revenue|sales", "Liabilities": "liabilit|debt|payable", "Equity": "equity|stockholder",
+    "Assets": "asset|receivable|inventor|goodwill", "Profitability": "income|profit|earning|margin|loss", "Operational Metrics": "unit|deliver|production|employee",
+}
+
+
+def categorize_by_rules(facts: DataFrame, categories: dict[str, str] | None = None, answers: DataFrame | None = None) -> DataFrame:
+    """Category of each fact: by the concept map, else by a model's saved answer (``answers``: concept, answer) if it names a
+    category, else by the first words that the concept holds, else ``Other``. Each distinct concept is looked at once."""
+    spark = facts.sparkSession
+    cat = spark.createDataFrame(list((categories or CATEGORIES).items()), "concept string, listed string")
+    concepts = facts.select("concept").distinct().join(F.broadcast(cat), "concept", "left")
+    answered = answers.groupBy("concept").agg(F.min(category_token(F.col("answer"))).alias("told")) if answers is not None else spark.createDataFrame([], "concept string, told string")
+    concepts = concepts.join(answered.hint("merge"), "concept", "left")
+    worded = F.when(F.lit(False), F.lit(None).cast("string"))
+    for category, words in CATEGORY_WORDS.items():
+        worded = worded.when(F.lower("concept").rlike(words), category)
+    concepts = concepts.select("concept", F.coalesce("listed", "told", worded, F.lit("Other")).alias("category"))
+    return facts.join(concepts.hint("merge"), "concept")
+
+
 def discover(facts: DataFrame, known: list[tuple[str, str]] = (), patterns: list[tuple[str, str]] | None = None) -> DataFrame:
     """(kind, concept) by known lists (semi join) and by fixed patterns, over the distinct concepts."""
     spark, concepts = facts.sparkSession, facts.select("concept").distinct()

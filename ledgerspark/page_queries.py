@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.functions import exprs
-from ledgerspark.operators import documents, mining, quality, reports, views
+from ledgerspark.operators import documents, extracted, mining, quality, reports, segments, views
+from ledgerspark.queries import responses
 from ledgerspark.report_queries import ORACLES, QUERIES, _add, _facts
 from ledgerspark.sources import orderpages as o
+from ledgerspark.sources import readers
 from ledgerspark.sources import testtables as t
 from ledgerspark.streaming import states
 
@@ -124,4 +126,14 @@ def series(s: SparkSession, d: str) -> DataFrame:
 _add("series_rules", lambda s, d: reports.run_rules(reports.rules(x := series(s, d), x).where("rule = 'time_series_continuity'"), x, x), SERIES, t.FACTS)
 _add("company_health", lambda s, d: views.company_summary(f := t.facts(s, d), "2001-12-31", enrichments=f.select("cik", (F.col("cik").cast("int") * F.month("period_end")).alias("health_score"))).select("cik", "health_score"), "SELECT cik, max(cast(cik AS integer) * month(period_end)) AS health_score FROM facts GROUP BY 1", t.FACTS)
 
+_add("discovered_metrics", lambda s, d: mining.discovered_metrics(o.pages(s, d)))
+_add("rule_categories", _facts(lambda f: segments.categorize_by_rules(f, {"Assets": "Assets"}, f.where("concept = 'NetIncomeLoss'").select("concept", F.lit("It is Equity, I think").alias("answer"))).groupBy("cik", "category").agg(F.count("*").alias("n"))), """SELECT cik,
+CASE concept WHEN 'Assets' THEN 'Assets' WHEN 'NetIncomeLoss' THEN 'Equity' WHEN 'CostOfRevenue' THEN 'Costs' WHEN 'Revenues' THEN 'Revenue' WHEN 'StockholdersEquity' THEN 'Equity' ELSE 'Profitability' END AS category, count(*) AS n FROM facts GROUP BY 1, 2""", t.FACTS)
+_add("placed_values", lambda s, d: extracted.route_values(extracted.json_leaves(responses(s, d))), """SELECT event_id AS doc_id, 1 AS page_num, 'revenue.total' AS path, 'revenue.total' AS target_path, cast(cast(value AS decimal(18,2)) AS double) AS value FROM events
+UNION ALL SELECT event_id, 1, 'detail[0].k', 'other', cast(json_extract(props, '$.k') AS double) FROM events""")
+_add("fallback_values", lambda s, d: extracted.fallback_values(t.load(s, d, "events").select(F.col("event_id").alias("doc_id"), F.lit(1).alias("page_num"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("Revenue: $"), F.col("event_id"), F.lit(" and margin = 5."))).otherwise('{"revenue": 1}').alias("response"))), """SELECT event_id AS doc_id, 1 AS page_num,
+unnest(['revenue', 'margin']) AS key, unnest([event_id::varchar, '5.']) AS value FROM events WHERE event_id % 2 = 0""")
+_add("filing_texts", lambda s, d: readers.filing_text(x := t.load(s, d, "documents").select(F.col("source").alias("cik"), F.col("lang").alias("filing_date"), F.col("text").alias("full_text"), F.lit(None).cast("string").alias("management_discussion"), F.lit("risks").alias("risk_factors"), F.col("doc_id").alias("created_at")), x.where("filing_date <> 'en'"), 1000), """SELECT source AS cik, lang AS filing_date,
+substr(arg_max(concat_ws(chr(10), text, 'risks'), doc_id), 1, 1000) AS text FROM documents WHERE lang <> 'en' AND source IS NOT NULL GROUP BY 1, 2""")
+
 __all__ = ["ORACLES", "QUERIES"]  # those of the modules before and of this one
