@@ -161,4 +161,4 @@ def company_info(pages: DataFrame) -> DataFrame:
     period = F.coalesce(*[F.nullif(F.regexp_extract("text", p, 0), F.lit("")) for p in (r"Q[1-4] \d{4}", r"(?i)(?:first|second|third|fourth) quarter \d{4}", r"FY ?\d{4}")])
     periods = pages.withColumn("p", period).where("p is not null").groupBy("doc_id").agg(F.min_by("p", "page_num").alias("period"))
     kind = pages.groupBy("doc_id").agg(F.when(F.bool_or(F.lower("text").contains("earnings")), "earnings").when(F.bool_or(F.lower("text").contains("annual report")), "annual_report").otherwise("report").alias("doc_type"))
-    return kind.join(names, "doc_id", "left").join(periods, "doc_id", "left")
+    return kind.join(names.hint("merge"), "doc_id", "left").join(periods.hint("merge"), "doc_id", "left")

@@ -63,7 +63,7 @@ def newest_filing(filings: DataFrame, form: str | None = None) -> DataFrame:
 
 
 def new_filings(filings: DataFrame, processed: DataFrame) -> DataFrame:
-    return filings.join(processed.select("accession").distinct(), "accession", "left_anti")
+    return filings.join(processed.select("accession").distinct().hint("merge"), "accession", "left_anti")
 
 
 def index_items(index: DataFrame) -> DataFrame:
@@ -140,13 +140,13 @@ def instance_facts(raw: DataFrame) -> DataFrame:
     first = raw.where("kind = 'dimension' and ordinal = 0").select("filing", "context_id", F.col("name").alias("segment_dimension"), F.col("value").alias("segment_member"))
     rows = raw.where("kind = 'fact'").select("filing", "context_id", F.col("name").alias("concept"), "value", "unit")
     value = F.when(F.col("value").rlike(r"^-?\d+(\.\d+)?$"), F.col("value").cast("decimal(38,9)"))
-    return rows.join(contexts, ["filing", "context_id"]).join(first, ["filing", "context_id"], "left").withColumn("value", value).withColumn("unit", F.coalesce("unit", F.lit("USD")))
+    return rows.join(contexts.hint("merge"), ["filing", "context_id"]).join(first.hint("merge"), ["filing", "context_id"], "left").withColumn("value", value).withColumn("unit", F.coalesce("unit", F.lit("USD")))
 
 
 def instance_segments(raw: DataFrame) -> DataFrame:
     """One row per fact and dimension of its context."""
     dims = raw.where("kind = 'dimension'").select("filing", "context_id", F.col("name").alias("dimension_axis"), F.col("value").alias("dimension_member"))
-    return instance_facts(raw).select("filing", "context_id", "concept", "value", "period_end").join(dims, ["filing", "context_id"])
+    return instance_facts(raw).select("filing", "context_id", "concept", "value", "period_end").join(dims.hint("merge"), ["filing", "context_id"])
 
 
 def instance_stats(raw: DataFrame) -> DataFrame:
@@ -154,4 +154,4 @@ def instance_stats(raw: DataFrame) -> DataFrame:
     f = instance_facts(raw)
     a = f.groupBy("filing").agg(F.count("*").alias("total_facts"), F.count("segment_dimension").alias("segmented_facts"), F.countDistinct("concept").alias("unique_concepts"))
     d = instance_segments(raw).groupBy("filing").agg(F.countDistinct("dimension_axis").alias("segment_dimensions"))
-    return a.join(d, "filing", "left").fillna({"segment_dimensions": 0})
+    return a.join(d.hint("merge"), "filing", "left").fillna({"segment_dimensions": 0})

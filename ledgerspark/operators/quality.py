@@ -42,7 +42,7 @@ def completeness_score(facts: DataFrame, segments: DataFrame, concepts: int = 10
 def missing_critical(facts: DataFrame) -> DataFrame:
     """(cik, concept) of critical concepts a company lacks."""
     pairs = facts.select("cik").distinct().withColumn("concept", F.explode(F.array(*[F.lit(c) for c in CRITICAL])))
-    return pairs.join(facts.select("cik", "concept").distinct(), ["cik", "concept"], "left_anti")
+    return pairs.join(facts.select("cik", "concept").distinct().hint("merge"), ["cik", "concept"], "left_anti")
 
 
 def recommendations(scores: DataFrame, missing: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def recommendations(scores: DataFrame, missing: DataFrame) -> DataFrame:
         F.when(F.col("concepts") < 100, "few concepts"), F.when(F.col("facts") < 500, "few facts"), F.when(F.col("axes") < 10, "few axes"),
         F.when(F.col("m").isNotNull(), F.concat(F.lit("missing "), F.array_join("m", ", "))),
     ))
-    return scores.join(lost, "cik", "left").select("cik", F.array_join(lines, "; ").alias("advice"))
+    return scores.join(lost.hint("merge"), "cik", "left").select("cik", F.array_join(lines, "; ").alias("advice"))
 
 
 def sum_to_parent(parents: DataFrame, children: DataFrame, keys: list[str], tolerance: float = 0.01) -> DataFrame:

@@ -51,7 +51,7 @@ def text_fallback(pages: DataFrame, found: DataFrame) -> DataFrame:
     sent = number(F.nullif(F.regexp_extract("text", r"(?i)deliver(?:ies|ed)\s*:?\s*([\d,]+)", 1), F.lit("")))
     met = pages.select("doc_id", "page_num", gwh.alias("gwh"), sent.alias("sent"))
     storage = met.where("gwh is not null").groupBy("doc_id").agg(F.min_by("gwh", "page_num").alias("value"), F.min("page_num").alias("page_num"))
-    storage = storage.join(found.where("name = 'storage_deployed_gwh'").select("doc_id").distinct(), "doc_id", "left_anti")
+    storage = storage.join(found.where("name = 'storage_deployed_gwh'").select("doc_id").distinct().hint("merge"), "doc_id", "left_anti")
     sent = met.where("sent > 1000").groupBy("doc_id").agg(F.max_by("sent", "page_num").alias("value"), F.max("page_num").alias("page_num"))
     shape = lambda df, name: df.select("doc_id", F.lit(name).alias("name"), "value", "page_num", F.lit("text_extraction").alias("source"))
     return shape(storage, "storage_deployed_gwh").unionByName(shape(sent, "deliveries_total"))
@@ -215,7 +215,7 @@ def structure_score(leaves: DataFrame, metrics: DataFrame) -> DataFrame:
     """(doc_id, depth, metric_count, score): mean of 1 for nested data and the share of metrics with a value."""
     deep = leaves.groupBy("doc_id").agg(F.max(F.size(F.split("path", r"\.|\["))).alias("depth"))
     flat = metrics.groupBy("doc_id").agg(F.count("*").alias("metric_count"), F.count("value").alias("valued"))
-    both = deep.join(flat, "doc_id", "full_outer")
+    both = deep.join(flat.hint("merge"), "doc_id", "full_outer")
     parts = F.array_compact(F.array(F.when(F.col("depth").isNotNull(), 1.0), F.when(F.col("metric_count") > 0, F.col("valued") / F.col("metric_count"))))
     return both.select("doc_id", "depth", F.coalesce("metric_count", F.lit(0)).alias("metric_count"), (F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.size(parts)).alias("score"))
 
@@ -246,7 +246,7 @@ def validation_report(leaves: DataFrame, metrics: DataFrame) -> DataFrame:
     s = structure_score(leaves, metrics).select("doc_id", F.col("score").alias("structure"))
     c = category_coverage(metrics).select("doc_id", F.col("score").alias("coverage"), "critical_missing")
     v = run_rules(rules(metrics), metrics)
-    out = s.join(c, "doc_id", "left").join(v, "doc_id", "left")
+    out = s.join(c.hint("merge"), "doc_id", "left").join(v.hint("merge"), "doc_id", "left")
     parts = F.array_compact(F.array(F.col("structure"), F.col("coverage"), F.when(F.col("is_valid"), 1.0).when(~F.col("is_valid"), 0.0)))
     mean = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x) / F.size(parts)
     return out.withColumns({"overall": mean, "is_complete": mean >= 0.7})

@@ -52,7 +52,7 @@ def discover(facts: DataFrame, known: list[tuple[str, str]] = (), patterns: list
 def discovered_values(facts: DataFrame, found: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` newest values of every discovered concept of each company."""
     w = Window.partitionBy("kind", "cik", "concept").orderBy(F.desc("period_end"))
-    rows = facts.join(F.broadcast(found), "concept").withColumn("age", F.row_number().over(w)).where(F.col("age") <= k)
+    rows = facts.join(found.hint("merge"), "concept").withColumn("age", F.row_number().over(w)).where(F.col("age") <= k)
     return rows.select("kind", "cik", "concept", "period_end", dbl("value").alias("value"), "age")
 
 

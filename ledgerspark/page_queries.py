@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions import exprs
 from ledgerspark.operators import documents, extracted, mining, quality, reports, segments, views
-from ledgerspark.queries import responses
+from ledgerspark.queries import AS_OF, NOW, responses
 from ledgerspark.report_queries import ORACLES, QUERIES, _add, _facts
 from ledgerspark.sources import orderpages as o
 from ledgerspark.sources import readers
@@ -124,7 +124,7 @@ def series(s: SparkSession, d: str) -> DataFrame:
 
 
 _add("series_rules", lambda s, d: reports.run_rules(reports.rules(x := series(s, d), x).where("rule = 'time_series_continuity'"), x, x), SERIES, t.FACTS)
-_add("company_health", lambda s, d: views.company_summary(f := t.facts(s, d), "2001-12-31", enrichments=f.select("cik", (F.col("cik").cast("int") * F.month("period_end")).alias("health_score"))).select("cik", "health_score"), "SELECT cik, max(cast(cik AS integer) * month(period_end)) AS health_score FROM facts GROUP BY 1", t.FACTS)
+_add("company_health", lambda s, d: views.company_summary(f := t.facts(s, d), AS_OF, enrichments=f.select("cik", (F.col("cik").cast("int") * F.month("period_end")).alias("health_score"))).select("cik", "health_score"), f"SELECT cik, max(cast(cik AS integer) * month(period_end)) AS health_score FROM facts WHERE cik IN (SELECT cik FROM facts WHERE {NOW}) GROUP BY 1", t.FACTS)
 
 _add("discovered_metrics", lambda s, d: mining.discovered_metrics(o.pages(s, d)))
 _add("rule_categories", _facts(lambda f: segments.categorize_by_rules(f, {"Assets": "Assets"}, f.where("concept = 'NetIncomeLoss'").select("concept", F.lit("It is Equity, I think").alias("answer"))).groupBy("cik", "category").agg(F.count("*").alias("n"))), """SELECT cik,

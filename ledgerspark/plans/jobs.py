@@ -34,7 +34,7 @@ def analyze_documents(pages: DataFrame) -> DataFrame:
     images = pages.groupBy("doc_id").agg(F.count(F.when(F.col("image_count") > 0, 1)).alias("visual_pages"), F.count("*").alias("page_count"))
     model = F.when(F.bool_or(F.lower("text").rlike("deliver|vehicle")), "manufacturing").when(F.bool_or(F.lower("text").rlike("subscriber|users")), "platform").otherwise("general")
     kind = pages.groupBy("doc_id").agg(model.alias("business_model"))
-    return documents.company_info(pages).join(plan, "doc_id", "left").join(images, "doc_id").join(kind, "doc_id")
+    return documents.company_info(pages).join(plan.hint("merge"), "doc_id", "left").join(images.hint("merge"), "doc_id").join(kind.hint("merge"), "doc_id")
 
 
 def extract_documents(pages: DataFrame, responses: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
@@ -57,4 +57,4 @@ def document_envelopes(pages: DataFrame, responses: DataFrame, lexicon: list[tup
     a = analyze_documents(pages)
     a = a.select("doc_id", F.struct(*[c for c in a.columns if c != "doc_id"]).alias("analysis"))
     v = checks.select("doc_id", F.struct(*[c for c in checks.columns if c != "doc_id"]).alias("validation"))
-    return a.join(data, "doc_id", "left").join(v, "doc_id", "left")
+    return a.join(data.hint("merge"), "doc_id", "left").join(v.hint("merge"), "doc_id", "left")

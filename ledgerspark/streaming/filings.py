@@ -126,7 +126,7 @@ def stream_enrichments(messages: DataFrame, texts: DataFrame, out: str, checkpoi
         concepts = batch.select("cik", "filing_date", F.explode(F.transform(F.split("sample_facts", ";"), lambda x: F.split(x, "=")[0])).alias("concept"))
         named = categorize(concepts).groupBy("cik", "filing_date").agg(F.array_join(F.sort_array(F.collect_set("category")), ",").alias("categories"))
         text = filing_text(texts, batch)
-        rows = batch.join(named, ["cik", "filing_date"], "left").join(text, ["cik", "filing_date"], "left")
+        rows = batch.join(named.hint("merge"), ["cik", "filing_date"], "left").join(text.hint("merge"), ["cik", "filing_date"], "left")
         _keep(rows.select("cik", "filing_date", "axes", "categories", F.length("text").alias("text_length"), F.lit(None).cast("string").alias("insights"), F.lit(None).cast("long").alias("health_score")), out, n)
 
     return messages.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
