@@ -155,6 +155,15 @@ def context_hierarchies(metrics: DataFrame, threshold: float = 0.5, id_col: str
     return met.groupBy("doc_id", "p", "parent").agg(F.array_join(F.sort_array(F.collect_list("child")), ",").alias("children")).select("doc_id", F.col("p").alias("metric"), "parent", "children")
 
 
+def segment_hierarchies(segments: DataFrame) -> DataFrame:
+    """(doc_id, parent, children, kind) of the segment names (doc_id, segment) of each document: places, and products or services."""
+    #: Words of places, and the parents' names.
+    place = F.lower("segment").rlike("states|china|europe|asia")
+    rows = segments.withColumn("kind", F.when(place, "geographic_segments").otherwise("product_segments"))
+    parent = F.when(F.col("kind") == "geographic_segments", "Geographic Revenue").otherwise("Product/Service Revenue")
+    return rows.groupBy("doc_id", "kind").agg(F.array_join(F.sort_array(F.collect_set("segment")), ",").alias("children")).select("doc_id", parent.alias("parent"), "children", "kind")
+
+
 #: Patterns of company names, in the order in which they are tried.
 FORMAL = r"([A-Z][A-Za-z0-9\s&,.'-]+(?:Inc\.|Corporation|Corp\.|Company|Co\.|LLC|Ltd\.|Limited|LP|LLP))"
 TICKER = r"(?:NASDAQ|NYSE|AMEX|OTC)\s*:\s*([A-Z]{1,5})"

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerspark import report_queries as r
 from ledgerspark.functions import exprs
 from ledgerspark.operators import documents, extracted, mining, quality, reports, segments, views
+from ledgerspark.plans import jobs
 from ledgerspark.queries import AS_OF, NOW, responses
 from ledgerspark.report_queries import ORACLES, QUERIES, _add, _facts
 from ledgerspark.sources import orderpages as o
@@ -136,4 +138,18 @@ unnest(['revenue', 'margin']) AS key, unnest([event_id::varchar, '5.']) AS value
 _add("filing_texts", lambda s, d: readers.filing_text(x := t.load(s, d, "documents").select(F.col("source").alias("cik"), F.col("lang").alias("filing_date"), F.col("text").alias("full_text"), F.lit(None).cast("string").alias("management_discussion"), F.lit("risks").alias("risk_factors"), F.col("doc_id").alias("created_at")), x.where("filing_date <> 'en'"), 1000), """SELECT source AS cik, lang AS filing_date,
 substr(arg_max(concat_ws(chr(10), text, 'risks'), doc_id), 1, 1000) AS text FROM documents WHERE lang <> 'en' AND source IS NOT NULL GROUP BY 1, 2""")
 
+_add("segment_hierarchies", lambda s, d: mining.segment_hierarchies(reports.segment_names(r.pages(s, d))), r.VARIED + "SELECT doc_id, CASE WHEN nk % 3 = 0 THEN 'Geographic Revenue' ELSE 'Product/Service Revenue' END AS parent, CASE WHEN nk % 3 = 0 THEN 'Asia' ELSE 'Cloud' END AS children, CASE WHEN nk % 3 = 0 THEN 'geographic_segments' ELSE 'product_segments' END AS kind FROM docs", *r.SOURCES)
+_add("document_analysis", lambda s, d: jobs.analyze_documents(r.pages(s, d)).withColumns({"data_types": F.array_join("data_types", ","), "visual_pages": F.size("visual_pages")}), r.VARIED + """SELECT doc_id, NULL::varchar AS company, NULL::varchar AS period, 'report' AS doc_type, CASE WHEN nk % 3 = 0 THEN 'financial,guidance,operational,segment' ELSE 'operational,segment' END AS data_types,
+0 AS visual_pages, 3 AS page_count, CASE WHEN mo = 3 THEN 'automotive' ELSE 'general' END AS business_model, mo = 3 AS has_operational_metrics, nk % 2 = 0 AS has_time_series FROM docs""", *r.SOURCES)
+
+
+def page_responses(s: SparkSession, d: str) -> DataFrame:
+    """Saved responses of three pages of each report."""
+    said = F.array(*[F.struct(F.lit(n).alias("page_num"), F.lit(x).alias("response")) for n, x in ((4, '{"total_revenue": "11"}'), (8, '{"margin": "3"}'), (9, '{"energy_segment": {"gwh": "7"}}'))])
+    return r.varied(s, d).select("doc_id", F.explode(said).alias("p")).select("doc_id", "p.*")
+
+
+_add("gap_filled", lambda s, d: jobs.fill_gaps(r.pages(s, d), page_responses(s, d)), r.VARIED + r.MINED + """SELECT doc_id, name, value::double AS value, 'primary' AS source FROM mined UNION ALL SELECT doc_id, 'revenue.total', 11, 'secondary' FROM docs
+UNION ALL SELECT doc_id, 'segments', 7, 'secondary' FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM mined WHERE name = 'storage_deployed_gwh')""", *r.SOURCES)
+
 __all__ = ["ORACLES", "QUERIES"]  # those of the modules before and of this one

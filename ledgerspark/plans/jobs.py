@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.operators import documents, extracted, flatten, quality, reports, segments
+from ledgerspark.operators import documents, extracted, flatten, mining, quality, reports, segments
 from ledgerspark.sources import tables
 
 
@@ -28,22 +28,47 @@ def load_filings(files: DataFrame, root: str, batch: int) -> None:
     raw.unpersist()
 
 
+#: Business models and the parts of metric names that tell them, in the order of the tests.
+MODELS = [("automotive", "vehicle"), ("technology/saas", "subscriber|user"), ("retail", "store|transaction")]
+
+
 def analyze_documents(pages: DataFrame) -> DataFrame:
-    """One analysis row per document: company, period, kind, sections, business model."""
+    """One analysis row per document: company, period, kind, sections, pages with images, number of pages, business model by the
+    operational metrics that its text mentions, and whether it has such metrics and tables over time."""
     plan = documents.sections(pages).groupBy("doc_id").agg(F.sort_array(F.collect_set("data_type")).alias("data_types"))
-    images = pages.groupBy("doc_id").agg(F.count(F.when(F.col("image_count") > 0, 1)).alias("visual_pages"), F.count("*").alias("page_count"))
-    model = F.when(F.bool_or(F.lower("text").rlike("deliver|vehicle")), "manufacturing").when(F.bool_or(F.lower("text").rlike("subscriber|users")), "platform").otherwise("general")
-    kind = pages.groupBy("doc_id").agg(model.alias("business_model"))
-    return documents.company_info(pages).join(plan.hint("merge"), "doc_id", "left").join(images.hint("merge"), "doc_id").join(kind.hint("merge"), "doc_id")
+    images = pages.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.when(F.col("image_count") > 0, F.col("page_num")))).alias("visual_pages"), F.count("*").alias("page_count"))
+    names = mining.discovered_metrics(pages).where("kind = 'operational'").groupBy("doc_id").agg(F.array_join(F.collect_set("name"), ",").alias("names"))
+    series = documents.classify_tables(pages).groupBy("doc_id").agg(F.bool_or(F.contains("kind", F.lit("time_series"))).alias("series"))
+    out = documents.company_info(pages).join(plan.hint("merge"), "doc_id", "left").join(images.hint("merge"), "doc_id").join(names.hint("merge"), "doc_id", "left").join(series.hint("merge"), "doc_id", "left")
+    model = F.when(F.lit(False), "")
+    for name, words in MODELS:
+        model = model.when(F.col("names").rlike(words), name)
+    return out.withColumns({"business_model": model.otherwise("general"), "has_operational_metrics": F.col("names").isNotNull(), "has_time_series": F.coalesce("series", F.lit(False))}).drop("names", "series")
+
+
+def _mined(pages: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
+    """(doc_id, name, value): metrics of tables, else of texts."""
+    ranked = lambda df, k: df.select("doc_id", "name", "value", F.lit(k).alias("rank")).where("value is not null")
+    base = ranked(documents.table_metrics(pages, lexicon), 0).unionByName(ranked(documents.text_metrics(pages).withColumnRenamed("value_millions", "value"), 1))
+    return base.groupBy("doc_id", "name").agg(F.min_by("value", "rank").alias("value"))
+
+
+def _routed(responses: DataFrame) -> DataFrame:
+    return extracted.route_values(extracted.json_leaves(responses)).groupBy("doc_id", F.col("target_path").alias("name")).agg(F.max("value").alias("value"))
 
 
 def extract_documents(pages: DataFrame, responses: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:
     """Metric rows of tables and texts; extracted JSON fills what they lack."""
-    base = documents.table_metrics(pages, lexicon).select("doc_id", "name", "value").unionByName(documents.text_metrics(pages).select("doc_id", "name", F.col("value_millions").alias("value")))
-    base = base.groupBy("doc_id", "name").agg(F.first("value", ignorenulls=True).alias("value"))
-    leaves = extracted.route_values(extracted.json_leaves(responses))
-    more = leaves.groupBy("doc_id", F.col("target_path").alias("name")).agg(F.max("value").alias("value"))
-    return segments.merge_sources(base, more, ["doc_id", "name"])
+    return segments.merge_sources(_mined(pages, lexicon), _routed(responses), ["doc_id", "name"])
+
+
+def fill_gaps(pages: DataFrame, responses: DataFrame) -> DataFrame:
+    """(doc_id, name, value, source): the metrics mined from pages; of the saved responses only those of the pages on which
+    something that was not found may stand fill the rest. Documents without any metric lack everything."""
+    base = reports.mined_metrics(pages).select("doc_id", "name", "value")
+    every = base.unionByName(pages.select("doc_id").distinct().select("doc_id", F.lit("").alias("name"), F.lit(0.0).alias("value")))
+    wanted = reports.valid_pages(responses, reports.target_pages(every))
+    return segments.merge_sources(base, _routed(wanted), ["doc_id", "name"])
 
 
 def document_envelopes(pages: DataFrame, responses: DataFrame, lexicon: list[tuple[str, str]]) -> DataFrame:

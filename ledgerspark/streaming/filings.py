@@ -38,13 +38,6 @@ def stream_new_filings(raw: DataFrame, filings: DataFrame, out: str, checkpoint:
     return new.writeStream.foreachBatch(lambda batch, n: _keep(batch, out, n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return None
-    return spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in like.schema)}, batch int").parquet(path)
-
-
 def stream_process_filings(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
     """Instance files that arrive in ``folder`` -> facts, segments and statistics tables below ``out``."""
     kind = "path string, modificationTime timestamp, length long, content binary"
@@ -93,30 +86,6 @@ def stream_filing_arrivals(spark: SparkSession, folder: str, out: str, checkpoin
     return both.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_latest_status(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Newest status of each company and its number of events, merged batch by batch into tables below ``out``: what a
-    batch changes is aggregated and joined with the table before it, and written as the table after it."""
-    spark = events.sparkSession
-
-    def step(batch: DataFrame, n: int) -> None:
-        newest = F.max_by("fetch_status", F.struct("created_at", "accession_number"))
-        now = batch.groupBy("cik").agg(newest.alias("fetch_status"), F.max(F.struct("created_at", "accession_number")).alias("at"), F.count("*").alias("events"))
-        before = read_batches(spark, out, now)
-        if before is not None:
-            last = before.where(F.col("batch") < n).agg(F.max("batch")).first()[0]
-            both = now.unionByName(before.where(F.col("batch") == last).drop("batch")) if last is not None else now
-            now = both.groupBy("cik").agg(F.max_by("fetch_status", "at").alias("fetch_status"), F.max("at").alias("at"), F.sum("events").alias("events"))
-        _keep(now, out, n)
-
-    return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def latest_table(spark: SparkSession, out: str, like: str = "cik string, fetch_status string, at struct<created_at:timestamp,accession_number:bigint>, events bigint") -> DataFrame:
-    """The table after the last batch."""
-    rows = spark.read.schema(f"{like}, batch int").parquet(out)
-    return rows.where(F.col("batch") == rows.agg(F.max("batch")).first()[0]).drop("batch")
-
-
 def stream_enrichments(messages: DataFrame, texts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Filing-processed messages (cik, filing_date, sample_facts, axes) -> enrichment rows with the categories of the
     sample's concepts and the filing's text; the model that would judge them is not called, so its columns stay null."""

@@ -111,7 +111,7 @@ def test_document_mining(spark):
     assert [(r.name, r.value, r.percent) for r in documents.table_metrics(pages, [("auto", "automotive")]).collect()] == [("auto", 13967.0, 5.0)]
     assert {(r.name, r.value) for r in documents.quantities(pages).collect()} == {("vehicles", 336681.0), ("gwh", 4.0)}
     r = jobs.analyze_documents(pages).first()
-    assert r.company == "Acme Motors Inc." and r.period == "Q1 2025" and r.doc_type == "earnings" and r.visual_pages == 1
+    assert r.company == "Acme Motors Inc." and r.period == "Q1 2025" and r.doc_type == "earnings" and r.visual_pages == [1] and r.business_model == "general"
     assert documents.classify_tables(pages).first().kind == "segment_financial_time_series"
 
 
@@ -177,17 +177,6 @@ def test_request_stream_sends_once(spark, tmp_path):
     assert [r.accession for r in spark.read.parquet(str(tmp_path / "sent")).collect()] == ["b"]
 
 
-def test_status_stream(spark, tmp_path):
-    kind = "cik string, fetch_status string, created_at timestamp, accession_number long"
-    e = spark.createDataFrame([("1", "failed", dt.datetime(2024, 1, 1), 1), ("1", "completed", dt.datetime(2024, 1, 2), 2)], kind)
-    more = spark.createDataFrame([("1", "processing", dt.datetime(2024, 1, 1), 3), ("2", "failed", dt.datetime(2024, 1, 3), 4)], kind)
-    for part in (e, more):
-        part.write.mode("append").parquet(str(tmp_path / "ev"))
-        streams.stream_latest_status(spark.readStream.schema(e.schema).parquet(str(tmp_path / "ev")), str(tmp_path / "st"), str(tmp_path / "cp3")).awaitTermination()
-    got = {(r.cik, r.fetch_status, r.events) for r in streams.latest_table(spark, str(tmp_path / "st")).collect()}
-    assert got == {("1", "completed", 3), ("2", "failed", 1)}
-
-
 def test_enrichment_stream(spark, tmp_path):
     m = spark.createDataFrame([("1", "2024-01-01", "Revenues=2023-12-31;Assets=2023-12-31", "A")], "cik string, filing_date string, sample_facts string, axes string")
     m.write.parquet(str(tmp_path / "m"))
