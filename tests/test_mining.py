@@ -9,6 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import documents, mining, reports
+from ledgerspark.plans import jobs
 from ledgerspark.sources import orderpages
 
 PAGES = "doc_id string, page_num int, text string, tables array<array<array<string>>>, image_count int"
@@ -105,3 +106,19 @@ def test_headings_with_letters_apart(spark):
     rows = [("d", 2, "O P E R A T I O N A L   S U M M A R Y of", None, 0), ("d", 1, "Operational Summary", None, 0), ("d", 3, "O P E R A T I O N A L", None, 0), ("d", 4, None, None, 0), ("d", 5, "FSD and O U T L O O K", None, 0)]
     got = {r.data_type: r.pages for r in documents.heading_tags(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {"operational_metrics": [1, 2], "technology_metrics": [5], "guidance": [5]}
+
+
+def test_gaps_are_filled_from_target_pages_only(spark):
+    energy = [["Energy", "Q1"], ["Storage deployed (GWh)", "4.5"]]
+    pages = spark.createDataFrame([("has", 1, "none", [energy], 0), ("lacks", 1, "none", None, 0)], PAGES)
+    said = [(d, n, f'{{"margin": "{n}"}}') for d in ("has", "lacks") for n in (1, 8, 9, 25)] + [("other", 1, '{"income": 1}')]
+    got = {(r.doc_id, r.name): (r.value, r.source) for r in jobs.fill_gaps(pages, spark.createDataFrame(said, "doc_id string, page_num int, response string")).collect()}
+    assert got == {("has", "storage_deployed_gwh"): (4.5, "primary"), ("has", "margins"): (25.0, "secondary"), ("lacks", "margins"): (25.0, "secondary")}
+    few = spark.createDataFrame([(d, n, r) for d, n, r in said if n in (8, 9)], "doc_id string, page_num int, response string")
+    assert {(r.doc_id, r.name): r.value for r in jobs.fill_gaps(pages, few).where("name = 'margins'").collect()} == {("lacks", "margins"): 9.0}
+
+
+def test_business_models(spark):
+    rows = [("a", 1, "Delivered 5 units of each vehicle", None, 3), ("b", 1, "3 million and 40 users", None, 0), ("b", 2, None, [[["x", "Q2"], ["y", "1"]]], 1), ("c", 1, "each store has 12 customers", None, 0), ("d", 1, None, None, 0)]
+    got = {r.doc_id: (r.business_model, r.has_operational_metrics, r.has_time_series, r.visual_pages, r.page_count) for r in jobs.analyze_documents(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {"a": ("automotive", True, False, [1], 1), "b": ("technology/saas", True, True, [2], 2), "c": ("retail", True, False, [], 1), "d": ("general", False, False, [], 1)}
