@@ -87,7 +87,7 @@ SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER B
 _add("key_metrics", _facts(reports.key_metrics))
 _add("enrichment_messages", lambda s, d: reports.enrichment_messages(t.facts(s, d), t.segments(s, d)), """SELECT f.cik, sample_facts, axes FROM (SELECT cik, string_agg(concept || '=' || period_end, ';' ORDER BY period_end, concept) AS sample_facts FROM (
 SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik ORDER BY period_end, concept) <= 10) GROUP BY 1) f LEFT JOIN (SELECT cik, array_to_string(list_sort(list(DISTINCT dimension_axis)), ',') AS axes FROM segments GROUP BY 1) g ON f.cik = g.cik""", t.FACTS, t.SEGMENTS)
-_add("facts_of_companies", lambda s, d: reports.of_companies(t.facts(s, d), t.load(s, d, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").cast("string").alias("cik"))).groupBy("cik").agg(F.count("*").alias("n")), "SELECT cik, count(*) AS n FROM facts WHERE cast(cik AS integer) IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1) GROUP BY 1", t.FACTS)
+_add("facts_of_companies", lambda s, d: reports.of_companies(t.facts(s, d), t.load(s, d, "supplier").where("s_nationkey % 5 = 1").select(F.col("s_suppkey").cast("string").alias("cik"))).groupBy("cik").agg(F.count("*").alias("n")), "SELECT cik, count(*) AS n FROM facts WHERE cast(cik AS integer) IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 = 1) GROUP BY 1", t.FACTS)
 
 
 def structured(s: SparkSession, d: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Disclosure tables derived from the star-schema tables, each with its SQL twin.
 
-A company is a supplier nation; a period ends with a quarter of the ship date. Products are cast to decimals
-before they are summed, so no result hangs on the order of rows.
+A company is a supplier, so their number grows with the tables; a period ends with a quarter of the ship date. The
+orders of a customer count for the supplier with the number of the customer modulo the suppliers. Products are cast to
+decimals before they are summed, so no result hangs on the order of rows.
 """
 
 from __future__ import annotations
@@ -43,34 +44,35 @@ def _long(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cik, entity_name, filing_date, period_end, concept, value, unit, segment_dimension, segment_member, source)."""
-    nation = load(spark, sf_dir, "nation")
-    lines = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).withColumn("period_end", quarter_end("l_shipdate"))
-    flows = _long(lines.groupBy(F.col("s_nationkey").alias("nk"), "period_end").agg(*_measures()), ["nk", "period_end"])
-    orders = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn("period_end", quarter_end("o_orderdate"))
+    suppliers = load(spark, sf_dir, "supplier")
+    lines = load(spark, sf_dir, "lineitem").withColumn("period_end", quarter_end("l_shipdate"))
+    flows = _long(lines.groupBy(F.col("l_suppkey").alias("sk"), "period_end").agg(*_measures()), ["sk", "period_end"])
+    count = F.broadcast(suppliers.agg(F.count("*").alias("n")))  # one row
+    orders = load(spark, sf_dir, "orders").crossJoin(count).withColumn("period_end", quarter_end("o_orderdate"))
     price = F.col("o_totalprice")
-    stocks = orders.groupBy(F.col("c_nationkey").alias("nk"), "period_end").agg(_money(price).alias("Assets"), _money(F.when(F.col("o_orderstatus") == "F", price).otherwise(0.0)).alias("StockholdersEquity"))
-    rows = flows.unionByName(_long(stocks, ["nk", "period_end"])).join(nation, F.col("nk") == F.col("n_nationkey"))
+    stocks = orders.groupBy((F.col("o_custkey") % F.col("n")).alias("sk"), "period_end").agg(_money(price).alias("Assets"), _money(F.when(F.col("o_orderstatus") == "F", price).otherwise(0.0)).alias("StockholdersEquity"))
+    rows = flows.unionByName(_long(stocks, ["sk", "period_end"])).join(suppliers, F.col("sk") == F.col("s_suppkey"))
     none = F.lit(None).cast("string")
     return rows.select(
-        F.lpad(F.col("nk").cast("string"), 10, "0").alias("cik"), F.col("n_name").alias("entity_name"), F.date_add("period_end", 45).alias("filing_date"), "period_end", "concept", "value",
+        F.lpad(F.col("sk").cast("string"), 10, "0").alias("cik"), F.col("s_name").alias("entity_name"), F.date_add("period_end", 45).alias("filing_date"), "period_end", "concept", "value",
         F.lit("USD").alias("unit"), none.alias("segment_dimension"), none.alias("segment_member"), F.lit("sec_api").alias("source"),
     )
 
 
 FACTS = """
-flows AS (SELECT s_nationkey AS nk, last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS period_end,
+flows AS (SELECT l_suppkey AS sk, last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS period_end,
   sum(cast(l_extendedprice * (1 - l_discount) AS decimal(18,4))) AS a, sum(cast(l_extendedprice * l_discount AS decimal(18,4))) AS b,
   sum(cast(l_extendedprice * (1 - l_discount - l_tax) AS decimal(18,4))) AS c,
   sum(cast(CASE WHEN l_returnflag = 'R' THEN -(l_extendedprice * (1 - l_discount)) ELSE l_extendedprice * (1 - l_discount) END AS decimal(18,4))) AS d, max(cast(l_extendedprice AS decimal(18,4))) AS e
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
-stocks AS (SELECT c_nationkey AS nk, last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS period_end,
+  FROM lineitem GROUP BY 1, 2),
+stocks AS (SELECT o_custkey % (SELECT count(*) FROM supplier) AS sk, last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS period_end,
   sum(cast(o_totalprice AS decimal(18,4))) AS a, sum(cast(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS decimal(18,4))) AS b
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-facts AS (SELECT lpad(cast(nk AS varchar), 10, '0') AS cik, n_name AS entity_name, period_end + 45 AS filing_date, period_end, concept, value, 'USD' AS unit, 'sec_api' AS source FROM (
-  SELECT nk, period_end, 'Revenues' AS concept, a AS value FROM flows UNION ALL SELECT nk, period_end, 'CostOfRevenue', b FROM flows
-  UNION ALL SELECT nk, period_end, 'OperatingIncomeLoss', c FROM flows UNION ALL SELECT nk, period_end, 'NetIncomeLoss', d FROM flows
-  UNION ALL SELECT nk, period_end, 'EarningsPerShareBasic', e FROM flows
-  UNION ALL SELECT nk, period_end, 'Assets', a FROM stocks UNION ALL SELECT nk, period_end, 'StockholdersEquity', b FROM stocks) JOIN nation ON nk = n_nationkey)
+  FROM orders GROUP BY 1, 2),
+facts AS (SELECT lpad(cast(sk AS varchar), 10, '0') AS cik, s_name AS entity_name, period_end + 45 AS filing_date, period_end, concept, value, 'USD' AS unit, 'sec_api' AS source FROM (
+  SELECT sk, period_end, 'Revenues' AS concept, a AS value FROM flows UNION ALL SELECT sk, period_end, 'CostOfRevenue', b FROM flows
+  UNION ALL SELECT sk, period_end, 'OperatingIncomeLoss', c FROM flows UNION ALL SELECT sk, period_end, 'NetIncomeLoss', d FROM flows
+  UNION ALL SELECT sk, period_end, 'EarningsPerShareBasic', e FROM flows
+  UNION ALL SELECT sk, period_end, 'Assets', a FROM stocks UNION ALL SELECT sk, period_end, 'StockholdersEquity', b FROM stocks) JOIN supplier ON sk = s_suppkey)
 """
 
 AXES = {"ProductOrServiceAxis": "p_brand", "StatementGeographicalAxis": "r_name", "StatementBusinessSegmentsAxis": "c_mktsegment"}
@@ -80,26 +82,26 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(cik, dimension_axis, dimension_member, concept, period_end, value): revenue and income by axis member."""
     t = lambda n: load(spark, sf_dir, n)
     lines = (
-        t("lineitem").join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+        t("lineitem").join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("period_end", quarter_end("l_shipdate"))
     )
     axes = ["p_brand", "r_name", "c_mktsegment"]
-    lines = lines.groupBy("s_nationkey", "period_end", *axes).agg(_measures()[0], _measures()[3])  # before a line is laid out by axis
+    lines = lines.groupBy("l_suppkey", "period_end", *axes).agg(_measures()[0], _measures()[3])  # before a line is laid out by axis
     pairs = F.explode(F.array(*[F.struct(F.lit(a).alias("dimension_axis"), F.col(c).alias("dimension_member")) for a, c in AXES.items()]))
-    wide = lines.select("s_nationkey", "period_end", "Revenues", "NetIncomeLoss", pairs.alias("x"))
+    wide = lines.select("l_suppkey", "period_end", "Revenues", "NetIncomeLoss", pairs.alias("x"))
     keys = ["cik", "dimension_axis", "dimension_member", "period_end"]
-    wide = wide.groupBy(F.lpad(F.col("s_nationkey").cast("string"), 10, "0").alias("cik"), F.col("x.dimension_axis"), F.col("x.dimension_member"), "period_end")
+    wide = wide.groupBy(F.lpad(F.col("l_suppkey").cast("string"), 10, "0").alias("cik"), F.col("x.dimension_axis"), F.col("x.dimension_member"), "period_end")
     total = lambda c: F.sum(c).cast("decimal(38,4)").alias(c)
     return _long(wide.agg(total("Revenues"), total("NetIncomeLoss")), keys).select("cik", "dimension_axis", "dimension_member", "concept", "period_end", "value")
 
 
 SEGMENTS = """
-seglines AS (SELECT lpad(cast(s_nationkey AS varchar), 10, '0') AS cik, last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS period_end,
+seglines AS (SELECT lpad(cast(l_suppkey AS varchar), 10, '0') AS cik, last_day(date_trunc('quarter', l_shipdate) + INTERVAL 2 MONTH) AS period_end,
   p_brand, r_name, c_mktsegment, cast(l_extendedprice * (1 - l_discount) AS decimal(18,4)) AS a,
   cast(CASE WHEN l_returnflag = 'R' THEN -(l_extendedprice * (1 - l_discount)) ELSE l_extendedprice * (1 - l_discount) END AS decimal(18,4)) AS b
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 segwide AS (SELECT cik, 'ProductOrServiceAxis' AS dimension_axis, p_brand AS dimension_member, period_end, sum(a) AS a, sum(b) AS b FROM seglines GROUP BY 1, 2, 3, 4
   UNION ALL SELECT cik, 'StatementGeographicalAxis', r_name, period_end, sum(a), sum(b) FROM seglines GROUP BY 1, 2, 3, 4
