@@ -219,7 +219,7 @@ def report_pages(s: SparkSession, d: str) -> DataFrame:
 DOCS = ", docs AS (SELECT cik || '/' || cast(period_end AS varchar) AS doc_id, floor(revenue) AS r, floor(operating_income) AS o FROM model WHERE revenue IS NOT NULL) "
 _add("text_metrics", lambda s, d: documents.text_metrics(report_pages(s, d)).select("doc_id", "name", "value_millions", "unit"), DOCS + "SELECT doc_id, 'total_revenue' AS name, r AS value_millions, 'million' AS unit FROM docs UNION ALL SELECT doc_id, 'operating_income', o, 'million' FROM docs WHERE o >= 0", t.FACTS, MODEL)
 _add("table_metrics", lambda s, d: documents.table_metrics(report_pages(s, d), LEXICON).select("doc_id", "name", "value", "percent"), DOCS + "SELECT doc_id, 'total_revenue' AS name, r AS value, 5.0::double AS percent FROM docs UNION ALL SELECT doc_id, 'operating_income', o, 2.0::double FROM docs", t.FACTS, MODEL)
-_add("report_sections", lambda s, d: documents.sections(report_pages(s, d)).select("doc_id", "data_type", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"), "priority"), DOCS + "SELECT doc_id, 'financial' AS data_type, '1' AS pages, 'high' AS priority FROM docs UNION ALL SELECT doc_id, 'segment', '2', 'medium' FROM docs", t.FACTS, MODEL)
+_add("report_sections", lambda s, d: documents.sections(report_pages(s, d).where("page_num = 1 or cast(substring(doc_id, 1, 10) AS int) % 4 > 0")).select("doc_id", "data_type", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"), "priority"), DOCS + "SELECT doc_id, 'financial' AS data_type, '1' AS pages, 'high' AS priority FROM docs UNION ALL SELECT doc_id, 'segment', '2', 'medium' FROM docs WHERE cast(substr(doc_id, 1, 10) AS integer) % 4 > 0", t.FACTS, MODEL)
 
 
 def responses(s: SparkSession, d: str) -> DataFrame:
@@ -233,5 +233,22 @@ def responses(s: SparkSession, d: str) -> DataFrame:
 
 _add("json_leaves", lambda s, d: extracted.json_leaves(responses(s, d)).select("doc_id", "path", "key", dbl("value").alias("value"), "type"), """SELECT event_id AS doc_id, 'revenue.total' AS path, 'total' AS key, cast(cast(value AS decimal(18,2)) AS double) AS value, 'revenue' AS type FROM events
 UNION ALL SELECT event_id, 'detail[0].k', 'k', cast(json_extract(props, '$.k') AS double), 'other' FROM events""")
-_add("leaf_types", lambda s, d: extracted.type_histogram(extracted.json_leaves(responses(s, d))), "SELECT 'revenue' AS type, count(*) AS n, count(DISTINCT event_id) AS documents FROM events UNION ALL SELECT 'other', count(*), count(DISTINCT event_id) FROM events")
-_add("routed_values", lambda s, d: extracted.route_values(extracted.json_leaves(responses(s, d))).groupBy("target_path").agg(F.count("*").alias("n")), "SELECT 'revenue.total' AS target_path, count(*) AS n FROM events UNION ALL SELECT 'other', count(*) FROM events")
+#: Places of a figure in a response, by the type of its event.
+PLACES = {"signup": "segment.gross_margin", "view": "total.revenue", "click": "vehicles.deliveries", "error": "net_income", "purchase": "segment.sales"}
+
+
+def placed_responses(s: SparkSession, d: str) -> DataFrame:
+    """A response for each event whose figure stands where its type tells; some are shares, of some there is no figure."""
+    place = F.element_at(F.create_map(*[F.lit(x) for kv in PLACES.items() for x in kv]), F.col("event_type"))
+    outer, inner = F.split_part(place, F.lit("."), F.lit(1)), F.split_part(place, F.lit("."), F.lit(-1))
+    figure = F.when(F.col("event_id") % 7 == 0, "n/a").when(F.col("event_id") % 5 == 0, "12%").otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    text = F.format_string('{"%s": {"%s": "%s"}, "rate": "%s"}', outer, inner, figure, F.when(F.col("event_id") % 2 == 0, "7%").otherwise("7"))
+    return t.load(s, d, "events").select(F.col("event_id").alias("doc_id"), F.lit(1).alias("page_num"), text.alias("response"))
+
+
+_add("leaf_types", lambda s, d: extracted.type_histogram(extracted.json_leaves(placed_responses(s, d))), """SELECT type, count(*) AS n, count(DISTINCT event_id) AS documents FROM (
+SELECT event_id, CASE event_type WHEN 'signup' THEN 'margin' WHEN 'view' THEN 'revenue' WHEN 'purchase' THEN 'revenue' WHEN 'error' THEN 'income' WHEN 'click' THEN CASE WHEN event_id % 5 = 0 AND event_id % 7 > 0 THEN 'percentage' ELSE 'other' END END AS type FROM events
+UNION ALL SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'percentage' ELSE 'other' END FROM events) GROUP BY 1""")
+_add("routed_values", lambda s, d: extracted.route_values(extracted.json_leaves(placed_responses(s, d))).groupBy("target_path").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total")), """SELECT target_path, count(*) AS n, sum(v)::double AS total FROM (
+SELECT CASE event_type WHEN 'signup' THEN 'segments' WHEN 'purchase' THEN 'segments' WHEN 'view' THEN 'revenue.total' WHEN 'click' THEN 'operational' ELSE 'income' END AS target_path, CASE WHEN event_id % 5 = 0 THEN 12 ELSE value END::decimal(18,2) AS v FROM events WHERE event_id % 7 > 0
+UNION ALL SELECT 'other', 7 FROM events) GROUP BY 1""")

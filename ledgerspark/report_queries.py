@@ -46,6 +46,18 @@ def metrics(s: SparkSession, d: str) -> DataFrame:
     return varied(s, d).select("doc_id", F.explode(every).alias("m")).select("doc_id", "m.name", "m.value", F.lit(1).alias("page_num"), F.lit("table").alias("source"))
 
 
+def fuller_metrics(s: SparkSession, d: str) -> DataFrame:
+    """The metric rows, and in every fourth report all required ones, but for the deliveries in every eighth."""
+    names = F.array(*[F.lit(n) for ns in reports.REQUIRED.values() for n in ns])
+    more = varied(s, d).where("nk % 4 = 0").select("doc_id", "nk", F.explode(names).alias("name")).where("nk % 8 = 0 or name <> 'deliveries_total'")
+    return metrics(s, d).unionByName(more.select("doc_id", "name", F.lit(1.0).alias("value"), F.lit(1).alias("page_num"), F.lit("table").alias("source")))
+
+
+def fewer_pages(s: SparkSession, d: str) -> DataFrame:
+    """The pages without the third in every fourth report."""
+    return pages(s, d).where("page_num < 3 or cast(substring(doc_id, 1, 10) AS int) % 4 > 0")
+
+
 VARIED = DOCS.replace("floor(operating_income) AS o FROM", "floor(operating_income) AS o, cast(cik AS integer) AS nk, month(period_end) AS mo FROM")
 MINED = """, mined AS (SELECT doc_id, 'storage_deployed_gwh' AS name, nk + 0.25::double AS value, 2 AS page_num, 'table' AS source FROM docs WHERE nk % 2 = 0 UNION ALL SELECT doc_id, 'solar_deployed_mw', nk + 10, 2, 'table' FROM docs WHERE nk % 2 = 0
 UNION ALL SELECT doc_id, 'storage_deployed_gwh', nk + 0.5::double, 1, 'text_extraction' FROM docs WHERE nk % 2 = 1 AND mo IN (3, 6) UNION ALL SELECT doc_id, 'deliveries_total', nk * 100, 1, 'text_extraction' FROM docs WHERE mo = 3 AND nk * 100 > 1000) """
@@ -60,11 +72,13 @@ _add("mined_metrics", lambda s, d: reports.mined_metrics(pages(s, d)), VARIED +
 _add("found_flags", lambda s, d: reports.found_flags(metrics(s, d)), VARIED + METRICS + f"""SELECT doc_id, category, count(value) > 0 AS found, coalesce(array_to_string(list_sort(list(v.name) FILTER (value IS NULL)), ','), '') AS missing
 FROM (SELECT DISTINCT doc_id FROM ms) CROSS JOIN (VALUES {REQUIRED}) v(category, name) LEFT JOIN ms USING (doc_id, name) GROUP BY 1, 2""", *SOURCES)
 COVER = f", cover AS (SELECT doc_id, count(*)::integer AS found, bool_or(name = 'deliveries_total') AS d, bool_or(name = 'storage_deployed_gwh') AS g FROM ms WHERE name IN (SELECT name FROM (VALUES {REQUIRED}) v(category, name)) GROUP BY 1) "
-_add("category_coverage", lambda s, d: reports.category_coverage(metrics(s, d)), VARIED + METRICS + COVER + """SELECT doc_id, found, 19 AS total, found / 19 AS score,
-concat_ws(', ', CASE WHEN NOT d THEN 'Vehicle deliveries' END, CASE WHEN NOT g THEN 'Energy storage metrics' END) AS critical_missing, false AS is_complete FROM cover""", *SOURCES)
+FULLER = f""", fuller AS (SELECT doc_id, name FROM ms UNION SELECT doc_id, name FROM docs, (VALUES {REQUIRED}) v(category, name) WHERE nk % 4 = 0 AND (nk % 8 = 0 OR name <> 'deliveries_total')),
+covered AS (SELECT doc_id, count(*)::integer AS found, bool_or(name = 'deliveries_total') AS d, bool_or(name = 'storage_deployed_gwh') AS g, bool_or(name = 'total_revenue') AS t FROM fuller WHERE name IN (SELECT name FROM (VALUES {REQUIRED}) v(category, name)) GROUP BY 1) """
+_add("category_coverage", lambda s, d: reports.category_coverage(fuller_metrics(s, d)), VARIED + METRICS + FULLER + """SELECT doc_id, found, 19 AS total, found / 19 AS score,
+concat_ws(', ', CASE WHEN NOT d THEN 'Vehicle deliveries' END, CASE WHEN NOT g THEN 'Energy storage metrics' END, CASE WHEN NOT t THEN 'Revenue breakdown by segment' END) AS critical_missing, found / 19 >= 0.8 AND d AND g AND t AS is_complete FROM covered""", *SOURCES)
 _add("target_pages", lambda s, d: reports.target_pages(metrics(s, d)).select("doc_id", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages")), VARIED + """SELECT doc_id, '1,2,3,6' || CASE WHEN nk % 2 = 1 THEN ',9,10,11' ELSE '' END
 || CASE WHEN nk % 3 <> 0 THEN ',25,26,27' ELSE '' END AS pages FROM docs""", *SOURCES)
-_add("valid_pages", lambda s, d: reports.valid_pages(p := pages(s, d), reports.target_pages(metrics(s, d)).withColumn("pages", F.filter("pages", lambda x: x > 1))).select("doc_id", "page_num"), VARIED + "SELECT doc_id, unnest([2, 3]) AS page_num FROM docs", *SOURCES)
+_add("valid_pages", lambda s, d: reports.valid_pages(fewer_pages(s, d), reports.target_pages(metrics(s, d)).withColumn("pages", F.filter("pages", lambda x: x > 1))).select("doc_id", "page_num"), VARIED + "SELECT doc_id, unnest(CASE WHEN nk % 4 > 0 THEN [2, 3] ELSE [2] END) AS page_num FROM docs", *SOURCES)
 GROUPS = ", gs AS (SELECT doc_id, 1 AS page_num, CASE WHEN nk % 3 = 0 THEN 'financial,guidance' ELSE 'operational' END AS data_types FROM docs UNION ALL SELECT doc_id, 2, 'operational' FROM docs UNION ALL SELECT doc_id, 3, 'segment' FROM docs) "
 _add("page_groups", lambda s, d: reports.page_groups(documents.sections(pages(s, d))), VARIED + GROUPS + "SELECT * FROM gs", *SOURCES)
 _add("extraction_plan", lambda s, d: documents.sections(pages(s, d)).select("doc_id", "data_type", F.array_join(F.col("pages").cast("array<string>"), ",").alias("pages"), "priority"), VARIED + """SELECT doc_id, 'financial' AS data_type, '1' AS pages, 'high' AS priority FROM docs WHERE nk % 3 = 0
@@ -84,7 +98,9 @@ _add("expected_fields", lambda s, d: reports.expected_fields(documents.sections(
 UNION ALL SELECT doc_id, 'percentage', 3, 1 FROM docs WHERE nk % 3 = 0 UNION ALL SELECT doc_id, unnest(['count', 'gwh', 'mw']), unnest([6, 1, 1]), CASE WHEN nk % 3 = 0 THEN 2 ELSE 1 END FROM docs""", *SOURCES)
 _add("first_values", _facts(lambda f: reports.first_values(f, most=4)), """SELECT cik, entity_name, concept, cast(value AS double) AS value, unit, period_end FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY concept) AS k FROM (
 SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) = 1)) WHERE k <= 4""", t.FACTS)
-_add("key_metrics", _facts(reports.key_metrics))
+KEY = ", ".join(f"'{c}'" for c in reports.KEY_METRICS)
+_add("key_metrics", _facts(reports.key_metrics), f"""SELECT cik, concept, CASE WHEN v > 1000000 THEN format('{{:,.1f}}M', v / 1000000) ELSE format('{{:,.2f}}', v) END AS shown, unit, period_end
+FROM (SELECT *, cast(value AS double) AS v FROM facts WHERE concept IN ({KEY}) QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) = 1)""", t.FACTS)
 _add("enrichment_messages", lambda s, d: reports.enrichment_messages(t.facts(s, d), t.segments(s, d)), """SELECT f.cik, sample_facts, axes FROM (SELECT cik, string_agg(concept || '=' || period_end, ';' ORDER BY period_end, concept) AS sample_facts FROM (
 SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik ORDER BY period_end, concept) <= 10) GROUP BY 1) f LEFT JOIN (SELECT cik, array_to_string(list_sort(list(DISTINCT dimension_axis)), ',') AS axes FROM segments GROUP BY 1) g ON f.cik = g.cik""", t.FACTS, t.SEGMENTS)
 _add("facts_of_companies", lambda s, d: reports.of_companies(t.facts(s, d), t.load(s, d, "supplier").where("s_nationkey % 5 = 1").select(F.col("s_suppkey").cast("string").alias("cik"))).groupBy("cik").agg(F.count("*").alias("n")), "SELECT cik, count(*) AS n FROM facts WHERE cast(cik AS integer) IN (SELECT s_suppkey FROM supplier WHERE s_nationkey % 5 = 1) GROUP BY 1", t.FACTS)
@@ -102,20 +118,28 @@ _add("structured_rows", lambda s, d: reports.structured_rows(structured(s, d)),
 UNION ALL SELECT doc_id, 'margins', 'gross', mo FROM docs UNION ALL SELECT doc_id, 'geographic', 'North America', nk * 1000 FROM docs UNION ALL SELECT doc_id, 'operational', 'energy_storage_gwh', nk + 0.25 FROM docs WHERE nk % 2 = 0""", *SOURCES)
 
 
+def saved(s: SparkSession, d: str) -> DataFrame:
+    """Saved responses: of the first page, blank in spring; of the second, blank or missing in two reports of three."""
+    nk, page = F.col("nk") % 3, lambda n, x: F.struct(F.lit(n).alias("page_num"), x.alias("response"))
+    both = F.array(page(1, F.when(F.col("mo") == 3, " ").otherwise("{}")), page(2, F.when(nk == 0, "{}").otherwise(" ")))
+    return varied(s, d).select("doc_id", "nk", F.explode(both).alias("p")).where("p.page_num = 1 or nk % 3 < 2").select("doc_id", "p.*")
+
+
 def leaves(s: SparkSession, d: str) -> DataFrame:
     return extracted.json_leaves(structured(s, d).withColumn("page_num", F.lit(1)))
 
 
-_add("structure_score", lambda s, d: reports.structure_score(leaves(s, d), metrics(s, d).withColumn("value", F.when(F.col("name") != "europe", F.col("value")))), VARIED + METRICS + """SELECT doc_id, 3 AS depth, count(*) AS metric_count, (1 + count(CASE WHEN name <> 'europe' THEN 1 END) / count(*)) / 2 AS score FROM ms GROUP BY 1""", *SOURCES)
+_add("structure_score", lambda s, d: reports.structure_score(leaves(s, d).where("cast(substring(doc_id, 1, 10) AS int) % 3 > 0 or not path like '%.%.%'"), metrics(s, d).withColumn("value", F.when(F.col("name") != "europe", F.col("value")))), VARIED + METRICS + """SELECT doc_id, CASE WHEN cast(substr(doc_id, 1, 10) AS integer) % 3 > 0 THEN 3 ELSE 2 END AS depth, count(*) AS metric_count, (1 + count(CASE WHEN name <> 'europe' THEN 1 END) / count(*)) / 2 AS score FROM ms GROUP BY 1""", *SOURCES)
 _add("validation_report", lambda s, d: reports.validation_report(leaves(s, d), metrics(s, d)), VARIED + METRICS + COVER + RULES + """SELECT doc_id, 1.0::double AS structure, found / 19 AS coverage, concat_ws(', ', CASE WHEN NOT d THEN 'Vehicle deliveries' END, CASE WHEN NOT g THEN 'Energy storage metrics' END) AS critical_missing,
 errors, warnings, errors = '' AS is_valid, (1 + found / 19 + (errors = '')::int) / 3 AS overall, (1 + found / 19 + (errors = '')::int) / 3 >= 0.7 AS is_complete FROM cover JOIN ran USING (doc_id)""", *SOURCES)
 _add("document_advice", lambda s, d: reports.advice(reports.validation_report(leaves(s, d), metrics(s, d)).select("doc_id", F.col("overall").alias("score"), "errors", F.size(F.filter(F.split("warnings", ","), lambda x: x != "")).alias("issues"), F.lit("traditional").alias("method"), F.lit("platform").alias("business_model"))), VARIED + METRICS + COVER + RULES + """SELECT doc_id,
 concat_ws('; ', CASE WHEN x < 0.7 THEN 'low completeness' END, CASE WHEN errors <> '' THEN 'hierarchy errors' END, CASE WHEN warnings <> '' THEN len(string_split(warnings, ',')) || ' quality issues' END, 'traditional extraction', CASE WHEN x < 0.8 THEN 'check metrics of platform' END) AS advice
 FROM (SELECT doc_id, errors, warnings, (1 + found / 19 + (errors = '')::int) / 3 AS x FROM cover JOIN ran USING (doc_id))""", *SOURCES)
 _add("typed_fields", lambda s, d: reports.typed_fields(leaves(s, d), reports.page_groups(documents.sections(pages(s, d)))).groupBy("doc_id", "data_type").agg(F.count("*").alias("fields")), VARIED + "SELECT doc_id, unnest(CASE WHEN nk % 3 = 0 THEN ['financial', 'guidance'] ELSE ['operational'] END) AS data_type, 4 + (nk % 2 = 0)::int AS fields FROM docs", *SOURCES)
-_add("extraction_summary", lambda s, d: reports.extraction_summary(reports.page_groups(documents.sections(pages(s, d))), pages(s, d).where("page_num < 3").select("doc_id", "page_num", F.when(F.col("page_num") == 1, "{}").otherwise(" ").alias("response"))), VARIED + "SELECT doc_id, 3 AS requested, 1 AS processed, 1 AS errors FROM docs", *SOURCES)
+_add("extraction_summary", lambda s, d: reports.extraction_summary(reports.page_groups(documents.sections(fewer_pages(s, d))), saved(s, d)), VARIED + """SELECT doc_id, CASE WHEN nk % 4 > 0 THEN 3 ELSE 2 END AS requested,
+(mo > 3)::int + (nk % 3 = 0)::int AS processed, (mo = 3)::int + (nk % 3 = 1)::int AS errors FROM docs""", *SOURCES)
 _add("metric_classes", lambda s, d: documents.mentions(pages(s, d), documents.MONEY).select("doc_id", exprs.financial_class(F.col("context")).alias("class"), exprs.operational_class(F.col("context"), F.col("hit")).alias("operational")), VARIED + "SELECT doc_id, 'total_revenue' AS class, CASE WHEN mo = 3 THEN 'vehicle_deliveries' END AS operational FROM docs", *SOURCES)
-_add("selected_pages", lambda s, d: documents.page_selection(pages(s, d), 2).select("doc_id", "page_num", "priority"), VARIED + "SELECT doc_id, unnest([3, 1]) AS page_num, unnest([0.9, 0.7])::double AS priority FROM docs", *SOURCES)
+_add("selected_pages", lambda s, d: documents.page_selection(fewer_pages(s, d), 2).select("doc_id", "page_num", "priority"), VARIED + "SELECT doc_id, unnest(CASE WHEN nk % 4 > 0 THEN [3, 1] ELSE [1, 2] END) AS page_num, unnest(CASE WHEN nk % 4 > 0 THEN [0.9, 0.7] ELSE [0.7, 0.7] END)::double AS priority FROM docs", *SOURCES)
 _add("request_keys", lambda s, d: pages(s, d).select("doc_id", "page_num", exprs.request_key(F.col("doc_id"), F.col("page_num"), F.lit("extract")).alias("key")), VARIED + "SELECT doc_id, p AS page_num, md5(doc_id || ':' || p || ':extract') AS key FROM docs, (VALUES (1), (2), (3)) v(p)", *SOURCES)
 
 __all__ = ["ORACLES", "QUERIES"]  # those of ``queries`` and of this module
