@@ -94,10 +94,12 @@ UNION ALL SELECT doc_id, 'margin_calculation', 0.005, false FROM docs WHERE nk %
 RULES = ", ran AS (SELECT doc_id, CASE WHEN nk % 5 <> 0 THEN '' WHEN ceil(r / 2) > 0.01 * r THEN 'segment_completeness,sum_to_parent' ELSE 'segment_completeness' END AS errors, concat_ws(',', CASE WHEN nk % 7 = 0 AND nk % 2 = 1 THEN 'margin_calculation' END, CASE WHEN nk % 7 = 0 AND nk * mo > 100 THEN 'percentage_range' END) AS warnings FROM docs) "
 _add("rule_results", lambda s, d: reports.run_rules(reports.rules(m := metrics(s, d)), m), VARIED + RULES + "SELECT *, errors = '' AS is_valid FROM ran", *SOURCES)
 _add("margin_check", lambda s, d: quality.margin_check(metrics(s, d)), VARIED + "SELECT doc_id, (50 + nk % 2 * 3)::double AS gross_margin, (r - floor(r / 2)) / r * 100 AS recomputed, abs((r - floor(r / 2)) / r * 100 - (50 + nk % 2 * 3)) < 1 AS is_valid FROM docs", *SOURCES)
-_add("expected_fields", lambda s, d: reports.expected_fields(documents.sections(pages(s, d))).groupBy("doc_id", "unit").agg(F.count("*").alias("fields"), F.min("page_num").alias("first_page")), VARIED + """SELECT doc_id, 'millions' AS unit, CASE WHEN nk % 3 = 0 THEN 8 ELSE 4 END AS fields, CASE WHEN nk % 3 = 0 THEN 1 ELSE 3 END AS first_page FROM docs
-UNION ALL SELECT doc_id, 'percentage', 3, 1 FROM docs WHERE nk % 3 = 0 UNION ALL SELECT doc_id, unnest(['count', 'gwh', 'mw']), unnest([6, 1, 1]), CASE WHEN nk % 3 = 0 THEN 2 ELSE 1 END FROM docs""", *SOURCES)
-_add("first_values", _facts(lambda f: reports.first_values(f, most=4)), """SELECT cik, entity_name, concept, cast(value AS double) AS value, unit, period_end FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY concept) AS k FROM (
-SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) = 1)) WHERE k <= 4""", t.FACTS)
+_add("expected_fields", lambda s, d: reports.expected_fields(documents.sections(pages(s, d))), VARIED + f"""SELECT doc_id, category || '.' || name AS path,
+CASE category WHEN 'margins' THEN 'percentage' WHEN 'vehicle_metrics' THEN 'count' WHEN 'energy_metrics' THEN regexp_extract(name, '[a-z]+$') ELSE 'millions' END AS unit,
+CASE WHEN category = 'geographic_segments' THEN 3 WHEN category LIKE '%\\_metrics' ESCAPE '\\' AND nk % 3 = 0 THEN 2 ELSE 1 END AS page_num
+FROM docs, (VALUES {REQUIRED}) v(category, name) WHERE category NOT IN ('financial_segments', 'margins') OR nk % 3 = 0""", *SOURCES)
+_add("first_values", _facts(lambda f: reports.first_values(f)), """SELECT cik, entity_name, concept, cast(value AS double) AS value, unit, period_end FROM (SELECT *, row_number() OVER (PARTITION BY cik ORDER BY concept) AS k FROM (
+SELECT * FROM facts QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) = 1)) WHERE k <= 100""", t.FACTS)
 KEY = ", ".join(f"'{c}'" for c in reports.KEY_METRICS)
 _add("key_metrics", _facts(reports.key_metrics), f"""SELECT cik, concept, CASE WHEN v > 1000000 THEN format('{{:,.1f}}M', v / 1000000) ELSE format('{{:,.2f}}', v) END AS shown, unit, period_end
 FROM (SELECT *, cast(value AS double) AS v FROM facts WHERE concept IN ({KEY}) QUALIFY row_number() OVER (PARTITION BY cik, concept ORDER BY period_end DESC) = 1)""", t.FACTS)
@@ -135,7 +137,9 @@ errors, warnings, errors = '' AS is_valid, (1 + found / 19 + (errors = '')::int)
 _add("document_advice", lambda s, d: reports.advice(reports.validation_report(leaves(s, d), metrics(s, d)).select("doc_id", F.col("overall").alias("score"), "errors", F.size(F.filter(F.split("warnings", ","), lambda x: x != "")).alias("issues"), F.lit("traditional").alias("method"), F.lit("platform").alias("business_model"))), VARIED + METRICS + COVER + RULES + """SELECT doc_id,
 concat_ws('; ', CASE WHEN x < 0.7 THEN 'low completeness' END, CASE WHEN errors <> '' THEN 'hierarchy errors' END, CASE WHEN warnings <> '' THEN len(string_split(warnings, ',')) || ' quality issues' END, 'traditional extraction', CASE WHEN x < 0.8 THEN 'check metrics of platform' END) AS advice
 FROM (SELECT doc_id, errors, warnings, (1 + found / 19 + (errors = '')::int) / 3 AS x FROM cover JOIN ran USING (doc_id))""", *SOURCES)
-_add("typed_fields", lambda s, d: reports.typed_fields(leaves(s, d), reports.page_groups(documents.sections(pages(s, d)))).groupBy("doc_id", "data_type").agg(F.count("*").alias("fields")), VARIED + "SELECT doc_id, unnest(CASE WHEN nk % 3 = 0 THEN ['financial', 'guidance'] ELSE ['operational'] END) AS data_type, 4 + (nk % 2 = 0)::int AS fields FROM docs", *SOURCES)
+_add("typed_fields", lambda s, d: reports.typed_fields(leaves(s, d), reports.page_groups(documents.sections(pages(s, d)))), VARIED + """, leaf AS (SELECT doc_id, nk, unnest(['revenue.total', 'revenue.segments.energy_storage', 'margins.Gross', 'operational.Energy.storage_gwh', 'geographic.north_america']) AS path,
+unnest(['$' || r::bigint || 'M', '(' || nk || ')', mo || '%', CASE WHEN nk % 2 = 0 THEN nk || '.25' END, nk || 'B']) AS value FROM docs)
+SELECT doc_id, unnest(CASE WHEN nk % 3 = 0 THEN ['financial', 'guidance'] ELSE ['operational'] END) AS data_type, path, value FROM leaf WHERE value IS NOT NULL""", *SOURCES)
 _add("extraction_summary", lambda s, d: reports.extraction_summary(reports.page_groups(documents.sections(fewer_pages(s, d))), saved(s, d)), VARIED + """SELECT doc_id, CASE WHEN nk % 4 > 0 THEN 3 ELSE 2 END AS requested,
 (mo > 3)::int + (nk % 3 = 0)::int AS processed, (mo = 3)::int + (nk % 3 = 1)::int AS errors FROM docs""", *SOURCES)
 _add("metric_classes", lambda s, d: documents.mentions(pages(s, d), documents.MONEY).select("doc_id", exprs.financial_class(F.col("context")).alias("class"), exprs.operational_class(F.col("context"), F.col("hit")).alias("operational")), VARIED + "SELECT doc_id, 'total_revenue' AS class, CASE WHEN mo = 3 THEN 'vehicle_deliveries' END AS operational FROM docs", *SOURCES)
