@@ -31,3 +31,23 @@ def test_document_analysis_numbers_that_read_as_years(spark, later_suppliers):
     got = QUERIES["document_analysis"](spark, later_suppliers).toPandas()
     assert len(got) and got["has_time_series"].all()
     assert differences(got, oracle(SF, sql.replace("FROM supplier", f"FROM '{later_suppliers}/supplier.parquet/*.parquet'"))) == ""
+
+
+def _exchanges(df) -> int:
+    return sum("Exchange hashpartitioning" in line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Final Plan" not in line)
+
+
+def test_segments_lie_by_company(spark):
+    from ledgerspark.operators import views
+    from ledgerspark.sources import testtables
+
+    s = testtables.segments(spark, SF)
+    rows = _exchanges(s)
+    assert rows <= 7 and _exchanges(views.segment_growth(s)) == rows  # the window finds the rows of a company together
+
+
+def test_segment_tasks_follow_the_lines(spark, monkeypatch):
+    from ledgerspark.sources import testtables
+
+    monkeypatch.setattr(testtables, "LINES", 100)  # of 6000 lines
+    assert testtables.segments(spark, SF).rdd.getNumPartitions() >= 55
