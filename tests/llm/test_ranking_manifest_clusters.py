@@ -76,6 +76,27 @@ def test_quality_threshold_is_a_quantile_of_all_documents(spark):
     assert model.level == 0.4 and got == {i: int(i < 60) for i in range(100)}
 
 
+@pytest.mark.parametrize("bad", [4500, 3])
+def test_quality_learns_from_all_labelled_documents(spark, monkeypatch, bad):
+    # 9000 documents of label 1 and more or fewer of label 0, in many blocks: the weights are those of the pairs of all of them.
+    monkeypatch.setattr(ranking, "PART", 1000)
+    monkeypatch.setattr(ranking, "ASKED", 64)
+    rng = np.random.default_rng(5)
+    y = np.array([1] * 9000 + [0] * bad)
+    x = rng.standard_normal((len(y), 3)) + np.outer(y, [1.0, 0.2, 0.0])
+    rows = spark.createDataFrame([(i, True, v.tolist()) for i, v in enumerate(x)], "doc_id long, open boolean, f array<double>").cache()
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, quality int")
+    model = ranking.fit(rows, labels)
+    h = {r.doc_id: r.h for r in rows.select("doc_id", F.shiftrightunsigned(F.xxhash64(F.lit(ranking.SEED), "doc_id", "f"), 1).alias("h")).collect()}
+    order = sorted(range(len(y)), key=h.get)
+    win, lose = ranking.pairs(y[order])
+    spread = x.std(axis=0)
+    assert len(win) == 36_000 and np.allclose(model.weights, ranking.strengths(x[order] / spread, win, lose) / spread, atol=1e-6)
+    good = x @ model.weights >= model.cut
+    best = max((x[y == 1] @ model.weights >= c).mean() + (x[y == 0] @ model.weights < c).mean() for c in x @ model.weights)
+    assert good[y == 1].mean() + (~good)[y == 0].mean() > best - 0.01
+
+
 def test_quality_edge_cases(spark, edge, empty):
     labels = spark.createDataFrame([(i, i % 2, 5) for i in range(1, 12)] + [(9, 0, 5), (None, 1, 5), (3, None, 5)], "doc_id long, quality int, f int")
     clash = edge.withColumns({"f": F.lit(1), "open": F.lit(2), "y": F.lit(3), "h": F.lit(4), "score": F.lit(5)})
