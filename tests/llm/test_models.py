@@ -120,6 +120,22 @@ def test_toxicity_edge_cases(spark, edge, empty, monkeypatch):
     assert toxicity.score(empty, model).count() == 0
 
 
+def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
+    # 1200 labelled texts in parts of about 100 of a label: three quarters of them are counted in training, and words that few toxic texts hold are learnt.
+    rng, seen = np.random.default_rng(3), []
+    common = [f"plain{i}" for i in range(300)]
+    texts = ["always " + " ".join(rng.choice(common, 30)) + (f" zz{i // 4 % 50}bad" if i % 4 == 0 else "") for i in range(1200)]
+    d = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1200)], "doc_id long, toxic int")
+    fresh = toxicity.State.fresh
+    monkeypatch.setattr(toxicity.State, "fresh", lambda df: seen.append(df) or fresh(df))
+    model = toxicity.fit(d, labels, language.Model([], [], np.empty(0)), sample=100)
+    assert 850 < seen[0][toxicity.words_of("always")[0, 0]] <= 920
+    got = toxicity.score(d, model).collect()
+    right = np.array([r.predicted == (r.doc_id % 4 == 0) for r in got])
+    assert len(got) == 1200 and right.mean() > 0.97 and np.mean([r.predicted for r in got if r.doc_id % 4 == 0]) > 0.9
+
+
 def brute(ids, vectors, k=20):
     out = {}
     for i, v in zip(ids, vectors, strict=True):
