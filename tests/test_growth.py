@@ -53,6 +53,13 @@ def test_segment_tasks_follow_the_lines(spark, monkeypatch):
     assert testtables.segments(spark, SF).rdd.getNumPartitions() >= 55
 
 
+def test_segment_tasks_hold_few_lines(spark):
+    from ledgerspark.sources import testtables
+
+    lines = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").count()
+    assert testtables.segments(spark, "/root/testdata/sf0.1").rdd.getNumPartitions() >= lines / 100_000 > 4  # the session's own number
+
+
 def test_contexts_by_index_and_directly(spark, monkeypatch):
     from ledgerspark.operators import mining
     from ledgerspark.sources import orderpages
