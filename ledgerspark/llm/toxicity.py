@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,11 @@ from ledgerspark.llm import language
 from ledgerspark.llm.common import Scratch, fold, slices, table, utf8
 
 WORDS = re.compile(r"[^\W_]+")
+#: Texts with more different characters outside words than this are split by the expression, others by putting spaces for them.
+ODD = 64
 ROWS, DIM, WIDTHS, FILTERS = 1 << 15, 8, (1, 2, 3), 6
-#: Lengths of the word beginnings with an embedding of their own, and words whose hashes a task remembers.
-STARTS, KNOWN = (4, 5, 6), 1 << 17
+#: Lengths of the word beginnings with an embedding of their own, and characters whose words are told apart at once, about.
+STARTS, GROUP = (4, 5, 6), 1 << 20
 #: Size of a part of the training texts, about: documents of each label, words of all of them.
 SAMPLE, SAMPLE_WORDS = 4000, 1_500_000
 #: Letters a word, about, where words are not counted yet; steps a unit of the logit in the thresholds' histograms; bits of the filter
@@ -44,70 +47,113 @@ LEAST_STEPS = 8000
 RARE = 2
 #: Share of a text's words that a training step sees.
 KEEP = 0.5
+#: All filters of all widths, shorter ones first, and those of more than j words, which have a row for their word j in ``Network.maps``.
+ALL, LONGER = len(WIDTHS) * FILTERS, [sum(w > j for w in WIDTHS) * FILTERS for j in range(max(WIDTHS))]
+#: Of each row of ``Network.maps``, its filter and its word.
+FILTER, PLACE = np.concatenate([np.arange(ALL - n, ALL) for n in LONGER]), np.repeat(np.arange(len(LONGER)), LONGER)
 #: A language's own threshold and that of all languages are mixed in the proportion of its documents in the
 #: calibration part and this many.
 OWN = 60
 
 
-def _hashes(word: str) -> bytes:
-    parts = [word, *(f"{n}^{word[:n]}" for n in STARTS)]
-    return np.array([xxhash.xxh32_intdigest(p) % ROWS for p in parts], np.int32).tobytes()
-
-
-def words_of(text: str | None, known: dict[str, bytes] | None = None) -> np.ndarray:
+def spaced(text: str | None) -> str:
+    """The words of the whole text, as ``WORDS`` finds them in its lower case, with spaces between them."""
+    text = (text or "").lower()
+    odd = [c for c in set(text) if not c.isalnum()]
+    if len(odd) > ODD:
+        return " ".join(WORDS.findall(text))
+    for c in odd:
+        text = text.replace(c, " ")
+    return text.strip(" ")
+
+
+def _hashes(words: pa.StringArray) -> np.ndarray:
+    """Embedding rows of words: a row a word, its hash and those of its beginnings."""
+    strings = lambda a: a.to_numpy(zero_copy_only=False).tolist()
+    hashes = lambda texts: np.array([xxhash.xxh32_intdigest(t) for t in texts], np.intp) % ROWS
+    rows = [hashes(strings(words))]
+    for n in STARTS:
+        start = pc.utf8_slice_codeunits(words, 0, n).dictionary_encode()
+        rows.append(hashes([f"{n}^{t}" for t in strings(start.dictionary)]).take(start.indices.to_numpy()))
+    return np.stack(rows, axis=1)
+
+
+def words_in(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """All the texts in order, some at a time: the embedding rows of their different words, and of each text the numbers of its words."""
+    lo = 0
+    while lo < len(texts):
+        some, size = [], 0
+        while lo < len(texts) and size < GROUP:
+            some.append(spaced(texts[lo]) or None)
+            size += len(some[-1] or "")
+            lo += 1
+        words = pc.ascii_split_whitespace(pa.array(some, pa.string()))
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(words), 0))
+        words = words.flatten().dictionary_encode()
+        yield _hashes(words.dictionary), np.split(words.indices.to_numpy(), ends[:-1])
+
+
+def words_of(text: str | None) -> np.ndarray:
     """Embedding rows of the words of the whole text: a row a word, its hash and those of its beginnings."""
-    known = {} if known is None else known
-    if len(known) > KNOWN:
-        known.clear()
-    out = []
-    for w in WORDS.findall((text or "").lower()):
-        rows = known.get(w)
-        if rows is None:
-            rows = known[w] = _hashes(w)
-        out.append(rows)
-    return np.frombuffer(b"".join(out), np.int32).reshape(-1, 1 + len(STARTS))
+    rows, (places,) = next(words_in([text]))
+    return rows.take(places, axis=0)
 
 
 @dataclass
 class Network:
+    """``maps`` holds what each filter takes of its first word, then what those of two and more words take of their second, and so on."""
+
     table: np.ndarray
-    filters: list[np.ndarray]
-    bias: list[np.ndarray]
+    maps: np.ndarray
+    bias: np.ndarray
     out: np.ndarray
     out_bias: float
 
     @classmethod
     def fresh(cls, rng: np.random.Generator) -> Network:
         normal = lambda *s: (rng.standard_normal(s) * 0.3).astype(np.float32)
-        return cls(normal(ROWS, DIM), [normal(w * DIM, FILTERS) for w in WIDTHS], [np.zeros(FILTERS, np.float32) for _ in WIDTHS], normal(FILTERS * len(WIDTHS)), 0.0)
-
-    def pooled(self, ids: np.ndarray, chunk: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-        """Largest activation of every filter over the text, and where; 0 and -1 where no window exists or all
+        table, filters = normal(ROWS, DIM), [normal(w, DIM, FILTERS) for w in WIDTHS]
+        maps = np.concatenate([f[j].T for j in range(max(WIDTHS)) for f in filters if len(f) > j])
+        return cls(table, maps, np.zeros(ALL, np.float32), normal(ALL), 0.0)
+
+    def vectors(self, ids: np.ndarray) -> np.ndarray:
+        """The sum of the embeddings of each row of ``ids``."""
+        e = self.table.take(ids[:, 0], axis=0)
+        for k in range(1, ids.shape[1]):
+            e += self.table.take(ids[:, k], axis=0)
+        return e
+
+    def pooled(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``best`` of the words' vectors."""
+        return self.best(lambda lo, hi: self.vectors(ids[lo:hi]), len(ids))
+
+    def best(self, vectors: Callable[[int, int], np.ndarray], n: int, chunk: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+        """Largest activation of every filter over ``n`` words, and where; 0 and -1 where no window exists or all
         are negative. Windows are taken in chunks, so memory is bounded for any length."""
-        best, where = np.zeros(len(WIDTHS) * FILTERS, np.float32), np.full(len(WIDTHS) * FILTERS, -1)
-        for at in range(0, len(ids), chunk):
-            self.best(self.table[ids[at : at + chunk + max(WIDTHS) - 1]].sum(axis=1), at, chunk, best, where)
+        best, where = np.zeros(ALL, np.float32), np.full(ALL, -1)
+        for at in range(0, n, chunk):
+            a = self.maps @ vectors(at, at + chunk + max(WIDTHS) - 1).T  # a row a filter and word, a column a place
+            top, row = a[:ALL], ALL
+            for j, longer in enumerate(LONGER[1:], 1):
+                top[-longer:, :-j] += a[row : row + longer, j:]
+                top[-longer:, -j:] = -np.inf  # no room for a window
+                row += longer
+            first = top[:, :chunk].argmax(axis=1)
+            value = top[np.arange(ALL), first] + self.bias
+            better = value > best
+            best[better] = value[better]
+            where[better] = at + first[better]
         return best, where
 
-    def best(self, e: np.ndarray, at: int, chunk: int, best: np.ndarray, where: np.ndarray) -> None:
-        """Raise ``best`` and ``where`` by the windows that begin at the first ``chunk`` words' vectors ``e``, from place ``at`` on."""
-        for k, w in enumerate(WIDTHS):
-            n = min(chunk, len(e) - w + 1)
-            if n < 1:
-                continue
-            a = e[:n] @ self.filters[k][:DIM]
-            for j in range(1, w):
-                a += e[j : j + n] @ self.filters[k][j * DIM : (j + 1) * DIM]
-            a += self.bias[k]
-            top = a.argmax(axis=0)
-            value, own = a[top, np.arange(FILTERS)], slice(k * FILTERS, (k + 1) * FILTERS)
-            better = value > best[own]
-            best[own][better] = value[better]
-            where[own][better] = at + top[better]
-
     def logit(self, ids: np.ndarray) -> float:
         return float(self.pooled(ids)[0] @ self.out + self.out_bias)
 
+    def logits(self, rows: np.ndarray, texts: list[np.ndarray]) -> list[float]:
+        """As ``logit`` of each text, whose words are given by their numbers in ``rows``; a word's embeddings are summed once."""
+        e = self.vectors(rows)
+        best = lambda t: self.best(lambda lo, hi: e.take(t[lo:hi], axis=0), len(t))[0]
+        return [float(best(t) @ self.out + self.out_bias) for t in texts]
+
 
 @dataclass
 class State:
@@ -121,67 +167,62 @@ class State:
 
     def packed(self) -> np.ndarray:
         """All numbers but the embeddings and theirs, in rows of DIM + 1."""
-        flat = np.concatenate([*[f.ravel() for f in self.net.filters], *self.net.bias, self.net.out, [self.net.out_bias], self.rest])
+        flat = np.concatenate((self.net.maps.ravel(), self.net.bias, self.net.out, [self.net.out_bias], self.rest))
         return np.resize(np.concatenate((flat, np.zeros(-len(flat) % (DIM + 1)))), (-(-len(flat) // (DIM + 1)), DIM + 1))
 
     def unpack(self, flat: np.ndarray) -> None:
-        sizes = [w * DIM * FILTERS for w in WIDTHS] + [FILTERS] * len(WIDTHS) + [FILTERS * len(WIDTHS)]
-        parts = np.split(flat.ravel().astype(np.float32), np.cumsum(sizes))
-        n = len(WIDTHS)
-        self.net.filters = [x.reshape(-1, FILTERS) for x in parts[:n]]
-        self.net.bias, self.net.out, self.net.out_bias = parts[n : 2 * n], parts[2 * n], float(parts[-1][0])
-        self.rest = parts[-1][1 : 1 + sum(sizes)]
+        net, size = self.net, len(self.rest)
+        maps, net.bias, net.out, last = np.split(flat.ravel().astype(np.float32), np.cumsum([net.maps.size, ALL, ALL]))
+        net.maps, net.out_bias, self.rest = maps.reshape(-1, DIM), float(last[0]), last[1 : 1 + size]
 
     @classmethod
     def fresh(cls, df: np.ndarray, seed: int = SEED) -> State:
         trust = (df / (df + RARE)).astype(np.float32)[:, None]
         net = Network.fresh(np.random.default_rng(seed))
         net.table *= trust
-        return cls(net, trust, rest=np.full(sum(w * DIM * FILTERS for w in WIDTHS) + 2 * FILTERS * len(WIDTHS), 1e-3, np.float32))
+        return cls(net, trust, rest=np.full(net.maps.size + 2 * ALL, 1e-3, np.float32))
 
 
 def train(state: State, texts: list[np.ndarray], labels: np.ndarray, weight: dict[int, float], rates: list[float], seed: int) -> None:
     """An epoch for each of ``rates`` of Adagrad on the logistic loss, one text at a time; only the pooled windows get gradients.
     A text of label y counts ``weight[y]`` times."""
     rng, net = np.random.default_rng(seed), state.net
-    cut = np.cumsum([w * DIM * FILTERS for w in WIDTHS] + [FILTERS] * len(WIDTHS))
-    *seen_f, seen_out = np.split(state.rest, cut)  # views
-    seen_b = seen_f[len(WIDTHS) :]
-    seen_f = [x.reshape(-1, FILTERS) for x in seen_f[: len(WIDTHS)]]
+    seen_maps, seen_bias, seen_out = np.split(state.rest, np.cumsum([net.maps.size, ALL]))  # views
+    seen_maps, flat, many = seen_maps.reshape(-1, DIM), net.table.reshape(-1), 1 + len(STARTS)
+    one, dims = np.ones(len(FILTER) * many), np.arange(DIM)
     for rate in rates:
         for i in rng.permutation(len(texts)):
-            ids = texts[i][rng.random(len(texts[i])) < KEEP]
+            kept = (rng.random(len(texts[i])) < KEEP).nonzero()[0]
+            ids = texts[i].take(kept, axis=0).astype(np.intp)
             h, where = net.pooled(ids)
-            p = 1 / (1 + np.exp(-np.clip(h @ net.out + net.out_bias, -30, 30)))
+            p = 1 / (1 + np.exp(-max(-30, min(30, h @ net.out + net.out_bias))))
             g = np.float32((p - labels[i]) * weight[int(labels[i])])
             grad = g * h + DECAY * net.out
             back = g * net.out
             seen_out += grad * grad
             net.out -= rate * grad / np.sqrt(seen_out)
             net.out_bias -= rate * float(g) * 0.1
-            rows, steps = [], []
-            for k, w in enumerate(WIDTHS):
-                c = np.flatnonzero(where[k * FILTERS : (k + 1) * FILTERS] >= 0)
-                if not len(c):
-                    continue
-                met = ids[where[k * FILTERS + c][:, None] + np.arange(w)]  # filter, word, hash
-                b = back[k * FILTERS + c]
-                up = (net.table[met].sum(axis=2).reshape(len(c), -1) * b[:, None]).T
-                down = (net.filters[k][:, c] * b).T.reshape(-1, DIM)
-                seen_f[k][:, c] += up * up
-                net.filters[k][:, c] -= rate * up / np.sqrt(seen_f[k][:, c])
-                seen_b[k][c] += b**2
-                net.bias[k][c] -= rate * b / np.sqrt(seen_b[k][c])
-                rows.append(met.reshape(-1, met.shape[2]))
-                steps.append(down)
-            if rows:
-                r, d = np.concatenate(rows), np.concatenate(steps)
-                many = r.shape[1]
-                r = r.ravel()
-                np.add.at(state.rows, r, np.repeat((d * d).mean(axis=1), many))
-                np.add.at(state.turns, r, 1)
-                d = np.repeat(rate * d, many, axis=0) * (state.trust[r] / np.sqrt(state.rows[r])[:, None])
-                np.subtract.at(net.table, r, d)
+            live = where >= 0
+            if live.all():
+                c, m, own, word = slice(None), slice(None), FILTER, PLACE
+            elif live.any():
+                c, m = live, live[FILTER]
+                own, word = FILTER[m], PLACE[m]
+            else:
+                continue
+            b = back[c]
+            seen_bias[c] += b * b
+            net.bias[c] -= rate * b / np.sqrt(seen_bias[c])
+            b, met = back[own][:, None], ids.take(where[own] + word, axis=0)
+            maps = net.maps[m]
+            up, down = net.vectors(met) * b, maps * b
+            seen_maps[m] += up * up
+            net.maps[m] = maps - rate * up / np.sqrt(seen_maps[m])
+            r = met.ravel()
+            np.add.at(state.rows, r, (np.einsum("ij,ij->i", down, down) / np.float32(DIM)).repeat(many))
+            np.add.at(state.turns, r, one[: len(r)])
+            share = (rate * state.trust[r, 0] / np.sqrt(state.rows[r])).reshape(-1, many, 1)
+            np.subtract.at(flat, (met[:, :, None] * DIM + dims).ravel(), (share * down[:, None]).ravel())
 
 
 def threshold(logits: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> float:
@@ -201,34 +242,11 @@ class Classifier:
     languages: language.Model
     cuts: dict[str, float]
     cut: float
-    #: Places of known words in ``vectors``, the sums of their embeddings.
-    known: dict[str, int] = field(default_factory=dict, repr=False)
-    vectors: np.ndarray | None = field(default=None, repr=False)
-
-    def logit(self, text: str | None, chunk: int = 4096) -> float:
-        """As ``Network.logit`` of ``words_of`` the text; a word's embeddings are summed once."""
-        if len(self.known) > KNOWN or self.vectors is None:
-            self.known.clear()
-            self.vectors = np.empty((1 << 14, DIM), np.float32)
-        at, known = [], self.known
-        for w in WORDS.findall((text or "").lower()):
-            k = known.get(w)
-            if k is None:
-                k = known[w] = len(known)
-                if k == len(self.vectors):
-                    self.vectors = np.concatenate((self.vectors, np.empty_like(self.vectors)))
-                self.vectors[k] = self.net.table[np.frombuffer(_hashes(w), np.int32)].sum(axis=0)
-            at.append(k)
-        places = np.array(at, np.int64)
-        best, where = np.zeros(len(WIDTHS) * FILTERS, np.float32), np.full(len(WIDTHS) * FILTERS, -1)
-        for lo in range(0, len(places), chunk):
-            self.net.best(self.vectors[places[lo : lo + chunk + max(WIDTHS) - 1]], lo, chunk, best, where)
-        return float(best @ self.net.out + self.net.out_bias)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         if self.net is None:
             return np.zeros(len(texts))
-        logits = np.array([self.logit(t) for t in texts])
+        logits = np.array([z for rows, places in words_in(texts) for z in self.net.logits(rows, places)])
         cuts = np.full(len(texts), self.cut)
         if self.languages.languages:
             best, _ = self.languages.predict(utf8(texts))
@@ -272,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, languages: language.Model, id_col: s
         """The words of a part's labelled texts; its documents in the order of a hash, label by label in turn."""
         label = dict(zip(own.column("i").to_pylist(), own.column("y").to_pylist(), strict=True))
         met = sorted((label[i], h, i, t or "") for i, h, t in zip(texts.column("i").to_pylist(), texts.column("h").to_pylist(), texts.column("text").to_pylist(), strict=True) if i in label)
-        turn, last, out, seen = -1, None, [], {}
+        turn, last, out = -1, None, []
         for y, h, i, t in met:
             turn = 0 if last is None or last[0] != y else turn + (last != (y, h, i))
             last = (y, h, i)
@@ -281,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, languages: language.Model, id_col: s
         held = [t for k, _, t in out if k % 4 == 3] if len(met) >= 8 else [t for _, _, t in out]
         best = iter(shared.value.predict(utf8(held))[0].tolist() if shared.value.languages and held else [])
         lang = [next(best, -1) if len(met) < 8 or k % 4 == 3 else -1 for k, _, _ in out]
-        words = [words_of(t, seen).astype(np.int16).tobytes() for _, _, t in out]
+        words = [rows.take(t, axis=0).astype(np.int16).tobytes() for rows, some in words_in([t for _, _, t in out]) for t in some]
         return pa.table({"part": pa.array([texts.column("part")[0].as_py()] * len(out) if out else [], pa.int64()), "k": pa.array([k for k, _, _ in out], pa.int64()), "y": pa.array([y for _, y, _ in out], pa.int32()), "lang": pa.array(lang, pa.int32()), "ids": pa.array(words, pa.binary())})
 
     both = part(_marked(rows, known, total)).groupBy("part").cogroup(part(known).groupBy("part"))

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import language, neighbours, toxicity
@@ -136,6 +138,110 @@ def test_toxicity_learns_from_all_labelled_texts(spark, monkeypatch):
     assert len(got) == 1200 and right.mean() > 0.97 and np.mean([r.predicted for r in got if r.doc_id % 4 == 0]) > 0.9
 
 
+ODD_TEXTS = [
+    "The cat, the CAT: the cat's mat.", "", None, " \t\x1c ", "__a__b_c", "ΑΣ ΑΣ. İstanbul\u2003Straße", "日本語、テキスト。x²", "über" * 9 + "-1,000.5",
+    "one" + "".join(f"{chr(c)}w" for c in range(0x2190, 0x2200)), "don\u2019t\u00a0stop\u0085now e\u0301",
+]
+
+
+def plain_rows(word):
+    return [xxhash.xxh32_intdigest(x) % toxicity.ROWS for x in (word, *(f"{n}^{word[:n]}" for n in toxicity.STARTS))]
+
+
+@pytest.mark.parametrize("group", [1, 30, 1 << 20])
+def test_toxicity_words_of_groups_of_texts(monkeypatch, group):
+    monkeypatch.setattr(toxicity, "GROUP", group)
+    got = [rows.take(p, axis=0).tolist() for rows, texts in toxicity.words_in(ODD_TEXTS) for p in texts]
+    assert got == [[plain_rows(w) for w in toxicity.WORDS.findall((t or "").lower())] for t in ODD_TEXTS]
+
+
+def plain_best(net, ids):
+    """Of each filter the largest activation above zero and its place, by the definition."""
+    e, out = net.table[ids].astype(float).sum(axis=1), []
+    for c in range(toxicity.ALL):
+        rows = np.flatnonzero(toxicity.FILTER == c)
+        w = toxicity.WIDTHS[c // toxicity.FILTERS]
+        assert toxicity.PLACE[rows].tolist() == list(range(w))
+        a = [float(sum(e[i + j] @ net.maps[r] for j, r in enumerate(rows)) + net.bias[c]) for i in range(len(ids) - w + 1)]
+        out.append((max(a), int(np.argmax(a))) if a and max(a) > 0 else (0.0, -1))
+    return out
+
+
+def test_toxicity_network_equals_the_definition(monkeypatch):
+    rng = np.random.default_rng(5)
+    state = toxicity.State.fresh(rng.integers(0, 9, toxicity.ROWS))
+    net = state.net
+    net.table = rng.standard_normal(net.table.shape).astype(np.float32)
+    texts = [rng.integers(0, toxicity.ROWS, (n, 4)).astype(np.int16) for n in (0, 1, 2, 3, 4, 9, 40)]
+    for t in texts:
+        want = plain_best(net, t)
+        for chunk in (1, 2, 3, 7, 4096):
+            best, where = net.best(lambda lo, hi, t=t: net.vectors(t[lo:hi]), len(t), chunk)
+            assert np.allclose(best, [b for b, _ in want], atol=1e-4) and where.tolist() == [w for _, w in want]
+    monkeypatch.setattr(toxicity, "KEEP", 2)  # every word
+    for t in texts:  # a training step is one of Adagrad along the gradient
+        best, where = (np.array(x) for x in zip(*plain_best(net, t), strict=True))
+        g = 3 * (1 / (1 + np.exp(-(best @ net.out + net.out_bias))) - 1)
+        table, rows, maps, bias = net.table.astype(float), state.rows.astype(float), net.maps.astype(float), net.bias.astype(float)
+        seen, seen_bias = state.rest[: maps.size].reshape(maps.shape).astype(float), state.rest[maps.size : maps.size + toxicity.ALL].astype(float)
+        out = net.out - 0.1 * (grad := g * best + toxicity.DECAY * net.out) / np.sqrt(state.rest[maps.size + toxicity.ALL :] + grad**2)
+        steps = []
+        for r, (c, j) in enumerate(zip(toxicity.FILTER, toxicity.PLACE, strict=True)):
+            if where[c] >= 0:
+                ids, b = t[where[c] + j].astype(int), g * net.out[c]
+                up = table[ids].sum(axis=0) * b
+                steps += [(i, b * maps[r].copy()) for i in ids]
+                seen[r] += up**2
+                maps[r] -= 0.1 * up / np.sqrt(seen[r])
+                if j == 0:
+                    seen_bias[c] += b**2
+                    bias[c] -= 0.1 * b / np.sqrt(seen_bias[c])
+        for i, d in steps:
+            rows[i] += (d**2).mean()
+        for i, d in steps:
+            table[i] -= 0.1 * d * state.trust[i, 0] / np.sqrt(rows[i])
+        toxicity.train(state, [t], np.array([1]), {1: 3.0}, [0.1], 1)
+        for a, b in ((net.table, table), (state.rows, rows), (net.maps, maps), (net.bias, bias), (net.out, out)):
+            assert np.allclose(a, b, rtol=1e-3, atol=1e-4)
+
+
+def test_toxicity_scores_cost_less_than_word_by_word():
+    rng = np.random.default_rng(7)
+    words = ["".join(rng.choice(list("abcdeé"), 8)) for _ in range(40_000)]
+    texts = [" ".join(words[i] for i in (rng.random(600) ** 2 * len(words)).astype(int)) for _ in range(256)]
+    net = toxicity.Network.fresh(rng)
+    filters = [[net.maps[(toxicity.FILTER // toxicity.FILTERS == k) & (toxicity.PLACE == j)].T.copy() for j in range(w)] for k, w in enumerate(toxicity.WIDTHS)]
+
+    def plain(text, known):
+        found = toxicity.WORDS.findall(text.lower())
+        for w in found:
+            if w not in known:
+                known[w] = net.table[np.array(plain_rows(w), np.int32)].sum(axis=0)
+        e, best = np.array([known[w] for w in found]), []
+        for f in filters:
+            n = len(e) - len(f) + 1
+            a = e[:n] @ f[0]
+            for j in range(1, len(f)):
+                a += e[j : j + n] @ f[j]
+            best.append(np.maximum(a.max(axis=0), 0))
+        return float(np.concatenate(best) @ net.out)
+
+    def timed(run):
+        at = time.process_time()
+        return np.array(run()), time.process_time() - at
+
+    model = toxicity.Classifier(net, language.Model([], [], np.empty(0)), {}, 0.0)
+    took, plainly = [], []
+    for _ in range(3):
+        known = {}
+        want, s = timed(lambda known=known: [plain(t, known) for t in texts])
+        plainly.append(s)
+        got, s = timed(lambda: model.scores(texts))
+        took.append(s)
+        assert np.allclose(got, 1 / (1 + np.exp(-want)), atol=1e-5)
+    assert min(took) < 0.75 * min(plainly)
+
+
 def brute(ids, vectors, k=20):
     out = {}
     for i, v in zip(ids, vectors, strict=True):
