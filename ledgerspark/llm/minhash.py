@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.common import Scratch, slices, table, utf8
+from ledgerspark.llm.common import Scratch, short_batches, slices, table, utf8
 from ledgerspark.llm.components import connected_components
 
 SHINGLE = 5
@@ -111,7 +111,12 @@ def near_duplicates(
     A pair at the threshold shares no band with probability (1 - s^rows)^bands (5e-6 at the defaults), and is
     dropped by the pruning with probability about ``miss`` per batch; every link reported is exact.
     """
-    spark, work = docs.sparkSession, Scratch(docs.sparkSession, "minhash")
+    with short_batches(docs.sparkSession):  # all steps in Python end inside
+        return _near_duplicates(docs, id_col, text_col, shingle, percent, bands, rows, batch, miss)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bands: int, rows: int, batch: int, miss: float) -> DataFrame:
+    work = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     hashes = bands * rows
     kind = docs.schema["id"].dataType.simpleString()

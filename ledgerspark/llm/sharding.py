@@ -15,6 +15,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,8 @@ from pyspark.sql import types as T
 from ledgerspark.llm.common import Scratch, table
 
 SHARDS, SEED, BUCKET_BYTES = 24, 20240611, 16 << 20
+#: Rows of a bucket that go back to Spark at once.
+PIECE = 1000
 OWN = ("shard", "slot", "grown_shard")
 #: Names of the columns that only this module sees; a column of the input of such a name is kept apart.
 BUCKET, TIE = "bucket of the shuffle", "order in the bucket"
@@ -74,11 +77,12 @@ def two_pass_shuffle(
     order = [(id_col, "ascending"), (TIE, "ascending")]
 
     def shuffled(key: tuple, rows: pa.Table, start: pa.Table) -> pa.Table:
-        rows = rows.sort_by(order)
+        rows = rows.combine_chunks()
         first = start.column("start")[0].as_py()
         turn = fisher_yates(rows.num_rows, [seed, key[0].as_py()])
         slots = pa.array(first + np.arange(rows.num_rows), pa.int64())
-        return rows.select(columns).take(pa.array(turn)).append_column("slot", slots)
+        turn, rows = pc.sort_indices(rows, sort_keys=order).take(pa.array(turn)), rows.select(columns)
+        return pa.concat_tables([rows.take(turn.slice(i, PIECE)) for i in range(0, len(turn), PIECE)]).append_column("slot", slots)
 
     done = dealt.groupBy(BUCKET).cogroup(starts.groupBy(BUCKET)).applyInArrow(shuffled, kinds)
     done.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)

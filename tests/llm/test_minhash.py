@@ -4,7 +4,7 @@ import random
 
 from ledgerspark.llm import minhash
 from ledgerspark.llm.components import connected_components
-from ledgerspark.llm.common import Scratch
+from ledgerspark.llm.common import BATCH_BYTES, Scratch
 from tests.compare import differences, oracle
 from tests.llm.conftest import documents
 
@@ -67,6 +67,22 @@ def test_components_of_a_chain_and_a_star(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "t"), "e").count() == 0
 
 
+def test_arrow_batches_to_python_are_bounded_by_bytes(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, short = spark.conf.get(key), BATCH_BYTES
+
+    def checked(batches, rows=256):
+        for part in batches:
+            assert part.nbytes < 2 * short, f"{part.nbytes} bytes at once"
+            for at in range(0, part.num_rows, rows):
+                yield part.slice(at, rows)
+
+    monkeypatch.setattr(minhash, "slices", checked)
+    docs = spark.range(0, 400, 1, 1).selectExpr("id AS doc_id", "concat(id, repeat(' the same few words again', 2000)) AS text")
+    assert minhash.near_duplicates(docs).count() == 400
+    assert spark.conf.get(key) == before
+
+
 def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     assert differences(minhash.op1_minhash_dedup(spark, sf).toPandas(), oracle(sf, minhash.ORACLE)) == ""
