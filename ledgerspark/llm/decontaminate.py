@@ -101,23 +101,26 @@ class Matcher:
         if self.empty or not text:
             return []
         wanted: dict[tuple[int, int], set[int]] = {}
+        whole: dict[int, tuple[int, int, int, int]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for i, g, offset in where:
-                wanted.setdefault((i, g), set()).add(end + 1 - length - offset)
-        lines: dict[int, list[int]] = {}
+                at = end + 1 - length - offset
+                if not self.items[i][6]:
+                    wanted.setdefault((i, g), set()).add(at)
+                elif i not in whole and _alone(text, at, end + 1):  # a short item: the hit is the whole of it
+                    whole[i] = (self.items[i][0], 0, at, end + 1)
+                    if first:
+                        return [whole[i]]
+        lines: dict[int, list[tuple[int, int]]] = {}
         for (i, g), diagonals in wanted.items():
             a, b, budget, pattern = self.items[i][5][g]
-            if self.items[i][6]:  # a short item: the hit is the whole of it
-                lines[i] = [(d, d) for d in sorted(diagonals) if _alone(text, d, d + self.items[i][2])]
-                continue
             for lo, hi in _runs(sorted(diagonals), budget):
                 if pattern.best(text[max(0, lo + a - budget) : hi + b + budget])[0] <= budget:
                     lines.setdefault(i, []).append((lo - budget, hi + budget))
-        out = []
+        out = list(whole.values())
         for i, places in lines.items():
-            item, k, n, forward, backward, _, short = self.items[i]
-            near = (item, 0, places[0][0], places[0][0] + n) if short and places else None
-            places = [] if short else places
+            item, k, n, forward, backward, *_ = self.items[i]
+            near = None
             for lo, hi in places:
                 begin = max(0, lo - k)
                 part = text[begin : hi + n + k]
@@ -157,14 +160,11 @@ def portions(benchmark: DataFrame, item_col: str, text_col: str, most: int | Non
     return [benchmark.where(F.pmod(F.xxhash64(item_col, text_col), F.lit(n)) == k) for k in range(n)] if n > 1 else [benchmark]
 
 
-def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int, least: int = 0) -> list[list[tuple[int, str]]]:
-    """A portion of the benchmark in blocks of about ``chars`` characters, for every task; items of fewer than ``least`` characters,
-    as they are matched, are left out."""
+def blocks(benchmark: DataFrame, item_col: str, text_col: str, chars: int) -> list[list[tuple[int, str]]]:
+    """All items of a portion of the benchmark in blocks of about ``chars`` characters, for every task."""
     rows = benchmark.where(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
     out, held = [[]], 0
     for r in rows.orderBy("item", "text").toLocalIterator():
-        if len(normal(r["text"])) < least:
-            continue
         if held and held + len(r["text"]) > chars:
             out, held = [*out, []], 0
         out[-1].append((r["item"], r["text"]))
@@ -235,24 +235,25 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col:
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "distance", "start_char", "end_char")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, least: int = LEAST, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no passage of any benchmark item of ``least``
-    characters or more, counted in lower case with single spaces: a shorter item, though reported, is no ground to lose a document. Null and empty texts
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rate: float = RATE, least: int = LEAST, block_chars: int = BLOCK_CHARS, short: bool = False) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no passage of any benchmark item. With ``short`` these are
+    the documents for which ``contamination`` reports nothing. Without it an item of fewer than ``least`` characters,
+    counted in lower case with single spaces, though reported, is no ground to lose a document. Null and empty texts
     stay."""
     parts = portions(benchmark, item_col, item_text)
     work = Scratch(docs.sparkSession, "clean")
     for k, part in enumerate(parts[:-1]):
-        docs = work.save(_clean(docs, part, text_col, item_col, item_text, rate, least, block_chars), str(k))
+        docs = work.save(_clean(docs, part, text_col, item_col, item_text, rate, least, block_chars, short), str(k))
         work.drop(str(k - 1))
-    return _clean(docs, parts[-1], text_col, item_col, item_text, rate, least, block_chars)
+    return _clean(docs, parts[-1], text_col, item_col, item_text, rate, least, block_chars, short)
 
 
-def _clean(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str, rate: float, least: int, block_chars: int) -> DataFrame:
+def _clean(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text: str, rate: float, least: int, block_chars: int, short: bool) -> DataFrame:
     at = docs.columns.index(text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(blocks(benchmark, item_col, item_text, block_chars, least))
+    sent = docs.sparkSession.sparkContext.broadcast(blocks(benchmark, item_col, item_text, block_chars))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = Matchers([[(0, t) for _, t in block] for block in sent.value], rate, least)
+        every = Matchers([[(0, t) for _, t in block if short or len(normal(t)) >= least] for block in sent.value], rate, least)
         for part in _pieces(batches, HELD if len(sent.value) > 1 else 1):
             texts = [normal(t) for t in part.column(at).to_pylist()]
             good = [True] * len(texts)

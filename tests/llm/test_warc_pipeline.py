@@ -4,10 +4,11 @@ import hashlib
 import os
 
 import corpus_pipeline
-from ledgerspark.llm import warc
+from ledgerspark.llm import decontaminate, warc
 from ledgerspark.llm.common import Scratch, table
 from ledgerspark.llm.queries import QUERIES
 from tests.compare import differences, oracle
+from tests.llm.conftest import documents
 
 SF = "/root/testdata/sf0.001"
 PAGES = "page_id long, url string, html string, record string"
@@ -102,6 +103,19 @@ def test_stages_on_repeated_null_and_clashing_rows(spark, edge, empty):
     assert named.columns == docs.columns and whole(named) == sorted(map(str, rows[:8]))
 
 
+def test_decontamination_takes_short_items_too(spark, tmp_path, monkeypatch):
+    texts = ["Is the sky Blue?", "is the sky bluer? no", "what, IS  the sky blue? yes", "this the sky blue?", None, "", "a b 12.5% c", "a b 112.5% c 12.5%", "a b 112.5% c", "a question long enouhg to have a budget of edits", "none of them"]
+    items = [(1, "is the\tsky   blue?"), (2, "12.5%"), (3, " "), (4, None), (5, "a question long enough to have a budget of edits")]
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, bench = documents(spark, texts), spark.read.parquet(str(tmp_path / "benchmark.parquet"))
+    want = [1, 3, 4, 5, 8, 10]
+    for portion, chars in ((decontaminate.PORTION, decontaminate.BLOCK_CHARS), (decontaminate.PORTION, 10), (30, 10)):
+        monkeypatch.setattr(decontaminate, "PORTION", portion)
+        assert sorted(r.doc_id for r in corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()) == want
+        assert sorted(r.doc_id for r in decontaminate.clean(docs, bench, block_chars=chars, short=True).collect()) == want
+        assert {r.doc_id for r in decontaminate.contamination(docs, bench, block_chars=chars).collect()} == set(range(len(texts))) - set(want)
+
+
 def test_stages_on_edge_cases(spark, edge, empty):
     left = {"language ID": 10, "MinHash near-dedup": 8, "benchmark decontamination": 13, "sharding": 13}
     for name, stage in corpus_pipeline.STAGES:
